@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from . import substring_dedup
 from .packing import op10_best_fit_packing
+from .substring_dedup import op2_substring_dedup
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 #: DuckDB SQL for those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": substring_dedup.ORACLE,
+}
