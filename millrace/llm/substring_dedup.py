@@ -308,7 +308,7 @@ def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
 #: The same in DuckDB: a row for each word position, windows as joined words.
 ORACLE = r"""
 with w as (
-  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as words from documents
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents
 ), win as (
   select doc_id, unnest(range(1, len(words) - 18)) as s, words from w where len(words) >= 20
 ), keyed as (
