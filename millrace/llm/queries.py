@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from . import substring_dedup
 from .packing import op10_best_fit_packing
+from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
