@@ -1,10 +1,12 @@
 """Removal of word sequences that occur earlier, by super-k-mer partitioning.
 
 Each window of ``width`` words has a minimiser: the smallest hash among its
-runs of ``MGRAM`` words. Consecutive windows that share it travel as one packed
-string to the minimiser's bucket, so a text is sent about three times instead of
-``width`` times. A bucket holds all copies of its windows; sorting their hashes
-there and comparing the words of equal ones finds each repeat exactly.
+runs of ``MGRAM`` words. Consecutive windows that share it form a super-k-mer.
+A first exchange carries only minimisers, and finds those that two super-k-mers
+have. A window whose minimiser occurs once can have no copy; the other
+super-k-mers travel, each as one packed string, to their minimiser's bucket.
+A bucket holds all copies of its windows: sorting their hashes there and
+comparing the words of equal ones finds each repeat exactly.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_key, table
+from .common import doc_key, scratch, table
 from .textscan import Words, buffers, cut, mix, pieces, scan
 
 WIDTH = 20
@@ -32,76 +34,126 @@ _STEP = 1 << 21  # bytes of text that numpy handles at once
 _SEEN = 100_000
 
 _PARTS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())]))
-_RUNS = "key long, doc long, fp long, start int, n int, packed binary"
-_SPANS = "doc long, fp long, start int, n int"
+_RUNS = "key long, doc long, fp int, start int, n int, packed binary"
+_SPANS = "doc long, fp int, start int, n int"
 
 
-def super_kmers(w: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of windows and minimiser of each run, and the prefix hashes."""
+def super_kmers(w: Words, width: int) -> tuple[np.ndarray, ...]:
+    """First word, number of windows, minimiser of each super-k-mer, whether it may hold
+    two equal windows (the minimiser's place changes within it), and the prefix hashes."""
     n, pre = len(w.start), w.prefix()
     if n < width:
         e = np.empty(0, np.int64)
-        return e, e, e.astype(np.uint64), pre
+        return e, e, e.astype(np.uint64), e.astype(bool), pre
     m = min(MGRAM, width)
     at = np.arange(n - m + 1)
     low, have, need = w.spans(pre, at, at + m - 1), 1, width - m + 1
     while have < need:
         step = min(have, need - have)
-        low = np.minimum(low[:-step], low[step:])
+        less = low[step:] < low[:-step]
+        low, at = np.where(less, low[step:], low[:-step]), np.where(less, at[step:], at[:-step])
         have += step
     valid = w.doc[: n - width + 1] == w.doc[width - 1 :]
     new = valid.copy()
     new[1:] &= ~valid[:-1] | (low[1:] != low[:-1])
     windows = np.flatnonzero(valid)
     if not len(windows):
-        return windows, windows, low[:0], pre
+        return windows, windows, low[:0], valid[:0], pre
     run = np.cumsum(new[windows]) - 1
-    head = np.flatnonzero((windows - windows[new[windows]][run]) % LONGEST == 0)
-    return windows[head], np.diff(head, append=len(windows)), low[windows[head]], pre
+    fresh = (windows - windows[new[windows]][run]) % LONGEST == 0
+    head = np.flatnonzero(fresh)
+    moved = ~fresh
+    moved[1:] &= at[windows[1:]] != at[windows[:-1]]
+    return windows[head], np.diff(head, append=len(windows)), low[windows[head]], np.logical_or.reduceat(moved, head), pre
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _hot_minimisers(rows: DataFrame, width: int) -> np.ndarray:
-    """Minimisers of so many packed strings that their bucket would burden a task.
+def _repeated_minimisers(rows: DataFrame, width: int) -> DataFrame:
+    """Super-k-mers whose minimiser another one has: ``doc, fp, ord`` (its number in the text).
 
-    All texts are counted. A task sends on only those that have 1/HOT_KEYS of
-    its own strings (one that is as frequent in the whole is so in some task),
-    and at most HOT_KEYS can pass, so the list stays below 2 MB at any size.
+    Also a row for each minimiser of HOT_ROWS or more (``doc`` null, ``key``,
+    ``n``) and rows that add up to the number of super-k-mers (both null).
+    Of a batch's equal minimisers one is sent with their number, and the rest
+    are known to repeat: a minimiser's task gets a row for each batch at most.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, total = [], 0
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-
-        def fold():
-            nonlocal keys, counts, parts
-            if parts:
-                k, inverse = np.unique(np.concatenate([keys, *parts]), return_inverse=True)
-                c = np.bincount(inverse, weights=np.concatenate([counts, np.ones(sum(map(len, parts)), np.int64)])).astype(np.int64)
-                if len(k) > 4_000_000:  # what is rare so far; lowers a count by less than 1/HOT_KEYS of the task's
-                    common = c > max(1, total // (2 * HOT_KEYS))
-                    k, c = k[common], c[common]
-                keys, counts, parts = k, c, []
-
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             off, raw = buffers(b.column(2))
+            doc, fp = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            keys, row, number, within = [], [], [], []
             for i, j in pieces(off, _STEP):
-                key = super_kmers(scan(off[i : j + 1] - off[i], raw[off[i] : off[j]]), width)[2]
-                total += len(key)
-                parts.append(key)
-            if sum(map(len, parts)) > 1_000_000:
-                fold()
-        fold()
-        often = counts >= max(4, total // HOT_KEYS)
-        yield pa.RecordBatch.from_arrays([pa.array([None, *_signed(keys[often]).tolist()], pa.int64()), pa.array([total, *counts[often].tolist()], pa.int64())], ["key", "n"])
+                w = scan(off[i : j + 1] - off[i], raw[off[i] : off[j]])
+                first, _, key, inner, _ = super_kmers(w, width)
+                d = w.doc[first]
+                keys.append(_signed(key))
+                within.append(inner)
+                row.append(i + d)
+                number.append(np.arange(len(d)) - np.searchsorted(d, d))
+            if not keys:
+                continue
+            key, row, number = np.concatenate(keys), np.concatenate(row), np.concatenate(number)
+            order = np.argsort(key, kind="stable")
+            head, many = _heads(key[order])
+            n = np.zeros(len(key), np.int32)
+            n[order[head]] = many
+            n[np.concatenate(within) & (n == 1)] = 2
+            rest = n == 0
+            key = key.copy()
+            key[rest] = _signed(mix(doc[row[rest]].astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[row]), pa.array((fp[row].astype(np.int64) << 32) | number), pa.array(n)], ["key", "doc", "at", "n"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held = 0, []
+
+        def settle(t: pa.Table) -> pa.RecordBatch:
+            nonlocal total
+            key, doc, at, n = (t.column(k).to_numpy() for k in ("key", "doc", "at", "n"))
+            head, many = _heads(key)
+            sums = np.add.reduceat(n.astype(np.int64), head) if len(head) else head
+            total += int(n.sum())
+            twice = (np.repeat(sums, many) > 1) | (n == 0)
+            hot = sums >= HOT_ROWS
+            pad = pa.nulls(int(hot.sum()), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(x), y]) for x, y in ((doc[twice], pad), (at[twice], pad))] + [pa.concat_arrays([pa.nulls(int(twice.sum()), pa.int64()), pa.array(x[hot])]) for x in (key[head], sums)], ["doc", "at", "key", "n"])
+
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) > 500_000:
+                t = pa.Table.from_batches(held)
+                key = t.column("key").to_numpy()
+                if last := int(np.searchsorted(key, key[-1], "left")):
+                    yield settle(t.slice(0, last))
+                    held = t.slice(last).combine_chunks().to_batches()
+        if held:
+            yield settle(pa.Table.from_batches(held))
+        none = pa.nulls(1, pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([total])], ["doc", "at", "key", "n"])
 
-    counts = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    total = F.broadcast(counts.where("key is null").agg(F.max("n").alias("total")))  # one row
-    found = counts.where("key is not null").join(total, F.col("n") >= F.greatest(F.lit(HOT_ROWS), F.col("total") / HOT_KEYS)).select("key").toPandas()
-    return np.sort(found["key"].to_numpy(dtype=np.int64))
+    sent = rows.select("doc", "fp", "text").mapInArrow(send, "key long, doc long, at long, n int")
+    met = sent.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, at long, key long, n long")
+    return scratch(met.selectExpr("doc", "cast(at >> 32 as int) as fp", "cast(at & 2147483647 as int) as ord", "key", "n"))
+
+
+def _heads(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal keys begin, and their lengths."""
+    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return head, np.diff(head, append=len(keys))
+
+
+def _hot_minimisers(found: DataFrame) -> np.ndarray:
+    """Minimisers of so many super-k-mers that their bucket would burden a task.
+
+    At most HOT_KEYS can have that share of all, so the list stays below 2 MB
+    at any size.
+    """
+    totals = found.where("doc is null")
+    total = totals.where("key is null").agg(F.sum("n")).first()[0] or 0
+    hot = totals.where(F.col("key").isNotNull() & (F.col("n") >= max(HOT_ROWS, total // HOT_KEYS))).select("key").toPandas()
+    return np.sort(hot["key"].to_numpy(dtype=np.int64))
 
 
 def _pack(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
@@ -116,10 +168,12 @@ def _pack(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
             doc, fp = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for i, j in pieces(off, _STEP):
                 w = scan(off[i : j + 1] - off[i], raw[off[i] : off[j]])
-                first, n, key, pre = super_kmers(w, width)
-                if not len(first):
+                first, n, key, _, pre = super_kmers(w, width)
+                picked, size = b.column(3).slice(i, j - i), pc.list_value_length(b.column(3).slice(i, j - i)).to_numpy(zero_copy_only=False)
+                pick = np.repeat(np.searchsorted(w.doc[first], np.arange(j - i)), size) + picked.flatten().to_numpy(zero_copy_only=False)
+                if not len(pick):
                     continue
-                key = _signed(key)
+                first, n, key = first[pick], n[pick], _signed(key[pick])
                 at = np.searchsorted(hot_keys.value, key)
                 is_hot = np.zeros(len(key), bool)
                 inside = at < len(hot_keys.value)
@@ -213,12 +267,24 @@ def _repeats(t: pa.Table, width: int) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Windows of ``width`` words that start earlier elsewhere: ``doc, fp, start, n``.
 
-    ``doc`` is the id (null: the smallest long), ``fp`` the text's hash; the
+    ``doc`` is the id (null: the smallest long), ``fp`` 32 bits of the text's hash; the
     ``n`` windows from word ``start`` on repeat windows of a smaller id, or of
     the same id at an earlier start. Spans may come in several parts.
     """
-    rows = docs.select(doc_key().alias("doc"), F.xxhash64("text").alias("fp"), F.col("text").cast("string").alias("text"))
-    hot = _hot_minimisers(rows, width)
+    return _repeated_spans(_keyed(docs), width)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    others = [c for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("_row"), F.col("text").cast("string").alias("text"), doc_key().alias("doc"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("fp"))
+
+
+def _repeated_spans(keyed: DataFrame, width: int) -> DataFrame:
+    found = _repeated_minimisers(keyed, width)
+    hot = _hot_minimisers(found)
+    lists = found.where("doc is not null").groupBy("doc", "fp").agg(F.array_sort(F.collect_list("ord")).alias("ords"))
+    # The same columns as in dedup_substrings, so that both joins share one exchange of the texts.
+    rows = keyed.join(lists, ["doc", "fp"]).select("doc", "fp", "text", "ords", "_row")
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -259,9 +325,8 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     equal rows get equal results, and neither is earlier than the other.
     """
     docs = docs.drop("n_words", "n_removed", "kept_text", "removed")
-    spans = repeated_spans(docs, width).groupBy("doc", "fp").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
-    others = [c for c in docs.columns if c != "text"]
-    left = docs.select(F.struct(*others).alias("_row"), "text", doc_key().alias("doc"), F.xxhash64("text").alias("fp"))
+    spans = _repeated_spans(_keyed(docs), width).groupBy("doc", "fp").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
+    left = _keyed(docs)
     joined = left.join(spans, ["doc", "fp"], "left").select("_row", "text", "_spans")
     schema = joined.drop("_spans").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string").add("removed", _PARTS)
 

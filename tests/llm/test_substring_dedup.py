@@ -34,7 +34,7 @@ def corpus(n=80, seed=1):
         for _ in range(rnd.randint(0, 4)):
             parts += rnd.choice(passages) if rnd.random() < 0.4 else [rnd.choice(vocab) for _ in range(rnd.randint(0, 40))]
         docs.append((d, rnd.choice([" ", "\n", "\t ", "\x0b"]).join(parts)))
-    docs += [(n, None), (n + 1, ""), (n + 2, "a " * 300), (n + 3, "b a " + "a " * 130), (n + 4, docs[3][1]), (n + 5, " \n\t ")]
+    docs += [(n, None), (n + 1, ""), (n + 2, "a " * 300), (n + 3, "b a " + "a " * 130), (n + 4, docs[3][1]), (n + 5, " \n\t "), (n + 6, "q " * 25), (n + 7, "u v x " * 12)]
     return docs
 
 
