@@ -6,9 +6,11 @@ from . import substring_dedup
 from .packing import op10_best_fit_packing
 from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
+from .toxicity import op5_toxicity
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
