@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import line_dedup, substring_dedup
+from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
 from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
@@ -10,6 +11,7 @@ from .toxicity import op5_toxicity
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -18,4 +20,5 @@ QUERIES = {
 #: DuckDB SQL for those that SQL can express.
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": substring_dedup.ORACLE,
+    "op3_line_dedup": line_dedup.ORACLE,
 }
