@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import line_dedup, substring_dedup
+from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
 from .simhash import op6_simhash_near_dedup
@@ -12,6 +13,7 @@ from .toxicity import op5_toxicity
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
