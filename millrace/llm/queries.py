@@ -6,6 +6,7 @@ from . import line_dedup, substring_dedup
 from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
+from .quality_rules import op7_quality_rules
 from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
 from .toxicity import op5_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
