@@ -7,6 +7,7 @@ from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
 from .quality_rules import op7_quality_rules
+from .sentencepiece_unigram import op8_sentencepiece
 from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
 from .toxicity import op5_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
