@@ -115,7 +115,7 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE, words: int = WORDS) -
     # Both joins are on (doc, th): one exchange of the texts serves both. What the next document lends, with its
     # sketch, then goes to the document before it.
     lent = texts.select("doc_id", "doc", "th", "text").join(one_each, ["doc", "th"])
-    lent = lent.dropDuplicates(["doc", "th", "p_doc", "p_th"])
+    lent = lent.dropDuplicates(["doc_id", "doc", "th", "p_doc", "p_th"])  # doc_id, so that the exchange is the same
     lent = lent.select(F.col("p_doc").alias("doc"), F.col("p_th").alias("th"), F.substring("text", F.lit(1), F.floor(F.col("p_n") / 3).cast("int")).alias("head"), sketch(F.col("text"), size, words).alias("next_sketch"))
     joined = texts.select("doc_id", "doc", "th", "text").join(lent, ["doc", "th"])
     n = F.char_length("text")
