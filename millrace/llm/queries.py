@@ -7,6 +7,7 @@ from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
 from .quality_rules import op7_quality_rules
+from .secrets import op9_secret_scans
 from .sentencepiece_unigram import op8_sentencepiece
 from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_secret_scans": op9_secret_scans,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

@@ -1,0 +1,339 @@
+"""Secret scans: candidates by shape, false positives removed by a random forest.
+
+A candidate is a run of token characters, long and mixed enough to be a
+credential. The forest looks at its length, characters and their transitions,
+how much of it dictionary words cover, whether it is part of a path, and the
+words beside it. It is trained from labelled findings; without any given, from
+generated ones (:func:`generated_findings`).
+"""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import math
+import random
+import re
+import uuid
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import table
+from .textscan import buffers
+
+MIN_CHARS = 16
+LEFT, RIGHT = 60, 24
+TREES, DEPTH, MIN_LEAF, SEED = 40, 9, 4, 11
+THRESHOLD = 0.5
+#: Labelled findings that are learnt from, at most.
+MOST_FINDINGS = 20_000
+MASK = "[SECRET]"
+
+_TOKEN = np.zeros(256, dtype=bool)
+_TOKEN[np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-.~", np.uint8)] = True
+_KIND = np.full(256, 3, dtype=np.uint8)  # 0 digit, 1 upper, 2 lower, 3 other
+_KIND[48:58], _KIND[65:91], _KIND[97:123] = 0, 1, 2
+
+#: Words that often make up names, paths and placeholders.
+WORDS = """about access account action address admin agent alpha android apache apple array assets audio author auto
+backup base beta binary block body browser buffer build button bytes cache call change channel char class client cloud
+code color column com commit common component config connect console content control copy core count create current
+custom data database date debug default delete demo dev device digest dist doc docs dummy element email engine entry
+error event example export fake false field file filter final first flag foo format frame front full function git
+github global graph group handler hash head header helper host html http https image import index info init input
+install integer internal item java javascript json key label layout length lib library line link list local log login
+main manager map master mem menu message meta method mock model module mount name network next node null number object
+open option order org output package page param parent parse password path pattern payload placeholder plugin point
+port post preview private process product profile project property proxy public query queue read record ref release
+remote render replace report request resource response result return root route sample schema script search secret
+select server service session set shared simple site size source spec src stack start state static status storage
+store stream string style sub support sync system tab table tag target task temp template test text theme thread time
+title token tool total track tree true type unit update upload url user util value vector version video view web
+widget window word worker write www your xml zip""".split()
+#: Words beside a credential, and beside what only looks like one.
+ASKS = re.compile(r"(?i)(token|secret|passw|pwd|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private[_ -]?key|client[_ -]?key|signing|aws|stripe|slack)")
+TELLS = re.compile(r"(?i)(sha-?\d|commit|md5|checksum|digest|revision|integrity|uuid|guid|etag|version|build|trace|request[_ -]?id|example|dummy|sample|placeholder|fixture|phone|card|isbn|order|invoice)")
+#: How issuers begin their keys.
+PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|rk_live_|pk_live_|xox[abpr]-|AIza|eyJ|npm_|pypi-|SG\.|hf_)")
+_UUID = re.compile(r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+_COVER = re.compile("|".join(sorted(WORDS, key=lambda w: (-len(w), w))))
+_VOWELS = frozenset("aeiouy")
+
+FEATURES = ["length", "digits", "upper", "lower", "other", "class_changes", "entropy", "distinct", "most_common", "hex", "all_digits", "uuid", "pair_surprise", "vowel_changes", "covered", "slashes", "dots", "in_path", "extension", "assigned", "quoted", "asks", "tells", "prefix", "words_left", "equals_end"]
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("length", T.IntegerType()),
+        T.StructField("token_sha256", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("is_secret", T.BooleanType()),
+    ]
+)
+
+
+def candidates(off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last byte (exclusive) of each candidate.
+
+    A run of token characters of MIN_CHARS or more, without dots, dashes or
+    equals signs at its beginning or dots at its end, that has a digit or
+    changes between upper and lower case at least three times.
+    """
+    n = len(raw)
+    tok = _TOKEN[raw]
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[off] = True
+    begin = np.flatnonzero(tok & (np.concatenate([[True], ~tok[:-1]]) | edge[:n]))
+    end = np.flatnonzero(tok & (np.concatenate([~tok[1:], [True]]) | edge[1:])) + 1
+    long = end - begin >= MIN_CHARS
+    begin, end = begin[long], end[long]
+    keep = np.zeros(len(begin), dtype=bool)
+    for k, (i, j) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
+        while i < j and raw[i] in b".-=~+":
+            i += 1
+        while j > i and raw[j - 1] in b".-~":
+            j -= 1
+        begin[k], end[k] = i, j
+        if j - i >= MIN_CHARS:
+            kind = _KIND[raw[i:j]]
+            letters = kind[(kind == 1) | (kind == 2)]
+            keep[k] = bool((kind == 0).any()) or int((np.diff(letters.astype(np.int8)) != 0).sum()) >= 3
+    begin, end = begin[keep], end[keep]
+    return np.searchsorted(off, begin, "right") - 1, begin, end
+
+
+def _english_pairs() -> dict[str, float]:
+    """Log shares of letter pairs in WORDS: the transitions of readable names."""
+    c = Counter(a + b for w in WORDS for a, b in zip(w, w[1:], strict=False))
+    total = sum(c.values()) + 676
+    return {a + b: math.log((c[a + b] + 1) / total) for a in map(chr, range(97, 123)) for b in map(chr, range(97, 123))}
+
+
+_PAIRS = _english_pairs()
+_RARE = min(_PAIRS.values())
+
+
+def features(token: str, left: str, right: str) -> list[float]:
+    n = len(token)
+    kind = _KIND[np.frombuffer(token.encode(), np.uint8)]
+    share = np.bincount(kind, minlength=4) / n
+    count = Counter(token)
+    low = token.lower()
+    entropy = -sum(v / n * math.log2(v / n) for v in count.values())
+    pairs = [_PAIRS.get(low[i : i + 2], _RARE) for i in range(n - 1)]
+    letters = [c in _VOWELS for c in low if "a" <= c <= "z"]
+    swaps = sum(a != b for a, b in zip(letters, letters[1:], strict=False)) / max(1, len(letters) - 1)
+    covered = sum(len(m) for m in _COVER.findall(low)) / n
+    before = left.rstrip()
+    return [
+        math.log(n), *share.tolist(), float((np.diff(kind.astype(np.int8)) != 0).mean()), entropy, len(count) / min(n, 64), max(count.values()) / n,
+        float(all(c in "0123456789abcdef" for c in low)), float(token.isdigit()), float(bool(_UUID.match(token))), -sum(pairs) / max(1, len(pairs)), swaps, covered,
+        float(token.count("/")), float(token.count(".")), float(left.endswith(("/", "\\", "://")) or right[:1] in ("/", "\\") or "://" in left[-12:]), float(bool(re.search(r"\.[a-z]{2,4}$", token))),
+        float(bool(re.search(r"[=:]\s*[\"'`]?$", before + left[len(before):]))), float(left[-1:] in ("\"", "'", "`") and right[:1] == left[-1:]),
+        float(bool(ASKS.search(left[-40:]))), float(bool(TELLS.search(left[-40:]))), float(bool(PREFIX.match(token))), float(len(re.findall(r"[A-Za-z]{2,}", left[-30:]))), float(token.endswith("=")),
+    ]
+
+
+@dataclass
+class Forest:
+    """Trees as arrays: inner nodes compare a feature, leaves (feature -1) have a share of secrets."""
+
+    feature: np.ndarray  # tree x node
+    limit: np.ndarray
+    child: np.ndarray  # of the left child; the right one follows
+    share: np.ndarray
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x))
+        rows = np.arange(len(x))
+        for feature, limit, child, share in zip(self.feature, self.limit, self.child, self.share, strict=True):
+            at = np.zeros(len(x), dtype=np.int64)
+            for _ in range(DEPTH):
+                f = feature[at]
+                at = np.where(f < 0, at, child[at] + (x[rows, np.maximum(f, 0)] > limit[at]))
+            total += share[at]
+        return total / len(self.feature)
+
+
+def _best_split(x: np.ndarray, y: np.ndarray, tried: np.ndarray) -> tuple[float, int, float]:
+    """Gini impurity after the best split by one of the features ``tried``."""
+    n, best = len(y), (np.inf, -1, 0.0)
+    for f in tried:
+        order = np.argsort(x[:, f], kind="stable")
+        v, ones = x[order, f], np.cumsum(y[order])
+        k = np.arange(1, n)
+        ok = (v[1:] > v[:-1]) & (k >= MIN_LEAF) & (n - k >= MIN_LEAF)
+        if not ok.any():
+            continue
+        k, a = k[ok], ones[:-1][ok]
+        b = ones[-1] - a
+        impurity = a * (1 - a / k) + b * (1 - b / (n - k))
+        i = int(np.argmin(impurity))
+        if impurity[i] < best[0]:
+            best = (float(impurity[i]), int(f), float((v[k[i] - 1] + v[k[i]]) / 2))
+    return best
+
+
+def train_forest(x: np.ndarray, y: np.ndarray, trees: int = TREES, seed: int = SEED) -> Forest:
+    """Bootstrapped trees, sqrt-many features tried at each split."""
+    rng = np.random.default_rng(seed)
+    size = 2 ** (DEPTH + 1)
+    out = Forest(np.full((trees, size), -1), np.zeros((trees, size)), np.zeros((trees, size), np.int64), np.zeros((trees, size)))
+    tries = max(2, round(math.sqrt(x.shape[1])))
+    for t in range(trees):
+        todo, made = [(0, rng.integers(0, len(y), len(y)), 0)], 1
+        while todo:
+            node, rows, depth = todo.pop()
+            ys = y[rows]
+            out.share[t, node] = ys.mean()
+            if depth == DEPTH or ys.min() == ys.max() or len(rows) < 2 * MIN_LEAF:
+                continue
+            _, f, limit = _best_split(x[rows], ys, rng.permutation(x.shape[1])[:tries])
+            if f < 0:
+                continue
+            right = x[rows, f] > limit
+            out.feature[t, node], out.limit[t, node], out.child[t, node] = f, limit, made
+            todo += [(made, rows[~right], depth + 1), (made + 1, rows[right], depth + 1)]
+            made += 2
+    return out
+
+
+def generated_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, str, str, int]]:
+    """Labelled findings (token, left, right, label) from seeded rules: credentials, and what resembles them."""
+    rnd = random.Random(seed)
+    syllables = ["an", "ti", "on", "er", "ha", "the", "re", "sh", "ou", "le", "qu", "men", "ción", "ber", "ö", "éa"]
+
+    def prose(k: int) -> str:
+        return " ".join("".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 4))) for _ in range(k))
+
+    def text(chars: str, a: int, b: int) -> str:
+        return "".join(rnd.choice(chars) for _ in range(rnd.randint(a, b)))
+
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    ask = ["token", "api_key", "secret", "password", "API_TOKEN", "client_secret", "auth_token", "access_key", "SECRET_KEY", "apikey", "passwd", "private_key"]
+    out = []
+    while len(out) < n:
+        lead = prose(rnd.randint(0, 6)) + rnd.choice([" ", "\n", "### ", "| ", ""])
+        quote = rnd.choice(['"', "'", "", "`"])
+        sign = rnd.choice([" = ", "=", ": ", " := "])
+        tail = quote + rnd.choice([" ", "\n", "", "### ", ";", ", "]) + prose(2)
+        if rnd.random() < 0.5:
+            kind = rnd.randrange(6)
+            value = (
+                text("0123456789abcdef", 32, 64) if kind < 2 else text(alnum, 20, 44) if kind == 2 else text(alnum + "+/", 38, 60) + rnd.choice(["=", "==", ""]) if kind == 3
+                else rnd.choice(["AKIA", "ghp_", "glpat-", "sk-", "xoxb-", "AIza", "hf_", "npm_"]) + text(alnum, 20, 40) if kind == 4
+                else "eyJ" + text(alnum, 20, 40) + "." + text(alnum, 30, 60) + "." + text(alnum + "-_", 30, 43)
+            )
+            if kind >= 4 and rnd.random() < 0.4:
+                left = lead + rnd.choice(["Bearer ", "Authorization: Bearer ", "", quote])
+            else:
+                left = lead + rnd.choice(ask) + sign + quote
+            out.append((value, left[-LEFT:], tail[:RIGHT], 1))
+        else:
+            kind = rnd.randrange(10)
+            word = lambda: rnd.choice(WORDS)
+            if kind == 0:
+                value, left = text("0123456789abcdef", 32, 64), lead + rnd.choice(["commit ", "sha256: ", "md5 = ", "checksum: ", "digest=", "revision ", "integrity sha512-", "ETag: "]) + rnd.choice(["", quote])
+            elif kind == 1:
+                value, left = str(uuid.UUID(int=rnd.getrandbits(128))), lead + rnd.choice(["request_id=", "uuid: ", "id = ", "", "trace "]) + quote
+            elif kind == 2:
+                value, left = "/".join(word() + rnd.choice(["", str(rnd.randint(0, 99))]) for _ in range(rnd.randint(3, 6))) + rnd.choice([".py", ".html", ".js", ""]), lead + rnd.choice(["/", "https://", "path = ", "src="])
+            elif kind == 3:
+                value, left = rnd.choice(["_", "-", "."]).join(word() for _ in range(rnd.randint(3, 6))) + str(rnd.randint(0, 9999)), lead + rnd.choice(["", "name = ", "token = ", "key: "]) + quote
+            elif kind == 4:
+                value, left = "".join(word().capitalize() for _ in range(rnd.randint(3, 6))), lead + rnd.choice(["class ", "new ", "", "import "])
+            elif kind == 5:
+                value, left = text("0123456789", 16, 22), lead + rnd.choice(["", "card ", "order ", "token ", "phone "])
+            elif kind == 6:
+                value, left = rnd.choice(["your_api_key_here_1", "xxxxxxxxxxxxxxxxxxxx1", "EXAMPLE_TOKEN_0000000", "changeme-changeme-1", "0000000000000000000", "<placeholder>".strip("<>") + "_token_1", "insert-your-token-2"]), lead + rnd.choice(ask) + sign + quote
+            elif kind == 7:
+                value, left = "".join(rnd.choice(["an", "ti", "on", "er", "ha", "the", "re", "sh", "ou", "le"]) for _ in range(rnd.randint(8, 12))) + str(rnd.randint(0, 99)), lead
+            elif kind == 8:
+                value, left = base64.b64encode(rnd.randbytes(rnd.randint(60, 200))).decode(), lead + rnd.choice(["data:image/png;base64,", "src=\"data:image/gif;base64,"])
+            else:
+                value, left = f"v{rnd.randint(0, 9)}.{rnd.randint(0, 99)}.{rnd.randint(0, 99)}-{word()}.{rnd.randint(0, 10**8)}", lead + rnd.choice(["version ", "version = ", "build: "])
+            if len(value) >= MIN_CHARS:
+                out.append((value, left[-LEFT:], tail[:RIGHT], 0))
+    return out
+
+
+def train(findings: list[tuple[str, str, str, int]] | DataFrame | None = None) -> Forest:
+    """A forest from labelled findings: rows of token, left, right, label.
+
+    A DataFrame is learnt from up to MOST_FINDINGS rows, those of the smallest hashes.
+    """
+    if isinstance(findings, DataFrame):
+        rows = findings.where("token is not null and label is not null").select("token", F.coalesce("left", F.lit("")), F.coalesce("right", F.lit("")), F.col("label").cast("int"))
+        findings = [tuple(r) for r in rows.orderBy(F.xxhash64("token"), "token").limit(MOST_FINDINGS).collect()]
+    findings = findings or generated_findings()
+    return train_forest(np.array([features(*f[:3]) for f in findings]), np.array([f[3] for f in findings], dtype=np.float64))
+
+
+def _found(off: np.ndarray, raw: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    row, begin, end = candidates(off, raw)
+    data = raw.tobytes()
+    x, tokens = [], []
+    for r, i, j in zip(row.tolist(), begin.tolist(), end.tolist(), strict=True):
+        token = data[i:j].decode()
+        left = data[max(off[r], i - LEFT) : i].decode("utf-8", "ignore")
+        tokens.append(token)
+        x.append(features(token, left, data[j : min(off[r + 1], j + RIGHT)].decode("utf-8", "ignore")))
+    return row, begin, end, forest.score(np.array(x)) if x else np.empty(0), tokens
+
+
+def scan_documents(docs: DataFrame, forest: Forest) -> DataFrame:
+    """A row for each candidate in ``docs`` (doc_id, text): doc_id, start (code points), length, token_sha256, score, is_secret.
+
+    Null and empty texts have none; repeated rows give their findings again; other columns are ignored.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            off, raw = buffers(b.column(1))
+            row, begin, end, score, tokens = _found(off, raw, shared.value)
+            points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(row)), pa.array(points[begin] - points[off[row]]), pa.array((end - begin).astype(np.int32)), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in tokens], pa.string()), pa.array(score), pa.array(score >= THRESHOLD)],
+                SCHEMA.names,
+            )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+
+
+def mask_secrets(docs: DataFrame, forest: Forest, mask: str = MASK) -> DataFrame:
+    """``docs`` with each secret in ``text`` replaced by ``mask``; all rows and columns stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("_row") if others else F.lit(0).alias("_row"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            off, raw = buffers(b.column(1))
+            row, begin, end, score, _ = _found(off, raw, shared.value)
+            hit = np.flatnonzero(score >= THRESHOLD)
+            if len(hit):
+                text = b.column(1).to_pylist()
+                for r in np.unique(row[hit]).tolist():
+                    data, parts, at = raw[off[r] : off[r + 1]].tobytes(), [], 0
+                    for k in hit[row[hit] == r].tolist():
+                        parts += [data[at : begin[k] - off[r]], mask.encode()]
+                        at = int(end[k] - off[r])
+                    text[r] = b"".join([*parts, data[at:]]).decode()
+                b = pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], b.schema.names)
+            yield b
+
+    out = rows.mapInArrow(run, rows.schema)
+    return out.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
+
+
+def op9_secret_scans(spark, sf_dir: str) -> DataFrame:
+    return scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), train())

@@ -1,0 +1,70 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from millrace.llm import secrets as se
+from millrace.llm.textscan import buffers
+
+HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+
+
+def brute(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/=_\-.~]+", text or ""):
+        i, j = m.span()
+        if j - i < 16:
+            continue
+        while i < j and text[i] in ".-=~+":
+            i += 1
+        while j > i and text[j - 1] in ".-~":
+            j -= 1
+        t = text[i:j]
+        letters = [c.isupper() for c in t if c.isalpha()]
+        if len(t) >= 16 and (any(c.isdigit() for c in t) or sum(a != b for a, b in zip(letters, letters[1:])) >= 3):
+            out.append((i, t))
+    return out
+
+
+TEXTS = [
+    "", None, "no secrets here", f'é token = "{HEX}" rest', f"commit {HEX} by someone", "https://example.com/path/to/some/file9.html",
+    "AKIA" + "Q7ZX1PLM4RTY8WNB", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa", "...0123456789abcdef...", f"x {HEX}", HEX[:20] + "é" + HEX, "AbCdEfGhIjKlMnOpQr",
+]
+
+
+def test_candidates_match_brute_force():
+    off, raw = buffers(pa.array(TEXTS))
+    row, begin, end = se.candidates(off, raw)
+    got = {}
+    for r, i, j in zip(row, begin, end):
+        got.setdefault(int(r), []).append(raw[i:j].tobytes().decode())
+    assert got == {r: [t for _, t in brute(x)] for r, x in enumerate(TEXTS) if brute(x)}
+
+
+def test_held_out_findings():
+    train, test = se.generated_findings(), se.generated_findings(1500, seed=77)
+    forest = se.train(train)
+    x, y = np.array([se.features(*f[:3]) for f in test]), np.array([f[3] for f in test])
+    hit = forest.score(x) >= 0.5
+    assert (hit == y).mean() > 0.97 and (hit & (y == 0)).sum() < 0.03 * len(y)
+    assert len(se.FEATURES) == x.shape[1]
+
+
+def test_scan_and_mask(spark):
+    docs = [(i, t, i) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, score long")
+    forest = se.train()
+    rows = se.scan_documents(df, forest).collect()
+    assert sorted((r.doc_id, r.start, r.length) for r in rows) == sorted((d, i, len(t)) for d, x, _ in docs for i, t in brute(x))
+    secret = {r.doc_id for r in rows if r.is_secret}
+    assert {3, 6} <= secret and not {4, 5, 7, 8} & secret
+    masked = {r.doc_id: r.text for r in se.mask_secrets(df, forest).collect()}
+    assert masked[3] == 'é token = "[SECRET]" rest' and masked[4] == TEXTS[4] and masked[1] is None and masked[0] == ""
+    assert len(masked) == len(docs)
+    empty = df.limit(0)
+    assert se.scan_documents(empty, forest).collect() == [] and se.mask_secrets(empty, forest).collect() == []
+
+
+def test_trains_from_a_table(spark):
+    found = spark.createDataFrame(se.generated_findings(300), "token string, left string, right string, label int")
+    assert se.train(found).score(np.array([se.features(HEX, 'token = "', '"')]))[0] > 0.5
