@@ -6,6 +6,7 @@ from . import line_dedup, substring_dedup
 from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
+from .quality_classifier import op1_quality_classifier
 from .quality_rules import op7_quality_rules
 from .secrets import op9_secret_scans
 from .sentencepiece_unigram import op8_sentencepiece
@@ -14,6 +15,7 @@ from .substring_dedup import op2_substring_dedup
 from .toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_document_fingerprints": op4_document_fingerprints,
