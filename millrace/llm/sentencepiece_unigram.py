@@ -2,8 +2,8 @@
 
 A piece list with log scores is read from a SentencePiece model file. Spaces
 become the marker U+2581, one stands before the text, characters without a piece
-fall back to bytes. As no piece has a marker behind another character, a text
-splits into stretches that begin with markers; each distinct stretch of a batch
+fall back to bytes. Where no piece has a marker behind another character, a text
+splits into stretches that no piece crosses; each distinct stretch of a batch
 is solved once, all of them side by side in numpy.
 """
 
@@ -29,7 +29,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Solved stretches that a worker remembers.
-_REMEMBER = 150_000
+_REMEMBER = 300_000
 
 
 def _fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -137,10 +137,22 @@ def vocabulary(pieces: list[tuple[str, float, int]]) -> Vocabulary:
         if kind == BYTE:
             byte_id[int(text[3:5], 16)] = k
         spoken.append(bytes([int(text[3:5], 16)]) if kind == BYTE else " ⁇ ".encode() if kind == UNKNOWN else b"" if kind == CONTROL else text.replace(MARK, " ").encode())
-    line = any("\n" in p for p, _, t in pieces if t in (NORMAL, USER))
-    pattern = f"{MARK}+[^{MARK}]*|[^{MARK}]+" if line else f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+"
-    crossed = any(MARK in p.lstrip(MARK) for p, _, t in pieces if t in (NORMAL, USER))
-    return Vocabulary(DoubleArray(keys, values), score, low - UNKNOWN_PENALTY, byte_id, spoken, pattern, not crossed)
+    known = [p for p, _, t in pieces if t in (NORMAL, USER)]
+    crossed = any(MARK in p.lstrip(MARK) for p in known)
+    return Vocabulary(DoubleArray(keys, values), score, low - UNKNOWN_PENALTY, byte_id, spoken, _stretches(known), not crossed)
+
+
+def _stretches(pieces: list[str]) -> str:
+    """A pattern of what no piece crosses: from spaces (for markers) to the next one, or to a sign after a letter.
+
+    Signs are those that no piece has behind a Latin letter or digit, so that a
+    word and the comma after it are apart.
+    """
+    letters = {chr(c) for c in range(48, 256) if chr(c).isalpha() or chr(c).isdecimal()}
+    signs = {chr(c) for c in range(33, 256)} - letters - {b for p in pieces for a, b in zip(p, p[1:], strict=False) if a in letters}
+    line = "" if any("\n" in p for p in pieces) else "\n"
+    w, s = ("".join(map(re.escape, sorted(x))) for x in (letters, signs))
+    return f" *[^ {w}{line}]*[{w}]+(?=[{s} {line}]|\\Z)| *[^ {line}]+| +" + ("|\n" if line else "")
 
 
 def viterbi(v: Vocabulary, texts: list[bytes]) -> list[tuple[int, ...]]:
@@ -225,7 +237,7 @@ class Coder:
         self.find = re.compile(v.stretch).findall if v.inside else lambda t: [t]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        parts = [self.find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        parts = [self.find(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         known = self.known
         new = list({x for p in parts for x in p if x not in known})
         if new:
@@ -234,7 +246,7 @@ class Coder:
                 kept = {x: known[x] for p in parts for x in p if x in known}
                 known.clear()
                 known.update(kept)
-            known.update(zip(new, viterbi(self.v, [x.encode() for x in new]), strict=True))
+            known.update(zip(new, viterbi(self.v, [x.replace(" ", MARK).encode() for x in new]), strict=True))
         return [list(chain.from_iterable(map(known.__getitem__, p))) for p in parts]
 
     def decode(self, ids: list[int] | None) -> str:
