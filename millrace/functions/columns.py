@@ -191,14 +191,14 @@ def reject_folder(actual: Column, expected: Column) -> Column:
     return F.when(F.trim(actual) != "", clean).otherwise(expected)
 
 
-def manifest_fields(rel: Column) -> dict[str, Column]:
-    """keyword, source, in_trash and trash_reason of a path below the scrape folder."""
+def manifest_fields(rel: Column, folder: str = "") -> dict[str, Column]:
+    """keyword, source, in_trash and trash_reason of a path below the scrape folder, which is called ``folder``."""
     p = parts(rel)
     n = F.size(p)
     trash = p[0] == ".trash"
     third = F.try_element_at(p, lit(-3))
     keyword = F.when(trash, F.when((n >= 3) & (third != ".trash"), third).otherwise(lit("__trash__"))).otherwise(p[0])
-    source = F.when(trash & (n < 2), lit("")).otherwise(F.coalesce(F.try_element_at(p, lit(-2)), lit("")))
+    source = F.when(trash & (n < 2), lit("")).otherwise(F.coalesce(F.try_element_at(p, lit(-2)), lit(folder)))
     mid = F.filter(F.slice(p, 2, F.greatest(n - 3, lit(0))), lambda s: (s != "") & (s != ".trash"))
     mid = F.when((F.size(mid) > 0) & (F.try_element_at(mid, lit(-1)) == keyword), F.slice(mid, 1, F.greatest(F.size(mid) - 1, lit(0)))).otherwise(mid)
     return {"keyword": keyword, "source": source, "in_trash": trash, "trash_reason": F.when(trash & (n > 3) & (F.size(mid) > 0), F.array_join(mid, "/"))}

@@ -6,13 +6,12 @@ moves) are separate; thresholds can change without reading a picture again.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import imaging
+from ..shared import written
 
 lit, col = F.lit, F.col
 
@@ -63,20 +62,6 @@ def near_pairs(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     return pairs.select(scope, "a", "b").distinct()
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """``df`` through the shared folder, if the session names one; else through a checkpoint of a folder of its own."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/dedupe-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def greedy_keep(pairs: DataFrame, nodes: DataFrame, scope: str = "scope", most_rounds: int = 100) -> DataFrame:
     """Nodes (scope, rank_key) that a pass in order keeps: those with no kept neighbour before them.
 
@@ -84,18 +69,18 @@ def greedy_keep(pairs: DataFrame, nodes: DataFrame, scope: str = "scope", most_r
     its neighbours go. Each round settles at least the first of every chain;
     isolated nodes never enter.
     """
-    left = _written(pairs.select(scope, "a", "b"))
+    left = written(pairs.select(scope, "a", "b"))
     gone = None
     for _ in range(most_rounds):
         if left.isEmpty():
             break
         free = left.select(scope, "a").distinct().join(left.selectExpr(scope, "b as a").distinct(), [scope, "a"], "left_anti")
         out = left.join(free, [scope, "a"], "left_semi").selectExpr(scope, "b as rank_key").distinct()
-        out = _written(out)
+        out = written(out)
         gone = out if gone is None else gone.unionByName(out)
         dead = out.withColumnRenamed("rank_key", "x")
         left = left.join(dead.withColumnRenamed("x", "a"), [scope, "a"], "left_anti").join(dead.withColumnRenamed("x", "b"), [scope, "b"], "left_anti")
-        left = _written(left.join(free, [scope, "a"], "left_anti"))
+        left = written(left.join(free, [scope, "a"], "left_anti"))
     else:
         raise RuntimeError(f"not settled after {most_rounds} rounds")
     return nodes if gone is None else nodes.join(gone, [scope, "rank_key"], "left_anti")

@@ -15,7 +15,7 @@ def manifest(files: DataFrame, root: str) -> DataFrame:
     """``id, keyword, source, path, in_trash, trash_reason`` of image files below ``root``."""
     rows = files.where(col("path").startswith(root + "/") & C.is_image(C.name_of(col("path")), O.EXTS_NO_GIF))
     rel = F.substring(col("path"), lit(len(root) + 2), F.char_length("path"))
-    f = C.manifest_fields(rel)
+    f = C.manifest_fields(rel, root.rsplit("/", 1)[-1])
     return rows.select(F.sha1("path").alias("id"), f["keyword"].alias("keyword"), f["source"].alias("source"), "path", f["in_trash"].alias("in_trash"), f["trash_reason"].alias("trash_reason"))
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
 from ..operators.samples import sample_json
+from ..shared import written
 
 lit, col = F.lit, F.col
 
@@ -53,7 +53,11 @@ def downloaded_path(items: DataFrame) -> DataFrame:
 
 
 def perform(plan: DataFrame, act: Callable[[str, str, str | None], None]) -> DataFrame:
-    """Carry out a plan (op, src, dst) on the executors: ``op, src, dst, error``; an opt-in, as plans alone change nothing."""
+    """Carry out a plan (op, src, dst) on the executors: ``op, src, dst, error``; an opt-in, as plans alone change nothing.
+
+    It happens here, once, and not again when the result is read. A task that
+    is lost half-way runs again, so ``act`` must bear what is done already.
+    """
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,7 +71,7 @@ def perform(plan: DataFrame, act: Callable[[str, str, str | None], None]) -> Dat
                     errors.append(str(e))
             yield b[["op", "src", "dst"]].assign(error=pd.Series(errors, dtype=object).values)
 
-    return plan.select("op", "src", "dst").mapInPandas(run, "op string, src string, dst string, error string")
+    return written(plan.select("op", "src", "dst").mapInPandas(run, "op string, src string, dst string, error string"))
 
 
 def summary(statuses: DataFrame) -> DataFrame:
@@ -76,4 +80,4 @@ def summary(statuses: DataFrame) -> DataFrame:
     return statuses.agg(F.count(lit(1)).alias("total"), n("copied"), n("skipped_non_image"), n("skipped_exists"))
 
 
-__all__ = ["C", "downloaded_path", "manifest_script", "perform", "report_json", "report_name", "sidecars", "summary", "write_samples"]
+__all__ = ["downloaded_path", "manifest_script", "perform", "report_json", "report_name", "sidecars", "summary", "write_samples"]
