@@ -34,6 +34,8 @@ MIN_GROUP = 200
 FAR = 9.0
 #: Least standard deviation of each transformed statistic: what is constant in most rows must not reject small changes.
 LEAST_SPREAD = [0.5, 0.1, 0.4, 0.4, 0.4]
+#: Estimates (some 200 bytes each) of so many groups are broadcast; of more, groups are salted.
+MOST_SENT, SALTS = 20_000, 32
 _STEP = 1 << 21
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
@@ -168,9 +170,22 @@ def _invert(estimates: DataFrame, factor: float) -> DataFrame:
     return estimates.select("g", "mean", "cov").mapInArrow(run, "g string, mean array<double>, inv array<double>")
 
 
+def _with_group(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the one row of ``groups`` for their ``g``.
+
+    Up to MOST_SENT groups (counted here) are broadcast. Of more, each is
+    repeated under SALTS numbers and rows are dealt out by group and number, so
+    that a group of a third of all rows is not one task's.
+    """
+    if groups.limit(MOST_SENT + 1).count() <= MOST_SENT:
+        return rows.join(F.broadcast(groups), "g", how)
+    dealt = rows.withColumn("_n", F.pmod(F.xxhash64(*[c for c in rows.columns if c != "g"]), F.lit(SALTS)))
+    return dealt.join(groups.withColumn("_n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["g", "_n"], how).drop("_n")
+
+
 def _distances(rows: DataFrame, estimates: DataFrame, factor: float) -> DataFrame:
-    """``rows`` with ``d2``; the estimates are one row a group, adaptive execution decides how to join them."""
-    joined = rows.join(_invert(estimates, factor), "g")
+    """``rows`` with ``d2``."""
+    joined = _with_group(rows, scratch(_invert(estimates, factor)))
     x = [F.col(f"x{i}") - F.col("mean")[i] for i in range(_D)]
     d2 = sum((F.col("inv")[k] * x[i] * x[j] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)), F.lit(0.0))
     return joined.select(*rows.columns, d2.alias("d2"))
@@ -185,12 +200,12 @@ def estimates(rows: DataFrame) -> DataFrame:
     """``g, n, mean, cov`` of each group by MCD; ``rows`` has ``g`` and x0.. and no failed rows."""
     now, factor = _start(rows), 1.0
     for _ in range(STEPS):
-        far = _distances(rows, scratch(now), factor)
+        far = _distances(rows, now, factor)
         log = F.log(F.col("d2") + 1e-6)
         bound = _quantiles(far, log, [SUPPORT], 1 / 64, ["bound"])
-        now = _moments(far.join(bound, "g").where(log <= F.col("bound")))
+        now = _moments(_with_group(far, scratch(bound)).where(log <= F.col("bound")))
         factor = _consistency(SUPPORT)
-    far = _distances(rows, scratch(now), factor)
+    far = _distances(rows, now, factor)
     return scratch(_moments(far.where(F.col("d2") <= chi2_quantile(0.975, _D))))
 
 
@@ -210,7 +225,7 @@ def judge(docs: DataFrame) -> DataFrame:
     small = fit.groupBy("g").count().where(F.col("count") >= MIN_GROUP).select("g", F.lit(True).alias("own"))
     own = fit.join(small, "g", "left_semi")
     found = estimates(own.unionByName(fit.withColumn("g", F.lit("\x00"))))
-    known = rows.join(found.select("g", F.lit(True).alias("own")), "g", "left").withColumn("g", F.when(F.col("own"), F.col("g")).otherwise(F.lit("\x00"))).drop("own")
+    known = _with_group(rows, found.select("g", F.lit(True).alias("own")), "left").withColumn("g", F.when(F.col("own"), F.col("g")).otherwise(F.lit("\x00"))).drop("own")
     far = _distances(known.where(~F.col("base_failed")), found, _consistency(0.975))
     names = ["doc_id", *COUNTS, "base_failed"]
     return far.select(*names, (F.col("d2") <= FAR * FAR).alias("kept"), "d2").unionByName(known.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2")))

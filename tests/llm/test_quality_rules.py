@@ -63,7 +63,9 @@ def test_estimates_withstand_outliers(spark):
     assert np.allclose(found["b"].mean, -3, atol=0.15)
 
 
-def test_query(spark, tmp_path):
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_query(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(q, "MOST_SENT", most)
     rnd = random.Random(6)
     vocab = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(2, 8))) for _ in range(2000)]
     docs = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(20, 400))), "en", f"s{i % 3}") for i in range(900)]
