@@ -202,7 +202,7 @@ HOSTS = ["a.org", "c.org:8080"]
 OCC = """occ as (select event_id, event_type, images, list_transform(images, lambda x: case when event_id % 3 = 0 then 'title ' || regexp_extract(x, '(\\d)\\.jpg$', 1) else 'sp ' || event_type end) as captions, event_id::varchar as page_url from (
   select event_id, event_type, list_filter((['https://a.org/' || event_id || '/0.jpg', 'https://b.org/' || event_id || '/1.jpg', 'https://a.org/' || event_id || '/2.jpg', 'https://c.org:8080/' || event_id || '/3.jpg'])[1:event_id % 5], lambda x: not contains(x, 'b.org')) as images from events) where len(images) > 0)"""
 query("s23_occurrences", f"with {OCC} select event_id, event_type, 0 as pos, images, captions, page_url from occ")(lambda s, d: ingest.occurrences(_occurrences(s, d), HOSTS))
-query("f06_media_hosts", f"with {OCC} select sum(len(images)) as n from occ")(lambda s, d: ingest.occurrences(_occurrences(s, d), HOSTS).agg(F.sum(F.size("images")).alias("n")))
+query("f06_media_hosts", f"with {OCC} select sum(len(images))::bigint as n from occ")(lambda s, d: ingest.occurrences(_occurrences(s, d), HOSTS).agg(F.sum(F.size("images")).alias("n")))
 query("s24_decode_errors", "select vec_id, vec_id % 9 = 0 as error from embeddings")(lambda s, d: grids(s, d).select("vec_id", F.when(col("vec_id") % 9 == 0, F.array().cast("array<double>")).otherwise(col("px")).alias("px")).select("vec_id", (F.size("px") == 0).alias("error")))
 
 
