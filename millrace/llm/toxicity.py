@@ -26,7 +26,7 @@ MOST_ROWS = 16_000
 EPOCHS = 3
 THRESHOLD = 0.3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
-_STEP = 1 << 21
+_STEP = 1 << 19
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
