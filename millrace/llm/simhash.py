@@ -257,8 +257,8 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     Rows without words are a group of their own. All columns stay.
     """
     first = near_duplicates(docs, shingle).groupBy("root").agg(F.min(F.struct("doc", "th")).alias("k")).selectExpr("k.doc as _doc", "k.th as _th")
-    rows = docs.withColumns({"_doc": doc_key(), "_th": F.xxhash64("text")})
-    return rows.join(first, ["_doc", "_th"], "left_semi").dropDuplicates(["_doc", "_th"]).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), doc_key().alias("_doc"), F.xxhash64("text").alias("_th"))
+    return rows.join(first, ["_doc", "_th"], "left_semi").dropDuplicates(["_doc", "_th"]).select("_row.*")
 
 
 def op6_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -173,8 +173,8 @@ def train_on_labels(docs: DataFrame, labels: DataFrame) -> Model:
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with their columns."""
-    scored = score(docs.withColumnRenamed("score", "_score"), model)
-    return scored.where(F.col("score") < threshold).drop("score").withColumnRenamed("_score", "score").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_all"), "text")
+    return score(rows, model).where(F.col("score") < threshold).select("_all.*")
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:

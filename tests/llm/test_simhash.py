@@ -111,5 +111,7 @@ def test_edges(spark):
     assert near_duplicates(empty).collect() == [] and keep_one_of_each(empty).collect() == []
     df = spark.createDataFrame([(None, "a b c d", 1), (None, "x y z", 2), (5, "a b c d", 3), (5, "a b c d", 3), (7, "q", 4)], "doc_id long, text string, root long")
     assert sorted(r.root for r in keep_one_of_each(df).collect()) == [1, 2, 4]
+    clash = df.withColumnsRenamed({"root": "_doc"}).selectExpr("*", "'x' as _th", "'y' as fp", "1 as doc")
+    assert sorted(r._doc for r in keep_one_of_each(clash).collect()) == [1, 2, 4] and keep_one_of_each(clash).columns == clash.columns
     copies = spark.createDataFrame([(5, "a b c d")] * 3, "doc_id long, text string")
     assert keep_one_of_each(copies).count() == 1

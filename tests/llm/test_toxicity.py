@@ -77,7 +77,7 @@ def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, toxic int")
     model = tx.train_on_labels(empty, empty)
     assert tx.score(empty, model).collect() == []
-    df = spark.createDataFrame([(None, None, 1, [1]), (2, "a", 2, None), (2, "a", 2, None)], "doc_id long, text string, score int, x array<int>")
+    df = spark.createDataFrame([(None, None, 1, [1]), (2, "a", 2, None), (2, "a", 2, None)], "doc_id long, text string, score int, x array<int>").selectExpr("*", "'r' as _row", "5 as _score")
     rows = tx.drop_toxic(df, model).collect()
     assert len(rows) == 3 and sorted(r.score for r in rows) == [1, 2, 2]  # the column of that name stays
     labels = spark.createDataFrame([(None, 1), (2, None), (2, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
