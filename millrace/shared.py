@@ -5,20 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written once and read again: its lineage is cut, and what it does is done once.
-
-    The folder is that of ``spark.checkpoint.dir``; a session without it (a
-    local test) gets a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a session without it (a local test) gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read again: its lineage is cut, and what it does is done once."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-from millrace.plans import core, relational  # noqa: F401
+from millrace.plans import core, relational, streams  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
