@@ -237,17 +237,30 @@ def links(prints: DataFrame) -> DataFrame:
     return small.unionAll(large)
 
 
+def _groups(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fingerprints of all rows; each distinct one with its ``root``; each root's first row (``component_id``, ``k``).
+
+    Copies are summed up by fingerprint before anything is joined, so that what
+    is dealt out by root are distinct fingerprints only.
+    """
+    prints = scratch(fingerprints(docs, shingle))
+    distinct = scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc", "th")).alias("k")))
+    roots = connected_components(links(distinct.select("fp")))
+    rooted = scratch(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "k"))
+    return prints, rooted, rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.min("k").alias("k"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, doc, th, fp, root``: fingerprints linked at three or fewer bits.
+    """``doc_id, doc, th, fp, component_id``: fingerprints linked at three or fewer bits.
 
     Words are lower-cased in A-Z; a text of fewer than ``shingle`` words is one
     shingle, one of none (or null) has fingerprint zero and is linked like any
-    other. ``root`` names the component. Repeated rows stay.
+    other. ``component_id`` is the smallest id that can be reached (null if the
+    group has only null ids). Repeated rows stay.
     """
-    prints = scratch(fingerprints(docs, shingle))
-    roots = connected_components(links(prints.select("fp").distinct()))
-    # Copies share a fingerprint: the join's hot keys are split by adaptive execution.
-    return prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").selectExpr("doc_id", "doc", "th", "fp", "coalesce(root, fp) as root")
+    prints, rooted, groups = _groups(docs, shingle)
+    named = scratch(rooted.join(scratch(groups), "root").select("fp", "component_id"))
+    return prints.join(named, "fp").select("doc_id", "doc", "th", "fp", "component_id")  # copies: a join whose hot keys can be split
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -256,12 +269,11 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     First is the smallest id (null ids before all), and of repeated rows one.
     Rows without words are a group of their own. All columns stay.
     """
-    first = near_duplicates(docs, shingle).groupBy("root").agg(F.min(F.struct("doc", "th")).alias("k")).selectExpr("k.doc as _doc", "k.th as _th")
+    first = _groups(docs, shingle)[2].selectExpr("k.doc as _doc", "k.th as _th")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), doc_key().alias("_doc"), F.xxhash64("text").alias("_th"))
     return rows.join(first, ["_doc", "_th"], "left_semi").dropDuplicates(["_doc", "_th"]).select("_row.*")
 
 
 def op6_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    first = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return found.join(first, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
