@@ -64,8 +64,20 @@ def doc_key(col: str = "doc_id") -> Column:
     return F.coalesce(F.col(col).cast("long"), F.lit(_MIN_LONG))
 
 
+def hash_cut(rows: DataFrame, hashed: Column, most: int) -> int:
+    """The ``most``-th smallest hash of ``rows`` (of the rest, if there are fewer).
+
+    Rows that can't be among the smallest are left out first, by their number,
+    so that about twice ``most`` hashes meet however many partitions there are.
+    """
+    n = rows.count()
+    high = 2**63 - 1 if n <= 2 * most else int(2**64 * (2 * most / n)) - 2**63
+    cut = rows.select(hashed.alias("h")).where(F.col("h") <= high).orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    return high if cut is None else cut
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["doc_key", "partitions", "release", "scratch", "shared_dir", "table"]
+__all__ = ["doc_key", "hash_cut", "partitions", "release", "scratch", "shared_dir", "table"]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import hash_cut, table
 from .quality_rules import counts_of
 from .textscan import Words, buffers, mix, pieces, scan
 
@@ -216,8 +216,7 @@ def label_model(docs: DataFrame) -> LabelModel:
 def scorer(docs: DataFrame, model: LabelModel, most_rows: int = MOST_ROWS) -> Scorer:
     """Learn from the posterior labels of ``most_rows`` rows at most, which meet in one task."""
     hashed = F.xxhash64("doc_id", F.char_length("text"))
-    cut = docs.select(hashed.alias("h")).orderBy("h").limit(most_rows).agg(F.max("h")).first()[0]
-    sample = docs.where(hashed <= F.lit(cut if cut is not None else 0)).select(hashed.alias("h"), F.col("text").cast("string").alias("text"))
+    sample = docs.where(hashed <= F.lit(hash_cut(docs, hashed, most_rows))).select(hashed.alias("h"), F.col("text").cast("string").alias("text"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -235,11 +234,11 @@ def scorer(docs: DataFrame, model: LabelModel, most_rows: int = MOST_ROWS) -> Sc
         index = np.flatnonzero(s.weight)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *index.tolist()], pa.int32()), pa.array([s.bias, *s.weight[index].tolist()], pa.float64())], ["index", "weight"])
 
-    got = sample.repartition(1).mapInArrow(fit, "index int, weight double").toPandas()
+    got = sample.limit(most_rows).mapInArrow(fit, "index int, weight double").toPandas()
     w = np.zeros(1 << BITS, dtype=np.float32)
     rest = got[got["index"] >= 0]
     w[rest["index"].to_numpy()] = rest["weight"].to_numpy()
-    return Scorer(w, float(got["weight"][got["index"] < 0].iloc[0]))
+    return Scorer(w, float(got["weight"][got["index"] < 0].sum()))  # no rows, no bias
 
 
 def classify(docs: DataFrame, model: LabelModel, linear: Scorer) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch, table
+from .common import hash_cut, table
 from .textscan import Words, buffers, mix, pieces, scan
 
 BITS = 20
@@ -98,8 +98,7 @@ def train(labelled: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     which the bound keeps small, and the weights come to the driver.
     """
     sample = labelled.where("label is not null")
-    cut = sample.select(F.xxhash64("key").alias("h")).orderBy("h").limit(most_rows).agg(F.max("h")).first()[0]
-    sample = sample.where(F.xxhash64("key") <= F.lit(cut if cut is not None else 0)).select("key", "text", "label")
+    sample = sample.where(F.xxhash64("key") <= F.lit(hash_cut(sample, F.xxhash64("key"), most_rows))).select("key", "text", "label").limit(most_rows)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -116,7 +115,7 @@ def train(labelled: DataFrame, most_rows: int = MOST_ROWS) -> Model:
         model = train_rows([x[2] for x in found], np.array([x[1] for x in found], dtype=np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([None, *model.index.tolist()], pa.int32()), pa.array([model.bias, *model.weight.tolist()], pa.float64())], ["index", "weight"])
 
-    found = sample.repartition(1).mapInArrow(fit, "index int, weight double").toPandas()
+    found = sample.mapInArrow(fit, "index int, weight double").toPandas()
     bias = found["index"].isna()
     rest = found[~bias]
     return Model(rest["index"].to_numpy(dtype=np.int64), rest["weight"].to_numpy(dtype=np.float32), float(found["weight"][bias].iloc[0]) if bias.any() else -7.0)
@@ -166,9 +165,9 @@ def train_on_labels(docs: DataFrame, labels: DataFrame) -> Model:
     """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max(F.col("toxic").cast("int")).alias("label"))
-    marks = scratch(marks.withColumn("h", F.xxhash64("key")).orderBy("h").limit(MOST_ROWS).select("key", "label"))
+    marks = marks.where(F.xxhash64("key") <= F.lit(hash_cut(marks, F.xxhash64("key"), MOST_ROWS))).limit(MOST_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("key"), "text")
-    return train(texts.join(F.broadcast(marks), "key"), MOST_ROWS)  # MOST_ROWS rows of 12 bytes
+    return train(texts.join(F.broadcast(marks), "key"), MOST_ROWS)  # at most MOST_ROWS rows of 12 bytes
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
