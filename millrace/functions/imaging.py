@@ -9,6 +9,7 @@ on a narrow table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,11 +24,12 @@ lit = F.lit
 
 
 def bits(values: Column, limit: Column) -> Column:
-    """A 64-bit number (as signed long) with bit i set where value i is ``limit`` or more."""
-    return F.aggregate(
-        F.sequence(lit(0), F.size(values) - 1), lit(0).cast("long"),
-        lambda acc, i: acc.bitwiseOR(F.when(values[i] >= limit, F.expr("1L")).otherwise(F.expr("0L")) * F.call_function("shiftleft", F.expr("1L"), i)),
-    )
+    """A 64-bit number (as signed long) with bit i set where value i of 64 is ``limit`` or more.
+
+    Unrolled, so that it is compiled; the limit is one common subexpression.
+    """
+    one = [F.when(values[i] >= limit, F.lit(1 << i if i < 63 else -(2**63)).cast("long")).otherwise(F.lit(0).cast("long")) for i in range(64)]
+    return reduce(lambda a, b: a.bitwiseOR(b), one)
 
 
 def mean(values: Column) -> Column:

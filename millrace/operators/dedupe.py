@@ -88,7 +88,7 @@ def greedy_keep(pairs: DataFrame, nodes: DataFrame, scope: str = "scope", most_r
 
 def near_duplicates(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     """``rows`` (scope, rank_key, hash) that the greedy pass keeps; equal hashes first give way to the least."""
-    first = rows.groupBy(scope, "hash").agg(F.min("rank_key").alias("rank_key"))
+    first = written(rows.groupBy(scope, "hash").agg(F.min("rank_key").alias("rank_key")))
     kept = greedy_keep(near_pairs(first, most, scope), first.select(scope, "rank_key"), scope)
     return rows.join(kept, [scope, "rank_key"], "left_semi")
 
