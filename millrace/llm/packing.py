@@ -40,6 +40,9 @@ PIECES = T.StructType(
 )
 
 
+_IDS = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+
+
 class Encoder:
     """Ids of the byte-level BPE in ``json_path``.
 
@@ -90,23 +93,26 @@ def cut_lengths(n: int, capacity: int) -> list[int]:
     return ([head] if head else []) + [capacity] * (n // capacity)
 
 
-def tokenised_pieces(docs: DataFrame, vocabulary: tuple, capacity: int = CAPACITY) -> DataFrame:
-    """A row for each piece, without the ids themselves."""
+def tokenised_pieces(docs: DataFrame, vocabulary: tuple, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """A row for each piece; the ids themselves (``ids``) only on demand."""
+    schema = T.StructType([*PIECES.fields, *_IDS]) if with_ids else PIECES
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(*vocabulary)
         for b in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in schema.names]
             for doc, row_hash, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1), strict=True):
                 ids = enc(text.as_py() or "")
                 raw, start = memoryview(np.array([*ids, END_ID], dtype="<u4").tobytes()), 0
                 for k, n in enumerate(cut_lengths(len(ids) + 1, capacity)):
-                    for col, v in zip(out, (doc, k, start, n, zlib.crc32(raw[4 * start : 4 * (start + n)]), row_hash), strict=True):
+                    own = raw[4 * start : 4 * (start + n)]
+                    for col, v in zip(out, (doc, k, start, n, zlib.crc32(own), row_hash, np.frombuffer(own, "<i4") if with_ids else None), strict=False):
                         col.append(v)
                     start += n
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], PIECES.names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=False)], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("row_hash")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("row_hash")).mapInArrow(run, schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -156,11 +162,11 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return runs
 
 
-def pack(docs: DataFrame, vocabulary: tuple | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: tuple | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pack every document of ``docs`` (doc_id, text) into sequences.
 
     Returns a row for each piece: doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset. Null text counts as empty (one end id); null ids are
+    sequence_id, offset, and ``ids`` on demand. Null text counts as empty (one end id); null ids are
     kept; repeated rows are packed as often as they occur; an empty table gives
     no rows; further columns are ignored.
 
@@ -170,7 +176,7 @@ def pack(docs: DataFrame, vocabulary: tuple | None = None, capacity: int = CAPAC
     rest.
     """
     vocabulary = vocabulary or default_vocabulary()
-    found = scratch(tokenised_pieces(docs, vocabulary, capacity))
+    found = scratch(tokenised_pieces(docs, vocabulary, capacity, with_ids))
     return place(found, capacity)
 
 
@@ -206,14 +212,21 @@ def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 inner = rank[rows] - first[k]
                 seq[rows] = sequence[k] + inner // per[k]
                 offset[rows] = room[k] + inner % per[k] * n
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(seq), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(seq), pa.array(offset), *b.columns[6:]], schema.names)
+
+    ids = [f for f in _IDS if f.name in found.columns]
+    schema = T.StructType([*PIECES.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), *ids])
+    return ranked.select(*PIECES.names[:5], "_rank", *[f.name for f in ids]).mapInArrow(slots, schema)
+
 
-    schema = T.StructType([*PIECES.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.select(*PIECES.names[:5], "_rank").mapInArrow(slots, schema)
+def sequences(packed: DataFrame) -> DataFrame:
+    """``sequence_id, ids`` of pieces packed with their ids: what a trainer reads, at most ``capacity`` ids each."""
+    parts = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
+    return parts.select("sequence_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"))
 
 
 def op10_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-__all__ = ["CAPACITY", "Encoder", "cut_lengths", "op10_best_fit_packing", "pack", "place", "plan"]
+__all__ = ["CAPACITY", "Encoder", "cut_lengths", "op10_best_fit_packing", "pack", "place", "plan", "sequences"]

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.packing import Encoder, cut_lengths, default_vocabulary, pack, plan
+from millrace.llm.packing import Encoder, cut_lengths, default_vocabulary, pack, plan, sequences
 
 
 def best_fit(lengths, capacity):
@@ -94,3 +94,16 @@ def test_pack_edges(spark):
 def test_first_piece_is_the_short_one(n):
     cuts = cut_lengths(n, 2048)
     assert sum(cuts) == n and all(x == 2048 for x in cuts[1:]) and 0 < cuts[0] <= 2048
+
+
+def test_sequences_hold_the_documents(spark):
+    docs = [(i, f"document {i} " * (i % 13)) for i in range(40)] + [(40, None), (41, "long " * 300)]
+    packed = pack(spark.createDataFrame(docs, "doc_id long, text string"), capacity=64, with_ids=True).cache()
+    enc = Encoder(default_vocabulary()[0])
+    rows = {r.sequence_id: r.ids for r in sequences(packed).collect()}
+    assert all(0 < len(x) <= 64 for x in rows.values())
+    for d, t in docs:
+        got = []
+        for p in sorted((p for p in packed.collect() if p.doc_id == d), key=lambda p: p.piece):
+            got += rows[p.sequence_id][p.offset : p.offset + p.length]
+        assert got == [*enc(t or ""), 0]
