@@ -30,10 +30,15 @@ def first_n(rows: DataFrame, n: Column, by: list[str], order: list[str]) -> Data
 
 
 def cap_images(rows: DataFrame, cap: int, by: list[str], order: list[str], images: str = "images") -> DataFrame:
-    """Rows until their images reach ``cap`` in a group; the last row's list is cut."""
+    """Rows until their images reach ``cap`` in a group; the last row's list is cut.
+
+    Each row has an image at least, so no more than the first ``cap`` rows of a
+    group are shuffled to its task.
+    """
+    rows = first_n(rows.where(F.size(images) > 0), lit(cap), by, order)
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.size(images)).over(w), lit(0))
-    return rows.withColumn("_before", before).where((col("_before") < cap) & (F.size(images) > 0)).withColumn(images, F.slice(images, lit(1), (lit(cap) - col("_before")).cast("int"))).drop("_before")
+    return rows.withColumn("_before", before).where(col("_before") < cap).withColumn(images, F.slice(images, lit(1), (lit(cap) - col("_before")).cast("int"))).drop("_before")
 
 
 def allowed_url(url: Column, allow: list[str], deny: list[str]) -> Column:

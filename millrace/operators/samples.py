@@ -29,15 +29,19 @@ def canonical_class(files: DataFrame, names: DataFrame, column: str = "class_raw
 def with_split(files: DataFrame, group: str = "dir", key: str = "path", seed: int = 42, ratios: tuple[float, float, float] = RATIOS) -> DataFrame:
     """``split``: of each group the first floor(n * train) and floor(n * val) rows in hashed order, then test.
 
-    The one shuffle of the flagship. Groups are class folders; ranks and counts
-    come from the same partitioning.
+    Groups are class folders, one of which may hold a third of all rows. A row's
+    rank is its place among the rows of its group whose hash begins with the
+    same two digits, and the number of rows in cells before that; so a group is
+    dealt out to 256 cells, and the rows are shuffled once.
     """
     check_ratios(ratios)
-    w = Window.partitionBy(group)
-    rank = F.row_number().over(w.orderBy(F.md5(F.concat(lit(f"{seed}:"), col(key))), key))
-    n = F.count(lit(1)).over(w)
-    train, val = (F.floor(n * lit(r).cast("double")) for r in ratios[:2])
-    return files.withColumn("split", F.when(rank <= train, "train").when(rank <= train + val, "val").otherwise("test"))
+    rows = files.withColumns({"_g": F.coalesce(group, lit("")), "_h": F.md5(F.concat(lit(f"{seed}:"), col(key)))}).withColumn("_b", F.substring("_h", 1, 2))
+    cells = rows.groupBy("_g", "_b").agg(F.count(lit(1)).alias("n"))
+    cells = cells.selectExpr("_g", "_b", "coalesce(sum(n) over (partition by _g order by _b rows between unbounded preceding and 1 preceding), 0) as _before", "sum(n) over (partition by _g) as _n")
+    ranked = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_h", key))).join(cells, ["_g", "_b"])
+    rank = col("_at") + col("_before")
+    train, val = (F.floor(col("_n") * lit(r).cast("double")) for r in ratios[:2])
+    return ranked.select(*files.columns, F.when(rank <= train, "train").when(rank <= train + val, "val").otherwise("test").alias("split"))
 
 
 def _sample(task: str, lang: str, text: Column, answer: Column | None = None) -> Column:

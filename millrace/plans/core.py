@@ -52,7 +52,7 @@ def text_list(values) -> str:
 
 def rows_of(name: str, mapping: dict[str, str], a: str, b: str) -> str:
     """A CTE with the rows of a mapping."""
-    return f"{name}({a}, {b}) as (values " + ", ".join(f"('{k}', '{v}')".replace("''", "'") for k, v in mapping.items()) + ")"
+    return f"{name}({a}, {b}) as (values " + ", ".join(f"('{k}', '{v}')" for k, v in mapping.items()) + ")"
 
 
 EXT = "lower(regexp_extract(name, '.(\\.[^.]*)$', 1))"
