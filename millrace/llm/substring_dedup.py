@@ -28,7 +28,7 @@ MGRAM = 3
 #: Windows in one packed string at most; longer runs (a word repeated over and over) are cut.
 LONGEST = 64
 #: A minimiser of more packed strings than this, and than 1/HOT_KEYS of all, is dealt out by window.
-HOT_ROWS = 5_000
+HOT_ROWS = 2_000
 HOT_KEYS = 200_000
 _STEP = 1 << 21  # bytes of text that numpy handles at once
 _SEEN = 100_000
