@@ -40,10 +40,14 @@ def exact_duplicates(rows: DataFrame, scope: str = "root", order: str = "path")
 
 
 def _bands(hash_col: Column, most: int) -> Column:
-    """Bits in ``most + 1`` bands: rows within ``most`` bits share one of them."""
+    """Bits in ``most + 1`` bands: rows within ``most`` bits share one of them.
+
+    A band has every ``most + 1``-th bit, so that bits which are alike in all
+    rows (the upper ones of short hashes) don't make up a band.
+    """
     n = most + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    return F.array(*[F.struct(lit(i).alias("band"), F.shiftrightunsigned(hash_col, a).bitwiseAND(lit((1 << (b - a)) - 1 if b - a < 64 else -1)).alias("bits")) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))])
+    masks = [sum(1 << j for j in range(i, 64, n)) for i in range(n)]
+    return F.array(*[F.struct(lit(i).alias("band"), hash_col.bitwiseAND(lit(m - (1 << 64) if m >> 63 else m).cast("long")).alias("bits")) for i, m in enumerate(masks)])
 
 
 def near_pairs(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:

@@ -74,7 +74,7 @@ def _ranked(spark, d):
 PAIRS = f"{GRIDS}, {HASHED}, pairs as (select a.label as scope, a.vec_id as a, b.vec_id as b from hashed a join hashed b on a.label = b.label and a.vec_id < b.vec_id and bit_count(xor(a.hash, b.hash)) <= 22)"
 query("j08_near_pairs", f"with {PAIRS} select * from pairs")(lambda s, d: dedupe.near_pairs(_ranked(s, d), 22))
 query("j08_near_pairs_by_bands", "with h as (select event_id as rank_key, (user_id % 3)::int as scope, (event_id * 2654435761) % 1048576 as hash from events where event_id < 4000) select a.scope, a.rank_key as a, b.rank_key as b from h a join h b on a.scope = b.scope and a.rank_key < b.rank_key and bit_count(xor(a.hash, b.hash)) <= 1")(
-    lambda s, d: dedupe.near_pairs(table(s, d, "events").where("event_id < 4000").select(col("event_id").alias("rank_key"), (col("user_id") % 3).cast("int").alias("scope"), ((col("event_id") * 2654435761) % 1048576).alias("hash")), 1)
+    lambda s, d: dedupe.near_pairs(table(s, d, "events").select(col("event_id").alias("rank_key"), (col("user_id") % 3).cast("int").alias("scope"), ((col("event_id") * 2654435761) % 1048576).alias("hash")), 1)
 )
 query("j08_greedy_keep", f"""with recursive {GRIDS}, {HASHED}, h as (select label, vec_id, hash, row_number() over (partition by label order by vec_id) as k from (select label, hash, min(vec_id) as vec_id from hashed group by label, hash)),
   kept(label, k, hashes, ids) as (
