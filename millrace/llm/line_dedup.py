@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, scratch, table
 
-#: Shorter lines (in code points) always stay.
-MIN_CHARS = 20
+#: Shorter lines (in code points) always stay: empty ones, which part paragraphs.
+MIN_CHARS = 1
 
 
 def _keys(line: Column, n: Column, shorter: Column, blocks: Column) -> Column:
@@ -88,7 +88,7 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     # Blocks of about sqrt(length): classes that agree in all but one of them.
     n = F.char_length("line")
-    sized = lines.withColumn("n", n).withColumn("shorter", F.explode(F.array(n, n - 1)))
+    sized = lines.withColumn("n", n).withColumn("shorter", F.explode(F.array(n, n - 1))).where("shorter > 0")
     blocks = sized.select("h1", "lead", (F.col("n") - F.col("shorter")).alias("longer"), F.inline(_keys(F.col("line"), F.col("n"), F.col("shorter"), F.ceil(F.sqrt("shorter")))))
     close = _shared(blocks, ["h1", "lead", "longer", "mid"])
 
