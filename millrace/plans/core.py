@@ -143,7 +143,7 @@ query("s17_keywords_with_comments", f"select trim(value) as keyword from ({LINES
 def _sites(spark, d):
     t = F.element_at(F.array(*map(lit, ["html", "api", "commons", "gbif", "ftp"])), (col("s_suppkey") % 5 + 1).cast("int"))
     one = F.struct(col("s_name").alias("name"), t.alias("type"), F.when(col("s_suppkey") % 7 == 0, False).when(col("s_suppkey") % 2 == 0, True).alias("enabled"), (col("s_suppkey") % 3).cast("int").alias("max_pages"))
-    return S.sites(table(spark, d, "supplier").where("s_suppkey <= 40").select(F.to_json(F.array(one)).alias("value")))
+    return S.sites(table(spark, d, "supplier").select(F.to_json(F.array(one)).alias("value")))
 
 
 SITES = "sites as (select s_name as name, (['html', 'api', 'commons', 'gbif', 'ftp'])[s_suppkey % 5 + 1] as type, case when s_suppkey % 7 = 0 then false when s_suppkey % 2 = 0 then true end as enabled, (s_suppkey % 3)::int as max_pages from supplier where s_suppkey <= 40)"

@@ -27,3 +27,22 @@ def test_bands_share_one(spark):
     # Short hashes: no band is the same in all rows.
     short = spark.range(1024).withColumn("x", dedupe._bands(dedupe.col("id"), 1))
     assert short.selectExpr("count(distinct x[0].bits) as p", "count(distinct x[1].bits) as q").first()[:] == (32, 32)
+
+
+def test_sites_of_all_suppliers(spark, tmp_path):
+    keys = [1, 7, 14, 39, 40, 41, 42, 43, 44, 45, 49, 1000, 123_456]
+    spark.createDataFrame([(k, f"S{k}") for k in keys], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey long, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    kind = lambda k: ["html", "api", "commons", "gbif", "ftp"][k % 5]
+    on = [k for k in keys if k % 7 and kind(k) != "ftp"]
+    pages = {(f"S{k}", p) for k in on for p in range(1, max(1, k % 3) + 1)}
+
+    def rows(name):
+        got = [tuple(r) for r in core.QUERIES[name](spark, str(tmp_path)).collect()]
+        assert len(got) == len(set(got))
+        return set(got)
+
+    assert rows("s18_sites") == {(f"S{k}", kind(k), False if k % 7 == 0 else True if k % 2 == 0 else None, k % 3) for k in keys}
+    assert rows("f07_enabled_sites") == {(f"S{k}", kind(k)) for k in on}
+    assert rows("j09_keyword_sites_pages") == {(n, s, p) for n in "AB" for s, p in pages}
+    assert rows("w08_page_offsets") == {(s, p, (p - 1) * 35) for s, p in pages}
