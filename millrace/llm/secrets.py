@@ -1,10 +1,10 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
 A candidate is a run of token characters, long and mixed enough to be a
-credential. The forest looks at its length, characters and their transitions,
+credential, or whatever is assigned to a secret's name. The forest looks at its length, characters and their transitions,
 how much of it dictionary words cover, whether it is part of a path, and the
 words beside it. It is trained from labelled findings; without any given, from
-generated ones (:func:`generated_findings`).
+generated ones (:func:`generated_findings`, :func:`generated_assignments`).
 """
 
 from __future__ import annotations
@@ -62,6 +62,9 @@ ASKS = re.compile(r"(?i)(token|secret|passw|pwd|api[_ -]?key|access[_ -]?key|aut
 TELLS = re.compile(r"(?i)(sha-?\d|commit|md5|checksum|digest|revision|integrity|uuid|guid|etag|version|build|trace|request[_ -]?id|example|dummy|sample|placeholder|fixture|phone|card|isbn|order|invoice)")
 #: How issuers begin their keys.
 PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|rk_live_|pk_live_|xox[abpr]-|AIza|eyJ|npm_|pypi-|SG\.|hf_)")
+#: A secret's name up to the sign of an assignment, and the value after it (a scheme of HTTP isn't one).
+_NAMED = re.compile(ASKS.pattern.encode() + rb"[\w.\-]*[\"'`\])]*[ \t]*$")
+_VALUE = re.compile(rb"[=:>]*[ \t]*(?:(?i:bearer|basic)[ \t]+)?(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|[\"'`]?([^\s\"'`]+))")
 _UUID = re.compile(r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
 _COVER = re.compile("|".join(sorted(WORDS, key=lambda w: (-len(w), w))))
 _VOWELS = frozenset("aeiouy")
@@ -85,12 +88,22 @@ def candidates(off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
     A run of token characters of MIN_CHARS or more, without dots, dashes or
     equals signs at its beginning or dots at its end, that has a digit or
-    changes between upper and lower case at least three times.
+    changes between upper and lower case at least three times; equals signs
+    within a run part it. Besides, each value assigned to a secret's name. In
+    order of the first byte, then the longer one first; they may be nested.
     """
     n = len(raw)
     tok = _TOKEN[raw]
     edge = np.zeros(n + 1, dtype=bool)
     edge[off] = True
+    equals = raw == ord("=")
+    last = np.flatnonzero(equals[:-1] & tok[1:] & ~equals[1:] & ~edge[1:n])  # an equals sign within a run parts it
+    for i in last.tolist():
+        while i >= 0 and equals[i]:
+            tok[i] = False
+            if edge[i]:
+                break
+            i -= 1
     begin = np.flatnonzero(tok & (np.concatenate([[True], ~tok[:-1]]) | edge[:n]))
     end = np.flatnonzero(tok & (np.concatenate([~tok[1:], [True]]) | edge[1:])) + 1
     long = end - begin >= MIN_CHARS
@@ -106,10 +119,32 @@ def candidates(off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray
             kind = _KIND[raw[i:j]]
             letters = kind[(kind == 1) | (kind == 2)]
             keep[k] = bool((kind == 0).any()) or int((np.diff(letters.astype(np.int8)) != 0).sum()) >= 3
-    begin, end = begin[keep], end[keep]
+    spans = sorted({*zip(begin[keep].tolist(), end[keep].tolist(), strict=True), *_assigned(off, raw)}, key=lambda s: (s[0], -s[1]))
+    begin, end = np.array(spans, dtype=np.int64).reshape(-1, 2).T
     return np.searchsorted(off, begin, "right") - 1, begin, end
 
 
+def _assigned(off: np.ndarray, raw: np.ndarray) -> list[tuple[int, int]]:
+    """First and last byte (exclusive) of each value assigned to a secret's name, of any length and characters."""
+    data, out = raw.tobytes(), []
+    signs = np.flatnonzero((raw == ord("=")) | (raw == ord(":")))
+    rows = np.searchsorted(off, signs, "right") - 1
+    for p, first, stop in zip(signs.tolist(), off[rows].tolist(), off[rows + 1].tolist(), strict=True):
+        if not _NAMED.search(data[max(first, p - LEFT) : p]):
+            continue
+        m = _VALUE.match(data, p + 1, stop)
+        if m:
+            i, j = m.span(m.lastindex)
+            if m.lastindex == 4:  # without quotes: up to what ends a sentence, a list or a parameter of a URL
+                j = i + len(data[i:j].rstrip(b".,;)]}>"))
+                name = max(data.rfind(b"?", first, p), data.rfind(b"&", first, p))
+                if name >= 0 and data[p : p + 1] == b"=" and not re.search(rb"[^\w.\-]", data[name + 1 : p]) and (amp := data.find(b"&", i, j)) >= 0:
+                    j = amp
+            if i < j:
+                out.append((i, j))
+    return out
+
+
 def _english_pairs() -> dict[str, float]:
     """Log shares of letter pairs in WORDS: the transitions of readable names."""
     c = Counter(a + b for w in WORDS for a, b in zip(w, w[1:], strict=False))
@@ -124,7 +159,7 @@ _RARE = min(_PAIRS.values())
 def features(token: str, left: str, right: str) -> list[float]:
     n = len(token)
     kind = _KIND[np.frombuffer(token.encode(), np.uint8)]
-    share = np.bincount(kind, minlength=4) / n
+    share = np.bincount(kind, minlength=4) / len(kind)
     count = Counter(token)
     low = token.lower()
     entropy = -sum(v / n * math.log2(v / n) for v in count.values())
@@ -134,7 +169,7 @@ def features(token: str, left: str, right: str) -> list[float]:
     covered = sum(len(m) for m in _COVER.findall(low)) / n
     before = left.rstrip()
     return [
-        math.log(n), *share.tolist(), float((np.diff(kind.astype(np.int8)) != 0).mean()), entropy, len(count) / min(n, 64), max(count.values()) / n,
+        math.log(n), *share.tolist(), float((np.diff(kind.astype(np.int8)) != 0).mean()) if len(kind) > 1 else 0.0, entropy, len(count) / min(n, 64), max(count.values()) / n,
         float(all(c in "0123456789abcdef" for c in low)), float(token.isdigit()), float(bool(_UUID.match(token))), -sum(pairs) / max(1, len(pairs)), swaps, covered,
         float(token.count("/")), float(token.count(".")), float(left.endswith(("/", "\\", "://")) or right[:1] in ("/", "\\") or "://" in left[-12:]), float(bool(re.search(r"\.[a-z]{2,4}$", token))),
         float(bool(re.search(r"[=:]\s*[\"'`]?$", before + left[len(before):]))), float(left[-1:] in ("\"", "'", "`") and right[:1] == left[-1:]),
@@ -265,6 +300,49 @@ def generated_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, str, str
     return out
 
 
+def generated_assignments(n: int = 3000, seed: int = 6) -> list[tuple[str, str, str, int]]:
+    """Like :func:`generated_findings`, of values of any length and characters that are assigned to a secret's name."""
+    rnd = random.Random(seed)
+    syllables = ["an", "ti", "on", "er", "ha", "the", "re", "sh", "ou", "le", "qu", "men", "ción", "ber", "ö", "éa"]
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    ask = ["token", "api_key", "secret", "password", "API_TOKEN", "client_secret", "auth_token", "SECRET_KEY", "passwd", "pwd", "DB_PASSWORD", "credentials"]
+    swap = str.maketrans("aeiost", "43105+")
+
+    def word() -> str:
+        return rnd.choice(WORDS) if rnd.random() < 0.5 else "".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 4)))
+
+    def prose(k: int) -> str:
+        return " ".join(word() for _ in range(k))
+
+    def text(chars: str, a: int, b: int) -> str:
+        return "".join(rnd.choice(chars) for _ in range(rnd.randint(a, b)))
+
+    out = []
+    for _ in range(n):
+        quote = rnd.choice(['"', "'", "", "`"])
+        label, kind = int(rnd.random() < 0.5), rnd.randrange(6)
+        name = rnd.choice(ask)
+        if label:
+            value = (
+                text(alnum, 8, 20) if kind == 0 else text(alnum + "!@#$%^&*:" * 2, 8, 24) if kind == 1 else text("abcdefghijklmnopqrstuvwxyz", 12, 28) if kind == 2
+                else text("0123456789abcdef", 12, 32) if kind == 3 else word().capitalize().translate(swap) + rnd.choice("!@#$%^&*:") + word()[:4] + rnd.choice(["", "1", "!", str(rnd.randint(2, 99))]) if kind == 4
+                else text(alnum, 4, 10) + rnd.choice("!@#$%^&*:") + text(alnum, 4, 10)
+            )
+        else:
+            name = rnd.choice([*ask, "Author", "authors", "authority", "tokens", "slack"])
+            value = (
+                word() if kind == 0 else word().capitalize() + rnd.choice(["", "'s", "-" + word(), "_" + word()]) if kind == 1 else prose(rnd.randint(2, 8)) + rnd.choice(["", ".", "?", "!"]) if kind == 2
+                else rnd.choice(["${%s}", "$%s", "<%s>", "{{ %s }}", "%s()", "self.%s", "os.environ['%s']", "process.env.%s", "your_%s", "your-%s-here", "get_%s()", "%s"]) % rnd.choice([name, name.upper(), word()]) if kind == 3
+                else rnd.choice(["None", "null", "true", "false", "string", "str", "changeme", "********", "xxxxxxxx", "xxxxxxxxxxxx", "...", "required", "str, optional", "[]", "{}", "example", "password", "secret"]) if kind == 4
+                else str(rnd.randint(0, 99_999))
+            )
+            if " " in value and not quote:
+                value = value.split()[0]
+        left = (prose(rnd.randint(0, 5)) + rnd.choice([" ", "\n", "", "| "]) + name + rnd.choice([" = ", "=", ": ", " := ", '": '])) + quote
+        out.append((value, left[-LEFT:], (quote + rnd.choice([" ", "\n", "", ";", ", "]) + prose(2))[:RIGHT], label))
+    return out
+
+
 def train(findings: list[tuple[str, str, str, int]] | DataFrame | None = None) -> Forest:
     """A forest from labelled findings: rows of token, left, right, label.
 
@@ -273,7 +351,7 @@ def train(findings: list[tuple[str, str, str, int]] | DataFrame | None = None) -
     if isinstance(findings, DataFrame):
         rows = findings.where("token is not null and label is not null").select("token", F.coalesce("left", F.lit("")), F.coalesce("right", F.lit("")), F.col("label").cast("int"))
         findings = [tuple(r) for r in rows.orderBy(F.xxhash64("token"), "token").limit(MOST_FINDINGS).collect()]
-    findings = findings or generated_findings()
+    findings = findings or generated_findings() + generated_assignments()
     return train_forest(np.array([features(*f[:3]) for f in findings]), np.array([f[3] for f in findings], dtype=np.float64))
 
 
@@ -286,7 +364,13 @@ def _found(off: np.ndarray, raw: np.ndarray, forest: Forest) -> tuple[np.ndarray
         left = data[max(off[r], i - LEFT) : i].decode("utf-8", "ignore")
         tokens.append(token)
         x.append(features(token, left, data[j : min(off[r + 1], j + RIGHT)].decode("utf-8", "ignore")))
-    return row, begin, end, forest.score(np.array(x)) if x else np.empty(0), tokens
+    score = forest.score(np.array(x)) if x else np.empty(0)
+    keep, inside = [], 0
+    for k, (i, j) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):  # what is within a secret isn't one more
+        if i >= inside:
+            keep.append(k)
+            inside = j if score[k] >= THRESHOLD else inside
+    return row[keep], begin[keep], end[keep], score[keep], [tokens[k] for k in keep]
 
 
 def scan_documents(docs: DataFrame, forest: Forest) -> DataFrame:
@@ -302,7 +386,7 @@ def scan_documents(docs: DataFrame, forest: Forest) -> DataFrame:
             row, begin, end, score, tokens = _found(off, raw, shared.value)
             points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(row)), pa.array(points[begin] - points[off[row]]), pa.array((end - begin).astype(np.int32)), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in tokens], pa.string()), pa.array(score), pa.array(score >= THRESHOLD)],
+                [b.column(0).take(pa.array(row)), pa.array(points[begin] - points[off[row]]), pa.array((points[end] - points[begin]).astype(np.int32)), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in tokens], pa.string()), pa.array(score), pa.array(score >= THRESHOLD)],
                 SCHEMA.names,
             )
 
