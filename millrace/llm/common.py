@@ -33,14 +33,17 @@ def _delete(jvm, conf, path: str) -> None:
         pass
 
 
-def scratch(df: DataFrame) -> DataFrame:
+def scratch(df: DataFrame, few: int = 1) -> DataFrame:
     """``df`` written once to the shared folder and read again.
 
     Cuts the lineage in a place that survives lost executors. The files go
-    when the session ends.
+    when the session ends. ``few``: one task (and file) for so many shuffle
+    partitions, where the last stage is light and its result narrow.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}"
+    if few > 1:
+        df = df.coalesce(max(8, partitions(spark) // few))
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     sc = spark.sparkContext

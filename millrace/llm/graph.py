@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     written to the shared folder. Loops (``a = b``) keep a node with itself.
     """
     # child > parent on every row
-    now = scratch(edges.where("a <> b").selectExpr("greatest(a, b) as child", "least(a, b) as parent").distinct())
+    now = scratch(edges.where("a <> b").selectExpr("greatest(a, b) as child", "least(a, b) as parent").distinct(), few=8)
     mark = _mark(now)
     for _ in range(most_rounds):
         if mark[0] == 0:
@@ -30,7 +30,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         step = small.where("v <> m").selectExpr("v as child", "m as parent").unionAll(least.selectExpr("u as child", "m as parent"))
-        new = scratch(step.distinct())
+        new = scratch(step.distinct(), few=8)
         release(now)
         now, before, mark = new, mark, _mark(new)
         if mark == before:

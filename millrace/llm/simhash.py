@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ MOST_BITS = 3
 SEED = 42
 #: A bucket of more fingerprints is cut once more, by variants of quarters of the other half.
 LARGE = 4096
-_STEP = 1 << 21
+_STEP = 1 << 19
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -162,7 +163,7 @@ _NEAR = np.array([sum(1 << x for x in c) for k in (1, 2, 3) for c in itertools.c
 
 
 def _large_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links in parts of large buckets: (part, half, bit, other bit, fp), sorted by part.
+    """Links, as they come, and those in parts of large buckets: (fp, other, part, free), sorted by part.
 
     Members of a part differ in the 16 bits of one quarter and in two bits more,
     so a part has at most 2**18 fingerprints, and a fingerprint 987 neighbours.
@@ -188,6 +189,13 @@ def _large_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held: list[pa.RecordBatch] = []
     for b in batches:
+        known = pc.is_valid(b.column(1))
+        if known.true_count:
+            done = b.filter(known)
+            yield pa.RecordBatch.from_arrays([done.column(0), done.column(1)], ["a", "b"])
+            b = b.filter(pc.invert(known))
+        if not b.num_rows:
+            continue
         held.append(b)
         if sum(x.num_rows for x in held) > 1 << 19:
             t = pa.Table.from_batches(held)
@@ -223,31 +231,33 @@ def links(prints: DataFrame) -> DataFrame:
         "(cast(v as long) << 32) | (shiftrightunsigned(fp, (v div 32) * 32) & 4294967295L & ~(1L << cast(v % 32 as int))) as key",
         "fp",
     )
-    found = scratch(variants.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long, key long"))
-    small = found.where("key is null").select("a", "b")
-    # Quarters of the half that the key has not: one of the two differs by at most one bit as well.
-    wide = found.where("key is not null").selectExpr("a as fp", "cast((key >> 37) & 1 as int) as half", "cast((key >> 32) & 31 as int) as bit", "key", "explode(sequence(0, 31)) as w")
-    wide = wide.selectExpr("fp", "key", "half * 32 + bit as bit", "(1 - half) * 32 + (w div 16) * 16 as known", "(1 - half) * 32 + (1 - w div 16) * 16 as open", "w", "w % 16 as out")
+    found = variants.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long, key long")
+    # Members of large buckets go to parts by quarters of the half that the key has not: one of the two differs
+    # by at most one bit as well. Links (w -1) go along, so that nothing has to be written in between.
+    wide = found.selectExpr("a", "b", "key", "explode(if(key is null, array(-1), sequence(0, 31))) as w")
+    wide = wide.selectExpr("a", "b", "key", "cast((key >> 37) & 1 as int) as half", "cast((key >> 32) & 31 as int) as bit", "w")
+    wide = wide.selectExpr("a", "b", "key", "half * 32 + bit as bit", "(1 - half) * 32 + (w div 16) * 16 as known", "(1 - half) * 32 + (1 - w div 16) * 16 as open", "w", "w % 16 as out")
     parts = wide.selectExpr(
-        "fp",
-        "xxhash64(key, w, shiftrightunsigned(fp, known) & 65535L & ~(1L << out)) as part",
-        "concat(array(bit, known + out), sequence(open, open + 15)) as free",
+        "a as fp",
+        "b as other",
+        "if(w < 0, xxhash64(a, b), xxhash64(key, w, shiftrightunsigned(a, known) & 65535L & ~(1L << out))) as part",
+        "if(w < 0, null, concat(array(bit, known + out), sequence(open, open + 15))) as free",
     )
-    large = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_large_links, "a long, b long")
-    return small.unionAll(large)
+    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(_large_links, "a long, b long")
 
 
-def _groups(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fingerprints of all rows; each distinct one with its ``root``; each root's first row (``component_id``, ``k``).
+def _groups(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Fingerprints of all rows; each distinct one (``first``, ``k``: its first row); linked ones with their ``root``; each root's first row (``component_id``, ``rk``).
 
-    Copies are summed up by fingerprint before anything is joined, so that what
-    is dealt out by root are distinct fingerprints only.
+    Copies are summed up by fingerprint before anything is joined, and only
+    linked fingerprints are dealt out by root. What is written: fingerprints,
+    links, and a row for each root.
     """
     prints = scratch(fingerprints(docs, shingle))
-    distinct = scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc", "th")).alias("k")))
-    roots = connected_components(links(distinct.select("fp")))
-    rooted = scratch(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "k"))
-    return prints, rooted, rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.min("k").alias("k"))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc", "th")).alias("k"))
+    roots = connected_components(links(prints.select("fp").distinct())).withColumnRenamed("node", "fp")
+    first = distinct.join(roots, "fp").groupBy("root").agg(F.min("first").alias("component_id"), F.min("k").alias("rk"))
+    return prints, distinct, roots, scratch(first, few=8)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -258,9 +268,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     other. ``component_id`` is the smallest id that can be reached (null if the
     group has only null ids). Repeated rows stay.
     """
-    prints, rooted, groups = _groups(docs, shingle)
-    named = scratch(rooted.join(scratch(groups), "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select("doc_id", "doc", "th", "fp", "component_id")  # copies: a join whose hot keys can be split
+    prints, distinct, roots, groups = _groups(docs, shingle)
+    linked = roots.join(groups, "root").select("fp", F.struct("component_id").alias("of"))
+    named = distinct.join(linked, "fp", "left").select("fp", F.when(F.col("of").isNull(), F.col("first")).otherwise(F.col("of.component_id")).alias("component_id"))
+    return prints.join(scratch(named, few=8), "fp").select("doc_id", "doc", "th", "fp", "component_id")  # copies: a join whose hot keys can be split
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -269,7 +280,9 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     First is the smallest id (null ids before all), and of repeated rows one.
     Rows without words are a group of their own. All columns stay.
     """
-    first = _groups(docs, shingle)[2].selectExpr("k.doc as _doc", "k.th as _th")
+    _, distinct, roots, groups = _groups(docs, shingle)
+    alone = distinct.join(roots.select("fp"), "fp", "left_anti").select("k")
+    first = alone.unionAll(groups.select("rk")).selectExpr("k.doc as _doc", "k.th as _th")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), doc_key().alias("_doc"), F.xxhash64("text").alias("_th"))
     return rows.join(first, ["_doc", "_th"], "left_semi").dropDuplicates(["_doc", "_th"]).select("_row.*")
 
