@@ -1,10 +1,14 @@
 """Quality rules: counts of each text, and robust multivariate outliers among them.
 
-Minimum covariance determinant estimates for each language and source: start at
-medians and quartiles, then concentration steps (mean and covariance of the
-nearest share of rows), and one reweighting. Rows far off by Mahalanobis
-distance are rejected. Steps are joins and aggregates over a narrow table of
-counts; a group, however large, is only ever summed.
+Minimum covariance determinant estimates for each language and source, for each
+language and for all rows: three deterministic starts (medians with quartile
+ranges, mean with covariance, medians with spatial signs) take two concentration
+steps each, the one of the least determinant takes one more, and is reweighted.
+A group's estimate then leans on its language's, and that on all rows', as much
+as PRIOR rows would: no group is too small, and none is treated by another rule.
+Rows far off by Mahalanobis distance are rejected. Steps are joins and
+aggregates over a narrow table of counts; a group, however large, is only ever
+summed.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,20 +31,22 @@ REPEAT_PERCENT = 20
 WINDOW = 5
 #: Share of a group that its estimate comes from.
 SUPPORT = 0.75
-STEPS = 3
-#: Groups of fewer rows take the estimate of all rows together.
-MIN_GROUP = 200
-#: Mahalanobis distance beyond which a row is rejected. Five normal statistics would pass it once in 10**15;
-#: clean texts are not quite normal (a short one with one repeated line gets to 8).
-FAR = 9.0
+#: Concentration steps of each start, and of the best one after that.
+STEPS, MORE_STEPS = 2, 1
+#: So many rows of a language's estimate stand beside a source's own (and of all rows' beside a language's): ten for each statistic.
+PRIOR = 50.0
+#: A row is rejected beyond the distance that a normal one would pass with this chance. Far smaller than usual, as
+#: clean texts are not normal: their rare repeats and symbols have long tails.
+ALPHA = 1e-12
 #: Least standard deviation of each transformed statistic: what is constant in most rows must not reject small changes.
 LEAST_SPREAD = [0.5, 0.1, 0.4, 0.4, 0.4]
-#: Estimates (some 200 bytes each) of so many groups are broadcast; of more, groups are salted.
+#: Estimates (some 700 bytes each) of so many groups are broadcast; of more, groups are salted.
 MOST_SENT, SALTS = 20_000, 32
-_STEP = 1 << 21
+_STEP = 1 << 19
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 _D = len(COUNTS)
+_ALL = "*"
 _PAIRS = [(i, j) for i in range(_D) for j in range(i, _D)]
 
 
@@ -126,69 +133,100 @@ def chi2_quantile(p: float, d: int) -> float:
     return (low + high) / 2
 
 
-def _quantiles(rows: DataFrame, column: Column, shares: list[float], step: float, names: list[str]) -> DataFrame:
-    """Quantiles by group on a grid of ``step``: counts by group and cell, so that they don't depend on the order of rows."""
-    cells = rows.groupBy("g", F.floor(column / step).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    run = cells.selectExpr("g", "cell", "sum(n) over (partition by g order by cell) as upto", "sum(n) over (partition by g) as total")
-    return run.groupBy("g").agg(*[((F.min(F.when(F.col("upto") >= share * F.col("total"), F.col("cell"))) + 1) * F.lit(step)).alias(name) for share, name in zip(shares, names, strict=True)])
+def _centres(rows: DataFrame) -> DataFrame:
+    """Medians and spreads (quartile ranges, LEAST_SPREAD at least) of each group: ``g, m, s``.
 
+    Taken from counts by group and cell, so that they don't depend on the order of rows.
+    """
+    x = rows.select("g", F.posexplode(F.array(*[f"x{i}" for i in range(_D)])).alias("i", "x"))
+    cells = x.groupBy("g", "i", F.floor(F.col("x") * 256).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    q = cells.groupBy("g", "i").agg(F.expr("percentile(cell, array(0.25, 0.5, 0.75), n)").alias("q"))
+    q = q.select("g", "i", ((F.col("q")[1] + 0.5) / 256).alias("m"), ((F.col("q")[2] - F.col("q")[0]) / 256 / 1.349).alias("s"))
+    of = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c)))
+    return q.groupBy("g").agg(F.array(*[of("m", i) for i in range(_D)]).alias("m"), F.array(*[F.greatest(of("s", i), F.lit(LEAST_SPREAD[i])) for i in range(_D)]).alias("s"))
+
+
+def _starts(rows: DataFrame, centres: DataFrame) -> DataFrame:
+    """The three starts of each group: ``g, k, mean, cov``."""
+    d = [F.col(f"x{i}") - F.col("m")[i] for i in range(_D)]
+    z = [c / F.col("s")[i] for i, c in enumerate(d)]
+    size = sum((c * c for c in z[1:]), z[0] * z[0])
+    joined = _with_group(rows, centres).select("g", "m", "s", *[c.alias(f"d{i}") for i, c in enumerate(d)], *[F.when(size > 0, c / F.sqrt(size)).otherwise(0.0).alias(f"u{i}") for i, c in enumerate(z)])
+    sums = joined.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.first("m").alias("m"), F.first("s").alias("s"), *[F.sum(f"d{i}").alias(f"d{i}") for i in range(_D)],
+        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"c{i}{j}") for i, j in _PAIRS], *[F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"u{i}{j}") for i, j in _PAIRS],
+    )
+    n, m, s = F.col("n"), F.col("m"), F.col("s")
+    mean = [F.col(f"d{i}") / n for i in range(_D)]
+    made = [
+        (m, [s[i] * s[i] if i == j else F.lit(0.0) for i, j in _PAIRS]),
+        (F.array(*[m[i] + mean[i] for i in range(_D)]), [F.col(f"c{i}{j}") / n - mean[i] * mean[j] for i, j in _PAIRS]),
+        (m, [_D * F.col(f"u{i}{j}") / n * s[i] * s[j] for i, j in _PAIRS]),
+    ]
+    return sums.select("g", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), a.alias("mean"), F.array(*c).alias("cov")) for k, (a, c) in enumerate(made)])).alias("e")).select("g", "e.*")
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians, and quartile ranges as spreads, of each group: ``g, n, mean, cov``."""
-    out = rows.groupBy("g").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    long = rows.select("g", F.posexplode(F.array(*[f"x{i}" for i in range(_D)])).alias("i", "x")).select(F.struct("g", "i").alias("g"), "x")
-    q = _quantiles(long, F.col("x"), [0.25, 0.5, 0.75], 1 / 256, ["q1", "q2", "q3"]).select("g.g", "g.i", "q2", ((F.col("q3") - F.col("q1")) / 1.349).alias("s"))
-    wide = q.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(_D) for c in ("q2", "s")])
-    cov = [F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0) for i, j in _PAIRS]
-    return out.join(wide, "g").select("g", "n", F.array(*[f"q2{i}" for i in range(_D)]).alias("mean"), F.array(*cov).alias("cov"))
 
+def _matrices(cov: list) -> np.ndarray:
+    """Covariances with LEAST_SPREAD as the floor: correlations stay, what varies less is given the rest as noise of its own."""
+    v = np.array(cov, dtype=np.float64).reshape(-1, len(_PAIRS))
+    m = np.zeros((len(v), _D, _D))
+    for k, (i, j) in enumerate(_PAIRS):
+        m[:, i, j] = m[:, j, i] = v[:, k]
+    at = np.arange(_D)
+    m[:, at, at] += np.maximum(0, np.square(LEAST_SPREAD) - m[:, at, at]) + 1e-9
+    return m
 
-def _moments(rows: DataFrame) -> DataFrame:
-    x = [F.col(f"x{i}") for i in range(_D)]
-    sums = rows.groupBy("g").agg(F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.sum(x[i] * x[j]).alias(f"c{i}{j}") for i, j in _PAIRS])
-    mean = [F.col(f"m{i}") / F.col("n") for i in range(_D)]
-    return sums.select("g", "n", F.array(*mean).alias("mean"), F.array(*[F.col(f"c{i}{j}") / F.col("n") - mean[i] * mean[j] for i, j in _PAIRS]).alias("cov"))
+
+def _inverse(m: np.ndarray) -> pa.Array:
+    inv = np.linalg.inv(m)
+    return pa.array([[float(x[i, j]) for i, j in _PAIRS] for x in inv], pa.list_(pa.float64()))
 
 
 def _invert(estimates: DataFrame, factor: float) -> DataFrame:
-    """``g, mean, inv``: inverse covariances (scaled by ``factor``) with LEAST_SPREAD as the floor."""
-    floor = np.square(LEAST_SPREAD)
+    """``g, k, mean, inv, det``: inverse covariances and log determinants, of covariances times ``factor``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for cov in b.column(2).to_pylist():
-                m = np.zeros((_D, _D))
-                for (i, j), v in zip(_PAIRS, cov, strict=True):
-                    m[i, j] = m[j, i] = v * factor
-                # Correlations stay; what varies less than the floor is given the rest as noise of its own.
-                m[np.diag_indices(_D)] += np.maximum(0, floor - np.diag(m)) + 1e-9
-                inv = np.linalg.inv(m)
-                out.append([float(inv[i, j]) for i, j in _PAIRS])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.float64()))], ["g", "mean", "inv"])
+            m = _matrices([[x * factor for x in c] for c in b.column(3).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], _inverse(m), pa.array(np.linalg.slogdet(m)[1])], ["g", "k", "mean", "inv", "det"])
 
-    return estimates.select("g", "mean", "cov").mapInArrow(run, "g string, mean array<double>, inv array<double>")
+    return estimates.select("g", "k", "mean", "cov").mapInArrow(run, "g string, k int, mean array<double>, inv array<double>, det double")
 
 
-def _with_group(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` with the one row of ``groups`` for their ``g``.
+def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the row (or rows) of ``groups`` for their ``g``.
 
     Up to MOST_SENT groups (counted here) are broadcast. Of more, each is
     repeated under SALTS numbers and rows are dealt out by group and number, so
     that a group of a third of all rows is not one task's.
     """
     if groups.limit(MOST_SENT + 1).count() <= MOST_SENT:
-        return rows.join(F.broadcast(groups), "g", how)
+        return rows.join(F.broadcast(groups), "g")
     dealt = rows.withColumn("_n", F.pmod(F.xxhash64(*[c for c in rows.columns if c != "g"]), F.lit(SALTS)))
-    return dealt.join(groups.withColumn("_n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["g", "_n"], how).drop("_n")
+    return dealt.join(groups.withColumn("_n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["g", "_n"]).drop("_n")
+
+
+def _distance() -> Column:
+    """Squared Mahalanobis distance of x0.. from ``mean`` by ``inv``."""
+    x = [F.col(f"x{i}") - F.col("mean")[i] for i in range(_D)]
+    return sum((F.col("inv")[k] * x[i] * x[j] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)), F.lit(0.0))
 
 
-def _distances(rows: DataFrame, estimates: DataFrame, factor: float) -> DataFrame:
-    """``rows`` with ``d2``."""
-    joined = _with_group(rows, scratch(_invert(estimates, factor)))
+def _moments(rows: DataFrame) -> DataFrame:
+    """``g, k, n, mean, cov`` of rows that have their old ``mean``; sums are of differences from it."""
     x = [F.col(f"x{i}") - F.col("mean")[i] for i in range(_D)]
-    d2 = sum((F.col("inv")[k] * x[i] * x[j] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)), F.lit(0.0))
-    return joined.select(*rows.columns, d2.alias("d2"))
+    sums = rows.groupBy("g", "k").agg(F.count(F.lit(1)).cast("double").alias("n"), F.first("mean").alias("mean"), *[F.sum(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.sum(x[i] * x[j]).alias(f"c{i}{j}") for i, j in _PAIRS])
+    d = [F.col(f"m{i}") / F.col("n") for i in range(_D)]
+    return sums.select("g", "k", "n", F.array(*[F.col("mean")[i] + d[i] for i in range(_D)]).alias("mean"), F.array(*[F.col(f"c{i}{j}") / F.col("n") - d[i] * d[j] for i, j in _PAIRS]).alias("cov"))
+
+
+def _concentrated(rows: DataFrame, now: DataFrame) -> DataFrame:
+    """Mean and covariance of the nearest SUPPORT of each group's rows, for each of its estimates in ``now`` (g, k, mean, inv)."""
+    cell = F.floor(F.log(_distance() + 1e-6) * 64)
+    cells = _with_group(rows, now).groupBy("g", "k", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    run = cells.selectExpr("g", "k", "cell", "sum(n) over (partition by g, k order by cell) as upto", "sum(n) over (partition by g, k) as total")  # some hundred cells a group
+    bound = run.where(F.col("upto") >= SUPPORT * F.col("total")).groupBy("g", "k").agg(F.min("cell").alias("bound"))
+    return _moments(_with_group(rows, scratch(now.join(bound, ["g", "k"]), few=64)).where(cell <= F.col("bound")))
 
 
 def _consistency(share: float) -> float:
@@ -197,38 +235,79 @@ def _consistency(share: float) -> float:
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """``g, n, mean, cov`` of each group by MCD; ``rows`` has ``g`` and x0.. and no failed rows."""
-    now, factor = _start(rows), 1.0
+    """``g, raw, n, mean, cov`` of each group: its MCD estimate (``raw``: mean and inverse), and what reweighting makes of it.
+
+    ``rows`` has ``g`` and x0.. and no failed rows. A group none of whose rows is near its estimate has null ``n``.
+    """
+    now = scratch(_invert(_starts(rows, scratch(_centres(rows), few=64)), 1.0), few=64)
     for _ in range(STEPS):
-        far = _distances(rows, now, factor)
-        log = F.log(F.col("d2") + 1e-6)
-        bound = _quantiles(far, log, [SUPPORT], 1 / 64, ["bound"])
-        now = _moments(_with_group(far, scratch(bound)).where(log <= F.col("bound")))
-        factor = _consistency(SUPPORT)
-    far = _distances(rows, now, factor)
-    return scratch(_moments(far.where(F.col("d2") <= chi2_quantile(0.975, _D))))
+        now = scratch(_invert(_concentrated(rows, now), _consistency(SUPPORT)), few=64)
+    best = now.groupBy("g").agg(F.min(F.struct("det", "k", "mean", "inv")).alias("b"))
+    now = scratch(best.select("g", "b.k", "b.mean", "b.inv"), few=64)
+    for _ in range(MORE_STEPS):
+        now = scratch(_invert(_concentrated(rows, now), _consistency(SUPPORT)), few=64)
+    near = _moments(_with_group(rows, now).where(_distance() <= chi2_quantile(0.975, _D))).drop("k")
+    return scratch(now.selectExpr("g", "struct(mean, inv, det) as raw").join(near, "g", "left"), few=64)
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Counts, ``base_failed`` and ``kept`` of each row of ``docs``.
+def _leaning(n: np.ndarray, mean: np.ndarray, cov: np.ndarray, mean0: np.ndarray, cov0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and covariances of ``n`` rows together with PRIOR rows of ``mean0`` and ``cov0`` (normal-inverse-Wishart)."""
+    w = (n / (n + PRIOR))[:, None]
+    d = mean - mean0
+    out = w[:, :, None] * cov + (1 - w)[:, :, None] * cov0 + (w * (1 - w))[:, :, None] * d[:, :, None] * d[:, None, :]
+    return mean0 + w * d, out
+
+
+def _settled(found: DataFrame, keys: DataFrame) -> DataFrame:
+    """``g, mean, inv`` of each source's group, leaning on its language's and all rows' estimates.
 
-    A row is kept if it doesn't fail the base rules and its Mahalanobis
-    distance from its language's and source's estimate is FAR at most. Groups of fewer than MIN_GROUP rows are held against
-    the estimate of all rows. Null text has no words; null language or source is
-    a group of its own; repeated rows count as often as they occur; missing
-    columns lang and source count as null, other columns are ignored.
+    ``keys`` has a row for each source's group: ``g`` and its language's ``gl``.
+    """
+    top = found.where(F.col("g") == _ALL).select("n", "mean", "cov").first()  # one row of 21 numbers
+    if top is None or top[0] is None:
+        top = found.where(F.col("g") == _ALL).selectExpr("0d", "raw.mean", f"array_repeat(0d, {len(_PAIRS)})").first() or (0.0, [0.0] * _D, [0.0] * len(_PAIRS))
+    factor = _consistency(0.975)
+    mean0, cov0 = np.array(top[1]), _matrices([[x * factor for x in top[2]]])[0]
+
+    def part(n: pa.Array, mean: pa.Array, cov: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of rows, means and covariances; none counts as no rows."""
+        size = pc.fill_null(n, 0.0).to_numpy(zero_copy_only=False)
+        c = np.array([x or [0.0] * len(_PAIRS) for x in cov.to_pylist()]).reshape(-1, len(_PAIRS)) * factor
+        return size, np.array([x or [0.0] * _D for x in mean.to_pylist()]).reshape(-1, _D), _matrices(c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            above = _leaning(*part(b.column(4), b.column(5), b.column(6)), mean0, cov0)
+            mean, cov = _leaning(*part(b.column(1), b.column(2), b.column(3)), *above)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(mean.tolist(), pa.list_(pa.float64())), _inverse(cov)], ["g", "mean", "inv"])
+
+    own = keys.join(found.select("g", "n", "mean", "cov"), "g")
+    above = found.select(F.col("g").alias("gl"), F.col("n").alias("ln"), F.col("mean").alias("lm"), F.col("cov").alias("lc"))
+    rows = own.join(above, "gl").select("g", "n", "mean", "cov", "ln", "lm", "lc")
+    return scratch(rows.mapInArrow(run, "g string, mean array<double>, inv array<double>"), few=64)
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """Counts, ``base_failed``, ``kept`` and ``d2`` (null if the base rules fail) of each row of ``docs``.
+
+    A row is kept if it doesn't fail the base rules and its squared Mahalanobis
+    distance ``d2`` from its language's and source's estimate is at most the
+    chi-square quantile of 1 - ALPHA. Each group has an estimate of its own,
+    which leans on its language's and on all rows' by PRIOR rows each. Null text
+    has no words; null language or source is a value of its own; repeated rows
+    count as often as they occur; missing columns lang and source count as null,
+    other columns are ignored.
     """
-    rows = counts(docs).withColumn("g", F.concat_ws("\x1f", F.coalesce("lang", F.lit("\x00")), F.coalesce("source", F.lit("\x00"))))
+    key = lambda c: F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-"))
+    rows = counts(docs).withColumn("gl", F.concat(F.lit("l"), key("lang"))).withColumn("g", F.concat("gl", F.lit("s"), key("source")))
     rows = scratch(rows.withColumns({f"x{i}": c for i, c in enumerate(vector())}))
-    fit = rows.where(~F.col("base_failed")).select("g", *[f"x{i}" for i in range(_D)])
-    # All rows together are one more group, under a name that no other has.
-    small = fit.groupBy("g").count().where(F.col("count") >= MIN_GROUP).select("g", F.lit(True).alias("own"))
-    own = fit.join(small, "g", "left_semi")
-    found = estimates(own.unionByName(fit.withColumn("g", F.lit("\x00"))))
-    known = _with_group(rows, found.select("g", F.lit(True).alias("own")), "left").withColumn("g", F.when(F.col("own"), F.col("g")).otherwise(F.lit("\x00"))).drop("own")
-    far = _distances(known.where(~F.col("base_failed")), found, _consistency(0.975))
+    good = rows.where(~F.col("base_failed"))
+    fit = good.select(F.explode(F.array(F.lit(_ALL), "gl", "g")).alias("g"), *[f"x{i}" for i in range(_D)])
+    found = _settled(estimates(fit), good.select("g", "gl").distinct())
     names = ["doc_id", *COUNTS, "base_failed"]
-    return far.select(*names, (F.col("d2") <= FAR * FAR).alias("kept"), "d2").unionByName(known.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2")))
+    d2 = _with_group(good, found).select(*names, _distance().alias("d2"))
+    passed = d2.select(*names, (F.col("d2") <= chi2_quantile(1 - ALPHA, _D)).alias("kept"), "d2")
+    return passed.unionByName(rows.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2")))
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:

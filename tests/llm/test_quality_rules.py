@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import Counter
@@ -85,3 +86,55 @@ def test_edges(spark):
     text = " ".join(f"w{i}" for i in range(30))
     df = spark.createDataFrame([(None, text, 1)] * 3, "doc_id long, text string, g int")
     assert [r.kept for r in q.judge(df).collect()] == [True] * 3
+
+
+def least_determinant(x, h):
+    """Log determinant (as the operator floors it) of the best ``h`` rows, by trying all."""
+    factor, best = q._consistency(q.SUPPORT), np.inf
+    for part in itertools.combinations(range(len(x)), h):
+        c = np.cov(x[list(part)].T, bias=True) * factor
+        m = q._matrices([[c[i, j] for i, j in q._PAIRS]])[0]
+        best = min(best, np.linalg.slogdet(m)[1])
+    return best
+
+
+def test_least_determinant_of_small_groups(spark):
+    """Half of the groups reach the least determinant of all subsets, none is far above it, and outliers stay out."""
+    rng = np.random.default_rng(8)
+    groups = {}
+    for k in range(8):
+        x = rng.normal(0, 1, (14, 5)) * [1, 2, 1, 3, 1]
+        x[:3] += rng.choice([-30, 30], 5)
+        groups[f"g{k}"] = x
+    found = {r.g: r for r in q.estimates(rows(spark, np.concatenate([*groups.values()]), [g for g in groups for _ in range(14)])).collect()}
+    above = [found[g].raw.det - least_determinant(x, 11) for g, x in groups.items()]
+    assert min(above) > -1e-6
+    assert max(above) < 3 and sum(a < 0.5 for a in above) >= 4
+    for g, x in groups.items():
+        assert np.abs(np.array(found[g].raw.mean) - x[3:].mean(0)).max() < 2.5
+
+
+def test_groups_lean_on_what_is_above_them(spark):
+    """A group of ``n`` rows counts as ``n`` beside PRIOR rows; one without near rows takes its language's estimate."""
+    rng = np.random.default_rng(9)
+    many, few = rng.normal(0, 1, (2000, 5)), rng.normal(1, 1, (5, 5))
+    x = np.concatenate([many, few])
+    keys = ["ls1"] * 2000 + ["ls2"] * 5
+    both = rows(spark, np.concatenate([x, x, x]), [q._ALL] * 2005 + ["l"] * 2005 + keys)
+    found = q.estimates(both)
+    raw = {r.g: r for r in found.collect()}
+    out = {r.g: np.array(r.mean) for r in q._settled(found, spark.createDataFrame([("ls1", "l"), ("ls2", "l")], "g string, gl string")).collect()}
+    lang = np.array(raw["l"].mean)
+    top = np.array(raw[q._ALL].mean)
+    lang = top + (raw["l"].n / (raw["l"].n + q.PRIOR)) * (lang - top)
+    for g in ("ls1", "ls2"):
+        n, mean = (raw[g].n, np.array(raw[g].mean)) if raw[g].n else (0, lang)
+        assert np.allclose(out[g], lang + n / (n + q.PRIOR) * (mean - lang))
+
+
+def test_long_text_and_extra_columns(spark):
+    """A text of two million words, and columns named as the operator's own."""
+    words = [f"w{i % 50_000}x{i}" for i in range(2_000_000)]
+    df = spark.createDataFrame([(1, " ".join(words), "en", "s", 5, "k")], "doc_id long, text string, lang string, source string, n_words int, g string")
+    r = q.judge(df).first()
+    assert (r.n_words, r.n_repeat_words, r.kept) == (2_000_000, 0, True)
