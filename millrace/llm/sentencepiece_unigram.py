@@ -4,7 +4,8 @@ A piece list with log scores is read from a SentencePiece model file. Spaces
 become the marker U+2581, one stands before the text, characters without a piece
 fall back to bytes. Where no piece has a marker behind another character, a text
 splits into stretches that no piece crosses; each distinct stretch of a batch
-is solved once, all of them side by side in numpy.
+is solved once, short ones side by side in numpy, long ones (Han text, a blob
+without spaces) from all their places at once.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,10 @@ MARK = "▁"
 #: What an unknown character costs below the least score (as in the public library).
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Solved stretches that a worker remembers.
-_REMEMBER = 300_000
+#: Solved stretches that a worker remembers; those of more characters aren't.
+_REMEMBER, _MEMORABLE = 300_000, 200
+#: Stretches of more bytes are solved one by one, this many places at once.
+_LONG, _PLACES = 256, 1 << 16
 
 
 def _fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -76,7 +80,7 @@ class DoubleArray:
         order = sorted(range(len(keys)), key=keys.__getitem__)
         keys, values = [keys[k] for k in order], [values[k] for k in order]
         check[0] = 0
-        free, todo = 1, [(0, 0, len(keys), 0)]  # node, range of keys, depth
+        free, lone, todo = 1, 300, [(0, 0, len(keys), 0)]  # node, range of keys, depth
         while todo:
             node, i, j, depth = todo.pop()
             if i < j and len(keys[i]) == depth:
@@ -88,9 +92,19 @@ class DoubleArray:
             for k in range(i + 1, j):
                 if keys[k][depth] != keys[k - 1][depth]:
                     heads.append(k)
-            codes = np.array([keys[k][depth] for k in heads])
             while check[free] != -1:
                 free += 1
+            if free + 600 > len(check):
+                base, check, value = (np.concatenate([x, np.full(len(x), fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (value, -1)))
+            if len(heads) == 1:  # any free cell will do
+                while check[lone] != -1:
+                    lone += 1
+                    if lone + 600 > len(check):
+                        base, check, value = (np.concatenate([x, np.full(len(x), fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (value, -1)))
+                base[node], check[lone] = lone - keys[i][depth], node
+                todo.append((lone, i, j, depth + 1))
+                continue
+            codes = np.array([keys[k][depth] for k in heads])
             at, place = free, None
             while place is None:
                 if at + 600 > len(check):
@@ -158,11 +172,14 @@ def _stretches(pieces: list[str]) -> str:
 def viterbi(v: Vocabulary, texts: list[bytes]) -> list[tuple[int, ...]]:
     """Ids of the best segmentation of each text (marked, UTF-8), all at once.
 
-    Of equal totals the one found first holds: the longer last piece.
+    Of equal totals the one found first holds: the longer last piece. Long texts
+    are solved one by one, but from all their places at once.
     """
     out: list[tuple[int, ...]] = [()] * len(texts)
-    sizes = np.array([len(t) for t in texts])
-    order = np.argsort(sizes, kind="stable")
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    for r in np.flatnonzero(sizes > _LONG).tolist():
+        out[r] = _viterbi_long(v, texts[r])
+    order = np.argsort(sizes, kind="stable")[: int((sizes <= _LONG).sum())]
     i = 0
     while i < len(order):  # rows of similar length share a table of bounded size
         j = i
@@ -229,6 +246,80 @@ def _viterbi(v: Vocabulary, texts: list[bytes]) -> list[tuple[int, ...]]:
     return out
 
 
+def _edges(v: Vocabulary, raw: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and piece of what may stand at the characters that begin in ``low..high``: pieces, shorter ones first, and characters without a piece (-1)."""
+    base, check, value = v.trie.base, v.trie.check, v.trie.value
+    first = np.flatnonzero((raw[low:high] & 0xC0) != 0x80) + low
+    lead = raw[first]
+    char = np.minimum(first + 1 + (lead >= 0xC0) + (lead >= 0xE0).astype(np.int64) + (lead >= 0xF0), len(raw))
+    alone = np.ones(len(first), dtype=bool)
+    at, state, depth = np.arange(len(first)), np.zeros(len(first), np.int64), 0
+    starts, ends, ids = [], [], []
+    while len(at):
+        inside = first[at] + depth < len(raw)
+        at, state = at[inside], state[inside]
+        to = base[state] + raw[first[at] + depth]
+        ok = check[to] == state
+        at, state, depth = at[ok], to[ok].astype(np.int64), depth + 1
+        found = value[state]
+        hit = found >= 0
+        starts.append(first[at[hit]])
+        ends.append(starts[-1] + depth)
+        ids.append(found[hit].astype(np.int64))
+        alone[at[hit][char[at[hit]] == ends[-1]]] = False
+    starts, ends, ids = (np.concatenate([*x, y]) for x, y in ((starts, first[alone]), (ends, char[alone]), (ids, np.full(int(alone.sum()), -1))))
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order], ids[order]
+
+
+def _viterbi_long(v: Vocabulary, text: bytes) -> tuple[int, ...]:
+    """The best segmentation of one long text: the trie is walked from many places at once, then one pass over the matches.
+
+    Where no match spans a place, what is before it is settled, so that memory
+    follows the longest part that matches hold together, not the text.
+    """
+    raw, n = np.frombuffer(text, np.uint8), len(text)
+    score = np.append(v.score, v.unknown_score)  # the last one is that of piece -1
+    out: list[int] = []
+    begin, low, over = 0, 0, 0
+    best, came, piece = [0.0], [0], [-1]
+    minus = float("-inf")
+
+    def settle(upto: int) -> None:
+        k, ids = upto - begin, []
+        while k:
+            if piece[k] >= 0:
+                ids.append(piece[k])
+            else:
+                ids.extend(v.byte_id[x] for x in reversed(text[begin + came[k] : begin + k]))
+            k = came[k]
+        out.extend(reversed(ids))
+
+    while low < n:
+        high = min(n, low + _PLACES)
+        s, e, ids = _edges(v, raw, low, high)
+        room = int(e.max()) - begin + 1 - len(best) if len(e) else 0
+        best += [minus] * room
+        came += [0] * room
+        piece += [-1] * room
+        for a, b, i, x in zip((s - begin).tolist(), (e - begin).tolist(), ids.tolist(), score[ids].tolist(), strict=True):
+            total = best[a] + x
+            if total > best[b]:
+                best[b], came[b], piece[b] = total, a, i
+        low = high
+        # the last place among these that no match spans, of earlier ones neither
+        reach = np.maximum(np.maximum.accumulate(e), over) if len(e) else e
+        over = int(reach[-1]) if len(e) else over
+        free = np.flatnonzero(reach[:-1] == s[1:]) if len(e) else reach
+        cut = n if low == n else int(s[free[-1] + 1]) if len(free) else begin
+        if cut > begin:
+            settle(cut)
+            best, came, piece = best[cut - begin :], [max(0, c - cut + begin) for c in came[cut - begin :]], piece[cut - begin :]
+            shift, begin = best[0], cut
+            best = [x - shift for x in best]
+    return tuple(out)
+
+
 class Coder:
     """Encodes and decodes with a memory of solved stretches."""
 
@@ -236,7 +327,8 @@ class Coder:
         self.v, self.known = v, {}
         self.find = re.compile(v.stretch).findall if v.inside else lambda t: [t]
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as unsigned 32-bit numbers."""
         parts = [self.find(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         known = self.known
         new = list({x for p in parts for x in p if x not in known})
@@ -246,8 +338,15 @@ class Coder:
                 kept = {x: known[x] for p in parts for x in p if x in known}
                 known.clear()
                 known.update(kept)
-            known.update(zip(new, viterbi(self.v, [x.replace(" ", MARK).encode() for x in new]), strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, p))) for p in parts]
+            known.update(zip(new, [array("I", x).tobytes() for x in viterbi(self.v, [x.replace(" ", MARK).encode() for x in new])], strict=True))
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
+        for x in new:
+            if len(x) > _MEMORABLE:
+                del known[x]
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return [np.frombuffer(x, np.uint32).tolist() for x in self.packed(texts)]
 
     def decode(self, ids: list[int] | None) -> str:
         data = b"".join(map(self.v.spoken.__getitem__, () if ids is None else ids))
@@ -288,7 +387,7 @@ def _texts(col: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]:
         yield part
 
 
-def encode(docs: DataFrame, pieces: list[tuple[str, float, int]], digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, pieces: list[tuple[str, float, int]] | Vocabulary, digest: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array of int), or with a digest of them.
 
     With ``digest``: ``n_ids``, ``n_byte_ids`` (byte fallbacks), ``ids_crc32``
@@ -300,7 +399,7 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, int]], digest: bool =
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()] if digest else [pa.list_(pa.int32())]
     types = [T.LongType(), T.LongType(), T.LongType(), T.BooleanType()] if digest else [T.ArrayType(T.IntegerType())]
     docs = docs.drop(*names)
-    v = vocabulary(pieces)
+    v = pieces if isinstance(pieces, Vocabulary) else vocabulary(pieces)
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(v))
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("_row") if others else F.lit(0).alias("_row"), F.col("text").cast("string").alias("text"))
@@ -308,29 +407,35 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, int]], digest: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared)
-        is_byte = set(coder.v.byte_id)
+        is_byte = np.zeros(len(coder.v.score), dtype=np.int64)
+        is_byte[[x for x in coder.v.byte_id if x >= 0]] = 1
         for b in batches:
             cols: list[list] = [[] for _ in names]
             for part in _texts(b.column(1)):
-                for text, ids in zip(part, coder.encode(part), strict=True):
-                    if digest:
-                        found = (len(ids), sum(map(is_byte.__contains__, ids)), zlib.crc32(np.array(ids, dtype="<u4").tobytes()), coder.decode(ids) == (text or ""))
-                    else:
-                        found = (ids,)
-                    for c, x in zip(cols, found, strict=True):
-                        c.append(x)
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], schema.names)
+                packed = coder.packed(part)
+                ids = np.frombuffer(b"".join(packed), np.uint32)
+                off = np.zeros(len(part) + 1, np.int64)
+                np.cumsum([len(x) // 4 for x in packed], out=off[1:])
+                if not digest:
+                    cols[0].append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids.view(np.int32))))
+                    continue
+                flat, ends = ids.tolist(), off.tolist()
+                cols[0].append(pa.array(np.diff(off)))
+                cols[1].append(pa.array(np.diff(np.concatenate([[0], np.cumsum(is_byte[ids])])[off])))
+                cols[2].append(pa.array([zlib.crc32(x) for x in packed], pa.int64()))
+                cols[3].append(pa.array([coder.decode(flat[i:j]) == (t or "") for t, i, j in zip(part, ends, ends[1:], strict=False)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.concat_arrays(c) if c else pa.nulls(0, k) for c, k in zip(cols, kinds, strict=True)]], schema.names)
 
     out = rows.mapInArrow(run, schema)
     return out.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns], *names)
 
 
-def decode(rows: DataFrame, pieces: list[tuple[str, float, int]], column: str = "ids", to: str = "decoded") -> DataFrame:
+def decode(rows: DataFrame, pieces: list[tuple[str, float, int]] | Vocabulary, column: str = "ids", to: str = "decoded") -> DataFrame:
     """``rows`` with the text of ``column`` (array of ids) as ``to``; null ids give null.
 
     Bytes that aren't UTF-8 become U+FFFD; the leading space that encoding adds goes.
     """
-    shared = _Shared(rows.sparkSession.sparkContext.broadcast(vocabulary(pieces)))
+    shared = _Shared(rows.sparkSession.sparkContext.broadcast(pieces if isinstance(pieces, Vocabulary) else vocabulary(pieces)))
 
     @F.pandas_udf("string")
     def text(ids):
@@ -346,5 +451,10 @@ def default_pieces() -> list[tuple[str, float, int]]:
     return read_pieces(P.path("piece_bpe_32k.model"))
 
 
+@lru_cache(maxsize=1)
+def default_vocabulary() -> Vocabulary:
+    return vocabulary(default_pieces())
+
+
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), default_pieces(), digest=True).select("doc_id", "n_ids", "n_byte_ids", "ids_crc32", "round_trip")
+    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), default_vocabulary(), digest=True).select("doc_id", "n_ids", "n_byte_ids", "ids_crc32", "round_trip")

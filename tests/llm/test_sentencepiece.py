@@ -125,3 +125,33 @@ def test_forgetting_changes_nothing(pieces, coder, monkeypatch):
     for _ in range(2):
         assert [small.encode([t])[0] for t in TEXTS] == coder.encode(TEXTS)
     assert np.array(coder.encode([""])).size == 0
+
+
+@pytest.mark.parametrize("places", [3, 17, 1 << 16])
+def test_long_texts_as_short_ones(pieces, coder, monkeypatch, places):
+    """The pass over matches gives the ids of the side-by-side solution, wherever its chunks end."""
+    monkeypatch.setattr(su, "_PLACES", places)
+    rnd = random.Random(places)
+    texts = ["".join(rnd.choice(chars) for _ in range(n)) for chars, n in (("ab é漢\n", 400), ("aab", 700), ("漢字かな漢字テスト", 300), ("theingouryas", 900), ("😀é", 200), ("0123456789abcdef+/", 600))]
+    small = su.vocabulary(SMALL)
+    for v in (small, coder.v):
+        raw = ["▁".join(["", *t.split(" ")]).encode() for t in texts]
+        assert [su._viterbi_long(v, t) for t in raw] == su._viterbi(v, raw)
+
+
+def test_text_without_spaces(pieces, coder):
+    """100,000 characters and more without a space: as good as the brute-force total, and soon done."""
+    import time
+
+    rnd = random.Random(5)
+    scores = {k: s for k, (_, s, t) in enumerate(pieces) if t in (su.NORMAL, su.USER)}
+    low = min(s for _, s, t in pieces if t == su.NORMAL) - 10
+    han = "".join(chr(rnd.randrange(0x4E00, 0x5E00)) for _ in range(100_000))
+    blob = "".join(rnd.choice("ABCabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(120_000))
+    start = time.perf_counter()
+    found = coder.encode([han, blob])
+    assert time.perf_counter() - start < 10
+    for text, ids in zip((han, blob), found, strict=True):
+        assert coder.decode(ids) == text
+        total = sum(scores.get(i, 0.0) for i in ids) + low * len(bytes(pieces[i][0] and int(pieces[i][0][3:5], 16) for i in ids if pieces[i][2] == su.BYTE).decode())
+        assert total == pytest.approx(brute(pieces, text))
