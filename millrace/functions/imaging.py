@@ -98,10 +98,20 @@ def _pack(on: np.ndarray) -> int:
 
 def perceptual_hash(g: np.ndarray) -> int:
     """Bits of the absolute real parts of the 8 x 8 lowest frequencies (of 32 x 32 pixels) at or above their median."""
-    low = np.abs(np.real(np.fft.fft2(resized(g, 32))))[:8, :8]
+    return _low_hash(resized(g, 32))
+
+
+def _low_hash(g: np.ndarray) -> int:
+    low = np.abs(np.real(np.fft.fft2(g)))[:8, :8]
     return _pack(low >= np.median(low))
 
 
+@F.pandas_udf(T.LongType())
+def frequency_hash(pixels: pd.Series) -> pd.Series:
+    """:func:`perceptual_hash` of pictures that are 32 x 32 already (1024 numbers, row by row)."""
+    return pixels.map(lambda p: None if p is None else _low_hash(np.asarray(p, dtype=np.float64).reshape(32, 32))).astype("Int64")
+
+
 def sharpness(g: np.ndarray) -> tuple[float, float]:
     """Laplacian variance and mean squared Sobel gradient; zero below 3 x 3 pixels."""
     if min(g.shape) < 3:

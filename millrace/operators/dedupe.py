@@ -6,6 +6,10 @@ moves) are separate; thresholds can change without reading a picture again.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +18,8 @@ from ..functions import imaging
 from ..shared import written
 
 lit, col = F.lit, F.col
+#: Rows of a scope that are compared at once; pairs of a scope that one task settles.
+BLOCK, WHOLE = 2048, 1_000_000
 
 
 def image_features(images: DataFrame) -> DataFrame:
@@ -54,46 +60,115 @@ def near_pairs(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     """``a, b`` (a before b by ``rank_key``) within ``most`` differing bits of ``hash`` in one scope.
 
     Equal hashes are expected to be gone. Up to seven bits, pairs come from an
-    equality join on bands (pigeonhole); beyond that bands stop being selective
-    and the join is on the scope alone.
+    equality join on bands (pigeonhole). Beyond that no band is selective: the
+    scope's rows are compared in blocks, two at a time, and only pairs that are
+    near leave a task. (To keep one of each, :func:`near_duplicates` needs no pairs.)
     """
     keyed = rows.select(scope, "rank_key", "hash")
-    if most <= 7:
-        keyed = keyed.withColumn("_b", F.explode(_bands(col("hash"), most))).select(scope, "rank_key", "hash", col("_b.band").alias("band"), col("_b.bits").alias("bits"))
-    on = [scope] + (["band", "bits"] if most <= 7 else [])
+    if most > 7:
+        return _pairs_by_blocks(keyed, most, scope)
+    keyed = keyed.withColumn("_b", F.explode(_bands(col("hash"), most))).select(scope, "rank_key", "hash", col("_b.band").alias("band"), col("_b.bits").alias("bits"))
     other = keyed.withColumnsRenamed({"rank_key": "b", "hash": "hash_b"})
-    pairs = keyed.withColumnRenamed("rank_key", "a").join(other, on).where((col("a") < col("b")) & (C.hamming(col("hash"), col("hash_b")) <= most))
+    pairs = keyed.withColumnRenamed("rank_key", "a").join(other, [scope, "band", "bits"]).where((col("a") < col("b")) & (C.hamming(col("hash"), col("hash_b")) <= most))
     return pairs.select(scope, "a", "b").distinct()
 
 
-def greedy_keep(pairs: DataFrame, nodes: DataFrame, scope: str = "scope", most_rounds: int = 100) -> DataFrame:
+def _pairs_by_blocks(keyed: DataFrame, most: int, scope: str) -> DataFrame:
+    """All pairs of a scope's blocks (of about BLOCK rows, by hashes of the key), each compared in one task."""
+    blocks = keyed.groupBy(scope).agg(F.ceil(F.count(lit(1)) / BLOCK).cast("int").alias("_n"))
+    mine = F.pmod(F.xxhash64("rank_key"), col("_n")).cast("int")
+    dealt = keyed.join(blocks, scope).withColumn("_own", mine).withColumn("_with", F.explode(F.sequence(lit(0), col("_n") - 1)))
+    dealt = dealt.select(scope, F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j"), "_own", "rank_key", "hash")
+    kinds = dict(keyed.dtypes)
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("rank_key")
+        key, block, h = group["rank_key"].combine_chunks(), group["_own"].to_numpy(), group["hash"].to_numpy().view(np.uint64)
+        first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in range(len(h) - 1):
+            near = np.flatnonzero(np.bitwise_count(h[i + 1 :] ^ h[i]) <= most) + i + 1
+            if group["_i"][0] != group["_j"][0]:
+                near = near[block[near] != block[i]]  # pairs within a block are its own group's
+            first.append(np.full(len(near), i))
+            second.append(near)
+        a, b = pa.array(np.concatenate(first)), pa.array(np.concatenate(second))
+        return pa.table({scope: group[scope].take(a), "a": key.take(a), "b": key.take(b)})
+
+    return dealt.groupBy(scope, "_i", "_j").applyInArrow(compare, f"{scope} {kinds[scope]}, a {kinds['rank_key']}, b {kinds['rank_key']}")
+
+
+def greedy_keep(pairs: DataFrame, nodes: DataFrame, scope: str = "scope") -> DataFrame:
     """Nodes (scope, rank_key) that a pass in order keeps: those with no kept neighbour before them.
 
-    Rounds over the pairs alone: what has no undecided neighbour before it stays,
-    its neighbours go. Each round settles at least the first of every chain;
-    isolated nodes never enter.
+    A scope of at most WHOLE pairs is settled in one task, in order. Others go
+    by rounds over the pairs alone, until so few are left: what has no undecided
+    neighbour before it stays, its neighbours go. Isolated nodes never enter.
     """
     left = written(pairs.select(scope, "a", "b"))
-    gone = None
-    for _ in range(most_rounds):
-        if left.isEmpty():
+    gone = []
+    kinds = dict(left.dtypes)
+
+    def in_order(group: pa.Table) -> pa.Table:
+        dead = set()
+        group = group.sort_by("a")
+        for a, b in zip(group["a"].to_pylist(), group["b"].to_pylist(), strict=True):
+            if a not in dead:
+                dead.add(b)
+        return pa.table({scope: group[scope].slice(0, 1).take(pa.array([0] * len(dead), pa.int64())), "rank_key": pa.array(list(dead), group["b"].type)})
+
+    while True:
+        sizes = left.groupBy(scope).agg(F.count(lit(1)).alias("n"))
+        large = sizes.where(col("n") > WHOLE).select(scope)  # one for each WHOLE pairs at most
+        many = large.count()
+        small = left.join(F.broadcast(large), scope, "left_anti") if many else left
+        gone.append(written(small.groupBy(scope).applyInArrow(in_order, f"{scope} {kinds[scope]}, rank_key {kinds['a']}")))
+        if not many:
             break
+        left = left.join(F.broadcast(large), scope, "left_semi")
         free = left.select(scope, "a").distinct().join(left.selectExpr(scope, "b as a").distinct(), [scope, "a"], "left_anti")
-        out = left.join(free, [scope, "a"], "left_semi").selectExpr(scope, "b as rank_key").distinct()
-        out = written(out)
-        gone = out if gone is None else gone.unionByName(out)
-        dead = out.withColumnRenamed("rank_key", "x")
-        left = left.join(dead.withColumnRenamed("x", "a"), [scope, "a"], "left_anti").join(dead.withColumnRenamed("x", "b"), [scope, "b"], "left_anti")
-        left = written(left.join(free, [scope, "a"], "left_anti"))
-    else:
-        raise RuntimeError(f"not settled after {most_rounds} rounds")
-    return nodes if gone is None else nodes.join(gone, [scope, "rank_key"], "left_anti")
+        out = written(left.join(free, [scope, "a"], "left_semi").selectExpr(scope, "b as rank_key").distinct())
+        gone.append(out)
+        rest = left.join(out.withColumnRenamed("rank_key", "a"), [scope, "a"], "left_anti").join(out.withColumnRenamed("rank_key", "b"), [scope, "b"], "left_anti")
+        left = written(rest.join(free, [scope, "a"], "left_anti"))
+    return nodes.join(reduce(DataFrame.unionByName, gone), [scope, "rank_key"], "left_anti")
+
+
+def _keep_by_blocks(first: DataFrame, most: int, scope: str) -> DataFrame:
+    """Nodes that a pass in order keeps, without pairs: the first BLOCK rows of each scope are settled, then what is near one that stays goes.
+
+    Each round settles a block of every scope at least; where neighbours are
+    many, which more than seven bits make them, most rows go in the first ones.
+    """
+    left, kept = first, []
+    kinds = dict(first.dtypes)
+
+    def in_order(group: pa.Table) -> pa.Table:
+        group = group.sort_by("rank_key")
+        h = group["hash"].to_numpy().view(np.uint64)
+        stays = np.ones(len(h), bool)
+        for i in range(len(h)):
+            if stays[i]:
+                stays[i + 1 :] &= np.bitwise_count(h[i + 1 :] ^ h[i]) > most
+        return group.select([scope, "rank_key", "hash"]).filter(pa.array(stays))
+
+    while True:
+        head = left.withColumn("_r", F.row_number().over(Window.partitionBy(scope).orderBy("rank_key"))).where(col("_r") <= BLOCK)
+        block = written(head.select(scope, "rank_key", "hash"))
+        if block.isEmpty():
+            break
+        stays = written(block.groupBy(scope).applyInArrow(in_order, f"{scope} {kinds[scope]}, rank_key {kinds['rank_key']}, hash long"))
+        kept.append(stays)
+        ends = block.groupBy(scope).agg(F.max("rank_key").alias("_end"))
+        near = stays.groupBy(scope).agg(F.collect_list("hash").alias("_kept")).join(ends, scope)  # BLOCK numbers a scope at most
+        left = left.join(near, scope).where((col("rank_key") > col("_end")) & ~F.exists("_kept", lambda h: C.hamming(h, col("hash")) <= most))
+        left = written(left.select(scope, "rank_key", "hash"))
+    return reduce(DataFrame.unionByName, kept).select(scope, "rank_key") if kept else first.select(scope, "rank_key")
 
 
 def near_duplicates(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     """``rows`` (scope, rank_key, hash) that the greedy pass keeps; equal hashes first give way to the least."""
     first = written(rows.groupBy(scope, "hash").agg(F.min("rank_key").alias("rank_key")))
-    kept = greedy_keep(near_pairs(first, most, scope), first.select(scope, "rank_key"), scope)
+    kept = _keep_by_blocks(first, most, scope) if most > 7 else greedy_keep(near_pairs(first, most, scope), first.select(scope, "rank_key"), scope)
     return rows.join(kept, [scope, "rank_key"], "left_semi")
 
 

@@ -5,13 +5,8 @@ Fetching itself is outside; parsers are functions of payload columns.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import columns as C
 
@@ -112,37 +107,6 @@ def occurrences(payload: DataFrame, hosts: list[str], column: str = "body") -> D
     return rows.withColumns({"images": F.transform("m", lambda m: m["identifier"]), "captions": F.transform("m", lambda m: C.first_filled(m["title"], col("r.scientificName"))), "page_url": C.first_filled(col("r.references"), col("r.occurrenceID"))}).drop("m", "r", column)
 
 
-class _Links(HTMLParser):
-    def __init__(self):
-        super().__init__()
-        self.links, self.images = [], []
-
-    def handle_starttag(self, tag, attrs):
-        d = dict(attrs)
-        if tag == "a" and d.get("href"):
-            self.links.append(d["href"])
-        if tag == "img" and (d.get("src") or d.get("data-src")):
-            self.images.append(d.get("src") or d.get("data-src"))
-
-
-def page_links(pages: DataFrame) -> DataFrame:
-    """``page_id, url, pos, link``: absolute targets of the links of each page (page_id, url, html), by an HTML parser."""
-    from urllib.parse import urljoin
-
-    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("pos", T.IntegerType()), T.StructField("link", T.StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for i, u, h in b.itertuples(index=False):
-                p = _Links()
-                p.feed(h or "")
-                out += [(i, u, k, urljoin(u or "", x)) for k, x in enumerate(p.links)]
-            yield pd.DataFrame(out, columns=schema.names)
-
-    return pages.select("page_id", "url", "html").mapInPandas(run, schema)
-
-
 def stored_path(query: Column, source: Column, url: Column) -> Column:
     """``<query>/<source>/<sha1 of the URL>.jpg``."""
     return F.concat_ws("/", C.component(query, "unknown_query"), C.component(source, "unknown_source"), F.concat(F.sha1(url), lit(".jpg")))

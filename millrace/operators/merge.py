@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import ontology as O
+from ..shared import written
 
 lit, col = F.lit, F.col
+#: Decisions on so many classes (some 100 bytes each) are broadcast; more are joined by shuffling.
+MOST_SENT = 50_000
 
 
 def existing_folders(files: DataFrame, column: str = "dir") -> DataFrame:
@@ -24,17 +27,20 @@ def choose_folder(classes: DataFrame, existing: DataFrame, aliases: DataFrame, c
     """``dest`` and ``existed`` of each source class.
 
     In this order: an alias (bound to an existing folder of that name), an
-    existing folder, one without the class's last ``s``, a new folder.
+    existing folder, one without the class's last ``s``, a new folder. It is
+    decided once for each distinct class, not for each row.
     """
-    norm = C.source_class(col(column))
-    rows = classes.withColumn("_norm", norm).withColumn("key", F.lower("_norm"))
+    named = classes.select(col(column).alias("_class")).distinct().withColumn("_norm", C.source_class(col("_class"))).withColumn("key", F.lower("_norm"))
     e = lambda name, key: existing.select(col("key").alias(key), col("folder").alias(name))
-    rows = rows.join(F.broadcast(aliases), "key", "left").withColumn("_alias_key", F.lower("alias"))
-    rows = rows.join(e("_bound", "_alias_key"), "_alias_key", "left").join(e("_same", "key"), "key", "left")
-    rows = rows.withColumn("_one", F.when(col("key").endswith("s"), F.substring(col("key"), lit(1), F.char_length("key") - 1))).join(e("_single", "_one"), "_one", "left")
+    named = named.join(F.broadcast(aliases), "key", "left").withColumn("_alias_key", F.lower("alias"))
+    named = named.join(e("_bound", "_alias_key"), "_alias_key", "left").join(e("_same", "key"), "key", "left")
+    named = named.withColumn("_one", F.when(col("key").endswith("s"), F.substring(col("key"), lit(1), F.char_length("key") - 1))).join(e("_single", "_one"), "_one", "left")
     found = F.coalesce("_bound", "alias", "_same", "_single", C.folder_name(col("_norm")))
     existed = F.when(col("alias").isNotNull(), col("_bound").isNotNull()).otherwise(F.coalesce("_same", "_single").isNotNull())
-    return rows.withColumns({"dest": found, "existed": existed}).select(*classes.columns, "dest", "existed")
+    decided = written(named.select("_class", found.alias("dest"), existed.alias("existed")))
+    if decided.limit(MOST_SENT + 1).count() <= MOST_SENT:
+        decided = F.broadcast(decided)
+    return classes.join(decided, col(column).eqNullSafe(col("_class")), "left").select(*classes.columns, "dest", "existed")
 
 
 def unmapped_classes(classes: DataFrame, names: DataFrame) -> DataFrame:

@@ -17,6 +17,11 @@ def check_ratios(ratios: tuple[float, float, float]) -> None:
         raise ValueError("ratios must sum to 1")
 
 
+def valid_ratios(train: Column, val: Column, test: Column) -> Column:
+    """Whether each row's ratios sum to 1, as :func:`check_ratios` asks."""
+    return F.abs(train + val + test - 1) <= 1e-6
+
+
 def class_table(spark: SparkSession, names: dict[str, str] = O.CLASS_NAMES) -> DataFrame:
     return spark.createDataFrame(list(names.items()), "raw string, canonical string")
 

@@ -15,7 +15,9 @@ from ..functions import columns as C
 from ..functions import imaging as I
 from ..functions import ontology as O
 from ..operators import dedupe, ingest, merge, review, samples, verify
+from ..shared import fresh_folder
 from ..sources import files as S
+from ..sources import markup as M
 from ..sources import sinks as K
 from .fixtures import CLASSES, FILES, GRIDS, ROOTS, files, grids, pick_sql, table
 
@@ -95,13 +97,20 @@ def s11(spark, d):
     return review.case_folded(n.select(col("n_name").alias("raw"), col("r_name").alias("canonical")))
 
 
+def _as_csv(rows: DataFrame) -> DataFrame:
+    """``rows`` written as CSV files with headers, and read by the engine's reader."""
+    folder = fresh_folder(rows.sparkSession)
+    rows.write.option("header", "true").csv(folder)
+    return S.read_table(rows.sparkSession, folder)
+
+
 def _hot2020(spark, d):
     lab = table(spark, d, "labels").select("doc_id", col("toxic").cast("string").alias("rust"), col("quality").cast("string").alias("healthy"), F.when(col("doc_id") % 3 == 0, "1").otherwise("0").alias("scab"), F.when(col("doc_id") % 5 == 0, "1").otherwise("0").alias("multiple_diseases"))
     return lab.withColumn("image_id", F.concat(lit("Train_"), "doc_id"))
 
 
 HOT = "hot as (select doc_id, 'Train_' || doc_id as image_id, toxic::varchar as rust, quality::varchar as healthy, case when doc_id % 3 = 0 then '1' else '0' end as scab, case when doc_id % 5 = 0 then '1' else '0' end as multiple_diseases from labels)"
-query("s12_one_hot_rows", f"with {HOT} select image_id, healthy, multiple_diseases, rust, scab from hot")(lambda s, d: _hot2020(s, d).select("image_id", "healthy", "multiple_diseases", "rust", "scab"))
+query("s12_one_hot_rows", f"with {HOT} select image_id, healthy, multiple_diseases, rust, scab from hot")(lambda s, d: _as_csv(_hot2020(s, d).select("image_id", "healthy", "multiple_diseases", "rust", "scab")))
 
 
 def _words2021(spark, d):
@@ -110,7 +119,7 @@ def _words2021(spark, d):
 
 
 WORDS = "words as (select doc_id, doc_id || '.jpg' as image, concat_ws(' ', case when quality = 1 then 'healthy' end, case when toxic = 1 then 'rust' end, case when doc_id % 3 = 0 then 'scab' end, case when doc_id % 9 = 0 then 'scab' end) as labels from labels)"
-query("s13_label_rows", f"with {WORDS} select image, labels from words")(lambda s, d: _words2021(s, d).select("image", "labels"))
+query("s13_label_rows", f"with {WORDS} select image, nullif(labels, '') as labels from words")(lambda s, d: _as_csv(_words2021(s, d).select("image", "labels")))
 
 
 @query("s14_side_labels", "select 'p/' || doc_id as path, list_filter(string_split(case when toxic = 1 then 'rust scab' else 'healthy' end, ' '), lambda x: x <> '') as multi_labels from labels")
@@ -146,7 +155,7 @@ def _sites(spark, d):
     return S.sites(table(spark, d, "supplier").select(F.to_json(F.array(one)).alias("value")))
 
 
-SITES = "sites as (select s_name as name, (['html', 'api', 'commons', 'gbif', 'ftp'])[s_suppkey % 5 + 1] as type, case when s_suppkey % 7 = 0 then false when s_suppkey % 2 = 0 then true end as enabled, (s_suppkey % 3)::int as max_pages from supplier where s_suppkey <= 40)"
+SITES = "sites as (select s_name as name, (['html', 'api', 'commons', 'gbif', 'ftp'])[s_suppkey % 5 + 1] as type, case when s_suppkey % 7 = 0 then false when s_suppkey % 2 = 0 then true end as enabled, (s_suppkey % 3)::int as max_pages from supplier)"
 query("s18_sites", f"with {SITES} select * from sites")(lambda s, d: _sites(s, d).select("name", "type", "enabled", "max_pages"))
 
 
@@ -157,11 +166,23 @@ def _tile_pages(spark, d):
     return p.select("page_id", F.concat(lit('<div><a class="iusc x" href="#" m="'), esc, lit('">i</a><a class="other" m="no"></a></div>')).alias("html"))
 
 
+def _tiles(spark, d):
+    """A tile's JSON for each event: fields empty, missing or not numbers by residue."""
+    k = col("event_id") % 3
+    one = F.struct(F.when(col("event_id") % 4 != 0, F.concat(lit("u"), "event_id")).alias("murl"), F.when(k == 0, "p").otherwise("").alias("purl"), F.when(k == 1, "s").when(k == 0, "no").alias("surl"), F.when(k == 0, "d").alias("desc"), F.when(k < 2, "t").otherwise("").alias("t"), F.when(col("event_id") % 2 == 0, (col("event_id") % 1000).cast("string")).otherwise("wide").alias("w"))
+    return table(spark, d, "events").select("event_id", F.to_json(one).alias("m"))
+
+
 TILES = "select page_id, url as image_url, case when page_id % 4 = 0 then 'https://s' else url || '/p' end as page_url, 't & ' || page_id as caption, null::varchar as thumbnail_url, (page_id * 3)::int as width, null::int as height, '12 kB' as size from pages where page_id % 6 > 1"
 query("s19_search_tiles", TILES)(lambda s, d: ingest.tiles(S.page_tiles(_tile_pages(s, d))))
-query("p48_tile_fields", TILES)(lambda s, d: ingest.tiles(S.page_tiles(_tile_pages(s, d))))
+query("p48_tile_fields", "select event_id, 'u' || event_id as image_url, case event_id % 3 when 0 then 'p' when 1 then 's' end as page_url, case event_id % 3 when 0 then 'd' when 1 then 't' end as caption, case when event_id % 2 = 0 then (event_id % 1000)::int end as width, null::int as height from events where event_id % 4 <> 0")(lambda s, d: ingest.tiles(_tiles(s, d)).select("event_id", "image_url", "page_url", "caption", "width", "height"))
 query("f09_bad_tiles", "select count(*) as n from pages where page_id % 6 > 1")(lambda s, d: ingest.tiles(S.page_tiles(_tile_pages(s, d))).agg(F.count(lit(1)).alias("n")))
-query("s20_page_links", None)(lambda s, d: ingest.page_links(table(s, d, "pages")))
+LISTING = {"listing_selector": "nav > ul > li", "link_selector": "a::attr(href)", "title_selector": "a::text", "next_page_selector": "nav li a[href]::attr(href)"}
+GALLERY = {"gallery_selector": "nav li a, article img", "original_attr": "href", "thumbnail_attr": "src", "caption_attrs": ["title", "href"], "filters": {"allow_substrings": ["a", "é"], "deny_substrings": ["the", "Th"]}}
+SITE_OF = "regexp_extract(url, '^[a-z]+://[^/]+', 0)"
+LINKED = f"linked as (select page_id, url, list_transform(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href=\"([^\"]*)\">', 1), lambda x: replace(x, '&amp;', '&')) as hrefs, list_transform(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href=\"[^\"]*\">([^<]*)</a>', 1), lambda x: nullif(trim(replace(x, '&amp;', '&')), '')) as texts from pages)"
+query("s20_search_results", f"with {LINKED} select page_id, url, i as pos, {SITE_OF} || hrefs[i + 1] as link, texts[i + 1] as title, null::varchar as snippet, {SITE_OF} || hrefs[1] as next_page from (select *, unnest(range(len(hrefs)))::int as i from linked)")(lambda s, d: M.search_results(table(s, d, "pages"), LISTING))
+query("s20_detail_images", f"with {LINKED}, found as (select page_id, url, list_filter(list_transform(hrefs, lambda x: {SITE_OF} || x), lambda x: (contains(x, 'a') or contains(x, 'é')) and not contains(x, 'the') and not contains(x, 'Th')) as images from linked) select page_id, url, images, images as thumbnails, list_transform(images, lambda x: substr(x, length({SITE_OF}) + 1)) as captions from found where len(images) > 0")(lambda s, d: M.detail_images(table(s, d, "pages"), GALLERY))
 
 
 def _observations(spark, d):
@@ -203,7 +224,21 @@ OCC = """occ as (select event_id, event_type, images, list_transform(images, lam
   select event_id, event_type, list_filter((['https://a.org/' || event_id || '/0.jpg', 'https://b.org/' || event_id || '/1.jpg', 'https://a.org/' || event_id || '/2.jpg', 'https://c.org:8080/' || event_id || '/3.jpg'])[1:event_id % 5], lambda x: not contains(x, 'b.org')) as images from events) where len(images) > 0)"""
 query("s23_occurrences", f"with {OCC} select event_id, event_type, 0 as pos, images, captions, page_url from occ")(lambda s, d: ingest.occurrences(_occurrences(s, d), HOSTS))
 query("f06_media_hosts", f"with {OCC} select sum(len(images))::bigint as n from occ")(lambda s, d: ingest.occurrences(_occurrences(s, d), HOSTS).agg(F.sum(F.size("images")).alias("n")))
-query("s24_decode_errors", "select vec_id, vec_id % 9 = 0 as error from embeddings")(lambda s, d: grids(s, d).select("vec_id", F.when(col("vec_id") % 9 == 0, F.array().cast("array<double>")).otherwise(col("px")).alias("px")).select("vec_id", (F.size("px") == 0).alias("error")))
+
+
+def _pictures(spark, d):
+    """A black and white picture (WBMP, whose bytes are plain characters here) for each nation, some of them broken, as files."""
+    head = F.concat(*[F.char(x) for x in (lit(0), lit(0), lit(16), (col("n_nationkey") + 1).cast("int"))])
+    body = F.repeat(F.concat(F.char(lit(127)), F.char(lit(85))), (col("n_nationkey") + 1).cast("int"))
+    folder = fresh_folder(spark)
+    pixels = F.when(col("n_nationkey") % 9 == 4, lit("no picture")).otherwise(F.concat(head, F.substring(body, lit(1), F.char_length(body) - 1)))
+    # The writer ends a line with the last byte of the picture.
+    table(spark, d, "nation").select("n_nationkey", pixels.alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").option("lineSep", "U").text(folder)
+    rows = dedupe.image_features(S.read_images(spark, folder))
+    return rows.withColumn("n_nationkey", F.regexp_extract("path", r"n_nationkey=(\d+)", 1).cast("int"))
+
+
+query("s24_decode_errors", "select n_nationkey, n_nationkey % 9 = 4 as error, case when n_nationkey % 9 = 4 then -1 else 16 end as w, case when n_nationkey % 9 = 4 then -1 else n_nationkey + 1 end as h from nation")(lambda s, d: _pictures(s, d).select("n_nationkey", "error", "w", "h"))
 
 
 def _answers(spark, d):
@@ -336,8 +371,8 @@ def _sharp(spark, d):
     return grids(spark, d).select("vec_id", I.laplacian_variance(col("px"), 8, 8).alias("lap"), I.tenengrad(col("px"), 8, 8).alias("ten"))
 
 
-query("p13_size_filter", "select p_partkey, p_size < 10 or p_retailprice < 1000 as small from part")(lambda s, d: table(s, d, "part").select("p_partkey", C.is_small(col("p_size"), col("p_retailprice"), 10, 1000).alias("small")))
-query("f14_scrape_size", "select p_partkey from part where p_size >= 10 and p_retailprice >= 1000")(lambda s, d: table(s, d, "part").where(~C.is_small(col("p_size"), col("p_retailprice"), 10, 1000)).select("p_partkey"))
+query("p13_size_filter", "select p_partkey, p_size < 10 or p_retailprice < 910 as small from part")(lambda s, d: table(s, d, "part").select("p_partkey", C.is_small(col("p_size"), col("p_retailprice"), 10, 910).alias("small")))
+query("f14_scrape_size", "select p_partkey from part where p_size >= 10 and p_retailprice >= 910")(lambda s, d: table(s, d, "part").where(~C.is_small(col("p_size"), col("p_retailprice"), 10, 910)).select("p_partkey"))
 query("p14_laplacian", f"with {GRIDS}, {SHARP} select vec_id, round(lap, 6) as lap from sharp")(lambda s, d: _sharp(s, d).select("vec_id", F.round("lap", 6).alias("lap")))
 query("p15_tenengrad", f"with {GRIDS}, {SHARP} select vec_id, round(ten, 6) as ten from sharp")(lambda s, d: _sharp(s, d).select("vec_id", F.round("ten", 6).alias("ten")))
 query("p16_blur", f"with {GRIDS}, {SHARP} select vec_id, lap < 0.3 as l, ten < 0.2 as t, lap < 0.3 and ten < 0.2 as b from sharp")(lambda s, d: _sharp(s, d).select("vec_id", *[C.is_blurred(m, col("lap"), col("ten"), 0.3, 0.2).alias(m[0]) for m in ("laplacian", "tenengrad", "both")]))
@@ -353,6 +388,16 @@ def _hashed(spark, d):
 
 
 query("p18_median_hash", f"with {GRIDS}, {HASHED} select vec_id, hash from hashed")(lambda s, d: _hashed(s, d).select("vec_id", "hash"))
+
+
+def _pixels(spark, d):
+    """32 x 32 pixels from each embedding."""
+    px = F.transform(F.sequence(lit(0), lit(1023)), lambda i: F.element_at("px", (i % 61 + 1).cast("int")) * (1 + i % 47))
+    return grids(spark, d).select("vec_id", px.alias("pixels"))
+
+
+LOW = "low as (select vec_id, u, v, abs(sum(px[i % 61 + 1] * (1 + i % 47) * cos(2 * pi() * ((u * (i // 32) + v * (i % 32)) % 32) / 32))) as f from grids, range(1024) a(i), range(8) b(u), range(8) c(v) group by all)"
+query("p18_frequency_hash", f"with {GRIDS}, {LOW}, ranked as (select *, median(f) over (partition by vec_id) as m from low) select vec_id, sum(case when f >= m then case when u = 7 and v = 7 then -9223372036854775808::hugeint else (1::hugeint << (u * 8 + v)::int)::hugeint end else 0 end)::bigint as hash from ranked group by vec_id")(lambda s, d: _pixels(s, d).select("vec_id", I.frequency_hash(col("pixels")).alias("hash")))
 query("p19_hamming", f"with {GRIDS}, {HASHED} select a.vec_id as a, b.vec_id as b, bit_count(xor(a.hash, b.hash))::int as bits from hashed a join hashed b on b.vec_id = a.vec_id + 1")(
     lambda s, d: _hashed(s, d).select(col("vec_id").alias("a"), col("hash").alias("ha"), (col("vec_id") + 1).alias("b")).join(_hashed(s, d).select(col("vec_id").alias("b"), col("hash").alias("hb")), "b").select("a", "b", C.hamming(col("ha"), col("hb")).alias("bits"))
 )

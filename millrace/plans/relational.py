@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import ontology as O
 from ..operators import dedupe, ingest, merge, review, samples, verify
+from ..operators.order import places
 from ..sources import sinks as K
 from ..sources import files as S
 from .core import ALIAS, BUILT, CHOSEN, CLASSED, CANON, GRIDS, HASHED, IMG, IMG5, ITEMS, LEAF20, SITES, TAGGED, TRASHED, _built, _chosen, _classed, _hashed, _items, _leaf2020, _sites, _trash_manifest, of_files, query, rows_of
@@ -52,7 +53,9 @@ def _judged(spark, d):
 
 
 query("f12_accept_reject", f"with {FILES} select path as src, case when doc_id % 5 > 0 and doc_id % 2 = 0 then 'sidecar' else 'move' end as op, case when doc_id % 5 > 0 and doc_id % 2 = 0 then regexp_replace(path, '\\.[^./]*$', '') || '.json' else '.rejected_by_llm/' || case when doc_id % 3 = 0 then root || '_x' else class_raw end || '/' || name end as dst from files")(lambda s, d: verify.route(_judged(s, d)))
-query("f13_ratios", "select 0.8::double as train, 0.1::double as val")(lambda s, d: (samples.check_ratios((0.8, 0.1, 0.1)), s.range(1).select(lit(0.8).alias("train"), lit(0.1).alias("val")))[1])
+query("f13_ratios", "select p_partkey, abs(p_size / 50e0 + (50 - p_size) / 100e0 + case when p_partkey % 3 = 0 then 0.5e0 - p_size / 100e0 else 0.25e0 end - 1) <= 1e-6 as valid from part")(
+    lambda s, d: table(s, d, "part").select("p_partkey", samples.valid_ratios(col("p_size") / 50, (50 - col("p_size")) / 100, F.when(col("p_partkey") % 3 == 0, 0.5 - col("p_size") / 100).otherwise(0.25)).alias("valid"))
+)
 
 # ---------------------------------------------------------------- joins
 
@@ -73,9 +76,16 @@ def _ranked(spark, d):
 
 PAIRS = f"{GRIDS}, {HASHED}, pairs as (select a.label as scope, a.vec_id as a, b.vec_id as b from hashed a join hashed b on a.label = b.label and a.vec_id < b.vec_id and bit_count(xor(a.hash, b.hash)) <= 22)"
 query("j08_near_pairs", f"with {PAIRS} select * from pairs")(lambda s, d: dedupe.near_pairs(_ranked(s, d), 22))
-query("j08_near_pairs_by_bands", "with h as (select event_id as rank_key, (user_id % 3)::int as scope, (event_id * 2654435761) % 1048576 as hash from events where event_id < 4000) select a.scope, a.rank_key as a, b.rank_key as b from h a join h b on a.scope = b.scope and a.rank_key < b.rank_key and bit_count(xor(a.hash, b.hash)) <= 1")(
-    lambda s, d: dedupe.near_pairs(table(s, d, "events").select(col("event_id").alias("rank_key"), (col("user_id") % 3).cast("int").alias("scope"), ((col("event_id") * 2654435761) % 1048576).alias("hash")), 1)
-)
+
+
+def _event_hashes(spark, d):
+    """Events in pairs of hashes one bit apart, where both are of one scope."""
+    base = (F.floor(col("event_id") / 2) * 2654435761) % 1048576
+    return table(spark, d, "events").select(col("event_id").alias("rank_key"), (col("user_id") % 3).cast("int").alias("scope"), (base * 2 + col("event_id") % 2).cast("long").alias("hash"))
+
+
+EVENT_HASHES = "h as (select event_id as rank_key, (user_id % 3)::int as scope, (((event_id // 2) * 2654435761) % 1048576) * 2 + event_id % 2 as hash from events)"
+query("j08_near_pairs_by_bands", f"with {EVENT_HASHES} select a.scope, a.rank_key as a, b.rank_key as b from h a join h b on a.scope = b.scope and a.rank_key < b.rank_key and bit_count(xor(a.hash, b.hash)) <= 1")(lambda s, d: dedupe.near_pairs(_event_hashes(s, d), 1))
 query("j08_greedy_keep", f"""with recursive {GRIDS}, {HASHED}, h as (select label, vec_id, hash, row_number() over (partition by label order by vec_id) as k from (select label, hash, min(vec_id) as vec_id from hashed group by label, hash)),
   kept(label, k, hashes, ids) as (
     select label, 0::bigint, []::bigint[], []::bigint[] from (select distinct label from h)
@@ -150,7 +160,7 @@ query("a12_running_counters", "select event_id, sum(1) over (partition by event_
 
 
 def _rescued(spark, d):
-    rows = files(spark, d).where(F.contains("path", lit("/.trash/"))).select(F.regexp_replace(F.substring("path", 10, 1000), "[0-9a-f]{30}", "").alias("rel"), (col("doc_id") % 101).cast("double").alias("laplacian"), (col("doc_id") % 1009).cast("double").alias("tenengrad"))
+    rows = files(spark, d).where(F.contains("path", lit("/.trash/"))).select(F.regexp_replace(F.substring(col("path"), lit(10), F.char_length("path")), "[0-9a-f]{30}", "").alias("rel"), (col("doc_id") % 101).cast("double").alias("laplacian"), (col("doc_id") % 1009).cast("double").alias("tenengrad"))
     present = rows.where("laplacian > 70").select(C.restored_path(col("rel")).alias("path"))
     return rows, present
 
@@ -182,7 +192,7 @@ query("a17_model_descriptions", f"{BUILT} select path as image, s.lang as lang,
 
 E = lambda s, d: table(s, d, "events")
 query("w03_links_per_site", "select event_id from (select event_id, row_number() over (partition by event_type, user_id order by ts, event_id) as r from events) where r <= 2")(lambda s, d: ingest.first_n(E(s, d), F.least(lit(2), lit(5)), ["event_type", "user_id"], ["ts", "event_id"]).select("event_id"))
-query("w04_entries_with_images", "select event_id from (select event_id, row_number() over (partition by event_type order by ts, event_id) as r from events where event_id % 3 > 0) where r <= 20")(lambda s, d: ingest.first_n(E(s, d).where("event_id % 3 > 0"), lit(20), ["event_type"], ["ts", "event_id"]).select("event_id"))
+query("w04_entries_with_images", "select event_id from (select event_id, row_number() over (partition by event_type order by ts, event_id) as r from (select event_id, event_type, ts, ([1, 2, 3, 4])[1:event_id % 5] as images from events) where len(images) > 0) where r <= 20")(lambda s, d: ingest.first_n(_with_images(s, d).where(F.size("images") > 0), lit(20), ["event_type"], ["ts", "event_id"]).select("event_id"))
 query("w05_pages_with_urls", "select event_id from (select event_id, row_number() over (partition by event_type order by page, event_id) as r from (select *, event_id % 7 as page from events where value > 10)) where r <= 60")(lambda s, d: ingest.first_n(E(s, d).where("value > 10").withColumn("page", col("event_id") % 7), lit(60), ["event_type"], ["page", "event_id"]).select("event_id"))
 IMAGES = "select event_id, event_type, ts, ([1, 2, 3, 4])[1:event_id % 5] as images from events"
 
@@ -194,20 +204,9 @@ def _with_images(s, d):
 CAPPED = f"select event_id, images[1:(50 - before)::bigint] as images from (select *, coalesce(sum(len(images)) over (partition by event_type order by ts, event_id rows between unbounded preceding and 1 preceding), 0) as before from ({IMAGES})) where before < 50 and len(images) > 0"
 query("w06_image_cap", CAPPED)(lambda s, d: ingest.cap_images(_with_images(s, d), 50, ["event_type"], ["ts", "event_id"]).select("event_id", "images"))
 query("o05_quota_slices", f"select sum(len(images))::bigint as n from ({CAPPED})")(lambda s, d: ingest.cap_images(_with_images(s, d), 50, ["event_type"], ["ts", "event_id"]).agg(F.sum(F.size("images")).alias("n")))
-query("o01_sorted_manifest", f"with {TRASHED} select id, row_number() over (order by keyword, path) as at from trashed")(lambda s, d: _sorted(_trash_manifest(s, d)))
-
-
-def _sorted(items):
-    """Places in the sorted manifest, from counts by keyword and places within it: no single task sorts all."""
-    from pyspark.sql import Window
-
-    n = items.groupBy("keyword").agg(F.count(lit(1)).alias("n")).selectExpr("keyword", "coalesce(sum(n) over (order by keyword rows between unbounded preceding and 1 preceding), 0) as before")  # a row for each class
-    at = F.row_number().over(Window.partitionBy("keyword").orderBy("path"))
-    return items.withColumn("at", at).join(n, "keyword").select("id", (col("at") + col("before")).alias("at"))
-
-
+query("o01_sorted_manifest", f"with {TRASHED} select id, row_number() over (order by keyword, path) as at from trashed")(lambda s, d: places(_trash_manifest(s, d), ["keyword", "path"]).select("id", "at"))
 query("o02_sorted_classes", f"with {FILES} select list_sort(list_distinct(list(class_raw))) as classes from files")(lambda s, d: files(s, d).agg(F.array_sort(F.collect_set("class_raw")).alias("classes")))
-query("o03_group_order", f"with {FILES} select path, (row_number() over (partition by root order by name, path))::int as at from files")(lambda s, d: files(s, d).selectExpr("path", "row_number() over (partition by root order by name, path) as at"))
+query("o03_group_order", f"with {FILES} select path, (row_number() over (partition by root order by name, path))::int as at from files")(lambda s, d: places(files(s, d).select("root", "name", "path"), ["name", "path"], ("root",)).select("path", col("at").cast("int").alias("at")))
 query("o04_collated_order", None)(lambda s, d: files(s, d).select("class_raw").distinct().orderBy(F.collate("class_raw", "UNICODE")))
 query("o06_key_limits", "select event_id from (select event_id, row_number() over (partition by user_id order by event_id) as r from events) where r <= 3")(lambda s, d: ingest.first_n(E(s, d), lit(3), ["user_id"], ["event_id"]).select("event_id"))
 query("u02_merged_params", "select event_id, ['a=1', 'b=' || event_id, 'c=3'] as params from events")(lambda s, d: _merged(s, d))
@@ -233,7 +232,7 @@ JSON = """case when root = 'diseases' then case when s.task = 'vqa' then to_json
 query("k01_sample_lines", f"{BUILT} select ({JSON})::varchar as value from made")(lambda s, d: samples.sample_json(_built(s, d)))
 query("k02_merge_report", f"with {REPORT} select to_json({{classes_total: count(*), total_copied: sum(n)::bigint, skipped_non_image: sum(other)::bigint}})::varchar as value from by_dest")(lambda s, d: K.report_json(merge.report(_reported(s, d)).select("classes_total", "total_copied", "skipped_non_image")))
 query("k03_report_counts", f"with {REPORT} select dest, n from by_dest")(lambda s, d: merge.report(_reported(s, d)).select(F.explode("counts").alias("dest", "n")))
-query("k04_manifest_script", f"with {TRASHED} select count(*) as n, min(path) as first from trashed")(lambda s, d: S.review_entries(K.manifest_script(_trash_manifest(s, d)), wrapped=True).agg(F.count(lit(1)).alias("n"), F.min("path").alias("first")))
+query("k04_manifest_script", f"with {TRASHED} select 'const pestReviewManifest = [' || string_agg(case when trash_reason is null then to_json({{id: id, keyword: keyword, source: source, path: path, in_trash: in_trash}})::varchar else to_json({{id: id, keyword: keyword, source: source, path: path, in_trash: in_trash, trash_reason: trash_reason}})::varchar end, ',' order by keyword, path, id) || '];' || chr(10) as value from trashed")(lambda s, d: K.manifest_script(_trash_manifest(s, d)))
 query("k05_sidecars", f"with {FILES} select regexp_replace(path, '\\.[^./]*$', '') || '.json' as path, to_json({{is_match: true, actual_class: case when doc_id % 3 = 0 then upper(root) || '! x' end}})::varchar as value from files where doc_id % 5 > 0 and doc_id % 2 = 0")(lambda s, d: K.sidecars(_judged(s, d)))
 query("k06_stored_paths", "select page_id, 'k ' || page_id || '/unknown_source/' || sha1(url) || '.jpg' as stored from pages")(lambda s, d: K.downloaded_path(table(s, d, "pages").select("page_id", "url", F.concat(lit("k? "), "page_id").alias("query"), lit("!!").alias("source"))).select("page_id", "stored"))
 query("k07_copy_plan", f"with {STATUS} select src from st where status = 'copied'")(lambda s, d: merge.copy_status(_copies(s, d), _taken(s, d)).where("status = 'copied'").select("src"))

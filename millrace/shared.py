@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -9,16 +11,47 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a session without it (a local test) gets a temporary one."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    A session without it gets a temporary one if it runs in this process alone
+    (``local[...]``, as in tests); on a cluster it is refused, as executors
+    would each write to a disk of their own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir isn't set: intermediate tables need a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def _delete(jvm, conf, path: str) -> None:
+    try:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    except Exception:  # the session may already be gone; the files are then left to its owner
+        pass
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is put there goes when the session ends."""
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    atexit.register(_delete, sc._jvm, sc._jsc.hadoopConfiguration(), path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read again: its lineage is cut, and what it does is done once."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files behind a table that :func:`written` made."""
+    sc = df.sparkSession.sparkContext
+    _delete(sc._jvm, sc._jsc.hadoopConfiguration(), df._written_to)

@@ -16,7 +16,10 @@ from millrace.functions import columns as C
 from millrace.functions import imaging as I
 from millrace.functions import ontology as O
 from millrace.operators import dedupe, ingest, merge, review, samples, verify
+from millrace.operators.order import places
+from millrace.shared import shared_folder
 from millrace.sources import files as S
+from millrace.sources import markup as S_markup
 from millrace.sources import sinks as K
 
 
@@ -121,6 +124,61 @@ def test_long_chain_settles(spark):
     assert {r.rank_key for r in dedupe.greedy_keep(pairs, nodes).collect()} == {f"{i:03d}" for i in range(0, 41, 2)}
 
 
+def test_chain_of_a_thousand(spark, monkeypatch):
+    """In one task, and by rounds until few enough pairs are left."""
+    pairs = spark.createDataFrame([("s", i, i + 1) for i in range(1000)] + [("t", i, i + 1) for i in range(20)], "scope string, a long, b long")
+    nodes = spark.createDataFrame([("s", i) for i in range(1001)] + [("t", i) for i in range(30)], "scope string, rank_key long")
+    want = {("s", i) for i in range(0, 1001, 2)} | {("t", i) for i in range(0, 21, 2)} | {("t", i) for i in range(21, 30)}
+    for whole in (dedupe.WHOLE, 990):
+        monkeypatch.setattr(dedupe, "WHOLE", whole)
+        assert {tuple(r) for r in dedupe.greedy_keep(pairs, nodes).collect()} == want
+
+
+@pytest.mark.parametrize("most", [9, 22])
+def test_many_bits_by_blocks(spark, monkeypatch, most):
+    """Pairs and the greedy pass over blocks far smaller than a scope."""
+    monkeypatch.setattr(dedupe, "BLOCK", 7)
+    rnd = random.Random(most)
+    rows = list({h: (f"s{i % 2}", i, h) for i in range(90) for h in [rnd.getrandbits(64) >> rnd.choice([0, 0, 20]) << 5 & 2**64 - 1]}.values())
+    df = spark.createDataFrame([(s, k, h - 2**64 if h >= 2**63 else h) for s, k, h in rows], "scope string, rank_key long, hash long")
+    got = [tuple(r) for r in dedupe.near_pairs(df, most).collect()]
+    assert sorted(got) == sorted((s, a, b) for s, a, h in rows for z, b, g in rows if s == z and a < b and (h ^ g).bit_count() <= most)
+    assert {tuple(r) for r in dedupe.near_duplicates(df, most).select("scope", "rank_key").collect()} == greedy(rows, most)
+
+
+@pytest.mark.parametrize("n", [0, 1, 300])
+def test_places(spark, n):
+    rnd = random.Random(n)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), f"k{rnd.randrange(50):02d}", i) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, k string, i long")
+    at = {r.i: r.at for r in places(df, ["k", "i"]).collect()}
+    assert [i for i, _ in sorted(at.items(), key=lambda x: x[1])] == [i for *_, i in sorted(rows, key=lambda r: r[1:])] and sorted(at.values()) == list(range(1, n + 1))
+    within = {r.i: r.at for r in places(df, ["k", "i"], ("g",)).collect()}
+    for g in {r[0] for r in rows}:
+        assert [within[i] for *_, i in sorted((r for r in rows if r[0] == g), key=lambda r: r[1:])] == list(range(1, sum(r[0] == g for r in rows) + 1))
+
+
+def test_selectors(spark):
+    html = """<html><body><ul class="list wide"><li class=item><a href="/a?x=1&amp;y=2" title=" T  1 ">One <b>bold</b></a><p class="s">first<p class="s">second</li>
+      <li class="item"><a>no link</a></li><li class="item"><a href="b.html">Two</a></li></ul><a id=next href="?page=2">more</a>
+      <div class=gallery><img src="/t/1.jpg" data-big="/b/1.jpg" alt="A"><img src="/t/logo.png"><img src="/t/2.jpg" alt=" "></div></body></html>"""
+    pages = spark.createDataFrame([(1, "https://h.org/s/", html), (2, "https://h.org/", None), (3, None, "<p>x")], "page_id long, url string, html string")
+    found = S_markup.search_results(pages, {"listing_selector": "ul.list > li.item", "link_selector": "a::attr(href)", "title_selector": "a::text", "snippet_selector": "p.s::text, i::text", "next_page_selector": "#next::attr(href)"}).orderBy("pos").collect()
+    assert [tuple(r)[2:] for r in found] == [(0, "https://h.org/a?x=1&y=2", "One", "first", "https://h.org/s/?page=2"), (1, "https://h.org/s/b.html", "Two", None, "https://h.org/s/?page=2")]
+    got = S_markup.detail_images(pages, {"gallery_selector": ".gallery img[src]", "original_attr": "data-big", "thumbnail_attr": "src", "caption_attrs": ["title", "alt"], "filters": {"allow_substrings": [".jpg", ".png"], "deny_substrings": ["logo"]}}).collect()
+    assert [tuple(r)[2:] for r in got] == [(["https://h.org/b/1.jpg", "https://h.org/t/2.jpg"], ["https://h.org/t/1.jpg", "https://h.org/t/2.jpg"], ["A", None])]
+    assert S_markup.search_results(pages, {}).count() == 0 and S_markup.detail_images(pages, {}).count() == 0
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    class Session:
+        conf = type("", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("", (), {"master": "spark://h:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_folder(Session)
+
+
 def png(path, grey):
     h, w = grey.shape
     raw = b"".join(b"\0" + grey[y].tobytes() for y in range(h))

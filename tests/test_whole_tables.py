@@ -9,9 +9,9 @@ MANY = 2654435761
 def test_near_pairs_by_bands_of_all_events(spark, tmp_path):
     back = pow(MANY, -1, 1 << 20)
     hashes = sorted({h ^ (1 << b) for h in (0, 77, 4095, 654_321, 1_048_575) for b in range(0, 20, 3)} | {0, 77, 4095, 654_321, 1_048_575, 1000, 2000})
-    events = [(h * back % (1 << 20) + k * (1 << 20), 3 * h + k % 3) for h in hashes for k in (0, 1, 4)]
+    events = [(2 * (h * back % (1 << 20) + k * (1 << 20)) + k % 2, 3 * h + k % 3) for h in hashes for k in (0, 1, 4)]
     spark.createDataFrame(events, "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
-    rows = [(i, u % 3, i * MANY % (1 << 20)) for i, u in events]
+    rows = [(i, u % 3, 2 * (i // 2 * MANY % (1 << 20)) + i % 2) for i, u in events]
     want = {(s, a, b) for a, s, h in rows for b, z, g in rows if s == z and a < b and (h ^ g).bit_count() <= 1}
     assert any(a >= 4000 for _, a, _ in want)
     got = core.QUERIES["j08_near_pairs_by_bands"](spark, str(tmp_path)).collect()
