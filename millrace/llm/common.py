@@ -1,36 +1,14 @@
-"""Shared pieces of the training-data operators: scratch tables and row keys."""
+"""Shared pieces of the training-data operators: tables made once, and row keys."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MIN_LONG = -(2**63)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    Read from ``spark.checkpoint.dir``; only a session without that setting
-    (a local test) gets a temporary folder of its own.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
+from ..shared import fresh_folder, release
 
-def _delete(jvm, conf, path: str) -> None:
-    try:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-    except Exception:  # the session may already be gone; scratch files are then left to its owner
-        pass
+_MIN_LONG = -(2**63)
 
 
 def scratch(df: DataFrame, few: int = 1) -> DataFrame:
@@ -41,21 +19,22 @@ def scratch(df: DataFrame, few: int = 1) -> DataFrame:
     partitions, where the last stage is light and its result narrow.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}"
+    path = fresh_folder(spark)
     if few > 1:
         df = df.coalesce(max(8, partitions(spark) // few))
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    sc = spark.sparkContext
-    atexit.register(_delete, sc._jvm, sc._jsc.hadoopConfiguration(), path)
-    out._scratch_path = path
+    out._written_to = path  # for release()
     return out
 
 
-def release(df: DataFrame) -> None:
-    """Delete the files behind a table that :func:`scratch` made."""
-    sc = df.sparkSession.sparkContext
-    _delete(sc._jvm, sc._jsc.hadoopConfiguration(), df._scratch_path)
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` made once and kept on the executors' disks, for a table that is read several times.
+
+    Its lineage stays: what a lost executor held is made again. Where a second
+    run could differ, or lineage would grow by rounds, :func:`scratch` it.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -83,4 +62,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["doc_key", "hash_cut", "partitions", "release", "scratch", "shared_dir", "table"]
+__all__ = ["doc_key", "hash_cut", "kept", "partitions", "release", "scratch", "table"]

@@ -20,22 +20,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_key, scratch, table
+from .common import doc_key, kept, table
 from .textscan import Words, buffers, cut, mix, pieces, scan
 
 WIDTH = 20
-MGRAM = 3
+#: Words of a minimiser. Of 2.7 to 3.7 million super-k-mers in 0.1 GB of documents, 36, 30 and 28 % have a minimiser that
+#: occurs again at 3, 5 and 8 words; longer ones cost more rows in the first exchange, and stay selective as texts grow.
+MGRAM = 6
 #: Windows in one packed string at most; longer runs (a word repeated over and over) are cut.
 LONGEST = 64
-#: A minimiser of more packed strings than this, and than 1/HOT_KEYS of all, is dealt out by window.
+#: A minimiser of more packed strings than this, and than 1/HOT_KEYS of all, is dealt out by window. Such keys are
+#: marked in a map of HOT_BITS bits (2 MB at any size); one that only shares another's bit is dealt out alike.
 HOT_ROWS = 2_000
-HOT_KEYS = 200_000
-_STEP = 1 << 21  # bytes of text that numpy handles at once
-_SEEN = 100_000
+HOT_KEYS = 4_000_000
+HOT_BITS = 1 << 24
+_STEP = 1 << 19  # bytes of text that numpy handles at once
+_SEEN = 50_000
+#: Bytes of packed strings that are settled at once (buckets are whole, so one may have more).
+_BUCKET = 1 << 21
 
 _PARTS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("n", T.IntegerType())]))
-_RUNS = "key long, doc long, fp int, start int, n int, packed binary"
-_SPANS = "doc long, fp int, start int, n int"
+_RUNS = "key long, doc long, fp long, start int, n int, packed binary"
+_SPANS = "doc long, fp long, start int, n int"
 
 
 def super_kmers(w: Words, width: int) -> tuple[np.ndarray, ...]:
@@ -104,21 +110,22 @@ def _repeated_minimisers(rows: DataFrame, width: int) -> DataFrame:
             rest = n == 0
             key = key.copy()
             key[rest] = _signed(mix(doc[row[rest]].astype(np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[row]), pa.array((fp[row].astype(np.int64) << 32) | number), pa.array(n)], ["key", "doc", "at", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[row]), pa.array(fp[row]), pa.array(number.astype(np.int32)), pa.array(n)], ["key", "doc", "fp", "ord", "n"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held = 0, []
+        total, held, names = 0, [], ("key", "doc", "fp", "ord", "n")
 
         def settle(t: pa.Table) -> pa.RecordBatch:
             nonlocal total
-            key, doc, at, n = (t.column(k).to_numpy() for k in ("key", "doc", "at", "n"))
+            key, doc, fp, number, n = (t.column(k).to_numpy() for k in names)
             head, many = _heads(key)
             sums = np.add.reduceat(n.astype(np.int64), head) if len(head) else head
             total += int(n.sum())
             twice = (np.repeat(sums, many) > 1) | (n == 0)
             hot = sums >= HOT_ROWS
-            pad = pa.nulls(int(hot.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(x), y]) for x, y in ((doc[twice], pad), (at[twice], pad))] + [pa.concat_arrays([pa.nulls(int(twice.sum()), pa.int64()), pa.array(x[hot])]) for x in (key[head], sums)], ["doc", "at", "key", "n"])
+            rows, more = int(twice.sum()), int(hot.sum())
+            known = [pa.concat_arrays([pa.array(x[twice]), pa.nulls(more, pa.from_numpy_dtype(x.dtype))]) for x in (doc, fp, number)]
+            return pa.RecordBatch.from_arrays([*known, *[pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(x[hot])]) for x in (key[head], sums)]], ["doc", "fp", "ord", "key", "n"])
 
         for b in batches:
             held.append(b)
@@ -131,11 +138,10 @@ def _repeated_minimisers(rows: DataFrame, width: int) -> DataFrame:
         if held:
             yield settle(pa.Table.from_batches(held))
         none = pa.nulls(1, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([total])], ["doc", "at", "key", "n"])
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, pa.int32()), none, pa.array([total])], ["doc", "fp", "ord", "key", "n"])
 
-    sent = rows.select("doc", "fp", "text").mapInArrow(send, "key long, doc long, at long, n int")
-    met = sent.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, at long, key long, n long")
-    return scratch(met.selectExpr("doc", "cast(at >> 32 as int) as fp", "cast(at & 2147483647 as int) as ord", "key", "n"))
+    sent = rows.select("doc", "fp", "text").mapInArrow(send, "key long, doc long, fp long, ord int, n int")
+    return kept(sent.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, fp long, ord int, key long, n long"))
 
 
 def _heads(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,15 +151,20 @@ def _heads(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hot_minimisers(found: DataFrame) -> np.ndarray:
-    """Minimisers of so many super-k-mers that their bucket would burden a task.
-
-    At most HOT_KEYS can have that share of all, so the list stays below 2 MB
-    at any size.
-    """
+    """A map of HOT_BITS bits with those of minimisers of so many super-k-mers that their bucket would burden a task."""
     totals = found.where("doc is null")
     total = totals.where("key is null").agg(F.sum("n")).first()[0] or 0
-    hot = totals.where(F.col("key").isNotNull() & (F.col("n") >= max(HOT_ROWS, total // HOT_KEYS))).select("key").toPandas()
-    return np.sort(hot["key"].to_numpy(dtype=np.int64))
+    bit = F.expr(f"key & {HOT_BITS - 1}L")
+    hot = totals.where(F.col("key").isNotNull() & (F.col("n") >= max(HOT_ROWS, total // HOT_KEYS))).select(bit.alias("bit"))
+    words = hot.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).toPandas()  # 262,144 rows at most
+    out = np.zeros(HOT_BITS >> 6, dtype=np.int64)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def _is_hot(marks: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bit = key.view(np.uint64) & np.uint64(64 * len(marks) - 1)
+    return (marks[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _pack(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
@@ -174,31 +185,31 @@ def _pack(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
                 if not len(pick):
                     continue
                 first, n, key = first[pick], n[pick], _signed(key[pick])
-                at = np.searchsorted(hot_keys.value, key)
-                is_hot = np.zeros(len(key), bool)
-                inside = at < len(hot_keys.value)
-                is_hot[inside] = hot_keys.value[at[inside]] == key[inside]
-                known = []
+                is_hot = _is_hot(hot_keys.value, key)
+                known = first[:0]
                 if is_hot.any():
                     # Windows of a hot minimiser go one by one, by their own hash; this task sends each
                     # sequence once (again only if an earlier place turns up), and knows the rest to repeat.
                     windows = np.repeat(first[is_hot] - np.cumsum(n[is_hot]) + n[is_hot], n[is_hot]) + np.arange(n[is_hot].sum())
-                    send = np.ones(len(windows), bool)
-                    place = list(zip(doc[i + w.doc[windows]].tolist(), (windows - w.first[w.doc[windows]]).tolist(), strict=True))
-                    text, s, e = w.norm.tobytes(), w.start[windows].tolist(), w.end[windows + width - 1].tolist()
-                    for k, here in enumerate(place):
-                        was = seen.get(words := text[s[k] : e[k]])
-                        if was is not None and was < here:
+                    h = w.spans(pre, windows, windows + width - 1)
+                    row = w.doc[windows]
+                    order, lead, later = _later(w, windows, h, doc[i + row], windows - w.first[row], width)
+                    windows, h, known = windows[order], _signed(h[order]), windows[order][later]
+                    send = ~later
+                    once = np.flatnonzero(send)
+                    text = w.norm.tobytes()
+                    row = w.doc[windows[once]]
+                    for k, d, p, a, b_ in zip(once.tolist(), doc[i + row].tolist(), (windows[once] - w.first[row]).tolist(), w.start[windows[once]].tolist(), w.end[windows[once] + width - 1].tolist(), strict=True):
+                        was = seen.get(words := text[a:b_])
+                        if was is not None and was < (d, p):
                             send[k] = False
-                        elif was != here:
-                            seen[words] = here
+                        elif was != (d, p):
+                            seen[words] = (d, p)
                     if len(seen) > _SEEN:
                         seen.clear()
-                    known = windows[~send]
+                    known = np.sort(windows[~send])
                     first, n, key = first[~is_hot], n[~is_hot], key[~is_hot]
-                    more = windows[send]
-                    first, n = np.concatenate([first, more]), np.concatenate([n, np.ones(len(more), n.dtype)])
-                    key = np.concatenate([key, _signed(w.spans(pre, more, more + width - 1))])
+                    first, n, key = np.concatenate([first, windows[send]]), np.concatenate([n, np.ones(int(send.sum()), n.dtype)]), np.concatenate([key, h[send]])
                 d = w.doc[first]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[i + d]), pa.array(fp[i + d]), pa.array((first - w.first[d]).astype(np.int32)), pa.array(n.astype(np.int32)), cut(w.norm, w.start[first], w.end[first + n + width - 2])], names)
                 if len(known):
@@ -215,8 +226,38 @@ def _merge(start: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start[head].astype(np.int32), np.diff(head, append=len(start)).astype(np.int32), row[head]
 
 
-def _repeats(t: pa.Table, width: int) -> pa.RecordBatch:
-    """Spans of the windows in ``t`` whose words also start earlier; ``t`` holds whole buckets."""
+def _later(w: Words, window: np.ndarray, h: np.ndarray, doc: np.ndarray, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows in order of their hash and place; the first of each one's equals; whether that has the same words and stands earlier."""
+    order = np.lexsort((place, doc, h))
+    window, h, doc, place = window[order], h[order], doc[order], place[order]
+    if not len(h):
+        return order, order, np.zeros(0, bool)
+    head = np.concatenate([[True], h[1:] != h[:-1]])
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+    s, size = w.start[window], w.end[window + width - 1] - w.start[window]
+    equal = size == size[lead]
+    for k in np.array_split(np.flatnonzero(equal & ~head), max(1, len(h) // 20_000)):  # compare the words themselves
+        if len(k):
+            step = np.arange(size[k].sum()) - np.repeat(np.cumsum(size[k]) - size[k], size[k])
+            differs = w.norm[np.repeat(s[k], size[k]) + step] != w.norm[np.repeat(s[lead[k]], size[k]) + step]
+            equal[k[np.unique(np.repeat(np.arange(len(k)), size[k])[differs])]] = False
+    later = equal & ((doc != doc[lead]) | (place != place[lead]))
+    if not equal.all():  # unequal words of one 64-bit hash: settle these few by their words
+        for b in np.unique(lead[~equal]):
+            first: dict[bytes, tuple] = {}
+            for k in np.flatnonzero(lead == b):
+                here = (doc[k], place[k])
+                was = first.setdefault(w.norm[s[k] : s[k] + size[k]].tobytes(), here)
+                later[k] = was != here
+    return order, lead, later
+
+
+def _repeats(t: pa.Table, width: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Spans of the windows in ``t`` whose words also start earlier in it, and which rows are one such window.
+
+    Without these rows (if whole buckets aren't there yet) ``t`` still has all
+    that later rows are to be held against.
+    """
     t = t.combine_chunks()
     doc, fp, start = (t.column(k).to_numpy() for k in ("doc", "fp", "start"))
     off, raw = buffers(t.column("packed"))
@@ -232,26 +273,10 @@ def _repeats(t: pa.Table, width: int) -> pa.RecordBatch:
     window, h = window[order[twice]], h[order[twice]]
     row = w.doc[window]
     place = start[row] + (window - w.first[row])
-    order = np.lexsort((place, doc[row], h))
-    window, h, row, place = window[order], h[order], row[order], place[order]
-    head = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
-    lead = np.flatnonzero(head)[np.cumsum(head) - 1] if len(h) else np.empty(0, np.int64)
-    s, size = w.start[window], w.end[window + width - 1] - w.start[window]
-    equal = size == size[lead]
-    for k in np.array_split(np.flatnonzero(equal & ~head), max(1, len(h) // 20_000)):  # compare the words themselves
-        if len(k):
-            step = np.arange(size[k].sum()) - np.repeat(np.cumsum(size[k]) - size[k], size[k])
-            differs = w.norm[np.repeat(s[k], size[k]) + step] != w.norm[np.repeat(s[lead[k]], size[k]) + step]
-            equal[k[np.unique(np.repeat(np.arange(len(k)), size[k])[differs])]] = False
-    later = equal & ~((doc[row] == doc[row[lead]]) & (place == place[lead])) if len(h) else equal
-    if not equal.all():  # unequal words of one 64-bit hash: settle these few by their words
-        bad = np.unique(lead[~equal])
-        for b in bad:
-            first: dict[bytes, tuple] = {}
-            for k in np.flatnonzero(lead == b):
-                here = (doc[row[k]], place[k])
-                was = first.setdefault(w.norm[s[k] : s[k] + size[k]].tobytes(), here)
-                later[k] = was != here
+    order, _, later = _later(w, window, h, doc[row], place, width)
+    row, place = row[order], place[order]
+    settled = np.zeros(t.num_rows, dtype=bool)
+    settled[row[later]] = w.counts[row[later]] == width
     row, place = row[later], place[later]
     order = np.lexsort((place, fp[row], doc[row]))
     row, place = row[order], place[order]
@@ -261,13 +286,14 @@ def _repeats(t: pa.Table, width: int) -> pa.RecordBatch:
         head = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 1) | (np.diff(doc[row]) != 0) | (np.diff(fp[row]) != 0)]))
     else:
         head = np.empty(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(doc[row[head]]), pa.array(fp[row[head]]), pa.array(place[head].astype(np.int32)), pa.array(np.diff(head, append=len(row)).astype(np.int32))], ["doc", "fp", "start", "n"])
+    spans = pa.RecordBatch.from_arrays([pa.array(doc[row[head]]), pa.array(fp[row[head]]), pa.array(place[head].astype(np.int32)), pa.array(np.diff(head, append=len(row)).astype(np.int32))], ["doc", "fp", "start", "n"])
+    return spans, settled
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Windows of ``width`` words that start earlier elsewhere: ``doc, fp, start, n``.
 
-    ``doc`` is the id (null: the smallest long), ``fp`` 32 bits of the text's hash; the
+    ``doc`` is the id (null: the smallest long), ``fp`` the text's hash; the
     ``n`` windows from word ``start`` on repeat windows of a smaller id, or of
     the same id at an earlier start. Spans may come in several parts.
     """
@@ -276,7 +302,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
-    return docs.select(F.struct(*others).alias("_row"), F.col("text").cast("string").alias("text"), doc_key().alias("doc"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("fp"))
+    return docs.select(F.struct(*others).alias("_row"), F.col("text").cast("string").alias("text"), doc_key().alias("doc"), F.xxhash64("text").alias("fp"))
 
 
 def _repeated_spans(keyed: DataFrame, width: int) -> DataFrame:
@@ -288,7 +314,7 @@ def _repeated_spans(keyed: DataFrame, width: int) -> DataFrame:
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, limit = 0, _BUCKET
         for b in batches:
             known = pc.is_null(b.column(5))
             if known.true_count:
@@ -298,15 +324,22 @@ def _repeated_spans(keyed: DataFrame, width: int) -> DataFrame:
                 continue
             held.append(b)
             size += b.nbytes
-            if size > 2 * _STEP:
+            if size > limit:
                 t = pa.Table.from_batches(held)
                 key = t.column("key").to_numpy()
-                if ends := np.flatnonzero(key[1:] != key[:-1])[-1:].tolist():
-                    yield _repeats(t.slice(0, ends[0] + 1), width)
-                    held = t.slice(ends[0] + 1).combine_chunks().to_batches()
-                    size = sum(x.nbytes for x in held)
+                ends = int(np.searchsorted(key, key[-1], "left"))
+                if ends:
+                    yield _repeats(t.slice(0, ends), width)[0]
+                    t = t.slice(ends)
+                else:  # one bucket: what is settled goes, and the limit grows with what has to stay
+                    spans, settled = _repeats(t, width)
+                    yield spans
+                    t = t.filter(pa.array(~settled))
+                held = t.combine_chunks().to_batches()
+                size = sum(x.nbytes for x in held)
+                limit = max(_BUCKET, 2 * size)
         if held:
-            yield _repeats(pa.Table.from_batches(held), width)
+            yield _repeats(pa.Table.from_batches(held), width)[0]
 
     return _pack(rows, width, hot).repartition("key").sortWithinPartitions("key").mapInArrow(bucket, _SPANS)
 

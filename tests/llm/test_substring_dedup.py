@@ -62,16 +62,33 @@ def test_hot_minimisers_and_small_steps(spark, monkeypatch):
     monkeypatch.setattr(sd, "HOT_ROWS", 5)
     monkeypatch.setattr(sd, "HOT_KEYS", 50)
     monkeypatch.setattr(sd, "_STEP", 500)
+    monkeypatch.setattr(sd, "_BUCKET", 300)
     assert run(spark, docs, 8) == brute(docs, 8)
 
 
+def test_one_bit_for_all_minimisers(spark, monkeypatch):
+    """Minimisers that share a bit with a hot one are dealt out by window too, and nothing else changes."""
+    docs = corpus(60, seed=4)
+    for name, value in (("HOT_ROWS", 5), ("HOT_BITS", 64), ("_BUCKET", 100)):
+        monkeypatch.setattr(sd, name, value)
+    assert run(spark, docs, 8) == brute(docs, 8)
+
+
+def test_very_long_text(spark):
+    """Half a million words, whose first thousand come again at the end and in another text."""
+    words = [f"w{i * 7919 % 500_000}" for i in range(500_000)]
+    docs = [(1, " ".join(words + words[:1000])), (2, " ".join(words[:1000]))]
+    assert {d: r[:2] for d, r in run(spark, docs, 20).items()} == {1: (501_000, 1000), 2: (1000, 1000)}
+
+
 def test_equal_hashes_are_settled_by_words(spark, monkeypatch):
     import pyarrow as pa
 
     texts = [b"a b c", b"a b d", b"a b c", b"x y z", b"a b d"]
     t = pa.table({"doc": [1, 2, 3, 4, 5], "fp": [0] * 5, "start": pa.array([0] * 5, pa.int32()), "packed": pa.array(texts, pa.binary())})
     monkeypatch.setattr(sd.Words, "spans", lambda self, pre, a, b: np.zeros(len(a), np.uint64))
-    assert sd._repeats(t, 3).column(0).to_pylist() == [3, 5]
+    spans, settled = sd._repeats(t, 3)
+    assert spans.column(0).to_pylist() == [3, 5] and settled.tolist() == [False, False, True, False, True]
 
 
 def test_edges(spark):
