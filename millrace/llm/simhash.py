@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, scratch, table
+from .common import doc_key, kept, scratch, table
 from .graph import connected_components
 from .textscan import Words, buffers, pieces, scan
 
@@ -250,10 +250,9 @@ def _groups(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame, DataFr
     """Fingerprints of all rows; each distinct one (``first``, ``k``: its first row); linked ones with their ``root``; each root's first row (``component_id``, ``rk``).
 
     Copies are summed up by fingerprint before anything is joined, and only
-    linked fingerprints are dealt out by root. What is written: fingerprints,
-    links, and a row for each root.
+    linked fingerprints are dealt out by root.
     """
-    prints = scratch(fingerprints(docs, shingle))
+    prints = kept(fingerprints(docs, shingle))
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(F.struct("doc", "th")).alias("k"))
     roots = connected_components(links(prints.select("fp").distinct())).withColumnRenamed("node", "fp")
     first = distinct.join(roots, "fp").groupBy("root").agg(F.min("first").alias("component_id"), F.min("k").alias("rk"))
