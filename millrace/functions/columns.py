@@ -314,3 +314,18 @@ def selection_of(code: Column) -> Column:
 
 def shown_keyword(keyword: Column) -> Column:
     return F.coalesce(F.nullif(keyword, lit("")), lit("(未标注)"))
+
+
+def stamp(time: Column) -> Column:
+    """``yyyyMMdd_HHmmss``, as trash folders carry it."""
+    return F.date_format(time, "yyyyMMdd_HHmmss")
+
+
+def iso_stamp(time: Column) -> Column:
+    """ISO 8601 to the second, in UTC."""
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def epoch_millis(time: Column) -> Column:
+    """Milliseconds since 1970, as review states carry them."""
+    return F.unix_millis(time)

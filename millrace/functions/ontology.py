@@ -45,32 +45,36 @@ CLASS_ALIASES = {
     "chilli": "chilli", "chili": "chilli", "chile": "chilli",
 }
 
-#: Class names that stand for themselves in the class map.
-CANONICAL = (
-    "Apple Scab Leaf", "Apple leaf", "Apple rust leaf", "Bell_pepper leaf", "Bell_pepper leaf spot", "Blueberry leaf", "Cherry", "Cherry leaf", "Coffee-plant",
-    "Corn Gray leaf spot", "Corn leaf", "Corn leaf blight", "Corn rust leaf", "Cucumber", "Fox_nut(Makhana)", "Lemon", "Olive-tree", "Peach leaf",
-    "Pearl_millet(bajra)", "Potato leaf", "Potato leaf early blight", "Potato leaf late blight", "Raspberry leaf", "Rice brown spot", "Rice leaf", "Rice leaf blast",
-    "Rice neck blast", "Soyabean leaf", "Squash Powdery mildew leaf", "Strawberry leaf", "Sugarcane bacterial blight", "Sugarcane leaf", "Sugarcane red rot",
-    "Tobacco-plant", "Tomato Early blight leaf", "Tomato Septoria leaf spot", "Tomato leaf", "Tomato leaf bacterial spot", "Tomato leaf late blight",
-    "Tomato leaf mosaic virus", "Tomato leaf yellow virus", "Tomato mold leaf", "Tomato two spotted spider mites leaf", "Wheat brown rust", "Wheat leaf",
-    "Wheat yellow rust", "almond", "ants", "banana", "bees", "beetle", "cardamom", "caterpillar", "chilli", "clove", "coconut", "cotton", "earthworms", "earwig",
-    "gram", "grape leaf", "grape leaf black rot", "grasshopper", "jowar", "jute", "maize", "moth", "mustard-oil", "papaya", "pineapple", "rice", "slug", "snail",
-    "soyabean", "sugarcane", "sunflower", "tea", "tomato", "vigna-radiati(Mung)", "wasp", "weevil", "wheat",
-)
-
-#: Other names in the class map, and the class of each.
-RENAMED = {
-    "Aji pepper plant": "chilli", "Almonds plant": "almond", "Apple Apple scab": "Apple Scab Leaf", "Apple Cedar apple rust": "Apple rust leaf", "Bananas plant": "banana",
-    "Cherry plant": "Cherry", "Chili peppers and green peppers plant": "chilli", "Cloves plant": "clove", "Cocoa beans plant": "cocoa", "Coconuts plant": "coconut",
-    "Coffee (green) plant": "Coffee-plant", "Cucumbers and gherkins plant": "Cucumber", "Grape Black rot": "grape leaf black rot", "Jute plant": "jute",
-    "Maize (Corn) plant": "maize", "Mung bean plant": "vigna-radiati(Mung)", "Olives plant": "Olive-tree", "Papayas plant": "papaya", "Pineapples plant": "pineapple",
-    "Rice (Paddy) plant": "rice", "Sorghum plant": "jowar", "Soybean leaf": "Soyabean leaf", "Soybeans plant": "soyabean", "Squash Powdery mildew": "Squash Powdery mildew leaf",
-    "Sugar cane plant": "sugarcane", "Tea plant": "tea", "Tomato leaf early blight": "Tomato Early blight leaf", "Tomato leaf mold": "Tomato mold leaf",
-    "Tomato two spotted spider mites": "Tomato two spotted spider mites leaf", "Tomatoes plant": "tomato", "Wheat plant": "wheat",
+#: The class map, names as they occur and the class of each.
+CLASS_NAMES = {
+    "Aji pepper plant": "chilli", "Almonds plant": "almond", "Apple Apple scab": "Apple Scab Leaf", "Apple Cedar apple rust": "Apple rust leaf",
+    "Apple Scab Leaf": "Apple Scab Leaf", "Apple leaf": "Apple leaf", "Apple rust leaf": "Apple rust leaf", "Bananas plant": "banana",
+    "Bell_pepper leaf": "Bell_pepper leaf", "Bell_pepper leaf spot": "Bell_pepper leaf spot", "Blueberry leaf": "Blueberry leaf", "Cherry": "Cherry",
+    "Cherry leaf": "Cherry leaf", "Cherry plant": "Cherry", "Chili peppers and green peppers plant": "chilli", "Cloves plant": "clove", "Cocoa beans plant": "cocoa",
+    "Coconuts plant": "coconut", "Coffee (green) plant": "Coffee-plant", "Coffee-plant": "Coffee-plant", "Corn Gray leaf spot": "Corn Gray leaf spot",
+    "Corn leaf": "Corn leaf", "Corn leaf blight": "Corn leaf blight", "Corn rust leaf": "Corn rust leaf", "Cucumber": "Cucumber",
+    "Cucumbers and gherkins plant": "Cucumber", "Fox_nut(Makhana)": "Fox_nut(Makhana)", "Grape Black rot": "grape leaf black rot", "Jute plant": "jute", "Lemon": "Lemon",
+    "Maize (Corn) plant": "maize", "Mung bean plant": "vigna-radiati(Mung)", "Olive-tree": "Olive-tree", "Olives plant": "Olive-tree", "Papayas plant": "papaya",
+    "Peach leaf": "Peach leaf", "Pearl_millet(bajra)": "Pearl_millet(bajra)", "Pineapples plant": "pineapple", "Potato leaf": "Potato leaf",
+    "Potato leaf early blight": "Potato leaf early blight", "Potato leaf late blight": "Potato leaf late blight", "Raspberry leaf": "Raspberry leaf",
+    "Rice (Paddy) plant": "rice", "Rice brown spot": "Rice brown spot", "Rice leaf": "Rice leaf", "Rice leaf blast": "Rice leaf blast",
+    "Rice neck blast": "Rice neck blast", "Sorghum plant": "jowar", "Soyabean leaf": "Soyabean leaf", "Soybean leaf": "Soyabean leaf", "Soybeans plant": "soyabean",
+    "Squash Powdery mildew": "Squash Powdery mildew leaf", "Squash Powdery mildew leaf": "Squash Powdery mildew leaf", "Strawberry leaf": "Strawberry leaf",
+    "Sugar cane plant": "sugarcane", "Sugarcane bacterial blight": "Sugarcane bacterial blight", "Sugarcane leaf": "Sugarcane leaf",
+    "Sugarcane red rot": "Sugarcane red rot", "Tea plant": "tea", "Tobacco-plant": "Tobacco-plant", "Tomato Early blight leaf": "Tomato Early blight leaf",
+    "Tomato Septoria leaf spot": "Tomato Septoria leaf spot", "Tomato leaf": "Tomato leaf", "Tomato leaf bacterial spot": "Tomato leaf bacterial spot",
+    "Tomato leaf early blight": "Tomato Early blight leaf", "Tomato leaf late blight": "Tomato leaf late blight", "Tomato leaf mold": "Tomato mold leaf",
+    "Tomato leaf mosaic virus": "Tomato leaf mosaic virus", "Tomato leaf yellow virus": "Tomato leaf yellow virus", "Tomato mold leaf": "Tomato mold leaf",
+    "Tomato two spotted spider mites": "Tomato two spotted spider mites leaf", "Tomato two spotted spider mites leaf": "Tomato two spotted spider mites leaf",
+    "Tomatoes plant": "tomato", "Wheat brown rust": "Wheat brown rust", "Wheat leaf": "Wheat leaf", "Wheat plant": "wheat", "Wheat yellow rust": "Wheat yellow rust",
+    "almond": "almond", "ants": "ants", "banana": "banana", "bees": "bees", "beetle": "beetle", "cardamom": "cardamom", "caterpillar": "caterpillar", "chilli": "chilli",
+    "clove": "clove", "coconut": "coconut", "cotton": "cotton", "earthworms": "earthworms", "earwig": "earwig", "gram": "gram", "grape leaf": "grape leaf",
+    "grape leaf black rot": "grape leaf black rot", "grasshopper": "grasshopper", "jowar": "jowar", "jute": "jute", "maize": "maize", "moth": "moth",
+    "mustard-oil": "mustard-oil", "papaya": "papaya", "pineapple": "pineapple", "rice": "rice", "slug": "slug", "snail": "snail", "soyabean": "soyabean",
+    "sugarcane": "sugarcane", "sunflower": "sunflower", "tea": "tea", "tomato": "tomato", "vigna-radiati(Mung)": "vigna-radiati(Mung)", "wasp": "wasp",
+    "weevil": "weevil", "wheat": "wheat",
 }
 
-CLASS_NAMES = {c: c for c in CANONICAL} | RENAMED
-
 #: crop_disease classes, as rules in order: crop (None: any), words of which all must occur, and the name.
 DISEASE_RULES = (
     ("Corn*", ("cercospora",), "Corn Gray leaf spot"), ("Corn*", ("gray leaf spot",), "Corn Gray leaf spot"), ("Corn*", ("common rust",), "Corn rust leaf"),

@@ -525,3 +525,6 @@ query("p51_selections", f"with {ITEMS} select id, coalesce(nullif(replace(replac
     lambda s, d: _items(s, d).select("id", C.reason_text(col("trash_reason")).alias("reason"), C.selection_code(col("in_trash"), col("keyword"), col("trash_reason")).alias("code"), C.selection_of(C.selection_code(col("in_trash"), col("keyword"), col("trash_reason")))["reason"].alias("decoded"))
 )
 query("p52_status_labels", "select event_id, case event_id % 3 when 0 then '已通过' when 1 then '已剔除' else '待审核' end as label, round(value * 100) as percent from events")(lambda s, d: table(s, d, "events").select("event_id", C.status_zh(F.when(col("event_id") % 3 == 0, "accepted").when(col("event_id") % 3 == 1, "rejected")).alias("label"), F.round(col("value") * 100).alias("percent")))
+query("t01_stamps", "select event_id, strftime(ts, '%Y%m%d_%H%M%S') as stamp, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as iso, epoch_us(ts) // 1000 as millis from events")(
+    lambda s, d: table(s, d, "events").withColumn("ts", col("ts").cast("timestamp")).select("event_id", C.stamp(col("ts")).alias("stamp"), C.iso_stamp(col("ts")).alias("iso"), C.epoch_millis(col("ts")).alias("millis"))
+)

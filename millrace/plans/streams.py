@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import shared_folder
+from ..shared import fresh_folder
 from ..streaming import streams
 from .core import query
 
@@ -21,7 +19,7 @@ def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drained(stream: DataFrame, mode: str) -> DataFrame:
     """Run until all input is read; each batch is a table of its own (of a complete result the last counts)."""
-    spark, folder = stream.sparkSession, f"{shared_folder(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    spark, folder = stream.sparkSession, fresh_folder(stream.sparkSession)
     seen: list[int] = []
 
     def keep(batch: DataFrame, epoch: int) -> None:
@@ -51,3 +49,23 @@ def st3(spark, d):
     ext = F.when(F.col("event_id") % 2 == 0, ".jpg").otherwise(".txt")
     files = _source(spark, d).select(F.concat(F.lit("in/"), "event_type", F.lit("/"), "event_type", F.lit("__kd__"), "event_id", ext).alias("path"))
     return _drained(streams.described(files), "append").select(F.element_at(F.split("path", "/"), -1).alias("name"), "class_raw", "source")
+
+
+@query("st4_review_upserts", """with c as (select (user_id % 60)::varchar as id, case event_id % 3 when 0 then 'accepted' when 1 then 'rejected' else 'pending' end as status, event_id as ts from events),
+  last as (select id, max_by(status, ts) as status, max(ts) as ts from c group by id), old as (select n_nationkey::varchar || case when n_nationkey % 5 = 0 then 'x' else '' end as id, 'pending' as status, -1::bigint as ts from nation)
+  select * from last union all select * from old where id not in (select id from last)""")
+def st4(spark, d):
+    k = F.col("event_id") % 3
+    changes = _source(spark, d).select((F.col("user_id") % 60).cast("string").alias("id"), F.when(k == 0, "accepted").when(k == 1, "rejected").otherwise("pending").alias("status"), F.col("event_id").alias("ts"))
+    old = F.concat(F.col("n_nationkey").cast("string"), F.when(F.col("n_nationkey") % 5 == 0, "x").otherwise(""))
+    start = spark.read.parquet(f"{d}/nation.parquet").select(old.alias("id"), F.lit("pending").alias("status"), F.lit(-1).cast("long").alias("ts"))
+    folder, seen = fresh_folder(spark), []
+    version = lambda epoch: f"{folder}/state/{epoch}"
+    upsert = streams.upserting(version, start)
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        upsert(batch, epoch)
+        seen.append(epoch)
+
+    changes.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(version(max(seen))).select("id", "status", "ts") if seen else start
