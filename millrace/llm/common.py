@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +34,11 @@ def kept(df: DataFrame) -> DataFrame:
     """``df`` made once and kept on the executors' disks, for a table that is read several times.
 
     Its lineage stays: what a lost executor held is made again. Where a second
-    run could differ, or lineage would grow by rounds, :func:`scratch` it.
+    run could differ, or lineage would grow by rounds, :func:`scratch` it. Spark
+    shares what is kept between equal plans; a number of its own keeps a table
+    from being taken for one that was made of the same path's older files.
     """
-    return df.persist(StorageLevel.DISK_ONLY)
+    return df.withColumn("_kept", F.lit(uuid.uuid4().int >> 65)).persist(StorageLevel.DISK_ONLY).drop("_kept")
 
 
 def partitions(spark: SparkSession) -> int:

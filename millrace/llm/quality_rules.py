@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, table
+from .common import kept, scratch, table
 from .textscan import Words, buffers, mix, pieces, scan
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -300,7 +300,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     key = lambda c: F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-"))
     rows = counts(docs).withColumn("gl", F.concat(F.lit("l"), key("lang"))).withColumn("g", F.concat("gl", F.lit("s"), key("source")))
-    rows = scratch(rows.withColumns({f"x{i}": c for i, c in enumerate(vector())}))
+    rows = kept(rows.withColumns({f"x{i}": c for i, c in enumerate(vector())}))
     good = rows.where(~F.col("base_failed"))
     fit = good.select(F.explode(F.array(F.lit(_ALL), "gl", "g")).alias("g"), *[f"x{i}" for i in range(_D)])
     found = _settled(estimates(fit), good.select("g", "gl").distinct())
