@@ -234,7 +234,7 @@ def scorer(docs: DataFrame, model: LabelModel, most_rows: int = MOST_ROWS) -> Sc
         index = np.flatnonzero(s.weight)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *index.tolist()], pa.int32()), pa.array([s.bias, *s.weight[index].tolist()], pa.float64())], ["index", "weight"])
 
-    got = sample.limit(most_rows).mapInArrow(fit, "index int, weight double").toPandas()
+    got = sample.orderBy("h", "text").limit(most_rows).mapInArrow(fit, "index int, weight double").toPandas()
     w = np.zeros(1 << BITS, dtype=np.float32)
     rest = got[got["index"] >= 0]
     w[rest["index"].to_numpy()] = rest["weight"].to_numpy()

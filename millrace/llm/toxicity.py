@@ -98,7 +98,8 @@ def train(labelled: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     which the bound keeps small, and the weights come to the driver.
     """
     sample = labelled.where("label is not null")
-    sample = sample.where(F.xxhash64("key") <= F.lit(hash_cut(sample, F.xxhash64("key"), most_rows))).select("key", "text", "label").limit(most_rows)
+    sample = sample.where(F.xxhash64("key") <= F.lit(hash_cut(sample, F.xxhash64("key"), most_rows))).select("key", "text", "label")
+    sample = sample.orderBy(F.xxhash64("key"), "key", "label", "text").limit(most_rows)  # in order, so that ties don't change the model
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -165,7 +166,7 @@ def train_on_labels(docs: DataFrame, labels: DataFrame) -> Model:
     """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max(F.col("toxic").cast("int")).alias("label"))
-    marks = marks.where(F.xxhash64("key") <= F.lit(hash_cut(marks, F.xxhash64("key"), MOST_ROWS))).limit(MOST_ROWS)
+    marks = marks.where(F.xxhash64("key") <= F.lit(hash_cut(marks, F.xxhash64("key"), MOST_ROWS))).orderBy(F.xxhash64("key"), "key").limit(MOST_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("key"), "text")
     return train(texts.join(F.broadcast(marks), "key"), MOST_ROWS)  # at most MOST_ROWS rows of 12 bytes
 

@@ -1,5 +1,7 @@
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -75,3 +77,72 @@ def test_edges(spark):
     model = qc.label_model(df)
     rows = qc.classify(df, model, qc.scorer(df, model)).collect()
     assert len(rows) == 4 and len({r.score for r in rows if r.doc_id is None}) == 1
+
+
+def plain_votes(text):
+    """Each labeller's measure by plain loops, and its vote: 0 none, 1 bad, 2 good."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    low = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words]
+    n, marks = max(1, len(words)), set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    many = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    again = {k for i in range(len(words) - 4) if many[tuple(words[i : i + 5])] > 1 for k in range(i, i + 5)}
+    letters = [c for c in text if c.isascii() and c.isalpha()]
+    measures = [
+        sum(c in "#*$%&|<>" for c in text) / n, len(again) / n, sum(w in qc.STOP for w in low) / n, sum(c.isupper() for c in letters) / max(1, len(letters)), sum(w[-1] == "." for w in words) / n,
+        sum(w[-1] in marks and (len(w) == 1 or w[-2] in marks) and len(w) > 1 for w in words) / n, sum(a == b for a, b in zip(low, low[1:])) / n, len(words), sum(all(c in marks for c in w) for w in words) / n,
+    ]
+    out = []
+    for x, (_, bad, good) in zip(measures, qc.LABELLERS, strict=True):
+        low_is_bad = bad < good
+        out.append(1 if not words else 1 if (x <= bad if low_is_bad else x >= bad) else 2 if (x >= good if low_is_bad else x <= good) else 0)
+    return out
+
+
+def test_end_to_end_against_plain_loops(spark):
+    """Votes, EM over single texts, and the scorer's training, each written out."""
+    good, bad = texts()
+    docs = list(enumerate([*good[:120], *bad[:40], "", None, "a b c d e f g h i"]))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    votes = [plain_votes(t) for _, t in docs]
+    p = [1 / (1 + math.exp(-(v.count(2) - 2 * v.count(1)))) for v in votes]
+    for _ in range(200):
+        share = [sum(1 - x for x in p), sum(p)]
+        pi = (share[1] + 1) / (len(docs) + 2)
+        chance = [[[(sum((p[r] if c else 1 - p[r]) for r in range(len(docs)) if votes[r][k] == x) + 1) / (share[c] + 3) for x in range(3)] for c in range(2)] for k in range(len(qc.LABELLERS))]
+        new = []
+        for v in votes:
+            a, b = (math.log(q) + sum(math.log(chance[k][c][x]) for k, x in enumerate(v)) for c, q in ((0, 1 - pi), (1, pi)))
+            new.append(1 / (1 + math.exp(min(500, max(-500, a - b)))))
+        done = max(abs(x - y) for x, y in zip(p, new, strict=True)) < 1e-9
+        p = new
+        if done:
+            break
+    model = qc.label_model(df)
+    linear = qc.scorer(df, model)
+    rows = {r.doc_id: r for r in qc.classify(df, model, linear).collect()}
+    for (d, _), v, x in zip(docs, votes, p, strict=True):
+        assert rows[d].n_votes == sum(y > 0 for y in v) and rows[d].posterior == pytest.approx(x, abs=1e-6)
+    # the scorer: all texts are learnt from, in the order of their hashes
+    hashes = {r.doc_id: r.h for r in df.selectExpr("doc_id", "xxhash64(doc_id, char_length(text)) as h").collect()}
+    order = sorted(range(len(docs)), key=lambda r: hashes[docs[r][0]])
+    found = []
+    for r in order:
+        o, raw = buffers(pa.array([docs[r][1]], pa.string()))
+        found.append((qc.features(o, raw)[1:], rows[docs[r][0]].posterior))
+    w, g2 = Counter(), {}
+    mean = min(max(sum(y for _, y in found) / len(found), 1e-3), 1 - 1e-3)
+    bias, b2, rng = math.log(mean / (1 - mean)), 1.0, np.random.default_rng(3)
+    for _ in range(qc.EPOCHS):
+        for k in rng.permutation(len(found)):
+            (index, value), y = found[k]
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, bias + sum(w[int(i)] * x for i, x in zip(index, value)))))) - y
+            for i, x in zip(index.tolist(), value.tolist(), strict=True):
+                step = g * x + 1e-6 * w[i]
+                g2[i] = g2.get(i, 1e-3) + step * step
+                w[i] -= 0.3 * step / math.sqrt(g2[i])
+            b2 += g * g
+            bias -= 0.3 * g / math.sqrt(b2)
+    for r, ((index, value), _) in zip(order, found, strict=True):
+        total = bias + sum(w[int(i)] * x for i, x in zip(index, value))
+        assert rows[docs[r][0]].score == pytest.approx(1 / (1 + math.exp(-max(-35.0, min(35.0, total)))), abs=1e-4)

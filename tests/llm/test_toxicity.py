@@ -60,6 +60,45 @@ def test_scores_match_plain_sums():
         assert math.isclose(got[r], 1 / (1 + math.exp(-total)), rel_tol=1e-5)
 
 
+def test_training_against_plain_ftrl():
+    """Weights of the rule written out one coordinate at a time."""
+    rng = np.random.default_rng(11)
+    examples = [np.unique(rng.integers(0, 40, rng.integers(1, 12))).astype(np.int32) for _ in range(300)]
+    labels = np.array([float(3 in e or 7 in e) for e in examples])
+    z, n = {}, {}
+    p = min(max(labels.mean(), 1e-3), 1 - 1e-3)
+    bias, bias_n = math.log(p / (1 - p)), 1.0
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= tx.L1 else -(zi - math.copysign(tx.L1, zi)) / ((tx.BETA + math.sqrt(n.get(i, 0.0))) / tx.ALPHA + tx.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(tx.EPOCHS):
+        for k in order.permutation(len(examples)):
+            w = {int(i): weight(int(i)) for i in examples[k]}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, bias + sum(w.values()))))) - labels[k]
+            for i, wi in w.items():
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / tx.ALPHA * wi
+                n[i] = old + g * g
+            bias_n += g * g
+            bias -= tx.ALPHA * g / math.sqrt(bias_n)
+    model = tx.train_rows(examples, labels)
+    want = {i: weight(i) for i in z if weight(i)}
+    assert math.isclose(model.bias, bias, rel_tol=1e-9) and want
+    assert {int(i): w for i, w in zip(model.index, model.weight)} == {i: float(np.float32(w)) for i, w in want.items()} or np.allclose([want[int(i)] for i in model.index], model.weight, rtol=1e-5)
+    assert set(model.index.tolist()) == set(want)
+
+
+def test_the_same_model_in_any_order(spark):
+    """More labelled rows than are learnt from, repeated and shuffled: ties don't change the weights."""
+    docs, labels = corpus(300)
+    rows = [(i // 2, t, int(y)) for (i, t), (_, y) in zip(docs, labels, strict=True)]
+    a, b = (tx.train(spark.createDataFrame(r, "key long, text string, label int").repartition(n), 50) for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert a.bias == b.bias and a.index.tolist() == b.index.tolist() and a.weight.tolist() == b.weight.tolist()
+
+
 def test_features_do_not_depend_on_the_batch():
     texts = ["a b c", "b c a b c", "A, b! c"]
     alone = []
