@@ -513,7 +513,7 @@ def mask_secrets(docs: DataFrame, forest: Forest, mask: str = MASK) -> DataFrame
                             parts += [own[at : begin[k] - off[r]], mask.encode()]
                             at = int(end[k] - off[r])
                         text[r] = b"".join([*parts, own[at:]]).decode()
-                    part = pa.RecordBatch.from_arrays([part.column(0), pa.array(text, pa.string())], b.schema.names)
+                    part = pa.RecordBatch.from_arrays([part.column(0), pa.array(text, b.schema.field(1).type)], schema=b.schema)
                 yield part
 
     out = rows.mapInArrow(run, rows.schema)

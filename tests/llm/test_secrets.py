@@ -146,6 +146,16 @@ def test_scan_and_mask(spark):
     assert se.scan_documents(empty, forest).collect() == [] and se.mask_secrets(empty, forest).collect() == []
 
 
+def test_small_steps_change_nothing(spark, monkeypatch):
+    """Steps with secrets and steps without, in one batch."""
+    docs = [(i, TEXTS[i % len(TEXTS)], f"s{i}") for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(2)
+    forest = se.train()
+    whole = sorted(map(repr, se.mask_secrets(df, forest).collect())), sorted(map(repr, se.scan_documents(df, forest).collect()))
+    monkeypatch.setattr(se, "_STEP", 60)
+    assert (sorted(map(repr, se.mask_secrets(df, forest).collect())), sorted(map(repr, se.scan_documents(df, forest).collect()))) == whole
+
+
 def test_trains_from_a_table(spark):
     found = spark.createDataFrame(se.generated_findings(300), "token string, left string, right string, label int")
     assert se.train(found).score(np.array([se.features(HEX, 'token = "', '"')]))[0] > 0.5
