@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, scratch, table
+from .common import doc_key, kept, scratch, table
 
 #: Shorter lines (in code points) always stay: empty ones, which part paragraphs.
 MIN_CHARS = 1
@@ -71,14 +71,19 @@ def _lines_at(texts: DataFrame, places: DataFrame, carry: list[str]) -> DataFram
     return found.select(*[F.col("_p")[c].alias(c) for c in carry], F.col("_lines")[F.col("_p.line_no")].alias("line"))
 
 
-def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc, fp, line_no`` of each line that equals an earlier line or is one edit from one.
+def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1) -> DataFrame:
+    """``doc, fp, line_no`` of each line that equals an earlier line or is (with ``edits`` 1) one edit from one.
 
     ``texts`` has ``doc`` (sortable id), ``fp`` (the text's hash) and ``text``.
     """
-    seen = scratch(_occurrences(texts, min_chars))
+    if edits not in (0, 1):
+        raise ValueError("edits is 0 or 1: blocks and variants are those of one edit")
+    seen = kept(_occurrences(texts, min_chars))
     classes = seen.groupBy("h1", "h2").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("many"), *[F.min(f"k{i}").alias(f"k{i}") for i in range(4)])
     classes = scratch(classes)
+    if not edits:
+        again = seen.join(classes.where("many > 1").select("h1", "h2", "lead"), ["h1", "h2"])
+        return again.where("place > lead").select("doc", "fp", "line_no")
 
     # Halves: classes that share one with another class.
     halves = classes.select("h1", "lead", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
@@ -104,7 +109,7 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         "case when at = -1 then min(case when longer = 1 then struct(lead, h1) end) over (partition by v) end as part",
     )
     pairs = best.select("h1", "lead", F.explode(F.array("same", "whole", "part")).alias("e")).where("e is not null and e.lead < lead")
-    pairs = scratch(pairs.selectExpr("h1", "lead", "e.h1 as other", "e.lead as other_lead").distinct())
+    pairs = scratch(pairs.selectExpr("h1", "lead", "e.h1 as other", "e.lead as other_lead").distinct(), few=8)
 
     # Verify on the lines themselves.
     named = lines.select("h1", "lead", "line")
@@ -117,13 +122,13 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return again.where("place > lead or near").select("doc", "fp", "line_no")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1) -> DataFrame:
     """Remove each line that equals, or is one edit away from, an earlier line.
 
     Lines are split at ``\\n``; earlier is a smaller doc_id, or the same document
     and a smaller line number. Lines are judged on the input, not on what is
     left. Lines of fewer than ``min_chars`` code points always stay. An edit
-    inserts, deletes or replaces one code point.
+    inserts, deletes or replaces one code point; with ``edits`` 0 only equal lines go.
 
     Returns the columns of ``docs`` with ``text`` made of the lines that stay,
     and ``n_lines`` and ``n_removed`` (columns of these names are replaced).
@@ -134,7 +139,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     docs = docs.drop("n_lines", "n_removed")
     others = [c for c in docs.columns if c != "text"]
     texts = docs.select(F.struct(*others).alias("_row"), F.col("text").cast("string").alias("text"), doc_key().alias("doc"), F.xxhash64("text").alias("fp"))
-    gone = repeated_lines(texts, min_chars).groupBy("doc", "fp").agg(F.collect_set("line_no").alias("_gone"))
+    gone = repeated_lines(texts, min_chars, edits).groupBy("doc", "fp").agg(F.collect_set("line_no").alias("_gone"))
     joined = texts.join(gone, ["doc", "fp"], "left").withColumn("_lines", F.split("text", "\n"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone")), lambda i: F.col("_lines")[i])
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
@@ -150,16 +155,18 @@ def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-#: DuckDB: distinct lines of lengths that differ by one at most, compared pairwise.
+#: DuckDB: distinct lines of lengths that differ by one at most and that share a half, without one code point each
+#: (of equal lengths) or one code point of the longer one (its levenshtein would count bytes).
 ORACLE = r"""
 with l as (
   select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as no from documents
 ), c as (
-  select line, length(line) as n, min(struct_pack(d := doc_id, l := no)) as f, md5(substr(line, 1, (length(line) // 2)::int)) as p from l where length(line) >= 20 group by line
+  select line, length(line) as n, min(struct_pack(d := doc_id, l := no)) as f, md5(substr(line, 1, (length(line) // 2)::int)) as p from l where length(line) > 0 group by line
 ), near as (
   select distinct a.line from c a join c b on b.n between a.n - 1 and a.n + 1 and b.f < a.f
     and (left(a.line, (least(a.n, b.n) // 2)::int) = left(b.line, (least(a.n, b.n) // 2)::int) or right(a.line, (least(a.n, b.n) // 2)::int) = right(b.line, (least(a.n, b.n) // 2)::int))
-    and levenshtein(a.line, b.line) = 1
+    and len(list_filter(range(greatest(a.n, b.n)), lambda i: case when a.n = b.n then left(a.line, i::int) || substr(a.line, i::int + 2) = left(b.line, i::int) || substr(b.line, i::int + 2)
+      when a.n > b.n then left(a.line, i::int) || substr(a.line, i::int + 2) = b.line else left(b.line, i::int) || substr(b.line, i::int + 2) = a.line end)) > 0
 ), m as (
   select l.doc_id, l.no, l.line, coalesce(l.no is not null and c.line is not null and (struct_pack(d := l.doc_id, l := l.no) > c.f or near.line is not null), false) as gone
   from l left join c on c.line = l.line left join near on near.line = l.line

@@ -19,3 +19,11 @@ def test_short_repeats_go_and_empty_lines_stay(spark):
     docs = [(1, "Read more\n\nfirst"), (2, "\nRead more\n\nRead mare\nb"), (3, "c\nsecond")]
     got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {1: "Read more\n\nfirst", 2: "\n\nb", 3: "second"}
+
+
+def test_equal_lines_only(spark):
+    docs = [(1, "Read more\nfirst"), (2, "Read mare\nRead more\nfirst"), (3, "Read mare")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in dedup_lines(df, edits=0).collect()} == {1: "Read more\nfirst", 2: "Read mare", 3: ""}
+    with pytest.raises(ValueError):
+        dedup_lines(df, edits=2)
