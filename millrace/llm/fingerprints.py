@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, partitions, scratch, table
+from .common import doc_key, kept, partitions, scratch, table
 
 SIZE = 128
 WORDS = 5
@@ -84,7 +84,7 @@ def next_documents(docs: DataFrame) -> DataFrame:
     the ranges' first rows (one for each partition) are linked to one another.
     """
     ids = docs.select("doc", "th", "n").distinct()
-    ids = scratch(ids.repartitionByRange(4 * partitions(docs.sparkSession), F.desc("doc"), "th").withColumn("part", F.spark_partition_id()))
+    ids = scratch(ids.repartitionByRange(partitions(docs.sparkSession), F.desc("doc"), "th").withColumn("part", F.spark_partition_id()))
     ends = ids.groupBy("part").agg(F.max(F.struct("doc", F.expr("-cast(th as decimal(38))").alias("minus"))).alias("e"))
     ends = ends.selectExpr("part", "e.doc as e_doc", "cast(-e.minus as long) as e_th")
     # One row for each partition of the range exchange.
@@ -109,7 +109,7 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE, words: int = WORDS) -
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), doc_key().alias("doc"))
     texts = texts.withColumns({"th": F.xxhash64("text"), "n": F.char_length("text").cast("long")})
-    following = scratch(next_documents(texts))
+    following = kept(next_documents(texts))
     one_each = following.selectExpr("doc as p_doc", "th as p_th", "n as p_n", "next_doc as doc", "next_th as th")
     texts = texts.drop("n")
     # Both joins are on (doc, th): one exchange of the texts serves both. What the next document lends, with its
