@@ -99,10 +99,13 @@ def tokenised_pieces(docs: DataFrame, vocabulary: tuple, capacity: int = CAPACIT
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(*vocabulary)
+        enc, met = encoder(*vocabulary), 0
         for b in batches:
             out: list[list] = [[] for _ in schema.names]
-            for doc, row_hash, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1), strict=True):
+            # A row's number goes into its hash, so that repeated rows are dealt out too.
+            hashes = b.column(2).to_numpy().view(np.uint64) + np.arange(met, met + b.num_rows, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            met += b.num_rows
+            for doc, row_hash, text in zip(b.column(0).to_pylist(), hashes.view(np.int64).tolist(), b.column(1), strict=True):
                 ids = enc(text.as_py() or "")
                 raw, start = memoryview(np.array([*ids, END_ID], dtype="<u4").tobytes()), 0
                 for k, n in enumerate(cut_lengths(len(ids) + 1, capacity)):

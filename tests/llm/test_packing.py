@@ -107,3 +107,13 @@ def test_sequences_hold_the_documents(spark):
         for p in sorted((p for p in packed.collect() if p.doc_id == d), key=lambda p: p.piece):
             got += rows[p.sequence_id][p.offset : p.offset + p.length]
         assert got == [*enc(t or ""), 0]
+
+
+def test_many_repeated_rows_and_clashing_names(spark):
+    """Copies of one row are dealt out like others, and all are packed."""
+    docs = [(7, "the same row")] * 3000 + [(i, "x " * (i % 40)) for i in range(8, 300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as row_hash", "2 as sequence_id", "'a' as ids", "3 as _rank", "4 as n").repartition(7)
+    rows = pack(df, capacity=64).collect()
+    assert sum(r.doc_id == 7 for r in rows) == 3000
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    check(rows, docs, 64)
