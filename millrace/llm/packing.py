@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import partitions, scratch, table
+from .textscan import trimming
 
 CAPACITY = 2048
 END_ID = 0
@@ -115,7 +116,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary: tuple, capacity: int = CAPACIT
                     start += n
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=False)], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("row_hash")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("row_hash")).mapInArrow(trimming(run), schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -219,7 +220,7 @@ def place(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     ids = [f for f in _IDS if f.name in found.columns]
     schema = T.StructType([*PIECES.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), *ids])
-    return ranked.select(*PIECES.names[:5], "_rank", *[f.name for f in ids]).mapInArrow(slots, schema)
+    return ranked.select(*PIECES.names[:5], "_rank", *[f.name for f in ids]).mapInArrow(trimming(slots), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

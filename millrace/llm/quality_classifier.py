@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .common import hash_cut, table
 from .quality_rules import counts_of
-from .textscan import Words, buffers, mix, pieces, scan
+from .textscan import Words, buffers, mix, pieces, scan, trimming
 
 BITS = 16
 #: Rows that the scorer learns from, at most: those of the smallest hashed ids.
@@ -209,7 +209,7 @@ def label_model(docs: DataFrame) -> LabelModel:
             p, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(n)], ["pattern", "n"])
 
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toPandas()
+    rows = docs.select(F.col("text").cast("string")).mapInArrow(trimming(run), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toPandas()
     return fit_labels(rows["pattern"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
 
 
@@ -234,7 +234,7 @@ def scorer(docs: DataFrame, model: LabelModel, most_rows: int = MOST_ROWS) -> Sc
         index = np.flatnonzero(s.weight)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *index.tolist()], pa.int32()), pa.array([s.bias, *s.weight[index].tolist()], pa.float64())], ["index", "weight"])
 
-    got = sample.orderBy("h", "text").limit(most_rows).mapInArrow(fit, "index int, weight double").toPandas()
+    got = sample.orderBy("h", "text").limit(most_rows).mapInArrow(trimming(fit), "index int, weight double").toPandas()
     w = np.zeros(1 << BITS, dtype=np.float32)
     rest = got[got["index"] >= 0]
     w[rest["index"].to_numpy()] = rest["weight"].to_numpy()
@@ -264,7 +264,7 @@ def classify(docs: DataFrame, model: LabelModel, linear: Scorer) -> DataFrame:
             p, s, words = np.concatenate(p), np.concatenate(s), np.concatenate(words)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array((votes(p) > 0).sum(1).astype(np.int32)), pa.array(model.posterior(p)), pa.array(s), pa.array((s >= THRESHOLD) & words)], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimming(run), schema)
 
 
 def op1_quality_classifier(spark, sf_dir: str) -> DataFrame:

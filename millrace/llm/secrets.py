@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table
-from .textscan import buffers, pieces
+from .textscan import buffers, pieces, trimming
 
 #: A run of token characters without a secret's name has so many at least: no issuer's keys are shorter.
 MIN_CHARS = 8
@@ -489,7 +489,7 @@ def scan_documents(docs: DataFrame, forest: Forest) -> DataFrame:
                     SCHEMA.names,
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimming(run), SCHEMA)
 
 
 def mask_secrets(docs: DataFrame, forest: Forest, mask: str = MASK) -> DataFrame:
@@ -516,7 +516,7 @@ def mask_secrets(docs: DataFrame, forest: Forest, mask: str = MASK) -> DataFrame
                     part = pa.RecordBatch.from_arrays([part.column(0), pa.array(text, b.schema.field(1).type)], schema=b.schema)
                 yield part
 
-    out = rows.mapInArrow(run, rows.schema)
+    out = rows.mapInArrow(trimming(run), rows.schema)
     return out.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 

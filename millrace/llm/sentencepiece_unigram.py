@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table
+from .textscan import trimming
 
 MARK = "▁"
 #: What an unknown character costs below the least score (as in the public library).
@@ -426,7 +427,7 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, int]] | Vocabulary, d
                 cols[3].append(pa.array([coder.decode(flat[i:j]) == (t or "") for t, i, j in zip(part, ends, ends[1:], strict=False)], pa.bool_()))
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.concat_arrays(c) if c else pa.nulls(0, k) for c, k in zip(cols, kinds, strict=True)]], schema.names)
 
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(trimming(run), schema)
     return out.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns], *names)
 
 

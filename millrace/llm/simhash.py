@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, kept, scratch, table
 from .graph import connected_components
-from .textscan import Words, buffers, pieces, scan
+from .textscan import Words, buffers, pieces, scan, trimming
 
 SHINGLE = 3
 MOST_BITS = 3
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fp.view(np.int64))], ["doc_id", "doc", "th", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key().alias("doc"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, doc long, th long, fp long")
+    return rows.mapInArrow(trimming(run), "doc_id long, doc long, th long, fp long")
 
 
 def _stars(fp: np.ndarray) -> list[tuple[int, int]]:
@@ -231,7 +231,7 @@ def links(prints: DataFrame) -> DataFrame:
         "(cast(v as long) << 32) | (shiftrightunsigned(fp, (v div 32) * 32) & 4294967295L & ~(1L << cast(v % 32 as int))) as key",
         "fp",
     )
-    found = variants.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long, key long")
+    found = variants.repartition("key").sortWithinPartitions("key").mapInArrow(trimming(_links), "a long, b long, key long")
     # Members of large buckets go to parts by quarters of the half that the key has not: one of the two differs
     # by at most one bit as well. Links (w -1) go along, so that nothing has to be written in between.
     wide = found.selectExpr("a", "b", "key", "explode(if(key is null, array(-1), sequence(0, 31))) as w")
@@ -243,7 +243,7 @@ def links(prints: DataFrame) -> DataFrame:
         "if(w < 0, xxhash64(a, b), xxhash64(key, w, shiftrightunsigned(a, known) & 65535L & ~(1L << out))) as part",
         "if(w < 0, null, concat(array(bit, known + out), sequence(open, open + 15))) as free",
     )
-    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(_large_links, "a long, b long")
+    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(trimming(_large_links), "a long, b long")
 
 
 def _groups(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

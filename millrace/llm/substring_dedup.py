@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import doc_key, kept, table
-from .textscan import Words, buffers, cut, mix, pieces, scan
+from .textscan import Words, buffers, cut, mix, pieces, scan, trimming
 
 WIDTH = 20
 #: Words of a minimiser. Of 2.7 to 3.7 million super-k-mers in 0.1 GB of documents, 36, 30 and 28 % have a minimiser that
@@ -140,8 +140,8 @@ def _repeated_minimisers(rows: DataFrame, width: int) -> DataFrame:
         none = pa.nulls(1, pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, pa.nulls(1, pa.int32()), none, pa.array([total])], ["doc", "fp", "ord", "key", "n"])
 
-    sent = rows.select("doc", "fp", "text").mapInArrow(send, "key long, doc long, fp long, ord int, n int")
-    return kept(sent.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "doc long, fp long, ord int, key long, n long"))
+    sent = rows.select("doc", "fp", "text").mapInArrow(trimming(send), "key long, doc long, fp long, ord int, n int")
+    return kept(sent.repartition("key").sortWithinPartitions("key").mapInArrow(trimming(meet), "doc long, fp long, ord int, key long, n long"))
 
 
 def _heads(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +217,7 @@ def _pack(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
                     start, count, row = _merge(known - w.first[d], d)
                     yield pa.RecordBatch.from_arrays([pa.array(_signed(mix(doc[i + row].astype(np.uint64)))), pa.array(doc[i + row]), pa.array(fp[i + row]), pa.array(start), pa.array(count), pa.nulls(len(row), pa.binary())], names)
 
-    return rows.mapInArrow(run, _RUNS)
+    return rows.mapInArrow(trimming(run), _RUNS)
 
 
 def _merge(start: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -341,7 +341,7 @@ def _repeated_spans(keyed: DataFrame, width: int) -> DataFrame:
         if held:
             yield _repeats(pa.Table.from_batches(held), width)[0]
 
-    return _pack(rows, width, hot).repartition("key").sortWithinPartitions("key").mapInArrow(bucket, _SPANS)
+    return _pack(rows, width, hot).repartition("key").sortWithinPartitions("key").mapInArrow(trimming(bucket), _SPANS)
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -369,7 +369,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             for i, j in pieces(off, _STEP):
                 yield _apply(b.slice(i, j - i), width, schema.names)
 
-    out = joined.mapInArrow(run, schema)
+    out = joined.mapInArrow(trimming(run), schema)
     return out.select(*[F.col("_row")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns], "n_words", "n_removed", "kept_text", "removed")
 
 

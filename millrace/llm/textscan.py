@@ -7,12 +7,15 @@ agree on where words are.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _RNG = np.random.default_rng(20_240_601)
 _BYTE = _RNG.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -134,3 +137,20 @@ def cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     idx = np.arange(off[-1], dtype=np.int64)
     idx += np.repeat(start - off[:-1], length)
     return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(data[idx])]).cast(pa.binary())
+
+
+def trim() -> None:
+    """Give freed memory back."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def trimming(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``, whose worker gives freed memory back at the end: later stages use it again."""
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return trimmed

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import hash_cut, table
-from .textscan import Words, buffers, mix, pieces, scan
+from .textscan import Words, buffers, mix, pieces, scan, trimming
 
 BITS = 20
 #: Labelled rows that are learnt from, at most: those of the smallest hashed ids.
@@ -116,7 +116,7 @@ def train(labelled: DataFrame, most_rows: int = MOST_ROWS) -> Model:
         model = train_rows([x[2] for x in found], np.array([x[1] for x in found], dtype=np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([None, *model.index.tolist()], pa.int32()), pa.array([model.bias, *model.weight.tolist()], pa.float64())], ["index", "weight"])
 
-    found = sample.mapInArrow(fit, "index int, weight double").toPandas()
+    found = sample.mapInArrow(trimming(fit), "index int, weight double").toPandas()
     bias = found["index"].isna()
     rest = found[~bias]
     return Model(rest["index"].to_numpy(dtype=np.int64), rest["weight"].to_numpy(dtype=np.float32), float(found["weight"][bias].iloc[0]) if bias.any() else -7.0)
@@ -149,7 +149,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             found = [scores_of(words_of(off[i : j + 1] - off[i], raw[off[i] : off[j]]), weight, shared.value.bias) for i, j in pieces(off, _STEP)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate([np.empty(0), *found]))], schema.names)
 
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(trimming(run), schema)
     return out.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns], "score")
 
 
