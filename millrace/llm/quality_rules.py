@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import kept, scratch, table
-from .textscan import Words, buffers, mix, pieces, scan
+from .textscan import Words, buffers, mix, pieces, scan, trimming
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MIN_WORDS = 10
@@ -40,6 +40,7 @@ PRIOR = 50.0
 ALPHA = 1e-12
 #: Least standard deviation of each transformed statistic: what is constant in most rows must not reject small changes.
 LEAST_SPREAD = [0.5, 0.1, 0.4, 0.4, 0.4]
+LEAST_SHARE = 0.1
 #: Estimates (some 700 bytes each) of so many groups are broadcast; of more, groups are salted.
 MOST_SENT, SALTS = 20_000, 32
 _STEP = 1 << 19
@@ -96,7 +97,7 @@ def counts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *map(pa.array, cols)], ["doc_id", "lang", "source", *COUNTS])
 
     have = [F.col(c).cast("string").alias(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *have, F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *have, F.col("text").cast("string").alias("text")).mapInArrow(trimming(run), "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
 
 
@@ -167,14 +168,21 @@ def _starts(rows: DataFrame, centres: DataFrame) -> DataFrame:
 
 
 def _matrices(cov: list) -> np.ndarray:
-    """Covariances with LEAST_SPREAD as the floor: correlations stay, what varies less is given the rest as noise of its own."""
+    """Covariances with LEAST_SPREAD as the floor.
+
+    Correlations stay; what varies less is given the rest as noise of its own,
+    and no direction has less than LEAST_SHARE of the floor's variance, so that
+    a group of two rows has an inverse as well.
+    """
     v = np.array(cov, dtype=np.float64).reshape(-1, len(_PAIRS))
     m = np.zeros((len(v), _D, _D))
     for k, (i, j) in enumerate(_PAIRS):
         m[:, i, j] = m[:, j, i] = v[:, k]
     at = np.arange(_D)
-    m[:, at, at] += np.maximum(0, np.square(LEAST_SPREAD) - m[:, at, at]) + 1e-9
-    return m
+    m[:, at, at] += np.maximum(0, np.square(LEAST_SPREAD) - m[:, at, at])
+    scale = np.outer(LEAST_SPREAD, LEAST_SPREAD)
+    size, way = np.linalg.eigh(m / scale)
+    return (way * np.maximum(size, LEAST_SHARE)[:, None, :]) @ way.transpose(0, 2, 1) * scale
 
 
 def _inverse(m: np.ndarray) -> pa.Array:
@@ -190,7 +198,7 @@ def _invert(estimates: DataFrame, factor: float) -> DataFrame:
             m = _matrices([[x * factor for x in c] for c in b.column(3).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns[:3], _inverse(m), pa.array(np.linalg.slogdet(m)[1])], ["g", "k", "mean", "inv", "det"])
 
-    return estimates.select("g", "k", "mean", "cov").mapInArrow(run, "g string, k int, mean array<double>, inv array<double>, det double")
+    return estimates.select("g", "k", "mean", "cov").mapInArrow(trimming(run), "g string, k int, mean array<double>, inv array<double>, det double")
 
 
 def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -209,7 +217,7 @@ def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def _distance() -> Column:
     """Squared Mahalanobis distance of x0.. from ``mean`` by ``inv``."""
     x = [F.col(f"x{i}") - F.col("mean")[i] for i in range(_D)]
-    return sum((F.col("inv")[k] * x[i] * x[j] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), sum((F.col("inv")[k] * x[i] * x[j] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)), F.lit(0.0)))
 
 
 def _moments(rows: DataFrame) -> DataFrame:
@@ -284,7 +292,7 @@ def _settled(found: DataFrame, keys: DataFrame) -> DataFrame:
     own = keys.join(found.select("g", "n", "mean", "cov"), "g")
     above = found.select(F.col("g").alias("gl"), F.col("n").alias("ln"), F.col("mean").alias("lm"), F.col("cov").alias("lc"))
     rows = own.join(above, "gl").select("g", "n", "mean", "cov", "ln", "lm", "lc")
-    return scratch(rows.mapInArrow(run, "g string, mean array<double>, inv array<double>"), few=64)
+    return scratch(rows.mapInArrow(trimming(run), "g string, mean array<double>, inv array<double>"), few=64)
 
 
 def judge(docs: DataFrame) -> DataFrame:

@@ -138,3 +138,17 @@ def test_long_text_and_extra_columns(spark):
     df = spark.createDataFrame([(1, " ".join(words), "en", "s", 5, "k")], "doc_id long, text string, lang string, source string, n_words int, g string")
     r = q.judge(df).first()
     assert (r.n_words, r.n_repeat_words, r.kept) == (2_000_000, 0, True)
+
+
+def test_no_row_is_lost_in_tiny_groups(spark):
+    """Groups of one to four rows, far apart, equal or in line: each row has a verdict."""
+    rnd = random.Random(12)
+    vocab = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(2, 8))) for _ in range(2000)]
+    docs = []
+    for k in range(60):
+        for _ in range(k % 4 + 1):
+            text = " ".join(rnd.choice(vocab) for _ in range(rnd.choice([12, 90, 600])))
+            docs.append((len(docs), text + rnd.choice(["", " ## $$", "\n" + text[:80] + "\n" + text[:80]]), rnd.choice(["en", "fr", None]), f"s{k}"))
+    got = q.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(docs)))
+    assert all(r.kept is not None and (r.base_failed or r.d2 >= 0) for r in got)

@@ -115,3 +115,11 @@ def test_edges(spark):
     assert sorted(r._doc for r in keep_one_of_each(clash).collect()) == [1, 2, 4] and keep_one_of_each(clash).columns == clash.columns
     copies = spark.createDataFrame([(5, "a b c d")] * 3, "doc_id long, text string")
     assert keep_one_of_each(copies).count() == 1
+
+
+def test_very_long_text_and_ties(spark):
+    """A text of a million words, one word without spaces, and copies of both."""
+    long, blob = " ".join(f"w{i * 31 % 9973}" for i in range(1_000_000)), "z" * 1_000_000
+    df = spark.createDataFrame([(3, long), (1, long), (2, blob), (2, blob)], "doc_id long, text string")
+    rows = near_duplicates(df).collect()
+    assert {(r.doc_id, r.fp % 2**64, r.component_id) for r in rows} == {(3, fingerprint(long), 1), (1, fingerprint(long), 1), (2, fingerprint(blob), 2)} and len(rows) == 4
