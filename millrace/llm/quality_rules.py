@@ -32,7 +32,7 @@ WINDOW = 5
 #: Share of a group that its estimate comes from.
 SUPPORT = 0.75
 #: Concentration steps of each start, and of the best one after that.
-STEPS, MORE_STEPS = 2, 1
+STARTS, STEPS, MORE_STEPS = 3, 2, 1
 #: So many rows of a language's estimate stand beside a source's own (and of all rows' beside a language's): ten for each statistic.
 PRIOR = 50.0
 #: A row is rejected beyond the distance that a normal one would pass with this chance. Far smaller than usual, as
@@ -41,7 +41,7 @@ ALPHA = 1e-12
 #: Least standard deviation of each transformed statistic: what is constant in most rows must not reject small changes.
 LEAST_SPREAD = [0.5, 0.1, 0.4, 0.4, 0.4]
 LEAST_SHARE = 0.1
-#: Estimates (some 700 bytes each) of so many groups are broadcast; of more, groups are salted.
+#: So many estimates (some 700 bytes each) are broadcast; of more, groups are salted.
 MOST_SENT, SALTS = 20_000, 32
 _STEP = 1 << 19
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -134,6 +134,19 @@ def chi2_quantile(p: float, d: int) -> float:
     return (low + high) / 2
 
 
+def _each(sql: str) -> list[str]:
+    """``sql`` for each statistic ``i``; text, as columns by the hundred are slow to make one by one."""
+    return [sql.format(i=i) for i in range(_D)]
+
+
+def _pairs(sql: str) -> list[str]:
+    return [sql.format(i=i, j=j) for i, j in _PAIRS]
+
+
+def _array(items: list[str]) -> str:
+    return f"array({', '.join(items)})"
+
+
 def _centres(rows: DataFrame) -> DataFrame:
     """Medians and spreads (quartile ranges, LEAST_SPREAD at least) of each group: ``g, m, s``.
 
@@ -147,24 +160,20 @@ def _centres(rows: DataFrame) -> DataFrame:
     return q.groupBy("g").agg(F.array(*[of("m", i) for i in range(_D)]).alias("m"), F.array(*[F.greatest(of("s", i), F.lit(LEAST_SPREAD[i])) for i in range(_D)]).alias("s"))
 
 
-def _starts(rows: DataFrame, centres: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, centres: DataFrame, sent: bool) -> DataFrame:
     """The three starts of each group: ``g, k, mean, cov``."""
-    d = [F.col(f"x{i}") - F.col("m")[i] for i in range(_D)]
-    z = [c / F.col("s")[i] for i, c in enumerate(d)]
-    size = sum((c * c for c in z[1:]), z[0] * z[0])
-    joined = _with_group(rows, centres).select("g", "m", "s", *[c.alias(f"d{i}") for i, c in enumerate(d)], *[F.when(size > 0, c / F.sqrt(size)).otherwise(0.0).alias(f"u{i}") for i, c in enumerate(z)])
-    sums = joined.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), F.first("m").alias("m"), F.first("s").alias("s"), *[F.sum(f"d{i}").alias(f"d{i}") for i in range(_D)],
-        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"c{i}{j}") for i, j in _PAIRS], *[F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"u{i}{j}") for i, j in _PAIRS],
-    )
-    n, m, s = F.col("n"), F.col("m"), F.col("s")
-    mean = [F.col(f"d{i}") / n for i in range(_D)]
+    d = _each("x{i} - m[{i}]")
+    size = " + ".join(_each("pow((x{i} - m[{i}]) / s[{i}], 2)"))
+    at = _with_group(rows, centres, sent).selectExpr("*", f"sqrt({size}) as size")
+    joined = at.selectExpr("g", "m", "s", *[f"{c} as d{i}" for i, c in enumerate(d)], *_each("if(size > 0, (x{i} - m[{i}]) / s[{i}] / size, 0d) as u{i}"))
+    sums = joined.groupBy("g").agg(F.expr("count(1) as n"), F.expr("first(m) as m"), F.expr("first(s) as s"), *map(F.expr, [*_each("sum(d{i}) as d{i}"), *_pairs("sum(d{i} * d{j}) as c{i}{j}"), *_pairs("sum(u{i} * u{j}) as u{i}{j}")]))
     made = [
-        (m, [s[i] * s[i] if i == j else F.lit(0.0) for i, j in _PAIRS]),
-        (F.array(*[m[i] + mean[i] for i in range(_D)]), [F.col(f"c{i}{j}") / n - mean[i] * mean[j] for i, j in _PAIRS]),
-        (m, [_D * F.col(f"u{i}{j}") / n * s[i] * s[j] for i, j in _PAIRS]),
+        ("m", [f"s[{i}] * s[{i}]" if i == j else "0d" for i, j in _PAIRS]),
+        (_array(_each("m[{i}] + d{i} / n")), _pairs("c{i}{j} / n - d{i} / n * d{j} / n")),
+        ("m", _pairs(f"{_D} * u{{i}}{{j}} / n * s[{{i}}] * s[{{j}}]")),
     ]
-    return sums.select("g", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), a.alias("mean"), F.array(*c).alias("cov")) for k, (a, c) in enumerate(made)])).alias("e")).select("g", "e.*")
+    starts = ", ".join(f"struct({k} as k, {mean} as mean, {_array(cov)} as cov)" for k, (mean, cov) in enumerate(made))
+    return sums.selectExpr("g", f"inline(array({starts}))")
 
 
 def _matrices(cov: list) -> np.ndarray:
@@ -201,14 +210,15 @@ def _invert(estimates: DataFrame, factor: float) -> DataFrame:
     return estimates.select("g", "k", "mean", "cov").mapInArrow(trimming(run), "g string, k int, mean array<double>, inv array<double>, det double")
 
 
-def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+def _with_group(rows: DataFrame, groups: DataFrame, sent: bool) -> DataFrame:
     """``rows`` with the row (or rows) of ``groups`` for their ``g``.
 
-    Up to MOST_SENT groups (counted here) are broadcast. Of more, each is
-    repeated under SALTS numbers and rows are dealt out by group and number, so
-    that a group of a third of all rows is not one task's.
+    ``sent``: there are MOST_SENT of them at most (counted), and they are
+    broadcast. Of more, each is repeated under SALTS numbers and rows are dealt
+    out by group and number, so that a group of a third of all rows is not one
+    task's.
     """
-    if groups.limit(MOST_SENT + 1).count() <= MOST_SENT:
+    if sent:
         return rows.join(F.broadcast(groups), "g")
     dealt = rows.withColumn("_n", F.pmod(F.xxhash64(*[c for c in rows.columns if c != "g"]), F.lit(SALTS)))
     return dealt.join(groups.withColumn("_n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["g", "_n"]).drop("_n")
@@ -216,25 +226,24 @@ def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _distance() -> Column:
     """Squared Mahalanobis distance of x0.. from ``mean`` by ``inv``."""
-    x = [F.col(f"x{i}") - F.col("mean")[i] for i in range(_D)]
-    return F.greatest(F.lit(0.0), sum((F.col("inv")[k] * x[i] * x[j] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)), F.lit(0.0)))
+    x = _each("(x{i} - mean[{i}])")
+    return F.expr("greatest(0d, " + " + ".join(f"{1 if i == j else 2} * inv[{k}] * {x[i]} * {x[j]}" for k, (i, j) in enumerate(_PAIRS)) + ")")
 
 
 def _moments(rows: DataFrame) -> DataFrame:
     """``g, k, n, mean, cov`` of rows that have their old ``mean``; sums are of differences from it."""
-    x = [F.col(f"x{i}") - F.col("mean")[i] for i in range(_D)]
-    sums = rows.groupBy("g", "k").agg(F.count(F.lit(1)).cast("double").alias("n"), F.first("mean").alias("mean"), *[F.sum(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.sum(x[i] * x[j]).alias(f"c{i}{j}") for i, j in _PAIRS])
-    d = [F.col(f"m{i}") / F.col("n") for i in range(_D)]
-    return sums.select("g", "k", "n", F.array(*[F.col("mean")[i] + d[i] for i in range(_D)]).alias("mean"), F.array(*[F.col(f"c{i}{j}") / F.col("n") - d[i] * d[j] for i, j in _PAIRS]).alias("cov"))
+    sums = [*_each("sum(x{i} - mean[{i}]) as m{i}"), *_pairs("sum((x{i} - mean[{i}]) * (x{j} - mean[{j}])) as c{i}{j}")]
+    found = rows.groupBy("g", "k").agg(F.expr("cast(count(1) as double) as n"), F.expr("first(mean) as mean"), *map(F.expr, sums))
+    return found.selectExpr("g", "k", "n", f"{_array(_each('mean[{i}] + m{i} / n'))} as mean", f"{_array(_pairs('c{i}{j} / n - m{i} / n * m{j} / n'))} as cov")
 
 
-def _concentrated(rows: DataFrame, now: DataFrame) -> DataFrame:
+def _concentrated(rows: DataFrame, now: DataFrame, sent: bool) -> DataFrame:
     """Mean and covariance of the nearest SUPPORT of each group's rows, for each of its estimates in ``now`` (g, k, mean, inv)."""
     cell = F.floor(F.log(_distance() + 1e-6) * 64)
-    cells = _with_group(rows, now).groupBy("g", "k", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    cells = _with_group(rows, now, sent).groupBy("g", "k", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     run = cells.selectExpr("g", "k", "cell", "sum(n) over (partition by g, k order by cell) as upto", "sum(n) over (partition by g, k) as total")  # some hundred cells a group
     bound = run.where(F.col("upto") >= SUPPORT * F.col("total")).groupBy("g", "k").agg(F.min("cell").alias("bound"))
-    return _moments(_with_group(rows, scratch(now.join(bound, ["g", "k"]), few=64)).where(cell <= F.col("bound")))
+    return _moments(_with_group(rows, now.join(bound, ["g", "k"]), sent).where(cell <= F.col("bound")))
 
 
 def _consistency(share: float) -> float:
@@ -247,14 +256,16 @@ def estimates(rows: DataFrame) -> DataFrame:
 
     ``rows`` has ``g`` and x0.. and no failed rows. A group none of whose rows is near its estimate has null ``n``.
     """
-    now = scratch(_invert(_starts(rows, scratch(_centres(rows), few=64)), 1.0), few=64)
+    centres = scratch(_centres(rows), few=64)
+    sent = STARTS * centres.count() <= MOST_SENT
+    now = scratch(_invert(_starts(rows, centres, sent), 1.0), few=64)
     for _ in range(STEPS):
-        now = scratch(_invert(_concentrated(rows, now), _consistency(SUPPORT)), few=64)
+        now = scratch(_invert(_concentrated(rows, now, sent), _consistency(SUPPORT)), few=64)
     best = now.groupBy("g").agg(F.min(F.struct("det", "k", "mean", "inv")).alias("b"))
-    now = scratch(best.select("g", "b.k", "b.mean", "b.inv"), few=64)
+    now = best.select("g", "b.k", "b.mean", "b.inv")
     for _ in range(MORE_STEPS):
-        now = scratch(_invert(_concentrated(rows, now), _consistency(SUPPORT)), few=64)
-    near = _moments(_with_group(rows, now).where(_distance() <= chi2_quantile(0.975, _D))).drop("k")
+        now = scratch(_invert(_concentrated(rows, now, sent), _consistency(SUPPORT)), few=64)
+    near = _moments(_with_group(rows, now, sent).where(_distance() <= chi2_quantile(0.975, _D))).drop("k")
     return scratch(now.selectExpr("g", "struct(mean, inv, det) as raw").join(near, "g", "left"), few=64)
 
 
@@ -292,7 +303,7 @@ def _settled(found: DataFrame, keys: DataFrame) -> DataFrame:
     own = keys.join(found.select("g", "n", "mean", "cov"), "g")
     above = found.select(F.col("g").alias("gl"), F.col("n").alias("ln"), F.col("mean").alias("lm"), F.col("cov").alias("lc"))
     rows = own.join(above, "gl").select("g", "n", "mean", "cov", "ln", "lm", "lc")
-    return scratch(rows.mapInArrow(trimming(run), "g string, mean array<double>, inv array<double>"), few=64)
+    return rows.mapInArrow(trimming(run), "g string, mean array<double>, inv array<double>")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -311,9 +322,10 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = kept(rows.withColumns({f"x{i}": c for i, c in enumerate(vector())}))
     good = rows.where(~F.col("base_failed"))
     fit = good.select(F.explode(F.array(F.lit(_ALL), "gl", "g")).alias("g"), *[f"x{i}" for i in range(_D)])
-    found = _settled(estimates(fit), good.select("g", "gl").distinct())
+    found = estimates(fit)
+    settled, sent = _settled(found, good.select("g", "gl").distinct()), found.count() <= MOST_SENT
     names = ["doc_id", *COUNTS, "base_failed"]
-    d2 = _with_group(good, found).select(*names, _distance().alias("d2"))
+    d2 = _with_group(good, settled, sent).select(*names, _distance().alias("d2"))
     passed = d2.select(*names, (F.col("d2") <= chi2_quantile(1 - ALPHA, _D)).alias("kept"), "d2")
     return passed.unionByName(rows.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2")))
 
