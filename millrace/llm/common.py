@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..shared import fresh_folder, release
 
 _MIN_LONG = -(2**63)
+#: Bytes a core, as files, below which a table of texts is dealt out to all cores before anything else.
+SMALL = 4 << 20
 
 
 def scratch(df: DataFrame, few: int = 1) -> DataFrame:
@@ -63,7 +65,16 @@ def hash_cut(rows: DataFrame, hashed: Column, most: int) -> int:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table ``name``; texts of less than SMALL bytes a core are dealt out to all cores.
+
+    A small table is often one file of one row group, which one task would read
+    and go through alone. Large ones, which have row groups for every core,
+    aren't shuffled.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if "text" in df.columns and size < SMALL * cores else df
 
 
 __all__ = ["doc_key", "hash_cut", "kept", "partitions", "release", "scratch", "table"]
