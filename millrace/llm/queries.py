@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import line_dedup, substring_dedup
+from .conversation_repair import op11_conversation_repair
 from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_secret_scans": op9_secret_scans,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 #: DuckDB SQL for those that SQL can express.
