@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import line_dedup, substring_dedup
 from .conversation_repair import op11_conversation_repair
+from .cross_tokenizer import op12_cross_tokenizer
 from .fingerprints import op4_document_fingerprints
 from .line_dedup import op3_line_dedup
 from .packing import op10_best_fit_packing
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
 }
 
 #: DuckDB SQL for those that SQL can express.
