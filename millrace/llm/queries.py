@@ -14,6 +14,7 @@ from .secrets import op9_secret_scans
 from .sentencepiece_unigram import op8_sentencepiece
 from .simhash import op6_simhash_near_dedup
 from .substring_dedup import op2_substring_dedup
+from .superminhash import op13_superminhash_near_dedup
 from .toxicity import op5_toxicity
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_cross_tokenizer": op12_cross_tokenizer,
+    "op13_superminhash_near_dedup": op13_superminhash_near_dedup,
 }
 
 #: DuckDB SQL for those that SQL can express.
