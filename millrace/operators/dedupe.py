@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import imaging
 from ..shared import written
+from .names import free_names
 
 lit, col = F.lit, F.col
 #: Rows of a scope that are compared at once; pairs of a scope that one task settles.
@@ -189,12 +190,8 @@ def rescue(trash: DataFrame, present: DataFrame, method: str = "both", lap: floa
     """``src, dst`` of trashed pictures (rel, laplacian, tenengrad) that aren't blurred by the limits now.
 
     A taken destination gets ``_rescued<i>`` before the extension, ``i`` the
-    least free number (destinations have few claimants each).
+    least number that is free when its turn comes (by ``rel``).
     """
     parts = C.parts(col("rel"))
     back = trash.where(F.exists(parts, lambda s: s.startswith("blur_")) & ~C.is_blurred(method, col("laplacian"), col("tenengrad"), lap, ten)).select(col("rel").alias("src"), C.restored_path(col("rel")).alias("dst"))
-    back = back.join(present.select(col("path").alias("dst"), lit(1).alias("taken")).distinct(), "dst", "left")
-    i = F.row_number().over(Window.partitionBy("dst").orderBy("src")) - 1 + F.coalesce(col("taken"), lit(0))
-    ext = F.regexp_extract("dst", r"[^/](\.[^./]*)$", 1)
-    base = F.substring(col("dst"), lit(1), F.char_length("dst") - F.char_length(ext))
-    return back.withColumn("_i", i).select("src", F.when(col("_i") == 0, col("dst")).otherwise(F.concat(base, lit("_rescued"), col("_i").cast("string"), ext)).alias("dst"))
+    return free_names(back, present, "_rescued")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import ontology as O
 from ..shared import written
+from .names import free_names
 
 lit, col = F.lit, F.col
 #: Decisions on so many classes (some 100 bytes each) are broadcast; more are joined by shuffling.
@@ -53,16 +54,6 @@ def missing_classes(classes: DataFrame, names: DataFrame) -> DataFrame:
     return names.join(classes.select("source_class").distinct(), "source_class", "left_anti")
 
 
-def free_names(plan: DataFrame, present: DataFrame) -> DataFrame:
-    """``dst`` made unique: of those that want one name the first keeps it (if it is free), others get ``_<i>``."""
-    taken = present.select(col("path").alias("dst"), lit(1).alias("_taken")).distinct()
-    i = F.row_number().over(Window.partitionBy("dst").orderBy("src")) - 1 + F.coalesce(col("_taken"), lit(0))
-    ext = F.regexp_extract("dst", r"[^/](\.[^./]*)$", 1)
-    base = F.substring(col("dst"), lit(1), F.char_length("dst") - F.char_length(ext))
-    rows = plan.join(taken, "dst", "left").withColumn("_i", i)
-    return rows.withColumn("dst", F.when(col("_i") == 0, col("dst")).otherwise(F.concat(base, lit("_"), col("_i").cast("string"), ext))).select(*plan.columns)
-
-
 def copy_status(plan: DataFrame, present: DataFrame) -> DataFrame:
     """``status`` of each planned copy: skipped_non_image, skipped_exists or copied (a re-run copies nothing)."""
     there = present.select(col("path").alias("dst"), lit(True).alias("_there")).distinct()

@@ -168,8 +168,37 @@ def _rescued(spark, d):
 BACK = f"""{FILES}, tr as (select regexp_replace(substr(path, 10), '[0-9a-f]{{30}}', '') as rel, doc_id % 101 as lap, doc_id % 1009 as ten from files where contains(path, '/.trash/')),
   tr2 as (select *, array_to_string(list_filter(string_split(rel, '/'), lambda s: s <> '.trash' and not starts_with(s, 'blur_') and not starts_with(s, 'dupe_')), '/') as back, contains(rel, '/blur_') and not (lap < 60 and ten < 700) as ok from tr)"""
 query("a13_rescue_counts", f"with {BACK} select count(*) as scanned, count(*) filter (where ok) as rescued from tr2 where contains(rel, '/blur_')")(lambda s, d: _rescued(s, d)[0].where(F.contains("rel", lit("/blur_"))).agg(F.count(lit(1)).alias("scanned"), F.count_if(~C.is_blurred("both", col("laplacian"), col("tenengrad"), 60.0, 700.0)).alias("rescued")))
-query("w07_free_names", f"with {COPIES}, r as (select *, row_number() over (partition by dst order by src) - 1 + (dst in (select dst from taken))::int as i from copies) select src, case when i = 0 then dst else regexp_replace(dst, '(\\.[^./]*)$', '') || '_' || i || regexp_extract(dst, '(\\.[^./]*)$', 1) end as dst from r")(lambda s, d: merge.free_names(_copies(s, d), _taken(s, d)).select("src", "dst"))
-query("w07_rescued_names", f"with {BACK}, r as (select rel as src, back, row_number() over (partition by back order by rel) - 1 + (back in (select back from tr2 where lap > 70))::int as i from tr2 where ok) select src, case when i = 0 then back else regexp_replace(back, '(\\.[^./]*)$', '') || '_rescued' || i || regexp_extract(back, '(\\.[^./]*)$', 1) end as dst from r")(lambda s, d: dedupe.rescue(*_rescued(s, d)))
+
+
+def _wishes(spark, d):
+    """Copies of which some wish for a numbered name, and what is there: also numbered names."""
+    rows = files(spark, d)
+    number = F.when(col("doc_id") % 5 == 0, "_1").when(col("doc_id") % 35 == 1, "_1_1").when(col("doc_id") % 7 == 2, "_2").otherwise("")
+    dst = F.concat(lit("out/"), "root", lit("/"), (col("doc_id") % 25).cast("string"), number, C.extension(col("name")))
+    there = rows.where("doc_id % 3 = 0").select(F.concat(lit("out/"), "root", lit("/"), (col("doc_id") % 25).cast("string"), F.when(col("doc_id") % 2 == 0, "_1").when(col("doc_id") % 11 == 0, "_3").otherwise(""), C.extension(col("name"))).alias("path"))
+    return rows.select(col("path").alias("src"), dst.alias("dst")), there
+
+
+def _loop(claims: str, present: str, mark: str) -> str:
+    """SQL of one claim after another: ``claims`` (src, dst) and ``present`` (path) as tables; names that number one another are one family."""
+    split = "regexp_extract(dst, '[^/](\\.[^./]*)$', 1) as ext, left(dst, length(dst) - length(regexp_extract(dst, '[^/](\\.[^./]*)$', 1))) as stem"
+    family = f"regexp_replace(stem, '({mark}[1-9][0-9]*)+$', '') || ext as family"
+    return f"""asked as (select *, {family} from (select src, dst, {split} from {claims})), queued as (select *, row_number() over (partition by family order by src) as k from asked),
+  there as (select family, list(dst) as names from (select *, {family} from (select path as dst, {split.replace("dst", "path")} from {present})) group by 1),
+  run(family, k, names, src, got) as (
+    select family, 0::bigint, coalesce(any_value(names), []), null::varchar, null::varchar from (select distinct family from asked) left join there using (family) group by family
+    union all
+    select family, k, list_append(names, dst), src, dst from (
+      select q.family, q.k, run.names, q.src, case when list_contains(run.names, q.dst) then q.stem || '{mark}' || list_filter(range(1, len(run.names) + 2), lambda i: not list_contains(run.names, q.stem || '{mark}' || i || q.ext))[1] || q.ext else q.dst end as dst
+      from run join queued q on q.family = run.family and q.k = run.k + 1))
+  select src, got as dst from run where k > 0"""
+
+
+WISHES = f"""{FILES}, x as (select *, 'out/' || root || '/' || (doc_id % 25) as base, lower(regexp_extract(name, '.(\\.[^.]*)$', 1)) as e from files),
+  wishes as (select path as src, base || case when doc_id % 5 = 0 then '_1' when doc_id % 35 = 1 then '_1_1' when doc_id % 7 = 2 then '_2' else '' end || e as dst from x),
+  present as (select distinct base || case when doc_id % 2 = 0 then '_1' when doc_id % 11 = 0 then '_3' else '' end || e as path from x where doc_id % 3 = 0)"""
+query("w07_free_names", f"with recursive {WISHES}, {_loop('wishes', 'present', '_')}")(lambda s, d: merge.free_names(*_wishes(s, d)).select("src", "dst"))
+query("w07_rescued_names", f"with recursive {BACK}, claims as (select rel as src, back as dst from tr2 where ok), present as (select distinct back as path from tr2 where lap > 70), {_loop('claims', 'present', '_rescued')}")(lambda s, d: dedupe.rescue(*_rescued(s, d)))
 query("a14_rename_counters", f"with {FILES} select count(*) as processed, count(*) filter (where {IMG5} and not contains(name, '__cd__') and not contains(name, '__pd__')) as renamed, count(distinct class_raw) as classes from files")(lambda s, d: files(s, d).agg(F.count(lit(1)).alias("processed"), F.count_if(C.is_image(col("name"), O.EXTS_NO_GIF) & ~F.contains("name", lit("__cd__")) & ~F.contains("name", lit("__pd__"))).alias("renamed"), F.countDistinct("class_raw").alias("classes")))
 query("a15_class_by_source", f"with {FILES}, {CANON}, {CLASSED}, x as (select class, case when contains(name, '__cd__') then 'cd' when contains(name, '__pd__') then 'pd' when contains(name, '__ac__') then 'ac' when contains(name, '__ap__') then 'ap' when contains(name, '__kd__') then 'kd' else root end as source from classed) select class, source, count(*) as n from x group by cube (class, source)")(lambda s, d: _classed(s, d).withColumn("source", C.source_of(col("name"), col("root"))).cube("class", "source").agg(F.count(lit(1)).alias("n")))
 
