@@ -15,6 +15,7 @@ again. What a task remembers is bounded.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import doc_key, scratch, table
 from .packing import Encoder
-from .textscan import trimming
+from .textscan import buffers, pieces, trimming
 
 #: Stretches and their characters that a task remembers; moves of the transducer.
 MOST_STRETCHES, MOST_CHARS, MOST_MOVES = 1 << 17, 1 << 24, 1 << 20
-#: Characters of texts that are taken at once.
+#: Characters, or tokens, that are taken at once.
 STEP = 1 << 20
 #: Counts of so many id pairs (17 bytes each) are broadcast; those of rarer pairs are joined.
 MOST_SENT = 2_000_000
@@ -45,65 +46,66 @@ def byte_of_character() -> dict[str, int]:
 
 
 class Transducer:
-    """Groups and links of two sequences of tokens, given each token's bytes."""
+    """Reads two sequences of tokens side by side, given each token's bytes."""
 
     def __init__(self, a: list[bytes], b: list[bytes]):
         self.bytes = a, b
         self.reset()
 
     def reset(self) -> None:
-        self.states: list[tuple[int, bytes]] = [(1, b"")]  # who leads (0: a) and its dangling bytes; at the start a is read
+        self.dangling = [b""]
+        self.leads = [1]  # who leads (0: a); where nothing dangles, a is read
         self.number = {(1, b""): 0}
-        self.moves: dict[tuple[int, int], int] = {}
+        self.moves: list[dict[int, int]] = [{}]
+        self.made = 0
 
     def _move(self, state: int, token: int) -> int:
         """The state after the next token of the side that doesn't lead; -1 where the bytes differ."""
-        leads, dangling = self.states[state]
+        leads, dangling = self.leads[state], self.dangling[state]
         new = self.bytes[1 - leads][token]
-        if dangling.startswith(new) and new:
-            after = (leads, dangling[len(new) :])
-        elif new.startswith(dangling) and new:
-            after = (1 - leads, new[len(dangling) :])
+        if new and dangling.startswith(new):
+            after = leads, dangling[len(new) :]
+        elif new and new.startswith(dangling):
+            after = 1 - leads, new[len(dangling) :]
         else:
             after = None
-        if after is not None and not after[1]:
-            after = (1, b"")
-        if after is not None and after not in self.number:
-            self.number[after] = len(self.states)
-            self.states.append(after)
-        to = -1 if after is None else self.number[after]
-        self.moves[state, token] = to
+        if after and not after[1]:
+            after = 1, b""
+        if after and after not in self.number:
+            self.number[after] = len(self.leads)
+            self.leads.append(after[0])
+            self.dangling.append(after[1])
+            self.moves.append({})
+        to = self.moves[state][token] = self.number[after] if after else -1
+        self.made += 1
         return to
 
-    def __call__(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]] | None:
-        """Ends of the groups (in ``a`` and ``b``) and the linked ids, in order; None if the bytes differ."""
-        i = j = state = 0
-        ends, links, moves, states = [], [], self.moves, self.states
-        if len(moves) > MOST_MOVES:
+    def __call__(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]] | None:
+        """Tokens in the order in which they are read, and what each is: 2 the first of a group, 0 another of a, 1 of b. None if the bytes differ."""
+        if self.made > MOST_MOVES:
             self.reset()
-            moves, states = self.moves, self.states
-        while True:
-            if not state:
-                if i:
-                    ends.append((i, j))
-                if i == len(a):
-                    return (ends, links) if j == len(b) else None
-            mine = states[state][0]  # b leads, or nothing dangles: a is next
-            if mine:
-                if i == len(a):
-                    return None
-                token, i = a[i], i + 1
-            else:
-                if j == len(b):
+        moves, leads, read, kinds = self.moves, self.leads, [], []
+        i = j = state = 0
+        try:
+            while True:
+                if not state:
+                    if i == len(a):
+                        return (read, kinds) if j == len(b) else None
+                    token, i = a[i], i + 1
+                    kinds.append(2)
+                elif leads[state]:
+                    token, i = a[i], i + 1
+                    kinds.append(0)
+                else:
+                    token, j = b[j], j + 1
+                    kinds.append(1)
+                read.append(token)
+                to = moves[state].get(token)
+                state = self._move(state, token) if to is None else to
+                if state < 0:
                     return None
-                token, j = b[j], j + 1
-            linked = state != 0
-            to = moves.get((state, token))
-            state = self._move(state, token) if to is None else to
-            if state < 0:
-                return None
-            if linked:
-                links.append((a[i - 1], b[j - 1]))
+        except IndexError:  # one side ends while the other's bytes dangle
+            return None
 
 
 class Pair:
@@ -125,6 +127,10 @@ class Pair:
         self.space = pieces.index(_SPACE)
         b = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.a, self.width = a, len(b)
+        if max(len(a), len(b)) > 1 << 16:
+            raise ValueError("ids are kept in 16 bits")
+        # With every byte among its tokens and no normaliser, the first spells all it is given.
+        self.spells = self.first.slow.normalizer is None and {bytes([x]) for x in range(256)} <= set(a)
         self.transducer = Transducer(a, b)
 
     def encode(self, stretches: list[str]) -> Iterator[tuple[list[int], list[int]]]:
@@ -133,6 +139,13 @@ class Pair:
         for s, b in zip(stretches, second, strict=True):
             yield self.first(s), b if len(s) > 1 else [self.space]
 
+    def read(self, stretches: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
+        """Tokens (16 bits each) and kinds (8) in the transducer's order; None where the bytes of a side differ."""
+        transducer = self.transducer
+        for s, (a, b) in zip(stretches, self.encode(stretches), strict=True):
+            found = transducer(a, b) if self.spells or b"".join([self.a[x] for x in a]) == s.encode() else None
+            yield found and (array("H", found[0]).tobytes(), bytes(found[1]))
+
 
 @lru_cache(maxsize=2)
 def _pair(vocabulary: tuple) -> Pair:
@@ -144,67 +157,6 @@ def stretches(text: str) -> list[str]:
     return _CUT.split(" " + text)
 
 
-class Store:
-    """Alignments of the stretches met so far, as arrays by slot."""
-
-    def __init__(self, pair: Pair):
-        self.pair = pair
-        self.clear()
-
-    def clear(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.chars = 0
-        self.good: list[bool] = []
-        self.groups: list[str] = []
-        self.sizes: list[tuple[int, int, int, int]] = []  # tokens of a and of b, groups, links
-        self.links: list[int] = []
-
-    def full(self) -> bool:
-        return len(self.slots) > MOST_STRETCHES or self.chars > MOST_CHARS
-
-    def add(self, new: list[str]) -> None:
-        for s, (a, b) in zip(new, self.pair.encode(new), strict=True):
-            self.slots[s] = len(self.good)
-            self.chars += len(s)
-            same = b"".join([self.pair.a[x] for x in a]) == s.encode()
-            found = self.pair.transducer(a, b) if same else None
-            ends, links = found or ([], [])
-            i = j = 0
-            parts = []
-            for to_i, to_j in ends:
-                parts.append(f"{','.join(map(str, a[i:to_i]))}|{','.join(map(str, b[j:to_j]))}")
-                i, j = to_i, to_j
-            self.good.append(found is not None)
-            self.groups.append(";".join(parts))
-            self.sizes.append((len(a), len(b), len(ends), len(links)))
-            width = self.pair.width
-            self.links += [x * width + y for x, y in links]
-
-    def take(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Slots of all stretches of ``texts``, each text's first (one more at the end), and which texts have tokens."""
-        cut = [stretches(t) if t else [] for t in texts]
-        self.add(list({s: None for c in cut for s in c if s not in self.slots}))
-        slots = self.slots
-        first = np.zeros(len(cut) + 1, np.int64)
-        np.cumsum([len(c) for c in cut], out=first[1:])
-        at = np.fromiter((slots[s] for c in cut for s in c), np.int64, int(first[-1]))
-        wrong = _sums(~np.array(self.good, dtype=bool), at, first)
-        return at, first, (wrong == 0) & (np.diff(first) > 0)
-
-    def pairs(self, since: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Linked pairs of the slots from ``since`` on, and each slot's number of them."""
-        n = np.array([x[3] for x in self.sizes[since:]], dtype=np.int64)
-        total = int(n.sum())
-        return np.array(self.links[len(self.links) - total :], dtype=np.int64), n
-
-
-def _sums(values: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(at) + 1, np.int64)
-    if len(at):
-        np.cumsum(values[at], out=total[1:])
-    return total[first[1:]] - total[first[:-1]]
-
-
 def _steps(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     """Texts of about STEP characters, with the row of the first."""
     held, size, start = [], 0, 0
@@ -219,123 +171,149 @@ def _steps(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
         yield start, held
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key().alias("doc"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-
-
-def link_counts(docs: DataFrame, vocabulary: tuple) -> DataFrame:
-    """``a, b, n``: how many links of all texts (repeated rows each) have the ids ``a`` and ``b``; ``best``: none of ``b`` has more."""
+def read_side_by_side(docs: DataFrame, vocabulary: tuple) -> DataFrame:
+    """``doc_id, doc, th, read, kinds`` of each row: its tokens in the transducer's order (empty without tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(vocabulary)
-        store, seen = Store(pair), []
-
-        def counted() -> pa.RecordBatch:
-            times = np.bincount(np.concatenate(seen), minlength=len(store.good))
-            codes, n = store.pairs()
-            order = np.argsort(codes, kind="stable")
-            codes, weight = codes[order], np.repeat(times, n)[order]
-            heads = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, np.int64)
-            total = np.add.reduceat(weight, heads) if len(heads) else np.empty(0, np.int64)
-            codes, total = codes[heads][total > 0], total[total > 0]
-            return pa.RecordBatch.from_arrays([pa.array((codes // pair.width).astype(np.int32)), pa.array((codes % pair.width).astype(np.int32)), pa.array(total)], ["a", "b", "n"])
+        known: dict[str, tuple[bytes, bytes] | None] = {}
+        chars = 0
+        for b in batches:
+            for start, texts in _steps(b.column(3)):
+                cut = [stretches(t) if t else [] for t in texts]
+                new = list({s: None for c in cut for s in c if s not in known})
+                known.update(zip(new, pair.read(new), strict=True))
+                chars += sum(map(len, new))
+                found = [[known[s] for s in c] for c in cut]
+                found = [[] if None in f else f for f in found]
+                read, kinds = (pa.array([b"".join([x[k] for x in f]) for f in found], pa.binary()) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([*(c.slice(start, len(texts)) for c in b.columns[:3]), read, kinds], ["doc_id", "doc", "th", "read", "kinds"])
+                if len(known) > MOST_STRETCHES or chars > MOST_CHARS:
+                    known.clear()
+                    chars = 0
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key().alias("doc"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(trimming(run), "doc_id long, doc long, th long, read binary, kinds binary")
+
+
+def _rows(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows ``i`` to ``j`` of about STEP tokens, where each begins among them, and the tokens and kinds."""
+    first, kinds = buffers(b.column("kinds"))
+    _, read = buffers(b.column("read"))
+    read = read.view(np.uint16)
+    for i, j in pieces(first, STEP):
+        yield i, j, first[i : j + 1] - first[i], read[first[i] : first[j]].astype(np.int64), kinds[first[i] : first[j]]
+
+
+def _links(read: np.ndarray, kinds: np.ndarray, width: int) -> np.ndarray:
+    """A number for the ids of each link: of every token but a group's first, with the other side's last."""
+    place = np.arange(len(read))
+    a, b = (read[np.maximum.accumulate(np.where(mine, place, 0))] if len(read) else read for mine in (kinds != 1, kinds == 1))
+    return (a * width + b)[kinds != 2]
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.sort(codes)
+    heads = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, np.int64)
+    return codes[heads], np.diff(heads, append=len(codes))
 
+
+def link_counts(read: DataFrame, width: int) -> DataFrame:
+    """``code, n, best``: how many links of all rows have the ids ``code div width`` and ``code % width``, and that none of the second has more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, texts in _steps(b.column(0)):
-                at, first, has = store.take(texts)
-                seen.append(at[np.repeat(has, np.diff(first))])
-                if store.full():
-                    yield counted()
-                    store.clear()
-                    seen = []
-                elif len(seen) > 64:
-                    seen = [np.concatenate(seen)] if sum(map(len, seen)) < 1 << 22 else seen
-                if sum(map(len, seen)) >= 1 << 22:
-                    yield counted()
-                    seen = [np.empty(0, np.int64)]
-        if seen:
-            yield counted()
-
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(trimming(run), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    counts = scratch(counts)
-    most = counts.groupBy("b").agg(F.max("n").alias("most"))
-    return scratch(counts.join(most, "b").selectExpr("a", "b", "n", "n = most as best"))
-
-
-def _common(counts: DataFrame) -> tuple[int, int]:
-    """The least count of the pairs that are broadcast, and how many they are: powers of two, the rarer ones left out if there are too many."""
-    found = sorted(counts.groupBy(F.floor(F.log2("n")).cast("int").alias("e")).count().collect(), reverse=True)  # at most 64 rows
+            for *_, tokens, kinds in _rows(b):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _counted(_links(tokens, kinds, width))], ["code", "n"])
+
+    counts = scratch(read.select("read", "kinds").mapInArrow(trimming(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
+    most = counts.groupBy((F.col("code") % width).alias("b")).agg(F.max("n").alias("most"))
+    return scratch(counts.withColumn("b", F.col("code") % width).join(most, "b").selectExpr("code", "n", "n = most as best"))
+
+
+def _least_sent(counts: DataFrame) -> int:
+    """The least count of pairs that are broadcast: a power of two, so high that there are MOST_SENT of them at most."""
     least, n = 1 << 62, 0
-    for e, k in found:
+    for e, k in sorted(counts.groupBy(F.floor(F.log2("n")).cast("int").alias("e")).count().collect(), reverse=True):  # at most 64 rows
         if n + k > MOST_SENT:
             break
         least, n = 1 << e, n + k
-    return least, n
+    return least
+
+
+class _Sent:
+    """Look-up of broadcast counts."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, best: np.ndarray):
+        # One more entry that no code equals, so that there is always one to look at.
+        self.codes, self.counts, self.best = np.append(codes, np.int64(2**62)), np.append(counts, 0), np.append(best, False)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.codes, codes)
+        return at, self.codes[at] == codes
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, out=total[1:])
+    return total[first[1:]] - total[first[:-1]]
 
 
 _OUT = "doc_id long, doc long, th long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
-def _aligned(texts: DataFrame, vocabulary: tuple, known) -> DataFrame:
-    """Alignment of each row; n_best and count_sum over the pairs in ``known`` (a broadcast: codes, counts, best)."""
+def _aligned(read: DataFrame, width: int, known) -> DataFrame:
+    """Alignment of each row; n_best and count_sum over the pairs in ``known`` (a broadcast of what _Sent takes)."""
     names = [x.split()[0] for x in _OUT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = Store(_pair(vocabulary))
-        codes, counts, best = known.value
-        sums = np.empty((0, 6), np.int64)  # by slot: sizes, best links, counts
+        sent = _Sent(*known.value)
+        ids = [str(i) for i in range(1 << 16)]
+        written = pa.array([sep + i for sep in ("", ",", "|", ";") for i in ids], pa.large_string())
         for b in batches:
-            for start, texts in _steps(b.column(3)):
-                at, first, has = store.take(texts)
-                if len(sums) < len(store.good):
-                    mine, n = store.pairs(len(sums))
-                    where = np.minimum(np.searchsorted(codes, mine), max(len(codes) - 1, 0))
-                    hit = codes[where] == mine if len(codes) else np.zeros(len(mine), bool)
-                    ends = np.zeros(len(n) + 1, np.int64)
-                    np.cumsum(n, out=ends[1:])
-                    everything = np.arange(len(mine))
-                    value, top = (np.where(hit, x[where], 0).astype(np.int64) if len(codes) else np.zeros(len(mine), np.int64) for x in (counts, best))
-                    new = np.array(store.sizes[len(sums) :], dtype=np.int64).reshape(-1, 4)
-                    sums = np.concatenate([sums, np.column_stack([new, _sums(top, everything, ends), _sums(value, everything, ends)])])
-                columns = [pa.array(np.where(has, _sums(sums[:, k], at, first), 0)) for k in range(6)]
-                groups = store.groups
-                parts = [";".join([groups[s] for s in at[i:j].tolist()]) if ok else "" for i, j, ok in zip(first[:-1].tolist(), first[1:].tolist(), has.tolist(), strict=True)]
-                keys = [c.slice(start, len(texts)) for c in b.columns[:3]]
-                yield pa.RecordBatch.from_arrays([*keys, *columns, pa.array(parts, pa.string())], names)
-                if store.full():
-                    store.clear()
-                    sums = sums[:0]
-
-    return texts.mapInArrow(trimming(run), _OUT)
-
-
-def _rare(texts: DataFrame, vocabulary: tuple, known) -> DataFrame:
-    """``doc, th, a, b, times`` of the linked pairs that aren't in ``known``."""
+            for i, j, first, tokens, kinds in _rows(b):
+                links = _links(tokens, kinds, width)
+                begins = _starts(kinds != 2, first)
+                at, hit = sent.find(links)
+                sides = [_sums(kinds != 1, first), _sums(kinds == 1, first), _sums(kinds == 2, first), np.diff(begins)]
+                sums = [_sums(sent.best[at] & hit, begins), _sums(np.where(hit, sent.counts[at], 0), begins)]
+                # As text: each group's tokens of a, then of b.
+                group = np.cumsum(kinds == 2)
+                order = np.argsort(2 * group + (kinds == 1), kind="stable")
+                side, group = kinds[order] == 1, group[order]
+                sep = np.ones(len(order), np.int64)
+                sep[1:] = np.where(group[1:] != group[:-1], 3, np.where(side[1:] != side[:-1], 2, 1))
+                sep[first[:-1][np.diff(first) > 0]] = 0
+                parts = written.take(pa.array(sep * (1 << 16) + tokens[order]))
+                off, text = buffers(parts.cast(pa.large_binary()))
+                texts = pa.Array.from_buffers(pa.large_string(), j - i, [None, pa.py_buffer(np.ascontiguousarray(off[first])), pa.py_buffer(np.ascontiguousarray(text))]).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:3]), *map(pa.array, sides + sums), texts], names)
+
+    return read.mapInArrow(trimming(run), _OUT)
+
+
+def _starts(which: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where rows begin among those that are in ``which``."""
+    total = np.zeros(len(which) + 1, np.int64)
+    np.cumsum(which, out=total[1:])
+    return total[first]
+
+
+def _rare(read: DataFrame, width: int, known) -> DataFrame:
+    """``doc, th, code, times`` of linked pairs that aren't in ``known``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = _pair(vocabulary)
-        store, codes = Store(pair), known.value[0]
+        sent = _Sent(*known.value)
         for b in batches:
-            doc, th = b.column(1).to_numpy(), b.column(2).to_numpy()
-            for start, texts in _steps(b.column(3)):
-                at, first, has = store.take(texts)
-                mine, n = store.pairs()
-                ends = np.zeros(len(n) + 1, np.int64)
-                np.cumsum(n, out=ends[1:])
-                row = np.repeat(np.arange(len(texts)), np.diff(first))
-                at, row = at[has[row]], row[has[row]]
-                times = n[at]
-                row = np.repeat(row, times)
-                place = np.arange(int(times.sum())) + np.repeat(ends[at] - (np.cumsum(times) - times), times)
-                code = mine[place]
-                rare = codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] != code if len(codes) else np.ones(len(code), bool)
-                both, many = np.unique(np.stack([row[rare], code[rare]]), axis=1, return_counts=True)
-                row, code = both[0] + start, both[1]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[row]), pa.array(th[row]), pa.array((code // pair.width).astype(np.int32)), pa.array((code % pair.width).astype(np.int32)), pa.array(many.astype(np.int64))], ["doc", "th", "a", "b", "times"])
-                if store.full():
-                    store.clear()
-
-    return texts.mapInArrow(trimming(run), "doc long, th long, a int, b int, times long")
+            doc, th = b.column("doc").to_numpy(), b.column("th").to_numpy()
+            for i, _, first, tokens, kinds in _rows(b):
+                links = _links(tokens, kinds, width)
+                row = np.repeat(np.arange(len(first) - 1), np.diff(_starts(kinds != 2, first)))
+                rare = ~sent.find(links)[1]
+                (row, code), times = np.unique(np.stack([row[rare], links[rare]]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i + row], th[i + row], code, times)], ["doc", "th", "code", "times"])
+
+    return read.mapInArrow(trimming(run), "doc long, th long, code long, times long")
 
 
 def align(docs: DataFrame, vocabulary: tuple) -> DataFrame:
@@ -350,20 +328,20 @@ def align(docs: DataFrame, vocabulary: tuple) -> DataFrame:
     an empty string. Repeated rows each count and each get a result; other
     columns are ignored.
 
-    Texts are encoded twice, for the counts and for the sums. Counts of the
-    MOST_SENT commonest pairs are broadcast; if there are more, the rest are
-    joined to the documents' links by id pair.
+    Texts are encoded and read once; their tokens, three bytes each, are written
+    to the shared folder. Counts of the MOST_SENT commonest pairs are broadcast;
+    where there are more, the rest are joined to the documents' links.
     """
-    spark, texts = docs.sparkSession, _texts(docs)
-    counts = link_counts(docs, vocabulary)
-    width = _pair(vocabulary).width
-    least, _ = _common(counts)
-    sent = counts.where(F.col("n") >= least).select((F.col("a").cast("long") * width + F.col("b")).alias("code"), "n", "best").toArrow().sort_by("code")
+    spark, width = docs.sparkSession, _pair(vocabulary).width
+    read = scratch(read_side_by_side(docs, vocabulary))
+    counts = link_counts(read, width)
+    least = _least_sent(counts)
+    sent = counts.where(F.col("n") >= least).toArrow().sort_by("code")
     known = spark.sparkContext.broadcast(tuple(sent[c].to_numpy() for c in ("code", "n", "best")))
-    rows = _aligned(texts, vocabulary, known)
+    rows = _aligned(read, width, known)
     rest = counts.where(F.col("n") < least)
     if not rest.isEmpty():
-        links = _rare(texts.dropDuplicates(["doc", "th"]), vocabulary, known).join(rest, ["a", "b"])
+        links = _rare(read.dropDuplicates(["doc", "th"]), width, known).join(rest, "code")
         more = links.groupBy("doc", "th").agg(F.sum(F.col("times") * F.col("n")).alias("_n"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("_best"))
         rows = rows.join(scratch(more), ["doc", "th"], "left").withColumns({"count_sum": F.col("count_sum") + F.coalesce("_n", F.lit(0)), "n_best": F.col("n_best") + F.coalesce("_best", F.lit(0))})
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")

@@ -75,6 +75,7 @@ COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_s
 @pytest.mark.parametrize("sent, remembered", [(2_000_000, 1 << 17), (40, 5)])
 def test_query_against_whole_texts(spark, tmp_path, monkeypatch, sent, remembered):
     monkeypatch.setattr(ct, "MOST_SENT", sent)
+    monkeypatch.setattr(ct, "MOST_STRETCHES", remembered)
     rnd = random.Random(4)
     texts = TEXTS + ["".join(rnd.choice(["the", "of", " ", "  ", "\n", "é", "Zug", "qx", "1", ".", " a", "東", "'s"]) for _ in range(rnd.randrange(60))) for _ in range(60)]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(3, texts[3], "x"), (3, texts[3], "x"), (None, "the end", "x")]
@@ -98,10 +99,10 @@ def test_what_a_task_remembers_is_bounded(monkeypatch):
     monkeypatch.setattr(ct, "MOST_MOVES", 3)
     t = Transducer([b"ab", b"c", b"abc"], [b"a", b"bc", b"abcab", b"c"])
     for _ in range(5):
-        assert t([0, 1], [0, 1]) == ([(2, 2)], [(0, 0), (0, 1), (1, 1)])
-        assert t([2, 0, 1], [2, 3]) == ([(2, 1), (3, 2)], [(2, 2), (0, 2), (1, 3)])
+        assert t([0, 1], [0, 1]) == ([0, 0, 1, 1], [2, 1, 1, 0])
+        assert t([2, 0, 1], [2, 3]) == ([2, 2, 0, 1, 3], [2, 1, 0, 2, 1])
         assert t([0], [0]) is None and t([0], [1]) is None and t([], []) == ([], [])
-    assert len(t.moves) <= 3 + 5
+    assert t.made <= 3 + 5
 
 
 def test_empty_table(spark):
