@@ -8,7 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import fresh_folder, release
+from ..shared import fresh_folder
+from ..shared import release as delete
 
 _MIN_LONG = -(2**63)
 #: Bytes a core, as files, below which a table of texts is dealt out to all cores before anything else.
@@ -38,9 +39,21 @@ def kept(df: DataFrame) -> DataFrame:
     Its lineage stays: what a lost executor held is made again. Where a second
     run could differ, or lineage would grow by rounds, :func:`scratch` it. Spark
     shares what is kept between equal plans; a number of its own keeps a table
-    from being taken for one that was made of the same path's older files.
+    from being taken for one that was made of the same path's older files. Its
+    reader writes what it makes of it and then gives it back by :func:`release`.
     """
-    return df.withColumn("_kept", F.lit(uuid.uuid4().int >> 65)).persist(StorageLevel.DISK_ONLY).drop("_kept")
+    held = df.withColumn("_kept", F.lit(uuid.uuid4().int >> 65)).persist(StorageLevel.DISK_ONLY)
+    out = held.drop("_kept")
+    out._held = held  # for release()
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Give back the disk of a table that :func:`kept` or :func:`scratch` made."""
+    if hasattr(df, "_held"):
+        df._held.unpersist()
+    else:
+        delete(df)
 
 
 def partitions(spark: SparkSession) -> int:

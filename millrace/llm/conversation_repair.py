@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, partitions, scratch, table
+from .common import kept, partitions, release, scratch, table
 from .textscan import trimming
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
@@ -336,7 +336,9 @@ def repair(rows: DataFrame) -> DataFrame:
     """
     keyed = _keyed(rows)
     faults = _faults(keyed).repartitionByRange(partitions(rows.sparkSession), *_KEYS).sortWithinPartitions(*_KEYS)
-    decisions = scratch(_decide(kept(faults.withColumn("part", F.spark_partition_id().cast("long")))))
+    faults = kept(faults.withColumn("part", F.spark_partition_id().cast("long")))
+    decisions = scratch(_decide(faults))
+    release(faults)
     texts = keyed.where(_bare(F.col("text")) != "").selectExpr(*_KEYS[:2], "0 as z", *_KEYS[2:], "1 as kind", "1L as n", "role", "text", "string(null) as letters", "int(null) as q", "int(null) as was", "int(null) as fault")
     both = decisions.unionByName(texts).repartition("cn", "c").sortWithinPartitions("cn", "c", "z", "tn", "t", "h", "kind")
     return both.mapInArrow(trimming(_edits), _EDITS)

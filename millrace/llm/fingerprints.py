@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, kept, partitions, scratch, table
+from .common import doc_key, partitions, scratch, table
 
 SIZE = 128
 WORDS = 5
@@ -109,7 +109,7 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE, words: int = WORDS) -
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), doc_key().alias("doc"))
     texts = texts.withColumns({"th": F.xxhash64("text"), "n": F.char_length("text").cast("long")})
-    following = kept(next_documents(texts))
+    following = scratch(next_documents(texts), few=8)
     one_each = following.selectExpr("doc as p_doc", "th as p_th", "n as p_n", "next_doc as doc", "next_th as th")
     texts = texts.drop("n")
     # Both joins are on (doc, th): one exchange of the texts serves both. What the next document lends, with its

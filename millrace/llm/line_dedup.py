@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, kept, scratch, table
+from .common import doc_key, kept, release, scratch, table
 
 #: Shorter lines (in code points) always stay: empty ones, which part paragraphs.
 MIN_CHARS = 1
@@ -83,7 +83,7 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1)
     classes = scratch(classes)
     if not edits:
         again = seen.join(classes.where("many > 1").select("h1", "h2", "lead"), ["h1", "h2"])
-        return again.where("place > lead").select("doc", "fp", "line_no")
+        return _settled(again.where("place > lead"), seen)
 
     # Halves: classes that share one with another class.
     halves = classes.select("h1", "lead", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
@@ -119,7 +119,14 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1)
 
     marks = classes.join(gone, ["h1", "lead"], "left").where("many > 1 or near").select("h1", "h2", "lead", "near")
     again = seen.select("doc", "fp", "line_no", "place", "h1", "h2").join(marks, ["h1", "h2"])
-    return again.where("place > lead or near").select("doc", "fp", "line_no")
+    return _settled(again.where("place > lead or near"), seen)
+
+
+def _settled(gone: DataFrame, seen: DataFrame) -> DataFrame:
+    """The places of ``gone``, written; ``seen`` is given back."""
+    out = scratch(gone.select("doc", "fp", "line_no"), few=4)
+    release(seen)
+    return out
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, scratch, table
+from .common import kept, release, scratch, table
 from .textscan import Words, buffers, mix, pieces, scan, trimming
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -327,7 +327,9 @@ def judge(docs: DataFrame) -> DataFrame:
     names = ["doc_id", *COUNTS, "base_failed"]
     d2 = _with_group(good, settled, sent).select(*names, _distance().alias("d2"))
     passed = d2.select(*names, (F.col("d2") <= chi2_quantile(1 - ALPHA, _D)).alias("kept"), "d2")
-    return passed.unionByName(rows.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2")))
+    out = scratch(passed.unionByName(rows.where("base_failed").select(*names, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("d2"))), few=4)
+    release(rows)
+    return out
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:

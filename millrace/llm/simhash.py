@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, kept, scratch, table
+from .common import doc_key, kept, release, scratch, table
 from .graph import connected_components
 from .textscan import Words, buffers, pieces, scan, trimming
 
@@ -270,7 +270,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     prints, distinct, roots, groups = _groups(docs, shingle)
     linked = roots.join(groups, "root").select("fp", F.struct("component_id").alias("of"))
     named = distinct.join(linked, "fp", "left").select("fp", F.when(F.col("of").isNull(), F.col("first")).otherwise(F.col("of.component_id")).alias("component_id"))
-    return prints.join(scratch(named, few=8), "fp").select("doc_id", "doc", "th", "fp", "component_id")  # copies: a join whose hot keys can be split
+    out = scratch(prints.join(scratch(named, few=8), "fp").select("doc_id", "doc", "th", "fp", "component_id"), few=4)  # copies: a join whose hot keys can be split
+    release(prints)
+    return out
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -279,9 +281,10 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     First is the smallest id (null ids before all), and of repeated rows one.
     Rows without words are a group of their own. All columns stay.
     """
-    _, distinct, roots, groups = _groups(docs, shingle)
+    prints, distinct, roots, groups = _groups(docs, shingle)
     alone = distinct.join(roots.select("fp"), "fp", "left_anti").select("k")
-    first = alone.unionAll(groups.select("rk")).selectExpr("k.doc as _doc", "k.th as _th")
+    first = scratch(alone.unionAll(groups.select("rk")).selectExpr("k.doc as _doc", "k.th as _th"), few=4)
+    release(prints)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), doc_key().alias("_doc"), F.xxhash64("text").alias("_th"))
     return rows.join(first, ["_doc", "_th"], "left_semi").dropDuplicates(["_doc", "_th"]).select("_row.*")
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_key, kept, table
+from .common import doc_key, kept, release, scratch, table
 from .textscan import Words, buffers, cut, mix, pieces, scan, trimming
 
 WIDTH = 20
@@ -308,7 +308,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _repeated_spans(keyed: DataFrame, width: int) -> DataFrame:
     found = _repeated_minimisers(keyed, width)
     hot = _hot_minimisers(found)
-    lists = found.where("doc is not null").groupBy("doc", "fp").agg(F.array_sort(F.collect_list("ord")).alias("ords"))
+    lists = scratch(found.where("doc is not null").groupBy("doc", "fp").agg(F.array_sort(F.collect_list("ord")).alias("ords")), few=4)
+    release(found)
     # The same columns as in dedup_substrings, so that both joins share one exchange of the texts.
     rows = keyed.join(lists, ["doc", "fp"]).select("doc", "fp", "text", "ords", "_row")
 
