@@ -10,12 +10,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import imaging
 from ..shared import written
+from .greedy import bands, keep
 from .names import free_names
 
 lit, col = F.lit, F.col
@@ -46,17 +47,6 @@ def exact_duplicates(rows: DataFrame, scope: str = "root", order: str = "path")
     return rows.join(first, [scope, "hash"]).withColumn("duplicate", col(order) > col("_first")).drop("_first")
 
 
-def _bands(hash_col: Column, most: int) -> Column:
-    """Bits in ``most + 1`` bands: rows within ``most`` bits share one of them.
-
-    A band has every ``most + 1``-th bit, so that bits which are alike in all
-    rows (the upper ones of short hashes) don't make up a band.
-    """
-    n = most + 1
-    masks = [sum(1 << j for j in range(i, 64, n)) for i in range(n)]
-    return F.array(*[F.struct(lit(i).alias("band"), hash_col.bitwiseAND(lit(m - (1 << 64) if m >> 63 else m).cast("long")).alias("bits")) for i, m in enumerate(masks)])
-
-
 def near_pairs(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     """``a, b`` (a before b by ``rank_key``) within ``most`` differing bits of ``hash`` in one scope.
 
@@ -68,7 +58,7 @@ def near_pairs(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     keyed = rows.select(scope, "rank_key", "hash")
     if most > 7:
         return _pairs_by_blocks(keyed, most, scope)
-    keyed = keyed.withColumn("_b", F.explode(_bands(col("hash"), most))).select(scope, "rank_key", "hash", col("_b.band").alias("band"), col("_b.bits").alias("bits"))
+    keyed = keyed.withColumn("_b", F.explode(bands(col("hash"), most))).select(scope, "rank_key", "hash", col("_b.band").alias("band"), col("_b.bits").alias("bits"))
     other = keyed.withColumnsRenamed({"rank_key": "b", "hash": "hash_b"})
     pairs = keyed.withColumnRenamed("rank_key", "a").join(other, [scope, "band", "bits"]).where((col("a") < col("b")) & (C.hamming(col("hash"), col("hash_b")) <= most))
     return pairs.select(scope, "a", "b").distinct()
@@ -134,43 +124,10 @@ def greedy_keep(pairs: DataFrame, nodes: DataFrame, scope: str = "scope") -> Dat
     return nodes.join(reduce(DataFrame.unionByName, gone), [scope, "rank_key"], "left_anti")
 
 
-def _keep_by_blocks(first: DataFrame, most: int, scope: str) -> DataFrame:
-    """Nodes that a pass in order keeps, without pairs: the first BLOCK rows of each scope are settled, then what is near one that stays goes.
-
-    Each round settles a block of every scope at least; where neighbours are
-    many, which more than seven bits make them, most rows go in the first ones.
-    """
-    left, kept = first, []
-    kinds = dict(first.dtypes)
-
-    def in_order(group: pa.Table) -> pa.Table:
-        group = group.sort_by("rank_key")
-        h = group["hash"].to_numpy().view(np.uint64)
-        stays = np.ones(len(h), bool)
-        for i in range(len(h)):
-            if stays[i]:
-                stays[i + 1 :] &= np.bitwise_count(h[i + 1 :] ^ h[i]) > most
-        return group.select([scope, "rank_key", "hash"]).filter(pa.array(stays))
-
-    while True:
-        head = left.withColumn("_r", F.row_number().over(Window.partitionBy(scope).orderBy("rank_key"))).where(col("_r") <= BLOCK)
-        block = written(head.select(scope, "rank_key", "hash"))
-        if block.isEmpty():
-            break
-        stays = written(block.groupBy(scope).applyInArrow(in_order, f"{scope} {kinds[scope]}, rank_key {kinds['rank_key']}, hash long"))
-        kept.append(stays)
-        ends = block.groupBy(scope).agg(F.max("rank_key").alias("_end"))
-        near = stays.groupBy(scope).agg(F.collect_list("hash").alias("_kept")).join(ends, scope)  # BLOCK numbers a scope at most
-        left = left.join(near, scope).where((col("rank_key") > col("_end")) & ~F.exists("_kept", lambda h: C.hamming(h, col("hash")) <= most))
-        left = written(left.select(scope, "rank_key", "hash"))
-    return reduce(DataFrame.unionByName, kept).select(scope, "rank_key") if kept else first.select(scope, "rank_key")
-
-
 def near_duplicates(rows: DataFrame, most: int, scope: str = "scope") -> DataFrame:
     """``rows`` (scope, rank_key, hash) that the greedy pass keeps; equal hashes first give way to the least."""
     first = written(rows.groupBy(scope, "hash").agg(F.min("rank_key").alias("rank_key")))
-    kept = _keep_by_blocks(first, most, scope) if most > 7 else greedy_keep(near_pairs(first, most, scope), first.select(scope, "rank_key"), scope)
-    return rows.join(kept, [scope, "rank_key"], "left_semi")
+    return rows.join(keep(first, most, scope).select(scope, "rank_key"), [scope, "rank_key"], "left_semi")
 
 
 def stats(actions: DataFrame, by: str = "root") -> DataFrame:

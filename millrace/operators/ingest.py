@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .runs import first_rows
 
 lit, col = F.lit, F.col
 
@@ -19,8 +20,14 @@ def requests(keywords: DataFrame, sites: DataFrame, page: Column | None = None)
     return rows.withColumn("page", F.explode(F.sequence(lit(1), page if page is not None else C.most_pages(col("max_pages")))))
 
 
-def first_n(rows: DataFrame, n: Column, by: list[str], order: list[str]) -> DataFrame:
-    """The first ``n`` rows of each group."""
+def first_n(rows: DataFrame, n: Column | int, by: list[str], order: list[str]) -> DataFrame:
+    """The first ``n`` rows of each group.
+
+    With a number, no task shuffles more than ``n`` rows of a group, whatever it
+    is; a column may differ by group, and is only known after the shuffle.
+    """
+    if isinstance(n, int):
+        return first_rows(rows, n, by, order)
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(col("_r") <= n).drop("_r")
 
 
@@ -28,9 +35,9 @@ def cap_images(rows: DataFrame, cap: int, by: list[str], order: list[str], image
     """Rows until their images reach ``cap`` in a group; the last row's list is cut.
 
     Each row has an image at least, so no more than the first ``cap`` rows of a
-    group are shuffled to its task.
+    group are shuffled by a task.
     """
-    rows = first_n(rows.where(F.size(images) > 0), lit(cap), by, order)
+    rows = first_rows(rows.where(F.size(images) > 0), cap, by, order)
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.size(images)).over(w), lit(0))
     return rows.withColumn("_before", before).where(col("_before") < cap).withColumn(images, F.slice(images, lit(1), (lit(cap) - col("_before")).cast("int"))).drop("_before")

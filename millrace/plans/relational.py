@@ -94,6 +94,14 @@ query("j08_greedy_keep", f"""with recursive {GRIDS}, {HASHED}, h as (select labe
       case when len(list_filter(kept.hashes, lambda x: bit_count(xor(x, h.hash)) <= 22)) = 0 then list_append(kept.ids, h.vec_id) else kept.ids end
     from kept join h on h.label = kept.label and h.k = kept.k + 1)
   select label as scope, unnest(ids) as rank_key from kept where k = (select max(k) from h where h.label = kept.label)""")(lambda s, d: dedupe.near_duplicates(_ranked(s, d), 22).select("scope", "rank_key"))
+NEAR_EVENTS = EVENT_HASHES.replace("user_id % 3", "user_id % 30")
+query("j08_greedy_keep_near", f"""with recursive {NEAR_EVENTS}, first as (select scope, rank_key, hash, row_number() over (partition by scope order by rank_key) as k from (select scope, hash, min(rank_key) as rank_key from h group by all)),
+  kept(scope, k, hashes, ids) as (
+    select scope, 0::bigint, []::bigint[], []::bigint[] from (select distinct scope from first)
+    union all
+    select scope, k, case when near then hashes else list_append(hashes, hash) end, case when near then ids else list_append(ids, rank_key) end from (
+      select f.scope, f.k, f.hash, f.rank_key, kept.hashes, kept.ids, len(list_filter(kept.hashes, lambda x: bit_count(xor(x, f.hash)) <= 3)) > 0 as near from kept join first f on f.scope = kept.scope and f.k = kept.k + 1))
+  select scope, unnest(ids) as rank_key from kept where k = (select max(k) from first where first.scope = kept.scope)""")(lambda s, d: dedupe.near_duplicates(_event_hashes(s, d).join(table(s, d, "events").select(col("event_id").alias("rank_key"), (col("user_id") % 30).cast("int").alias("s")), "rank_key").select("rank_key", col("s").alias("scope"), "hash"), 3).select("scope", "rank_key"))
 query("j09_keyword_sites_pages", f"with {SITES} select n_name as keyword, name, unnest(range(1, greatest(1, max_pages) + 1))::int as page from nation, sites where coalesce(enabled, true) and type <> 'ftp'")(lambda s, d: ingest.requests(table(s, d, "nation").select(col("n_name").alias("keyword")), _sites(s, d)).select("keyword", "name", "page"))
 query("w08_page_offsets", f"with {SITES} select name, page, (page - 1) * 35 as first from (select name, unnest(range(1, greatest(1, max_pages) + 1))::int as page from sites where coalesce(enabled, true) and type <> 'ftp')")(lambda s, d: ingest.requests(s.range(1).select(lit("k").alias("keyword")), _sites(s, d)).select("name", "page", ((col("page") - 1) * 35).alias("first")))
 query("j10_keyword_overrides", "select n_name, case when n_nationkey % 2 = 0 then 'taxon ' || n_name else n_name end as q from nation")(lambda s, d: table(s, d, "nation").withColumn("m", F.create_map(F.when(col("n_nationkey") % 2 == 0, col("n_name")).otherwise("-"), F.concat(lit("taxon "), "n_name"))).select("n_name", F.coalesce(F.try_element_at("m", col("n_name")), col("n_name")).alias("q")))
@@ -221,8 +229,8 @@ query("a17_model_descriptions", f"{BUILT} select path as image, s.lang as lang,
 
 E = lambda s, d: table(s, d, "events")
 query("w03_links_per_site", "select event_id from (select event_id, row_number() over (partition by event_type, user_id order by ts, event_id) as r from events) where r <= 2")(lambda s, d: ingest.first_n(E(s, d), F.least(lit(2), lit(5)), ["event_type", "user_id"], ["ts", "event_id"]).select("event_id"))
-query("w04_entries_with_images", "select event_id from (select event_id, row_number() over (partition by event_type order by ts, event_id) as r from (select event_id, event_type, ts, ([1, 2, 3, 4])[1:event_id % 5] as images from events) where len(images) > 0) where r <= 20")(lambda s, d: ingest.first_n(_with_images(s, d).where(F.size("images") > 0), lit(20), ["event_type"], ["ts", "event_id"]).select("event_id"))
-query("w05_pages_with_urls", "select event_id from (select event_id, row_number() over (partition by event_type order by page, event_id) as r from (select *, event_id % 7 as page from events where value > 10)) where r <= 60")(lambda s, d: ingest.first_n(E(s, d).where("value > 10").withColumn("page", col("event_id") % 7), lit(60), ["event_type"], ["page", "event_id"]).select("event_id"))
+query("w04_entries_with_images", "select event_id from (select event_id, row_number() over (partition by event_type order by ts, event_id) as r from (select event_id, event_type, ts, ([1, 2, 3, 4])[1:event_id % 5] as images from events) where len(images) > 0) where r <= 20")(lambda s, d: ingest.first_n(_with_images(s, d).where(F.size("images") > 0), 20, ["event_type"], ["ts", "event_id"]).select("event_id"))
+query("w05_pages_with_urls", "select event_id from (select event_id, row_number() over (partition by event_type order by page, event_id) as r from (select *, event_id % 7 as page from events where value > 10)) where r <= 60")(lambda s, d: ingest.first_n(E(s, d).where("value > 10").withColumn("page", col("event_id") % 7), 60, ["event_type"], ["page", "event_id"]).select("event_id"))
 IMAGES = "select event_id, event_type, ts, ([1, 2, 3, 4])[1:event_id % 5] as images from events"
 
 
@@ -232,12 +240,13 @@ def _with_images(s, d):
 
 CAPPED = f"select event_id, images[1:(50 - before)::bigint] as images from (select *, coalesce(sum(len(images)) over (partition by event_type order by ts, event_id rows between unbounded preceding and 1 preceding), 0) as before from ({IMAGES})) where before < 50 and len(images) > 0"
 query("w06_image_cap", CAPPED)(lambda s, d: ingest.cap_images(_with_images(s, d), 50, ["event_type"], ["ts", "event_id"]).select("event_id", "images"))
+query("w06_image_cap_large", f"select event_id, images[1:(2500 - before)::bigint] as images from (select *, coalesce(sum(len(images)) over (partition by event_type order by ts, event_id rows between unbounded preceding and 1 preceding), 0) as before from ({IMAGES})) where before < 2500 and len(images) > 0")(lambda s, d: ingest.cap_images(_with_images(s, d), 2500, ["event_type"], ["ts", "event_id"]).select("event_id", "images"))
 query("o05_quota_slices", f"select sum(len(images))::bigint as n from ({CAPPED})")(lambda s, d: ingest.cap_images(_with_images(s, d), 50, ["event_type"], ["ts", "event_id"]).agg(F.sum(F.size("images")).alias("n")))
 query("o01_sorted_manifest", f"with {TRASHED} select id, row_number() over (order by keyword, path) as at from trashed")(lambda s, d: places(_trash_manifest(s, d), ["keyword", "path"]).select("id", "at"))
 query("o02_sorted_classes", f"with {FILES} select list_sort(list_distinct(list(class_raw))) as classes from files")(lambda s, d: files(s, d).agg(F.array_sort(F.collect_set("class_raw")).alias("classes")))
 query("o03_group_order", f"with {FILES} select path, (row_number() over (partition by root order by name, path))::int as at from files")(lambda s, d: places(files(s, d).select("root", "name", "path"), ["name", "path"], ("root",)).select("path", col("at").cast("int").alias("at")))
 query("o04_collated_order", None)(lambda s, d: files(s, d).select("class_raw").distinct().orderBy(F.collate("class_raw", "UNICODE")))
-query("o06_key_limits", "select event_id from (select event_id, row_number() over (partition by user_id order by event_id) as r from events) where r <= 3")(lambda s, d: ingest.first_n(E(s, d), lit(3), ["user_id"], ["event_id"]).select("event_id"))
+query("o06_key_limits", "select event_id from (select event_id, row_number() over (partition by user_id order by event_id) as r from events) where r <= 3")(lambda s, d: ingest.first_n(E(s, d), 3, ["user_id"], ["event_id"]).select("event_id"))
 query("u02_merged_params", "select event_id, ['a=1', 'b=' || event_id, 'c=3'] as params from events")(lambda s, d: _merged(s, d))
 
 

@@ -1,5 +1,6 @@
 """Unit and property tests of the core operators."""
 
+import itertools
 import random
 import struct
 import unicodedata
@@ -7,6 +8,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,7 +18,9 @@ from millrace.functions import columns as C
 from millrace.functions import imaging as I
 from millrace.functions import ontology as O
 from millrace.operators import dedupe, ingest, merge, review, samples, verify
+from millrace.operators import greedy as greedy_pass
 from millrace.operators.order import places
+from millrace.operators.runs import first_rows, pruned
 from millrace.shared import shared_folder
 from millrace.sources import files as S
 from millrace.sources import markup as S_markup
@@ -103,21 +107,48 @@ def greedy(rows, most):
     return {(s, k) for s, v in kept.items() for k, _ in v}
 
 
-@pytest.mark.parametrize("most", [0, 3, 9])
-def test_greedy_near_duplicates(spark, most):
+@pytest.mark.parametrize(("whole", "bucket"), [(65_536, 65_536), (6, 5)])
+@pytest.mark.parametrize("most", [0, 3, 7, 9, 22])
+def test_greedy_near_duplicates(spark, monkeypatch, most, whole, bucket):
+    """Whole scopes in a task, and rounds over scopes and buckets that are too large for one."""
+    monkeypatch.setattr(greedy_pass, "WHOLE", whole)
+    monkeypatch.setattr(greedy_pass, "BUCKET", bucket)
+    monkeypatch.setattr(greedy_pass, "HEAD", 4)
+    monkeypatch.setattr(greedy_pass, "SHARE", 16)
     rnd = random.Random(most)
     base = [rnd.getrandbits(64) for _ in range(8)]
     rows = []
-    for i in range(120):
+    for i in range(150):
         h = rnd.choice(base)
         for _ in range(rnd.randint(0, 4)):
             h ^= 1 << rnd.randrange(64)
-        rows.append((f"s{i % 2}", f"f{i:03d}", h))
+        rows.append((f"s{i % 2}", f"f{i:03d}", h if i % 5 else rnd.getrandbits(64)))
     signed = [(s, k, h - 2**64 if h >= 2**63 else h) for s, k, h in rows]
     got = dedupe.near_duplicates(spark.createDataFrame(signed, "scope string, rank_key string, hash long"), most).select("scope", "rank_key").collect()
     assert {tuple(r) for r in got} == greedy(rows, most)
 
 
+def test_random_hashes_and_a_dense_cluster_in_one_scope(spark):
+    """300,000 hashes at 22 bits, of which few stay, and all of a ball of three bits, by rounds."""
+    rng = np.random.default_rng(6)
+    many = rng.integers(0, 2**64, 300_000, dtype=np.uint64)
+    ball = np.array([sum(1 << b for b in c) for k in range(4) for c in itertools.combinations(range(64), k)], dtype=np.uint64)
+    for h, most in ((many, 22), (np.concatenate([rng.permutation(ball), rng.integers(0, 2**64, 40_000, dtype=np.uint64)]), 3)):
+        rows = spark.createDataFrame(pa.table({"scope": pa.array(["s"] * len(h)), "rank_key": pa.array(np.arange(len(h))), "hash": pa.array(h.view(np.int64))}))
+        got = sorted(r.rank_key for r in dedupe.near_duplicates(rows, most).select("rank_key").collect())
+        assert got == greedy_pass.in_order(h, most).tolist()
+
+
+def test_first_rows_of_a_hot_key(spark):
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("if(id % 10 = 0, id % 7, null) as k", "-(id * 7919 % 200003) as v", "id")
+    sent = pruned(rows, 5000, ["k"], ["v", "id"]).where("k is null")
+    assert sent.count() <= 4 * 5000
+    want = rows.orderBy("v", "id").where("k is null").limit(5000).agg(F.sum("id")).first()[0]
+    found = first_rows(rows, 5000, ["k"], ["v", "id"])
+    assert found.where("k is null").agg(F.sum("id")).first()[0] == want
+    assert found.groupBy("k").count().agg(F.max("count"), F.count("count")).first()[:] == (5000, 8)
+
+
 def test_long_chain_settles(spark):
     pairs = spark.createDataFrame([("s", f"{i:03d}", f"{i + 1:03d}") for i in range(40)], "scope string, a string, b string")
     nodes = spark.createDataFrame([("s", f"{i:03d}") for i in range(41)], "scope string, rank_key string")
@@ -143,7 +174,6 @@ def test_many_bits_by_blocks(spark, monkeypatch, most):
     df = spark.createDataFrame([(s, k, h - 2**64 if h >= 2**63 else h) for s, k, h in rows], "scope string, rank_key long, hash long")
     got = [tuple(r) for r in dedupe.near_pairs(df, most).collect()]
     assert sorted(got) == sorted((s, a, b) for s, a, h in rows for z, b, g in rows if s == z and a < b and (h ^ g).bit_count() <= most)
-    assert {tuple(r) for r in dedupe.near_duplicates(df, most).select("scope", "rank_key").collect()} == greedy(rows, most)
 
 
 @pytest.mark.parametrize("n", [0, 1, 300])
