@@ -9,7 +9,9 @@ from ..functions import ontology as O
 from ..operators import dedupe, ingest, merge, review, samples, verify
 from ..operators.order import places
 from ..sources import sinks as K
+from ..shared import fresh_folder
 from ..sources import files as S
+from ..sources.state import StateTable
 from .core import ALIAS, BUILT, CHOSEN, CLASSED, CANON, GRIDS, HASHED, IMG, IMG5, ITEMS, LEAF20, SITES, TAGGED, TRASHED, _built, _chosen, _classed, _hashed, _items, _leaf2020, _sites, _trash_manifest, of_files, query, rows_of
 from .fixtures import FILES, ROOTS, files, table
 
@@ -277,7 +279,21 @@ query("k07_copy_plan", f"with {STATUS} select src from st where status = 'copied
 query("k08_trash_plan", f"with {ACTIONS} select 'move' as op, path as src, root || '/.trash/' || act || '_20240101_000000/' || substr(path, length(root) + 2) as dst from acts where act in ('small', 'blur', 'dupe')")(lambda s, d: dedupe.trash_plan(_actions(s, d), "20240101_000000"))
 query("k09_rename_plan", f"with {FILES} select 'rename' as op, path as src, dir || '/' || {TAGGED('ac')} as dst from files where {IMG5} and not contains(name, '__cd__') and not contains(name, '__pd__')")(lambda s, d: merge.rename_plan(files(s, d), "ac"))
 query("k10_review_export", f"with {REVIEW} select id, status from review")(lambda s, d: S.review_entries(_review(s, d).select(F.to_json(F.array(F.struct("id", "keyword", "source", "path", "in_trash", "trash_reason", "status"))).alias("value"))).select("id", "status"))
-query("k11_state_table", "select id, status from (select event_id::varchar as id, case when event_id % 8 = 0 then 'accepted' else 'rejected' end as status from events where event_id % 4 = 0)")(lambda s, d: review.upsert_state(_state(s, d), _state(s, d)).select("id", "status"))
+
+
+def _committed(spark, d):
+    """States by id after three commits, the first two of which are merged into the base."""
+    states = StateTable(spark, fresh_folder(spark), buckets=4)
+    changed = lambda n, status: table(spark, d, "events").where(f"event_id % {n} = 0").select(F.when(col("event_id") % 30 > 0, col("event_id").cast("string")).alias("id"), lit(status).alias("status"), (-col("event_id")).alias("ts"))
+    states.upsert(_state(spark, d))
+    states.upsert(changed(6, "pending"))
+    states.compact()
+    states.upsert(changed(9, "doubtful"))
+    return states.read()
+
+
+query("k11_state_table", """select event_id::varchar as id, case when event_id % 9 = 0 and event_id % 30 > 0 then 'doubtful' when event_id % 6 = 0 and event_id % 30 > 0 then 'pending' when event_id % 8 = 0 then 'accepted' else 'rejected' end as status,
+  case when (event_id % 9 = 0 or event_id % 6 = 0) and event_id % 30 > 0 then -event_id else event_id end as ts from events where event_id % 4 = 0 or (event_id % 6 = 0 or event_id % 9 = 0) and event_id % 30 > 0""")(_committed)
 
 
 def _requests(spark, d):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import fresh_folder
+from ..sources.state import StateTable
 from ..streaming import streams
 from .core import query
 
@@ -59,13 +60,8 @@ def st4(spark, d):
     changes = _source(spark, d).select((F.col("user_id") % 60).cast("string").alias("id"), F.when(k == 0, "accepted").when(k == 1, "rejected").otherwise("pending").alias("status"), F.col("event_id").alias("ts"))
     old = F.concat(F.col("n_nationkey").cast("string"), F.when(F.col("n_nationkey") % 5 == 0, "x").otherwise(""))
     start = spark.read.parquet(f"{d}/nation.parquet").select(old.alias("id"), F.lit("pending").alias("status"), F.lit(-1).cast("long").alias("ts"))
-    folder, seen = fresh_folder(spark), []
-    version = lambda epoch: f"{folder}/state/{epoch}"
-    upsert = streams.upserting(version, start)
-
-    def keep(batch: DataFrame, epoch: int) -> None:
-        upsert(batch, epoch)
-        seen.append(epoch)
-
-    changes.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(version(max(seen))).select("id", "status", "ts") if seen else start
+    folder = fresh_folder(spark)
+    states = StateTable(spark, f"{folder}/state")
+    states.upsert(start)
+    changes.writeStream.foreachBatch(streams.upserting(states)).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
+    return states.read().select("id", "status", "ts")

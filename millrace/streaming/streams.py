@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import columns as C
 from ..functions import ontology as O
-from ..operators import review
+from ..sources.state import StateTable
 
 
 def arriving_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,17 +50,17 @@ def windowed_counts(events: DataFrame, time: str = "ts", late: str = "10 minutes
     return events.withWatermark(time, late).groupBy(F.window(time, width), by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def upserting(path: Callable[[int], str], start: DataFrame) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps a review state table: each batch writes the next version.
+def upserting(table: StateTable, writer: str = "stream") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps a state table: each batch commits a delta of what it changes.
 
-    Versions are named by the batch, so a batch that is run again writes the
-    same one; of changes to one id in a batch the latest ``ts`` counts.
+    A batch that is run again after a restart is known by its number and changes
+    nothing; other writers may commit meanwhile. Old versions and the deltas that
+    were merged are removed as it goes.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        old = start if epoch == 0 else spark.read.parquet(path(epoch - 1))
-        last = batch.groupBy("id").agg(F.max_by("status", "ts").alias("status"), F.max("ts").alias("ts"))
-        review.upsert_state(old, last).write.mode("overwrite").parquet(path(epoch))
+        table.upsert(batch, writer, epoch)
+        if epoch % table.compact_after == table.compact_after - 1:
+            table.remove_old()
 
     return apply

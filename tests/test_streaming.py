@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from millrace.sources.state import StateTable
 from millrace.streaming import streams
 
 
@@ -35,9 +36,13 @@ def test_windows_and_upserts(spark, tmp_path):
     for part in range(2):
         spark.createDataFrame([("a", "accepted", part), (f"n{part}", "rejected", part)], "id string, status string, ts long").coalesce(1).write.mode("append").parquet(st)
     start = spark.createDataFrame([("a", "pending", -1), ("z", "pending", -1)], "id string, status string, ts long")
-    path = lambda k: f"{tmp_path}/state/{k}"
+    states = StateTable(spark, str(tmp_path / "state"), buckets=3, compact_after=3)
+    states.upsert(start)
     stream = spark.readStream.schema("id string, status string, ts long").option("maxFilesPerTrigger", 1).parquet(st)
-    q = stream.writeStream.foreachBatch(streams.upserting(path, start)).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
+    apply = streams.upserting(states)
+    q = stream.writeStream.foreachBatch(apply).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(120)
-    got = {r.id: r.status for r in spark.read.parquet(path(1)).collect()}
-    assert got == {"a": "accepted", "z": "pending", "n0": "rejected", "n1": "rejected"}
+    want = {"a": "accepted", "z": "pending", "n0": "rejected", "n1": "rejected"}
+    assert {r.id: r.status for r in states.read().collect()} == want
+    apply(spark.createDataFrame([("z", "accepted", 9)], "id string, status string, ts long"), 1)  # a batch that was committed before
+    assert {r.id: r.status for r in states.read().collect()} == want
