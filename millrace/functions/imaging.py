@@ -9,7 +9,7 @@ on a narrow table.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -77,19 +77,56 @@ def tenengrad(values: Column, width: int, height: int) -> Column:
 
 
 def grey(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
-    """ITU-R 601-2 luma of BGR(A) or grey bytes."""
-    a = np.frombuffer(data, np.uint8).reshape(height, width, channels).astype(np.float32)
-    return a[:, :, 0] if channels == 1 else (a[:, :, 2] * 299 + a[:, :, 1] * 587 + a[:, :, 0] * 114) / 1000
+    """ITU-R 601-2 luma of BGR(A) or grey bytes, in whole numbers: weights of 16 bits, rounded."""
+    a = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    if channels == 1:
+        return a[:, :, 0]
+    blue, green, red = (a[:, :, k].astype(np.uint32) for k in range(3))
+    return ((red * 19595 + green * 38470 + blue * 7471 + 0x8000) >> 16).astype(np.uint8)
+
+
+#: Bits of a resampling weight behind the point.
+WEIGHT_BITS = 22
+
+
+def cubic(x: np.ndarray) -> np.ndarray:
+    """The cubic convolution kernel with a slope of -1/2 at one."""
+    x = np.abs(x)
+    near = (1.5 * x - 2.5) * x * x + 1
+    far = ((-0.5 * x + 2.5) * x - 4) * x + 2
+    return np.where(x < 1, near, np.where(x < 2, far, 0.0))
+
+
+@lru_cache(maxsize=512)
+def weights(old: int, new: int) -> np.ndarray:
+    """A row for each of ``new`` pixels with the weights of the ``old`` ones: whole numbers of WEIGHT_BITS bits.
+
+    Where the picture gets smaller the kernel is as much wider, so that every
+    pixel counts; a row's weights add up to one before they are rounded.
+    """
+    scale = old / new
+    wide = max(scale, 1.0)
+    centre = (np.arange(new) + 0.5) * scale
+    first = np.maximum((centre - 2 * wide + 0.5).astype(int), 0)
+    last = np.minimum((centre + 2 * wide + 0.5).astype(int), old)
+    at = np.arange(old)
+    inside = (at >= first[:, None]) & (at < last[:, None])
+    w = np.where(inside, cubic((at - centre[:, None] + 0.5) / wide), 0.0)
+    w = w / w.sum(axis=1, keepdims=True) * (1 << WEIGHT_BITS)
+    return np.trunc(w + np.copysign(0.5, w))
+
+
+def _across(g: np.ndarray, size: int) -> np.ndarray:
+    """Rows of whole numbers resampled to ``size`` pixels, rounded and cut to a byte. Products are exact in doubles."""
+    if g.shape[1] == size:
+        return g
+    total = g.astype(np.float64) @ weights(g.shape[1], size).T
+    return np.clip(np.floor((total + (1 << WEIGHT_BITS - 1)) / (1 << WEIGHT_BITS)), 0, 255)
 
 
 def resized(g: np.ndarray, size: int) -> np.ndarray:
-    """Means over a size x size grid (nearest pixels where the picture is smaller)."""
-    edges = [np.linspace(0, n, size + 1) for n in g.shape]
-    rows, cols = (np.clip(np.stack([e[:-1].astype(int), np.maximum(np.ceil(e[1:]).astype(int), e[:-1].astype(int) + 1)], 1), 0, n) for e, n in zip(edges, g.shape, strict=True))
-    total = np.zeros((g.shape[0] + 1, g.shape[1] + 1))
-    total[1:, 1:] = g.cumsum(0, dtype=np.float64).cumsum(1)
-    a, b, c, d = rows[:, 0][:, None], rows[:, 1][:, None], cols[:, 0], cols[:, 1]
-    return (total[b, d] - total[a, d] - total[b, c] + total[a, c]) / ((b - a) * (d - c))
+    """``size`` x ``size`` pixels of a picture of bytes: cubic, first along rows, then along columns."""
+    return _across(_across(g, size).T, size).T
 
 
 def _pack(on: np.ndarray) -> int:
@@ -101,6 +138,12 @@ def perceptual_hash(g: np.ndarray) -> int:
     return _low_hash(resized(g, 32))
 
 
+def average_hash_of(g: np.ndarray) -> int:
+    """Bits of the pixels of 8 x 8 at or above their mean."""
+    small = resized(g, 8)
+    return _pack(small >= small.mean())
+
+
 def _low_hash(g: np.ndarray) -> int:
     low = np.abs(np.real(np.fft.fft2(g)))[:8, :8]
     return _pack(low >= np.median(low))
@@ -112,6 +155,16 @@ def frequency_hash(pixels: pd.Series) -> pd.Series:
     return pixels.map(lambda p: None if p is None else _low_hash(np.asarray(p, dtype=np.float64).reshape(32, 32))).astype("Int64")
 
 
+def resized_hash(pixels: Column, width: int) -> Column:
+    """:func:`average_hash_of` a grey picture given as bytes (whole numbers, row by row) of rows of ``width``."""
+
+    @F.pandas_udf(T.LongType())
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda p: None if p is None or not len(p) else average_hash_of(np.asarray(p, dtype=np.float64).reshape(-1, width))).astype("Int64")
+
+    return run(pixels)
+
+
 def sharpness(g: np.ndarray) -> tuple[float, float]:
     """Laplacian variance and mean squared Sobel gradient; zero below 3 x 3 pixels."""
     if min(g.shape) < 3:
@@ -138,6 +191,5 @@ def features(images: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out.append((None, None, None, None))
                 continue
             g = grey(int(h), int(w), int(c), data)
-            small = resized(g, 8)
-            out.append((*sharpness(g), _pack(small >= small.mean()), perceptual_hash(g)))
+            out.append((*sharpness(g), average_hash_of(g), perceptual_hash(g)))
         yield pd.DataFrame(out, columns=["laplacian", "tenengrad", "average_hash", "perceptual_hash"]).astype({"average_hash": "Int64", "perceptual_hash": "Int64"})

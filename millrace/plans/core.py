@@ -66,6 +66,18 @@ REL = "substr(path, length('datasets/' || root) + 2)"
 # ---------------------------------------------------------------- sources
 
 query("s01_list_images", f"with {FILES} select path, n_chars from files where {IMG}")(lambda s, d: S.list_images(files(s, d)).select("path", "n_chars"))
+
+
+def _walked(spark, d):
+    """The corpus as a tree of empty files below the shared folder, listed level by level."""
+    folder = fresh_folder(spark)
+    S.touch(files(spark, d).select(F.concat(lit(folder + "/"), "path").alias("path")))
+    found = S.walk(spark, folder)
+    return found.withColumn("path", F.regexp_extract("path", r"(datasets/.*)$", 1))
+
+
+query("s01_walked_tree", f"with {FILES} select path, 0::bigint as length from files where {IMG}")(lambda s, d: S.list_images(_walked(s, d)).select("path", "length"))
+query("s03_walked_tree", f"with {FILES} select root, count(*) as n, count(*) filter (where contains(path, '/.trash/')) as hidden from files group by root")(lambda s, d: _walked(s, d).groupBy(F.split("path", "/")[1].alias("root")).agg(F.count(lit(1)).alias("n"), F.count_if(F.contains("path", lit("/.trash/"))).alias("hidden")))
 query("s02_collect_images", f"with {FILES} select root, count(*) as n from files where {IMG} group by root")(lambda s, d: S.list_images(files(s, d)).groupBy("root").agg(F.count(lit(1)).alias("n")))
 query("s03_iter_files", f"with {FILES} select path, {IMG5} as is_image from files")(lambda s, d: files(s, d).select("path", C.is_image(col("name"), O.EXTS_NO_GIF).alias("is_image")))
 
@@ -380,6 +392,18 @@ BITS = lambda limit: "list_sum(list_transform(range(64), lambda i: case when px[
 MEAN = "(list_sum(px) / 64)"
 MEDIAN = "((list_sort(px)[32] + list_sort(px)[33]) / 2)"
 query("p17_average_hash", f"with {GRIDS} select vec_id, {BITS('(list_reduce(px, lambda a, b: a + b) / 64)')} as hash from grids")(lambda s, d: grids(s, d).select("vec_id", I.average_hash(col("px")).alias("hash")))
+
+#: Embeddings as pictures of 16 x 4 bytes, and their pixels resampled to 8 x 8: cubic weights of 22 bits, rows first.
+RESIZED = """bytes as (select vec_id, (i - 1) // 16 as y, (i - 1) % 16 as x, floor((embedding[i]::double + 1) * 120)::bigint as p from embeddings, range(1, 65) r(i)),
+  taps as (select o, k, (k + 0.5) * o / 8 as c, greatest(o / 8, 1) as wide from (values (16), (4)) s(o), range(8) t(k)),
+  reach as (select o, k, x, abs((x - c + 0.5) / wide) as u from taps, range(16) t(x) where x >= greatest(trunc(c - 2 * wide + 0.5), 0) and x < least(trunc(c + 2 * wide + 0.5), o)),
+  cubic as (select o, k, x, case when u < 1 then (1.5 * u - 2.5) * u * u + 1 when u < 2 then ((-0.5 * u + 2.5) * u - 4) * u + 2 else 0 end as w from reach),
+  fixed as (select o, k, x, trunc(w / sum(w) over (partition by o, k) * 4194304 + case when w < 0 then -0.5 else 0.5 end)::bigint as f from cubic),
+  across as (select vec_id, y, k as x, least(255, greatest(0, floor((sum(p * f) + 2097152) / 4194304)))::bigint as p from bytes join fixed using (x) where o = 16 group by all),
+  resized as (select vec_id, fixed.k as y, a.x, least(255, greatest(0, floor((sum(p * f) + 2097152) / 4194304)))::bigint as p from across a join fixed on o = 4 and fixed.x = a.y group by all)"""
+query("p17_resized_hash", f"with {RESIZED}, meant as (select *, avg(p) over (partition by vec_id) as m from resized) select vec_id, sum(case when p >= m then case when y = 7 and x = 7 then -9223372036854775808::hugeint else (1::hugeint << (y * 8 + x)::int)::hugeint end else 0 end)::bigint as hash from meant group by vec_id")(
+    lambda s, d: table(s, d, "embeddings").select("vec_id", I.resized_hash(F.transform("embedding", lambda x: F.floor((x.cast("double") + 1) * 120).cast("int")), 16).alias("hash"))
+)
 HASHED = f"hashed as (select vec_id, label, {BITS(MEDIAN)} as hash from grids)"
 
 

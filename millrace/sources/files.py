@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import itertools
+import os
+import re
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import ontology as O
+from ..shared import written
 
 lit, col = F.lit, F.col
 
@@ -14,6 +22,9 @@ lit, col = F.lit, F.col
 def list_files(spark: SparkSession, root: str, hidden: list[str] = ()) -> DataFrame:
     """``path, length, modificationTime`` of all files below ``root``, without reading them.
 
+    For a tree whose file statuses fit on the driver, in any store that Spark
+    reads; :func:`walk` needs neither bound.
+
     Spark skips names that begin with a dot or underscore; folders of that kind
     which count (``.trash``) are listed by naming them in ``hidden``.
     """
@@ -24,6 +35,88 @@ def list_files(spark: SparkSession, root: str, hidden: list[str] = ()) -> DataFr
     return out
 
 
+LISTED = "path string, is_dir boolean, length long, modificationTime timestamp"
+
+
+def _listed(folder: str) -> Iterator[tuple]:
+    """What lies directly in ``folder`` (a URI): path, is_dir, length, time in microseconds; links to folders aren't followed."""
+    if folder.startswith("file:"):
+        at = re.sub("^file:/*", "/", folder)
+        with os.scandir(at) as entries:
+            for e in entries:
+                here = f"{folder.rstrip('/')}/{e.name}"
+                if e.is_dir(follow_symlinks=False):
+                    yield here, True, None, None
+                elif not e.is_dir():
+                    there = os.path.exists(e.path)  # a broken link is a file without a size
+                    yield here, False, e.stat().st_size if there else None, e.stat().st_mtime_ns // 1_000_000 * 1000 if there else None
+        return
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(folder)
+    for e in system.get_file_info(fs.FileSelector(at)):
+        here = f"{folder.rstrip('/')}/{e.base_name}"
+        if e.type == fs.FileType.Directory:
+            yield here, True, None, None
+        else:
+            yield here, False, e.size, e.mtime_ns // 1_000_000 * 1000 if e.mtime_ns is not None else None
+
+
+def _list_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", tz="UTC")]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["path", "is_dir", "length", "modificationTime"])
+
+    for b in batches:
+        for folder in b.column(0).to_pylist():
+            listed = _listed(folder)
+            while rows := list(itertools.islice(listed, 10_000)):
+                yield batch(rows)
+
+
+def walk(spark: SparkSession, root: str) -> DataFrame:
+    """``path, length, modificationTime`` of all files below ``root``, hidden ones too, listed on the executors.
+
+    Folders are rows: those of one level are dealt out, each task lists its own,
+    and what it finds is written; the folders among it are the next level's
+    rows. The driver sees neither a file nor a folder, and a level's folders are
+    counted only. ``root`` is a URI that executors can open (a path is one of
+    the shared file system); a folder that is missing is an error.
+    """
+    root = root if re.match("[a-z][a-z0-9+.-]*:", root) else f"file:{os.path.abspath(root)}"
+    root = re.sub("^file:/+", "file:/", root).rstrip("/")
+    level, files = spark.createDataFrame([(root,)], "path string"), None
+    n = 1
+    while n:
+        found = written(level.repartition(max(1, min(n, 4 * spark.sparkContext.defaultParallelism)), "path").mapInArrow(_list_each, LISTED))
+        here = found.where("not is_dir").drop("is_dir")
+        files = here if files is None else files.unionByName(here)
+        level = found.where("is_dir").select("path")
+        n = level.count()
+    return files
+
+
+def touch(paths: DataFrame) -> None:
+    """Make an empty file at each ``path`` (a URI that executors can open), with the folders it needs; one that is there stays empty or is emptied."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        made: set[str] = set()
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                system, at = fs.FileSystem.from_uri(quote(re.sub("^file:/*", "file:///", path), safe=":/"))
+                folder = os.path.dirname(at)
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                system.open_output_stream(at).close()
+        yield pa.RecordBatch.from_arrays([pa.array([len(made)])], ["folders"])
+
+    paths.select("path").mapInArrow(run, "folders long").write.format("noop").mode("overwrite").save()
+
+
 def list_images(files: DataFrame, exts: tuple[str, ...] = O.EXTS_ALL) -> DataFrame:
     return files.where(C.is_image(C.name_of(col("path")), exts))
 
