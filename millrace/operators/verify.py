@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from .calls import ask_all
 
 lit, col = F.lit, F.col
 
@@ -63,20 +61,7 @@ def mock_verdict(klass: Column) -> Column:
     return F.struct(lit(True).alias("is_match"), klass.alias("actual_class"), lit(0.75).alias("quality_score"), lit(None).cast("string").alias("rejection_reason"), F.concat(lit("Mock description for "), klass, lit(".")).alias("description_en"), F.concat(lit("模拟描述："), klass).alias("description_zh"))
 
 
-def analyze(images: DataFrame, client: Callable[[str, str], str]) -> DataFrame:
-    """``path, answer, error`` of each (path, expected): one request a row, as many at a time as there are partitions."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for path, klass in zip(b["path"], b["expected"], strict=True):
-                try:
-                    out.append((path, client(path, klass), None))
-                except Exception as e:  # the image stays where it is, its row says why
-                    out.append((path, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["path", "answer", "error"])
-
-    return images.select("path", "expected").mapInPandas(run, "path string, answer string, error string")
+analyze = ask_all
 
 
 def route(rows: DataFrame, action: str = "move", folder: str = ".rejected_by_llm", sidecars: bool = True) -> DataFrame:

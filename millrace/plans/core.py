@@ -6,6 +6,7 @@ operators of this package; the SQL side says independently what they compute.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,10 +16,12 @@ from ..functions import columns as C
 from ..functions import imaging as I
 from ..functions import ontology as O
 from ..operators import dedupe, ingest, merge, review, samples, verify
+from ..operators.order import places
 from ..shared import fresh_folder
 from ..sources import files as S
 from ..sources import markup as M
 from ..sources import sinks as K
+from ..sources.paged import register
 from .fixtures import CLASSES, FILES, GRIDS, ROOTS, files, grids, pick_sql, table
 
 lit, col = F.lit, F.col
@@ -259,6 +262,54 @@ def _answers(spark, d):
 
 
 query("s25_model_client", f"with {FILES} select path, '{{\"is_match\": ' || (not ends_with(path, '.txt')) || '}}' as answer, null::varchar as error from files")(_answers)
+
+
+def _resumed(spark, d):
+    """A client that breaks on some files in a first run; the second, with the same log, asks for those alone."""
+    rows = files(spark, d).select("path", C.class_of(col("path")).alias("expected"))
+    log = fresh_folder(spark)
+
+    def first(path: str, klass: str) -> str:
+        if "7" in path[-9:]:
+            raise OSError("busy")
+        return f"first {klass}"
+
+    verify.analyze(rows, first, tries=1, log=log)
+    return verify.analyze(rows, lambda path, klass: f"second {klass}", log=log)
+
+
+query("s25_resumed_calls", f"with {FILES} select path, case when contains(right(path, 9), '7') then 'second ' else 'first ' end || class_raw as answer, null::varchar as error from files")(_resumed)
+
+
+def _service(spark, d):
+    """Events as pages of a service: files of at most 35 events for each type and page, written by Spark."""
+    folder = fresh_folder(spark)
+    rows = places(table(spark, d, "events").select("event_type", "event_id"), ["event_id"], ("event_type",))
+    pages = rows.withColumn("page", F.ceil(col("at") / 35)).groupBy("event_type", "page").agg(F.to_json(F.array_sort(F.collect_list("event_id"))).alias("value"))
+    pages.repartition("event_type").write.partitionBy("event_type", "page").text(folder)
+
+    def fetch(keyword: str, page: int) -> str | None:
+        from pyarrow import fs
+
+        system, at = fs.FileSystem.from_uri(f"{folder}/event_type={keyword}/page={page}")
+        for e in system.get_file_info(fs.FileSelector(at, allow_not_found=True)):
+            if e.base_name.startswith("part-"):
+                return system.open_input_stream(e.path).read().decode().strip()
+        return None
+
+    register(spark, "event_pages", fetch)
+    kinds = [r[0] for r in table(spark, d, "events").select("event_type").distinct().collect()]  # the keywords: a configuration
+    return {"keywords": json.dumps(sorted(kinds)), "pages": "400", "pagesPerTask": "100"}
+
+
+EVENT_PAGES = "paged as (select event_id, event_type as keyword, ((row_number() over (partition by event_type order by event_id) - 1) // 35 + 1)::int as page from events)"
+
+
+def _events_of(pages, *more):
+    return pages.select("keyword", "page", *more, F.explode(F.from_json("body", "array<long>")).alias("event_id"))
+
+
+query("p46_paged_source", f"with {EVENT_PAGES} select keyword, page, event_id from paged where keyword in ('click', 'purchase') and page <= 400")(lambda s, d: _events_of(s.read.format("event_pages").options(**_service(s, d)).load().where("keyword in ('click', 'purchase')")))
 query("s26_dataset_names", "select page_id, string_split(url, '/')[-1] as name from pages")(lambda s, d: table(s, d, "pages").select("page_id", S.dataset_name(col("url")).alias("name")))
 
 # ---------------------------------------------------------------- scalar derivations

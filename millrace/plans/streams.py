@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..shared import fresh_folder
 from ..sources.state import StateTable
 from ..streaming import streams
-from .core import query
+from .core import EVENT_PAGES, _events_of, _service, query
 
 
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,3 +65,14 @@ def st4(spark, d):
     states.upsert(start)
     changes.writeStream.foreachBatch(streams.upserting(states)).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
     return states.read().select("id", "status", "ts")
+
+
+@query("st5_paged_stream", f"with {EVENT_PAGES} select keyword, page, event_id, case when page <= 2 then 0 else 1 end as run from paged where page <= 5")
+def st5(spark, d):
+    """A paged service as a stream: it has two pages of each keyword at first, five when the stream starts again."""
+    options = _service(spark, d)
+    folder = fresh_folder(spark)
+    for run, has in enumerate((2, 5)):
+        pages = spark.readStream.format("event_pages").options(**options | {"pages": str(has)}).load().withColumn("run", F.lit(run))
+        pages.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+    return _events_of(spark.read.schema(pages.schema).parquet(f"{folder}/out"), "run")
