@@ -323,7 +323,7 @@ def stamp(time: Column) -> Column:
 
 def iso_stamp(time: Column) -> Column:
     """ISO 8601 to the second, in UTC."""
-    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.date_format(F.to_utc_timestamp(time, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def epoch_millis(time: Column) -> Column:

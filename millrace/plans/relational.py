@@ -11,6 +11,7 @@ from ..operators.order import places
 from ..sources import sinks as K
 from ..shared import fresh_folder
 from ..sources import files as S
+from ..sources.carry import carry_out
 from ..sources.state import StateTable
 from .core import ALIAS, BUILT, CHOSEN, CLASSED, CANON, GRIDS, HASHED, IMG, IMG5, ITEMS, LEAF20, SITES, TAGGED, TRASHED, _built, _chosen, _classed, _hashed, _items, _leaf2020, _sites, _trash_manifest, of_files, query, rows_of
 from .fixtures import FILES, ROOTS, files, table
@@ -276,6 +277,23 @@ query("k04_manifest_script", f"with {TRASHED} select 'const pestReviewManifest =
 query("k05_sidecars", f"with {FILES} select regexp_replace(path, '\\.[^./]*$', '') || '.json' as path, to_json({{is_match: true, actual_class: case when doc_id % 3 = 0 then upper(root) || '! x' end}})::varchar as value from files where doc_id % 5 > 0 and doc_id % 2 = 0")(lambda s, d: K.sidecars(_judged(s, d)))
 query("k06_stored_paths", "select page_id, 'k ' || page_id || '/unknown_source/' || sha1(url) || '.jpg' as stored from pages")(lambda s, d: K.downloaded_path(table(s, d, "pages").select("page_id", "url", F.concat(lit("k? "), "page_id").alias("query"), lit("!!").alias("source"))).select("page_id", "stored"))
 query("k07_copy_plan", f"with {STATUS} select src from st where status = 'copied'")(lambda s, d: merge.copy_status(_copies(s, d), _taken(s, d)).where("status = 'copied'").select("src"))
+
+
+def _carried(spark, d):
+    """Some files of the corpus copied, moved and deleted in a folder of empty files, twice with one journal; what lies there then."""
+    folder = fresh_folder(spark)
+    rows = files(spark, d).select("doc_id", "path")
+    at = lambda p: F.concat(lit(f"{folder}/"), p)
+    S.touch(rows.select(at(col("path")).alias("path")))
+    op = F.when(col("doc_id") % 3 == 0, "copy").when(col("doc_id") % 3 == 1, "move").when(col("doc_id") % 9 == 2, "delete").otherwise("keep")
+    plan = rows.select(op.alias("op"), at(col("path")).alias("src"), at(F.concat(lit("out/"), "path")).alias("dst"))
+    first = carry_out(plan, f"{folder}-journal")
+    second = carry_out(plan, f"{folder}-journal")
+    wrong = first.where("error is not null").unionByName(second.where("error is not null")).selectExpr("concat('error ', error) as path")
+    return S.walk(spark, folder).select(F.substring("path", len(folder.replace("file:///", "file:/")) + 2, 10_000).alias("path")).unionByName(wrong)
+
+
+query("k07_carried_out", f"with {FILES} select path from files where doc_id % 3 = 0 or doc_id % 3 = 2 and doc_id % 9 <> 2 union all select 'out/' || path from files where doc_id % 3 < 2")(_carried)
 query("k08_trash_plan", f"with {ACTIONS} select 'move' as op, path as src, root || '/.trash/' || act || '_20240101_000000/' || substr(path, length(root) + 2) as dst from acts where act in ('small', 'blur', 'dupe')")(lambda s, d: dedupe.trash_plan(_actions(s, d), "20240101_000000"))
 query("k09_rename_plan", f"with {FILES} select 'rename' as op, path as src, dir || '/' || {TAGGED('ac')} as dst from files where {IMG5} and not contains(name, '__cd__') and not contains(name, '__pd__')")(lambda s, d: merge.rename_plan(files(s, d), "ac"))
 query("k10_review_export", f"with {REVIEW} select id, status from review")(lambda s, d: S.review_entries(_review(s, d).select(F.to_json(F.array(F.struct("id", "keyword", "source", "path", "in_trash", "trash_reason", "status"))).alias("value"))).select("id", "status"))
@@ -302,4 +320,7 @@ def _requests(spark, d):
 
 
 query("k12_reclassify", f"with {FILES} select doc_id, case when doc_id % 9 = 0 then 404 when root = 'diseases' then 403 when not ({IMG5}) then 400 when doc_id % 4 = 0 then 400 when doc_id % 4 = 2 and doc_id % 8 <> 2 then 400 end as error, case when doc_id % 9 <> 0 and root <> 'diseases' and {IMG5} then case when doc_id % 4 = 1 then 'datasets/' || root || '/pest x/' || name when doc_id % 8 = 2 then 'datasets/' || root || '/pest x/new.jpg' when doc_id % 4 = 3 then 'datasets/' || root || '/pest x/' || replace({TAGGED('web')}, class_raw || '__web__', 'pest x__web__') end end as dst from files")(lambda s, d: review.reclassify(_requests(s, d), ["datasets/crops", "datasets/pests"]).select("doc_id", "error", "dst"))
+query("k13_counted_write", f"with {STATUS} select count(*) as total, count(*) filter (where status = 'copied') as copied, count(*) filter (where status = 'skipped_non_image') as skipped_non_image, count(*) filter (where status = 'skipped_exists') as skipped_exists from st")(
+    lambda s, d: K.write_counted(merge.copy_status(_copies(s, d), _taken(s, d)), fresh_folder(s), K.count_of("status", ["copied", "skipped_non_image", "skipped_exists"]))
+)
 query("k13_run_summary", f"with {STATUS} select count(*) as total, count(*) filter (where status = 'copied') as copied, count(*) filter (where status = 'skipped_non_image') as skipped_non_image, count(*) filter (where status = 'skipped_exists') as skipped_exists from st")(lambda s, d: K.summary(merge.copy_status(_copies(s, d), _taken(s, d))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.samples import sample_json
@@ -56,7 +56,8 @@ def perform(plan: DataFrame, act: Callable[[str, str, str | None], None]) -> Dat
     """Carry out a plan (op, src, dst) on the executors: ``op, src, dst, error``; an opt-in, as plans alone change nothing.
 
     It happens here, once, and not again when the result is read. A task that
-    is lost half-way runs again, so ``act`` must bear what is done already.
+    is lost half-way runs again, so ``act`` must bear what is done already;
+    :func:`millrace.sources.carry.carry_out` keeps a journal and needs not.
     """
     import pandas as pd
 
@@ -80,4 +81,21 @@ def summary(statuses: DataFrame) -> DataFrame:
     return statuses.agg(F.count(lit(1)).alias("total"), n("copied"), n("skipped_non_image"), n("skipped_exists"))
 
 
-__all__ = ["downloaded_path", "manifest_script", "perform", "report_json", "report_name", "sidecars", "summary", "write_samples"]
+def write_counted(rows: DataFrame, path: str, counts: dict[str, Column]) -> DataFrame:
+    """Write ``rows`` (Parquet) and count while they are written: one row of ``counts`` (aggregates), without a second pass.
+
+    The counts are metrics of the writing job itself. A task that runs twice is
+    counted once.
+    """
+    seen = Observation()
+    rows.observe(seen, *[c.alias(k) for k, c in counts.items()]).write.parquet(path)
+    kinds = rows.agg(*[c.alias(k) for k, c in counts.items()]).schema
+    return rows.sparkSession.createDataFrame([tuple(seen.get[k] for k in counts)], kinds)
+
+
+def count_of(column: str, values: list[str]) -> dict[str, Column]:
+    """All rows, and those of each value of ``column``."""
+    return {"total": F.count(lit(1)), **{v: F.count_if(col(column) == v) for v in values}}
+
+
+__all__ = ["count_of", "downloaded_path", "manifest_script", "perform", "report_json", "report_name", "sidecars", "summary", "write_counted", "write_samples"]
