@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import columns as C
 from ..functions import ontology as O
@@ -27,22 +28,62 @@ def described(files: DataFrame) -> DataFrame:
     return rows.withColumns({"class_raw": C.class_of(F.col("path")), "source": C.source_of(name, F.lit("web")), "ext": C.extension(name)})
 
 
-def capped(items: DataFrame, cap: int, keys: list[str], key_schema: str) -> DataFrame:
-    """At most ``cap`` items of each key over the whole life of a stream; a key's state is one counter.
-
-    ``items`` has the keys and ``item`` (string).
+class _Cap(StatefulProcessor):
+    """Takes a key's items until there are ``cap``; what it took is a list, which goes when the key has been idle."""
+
+    def __init__(self, cap: int, keys: list[str], idle: int | None):
+        self.cap, self.keys, self.idle = cap, keys, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.taken = handle.getListState("taken", "item string")
+        self.alarm = handle.getValueState("alarm", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        have = {r[0] for r in self.taken.get()} if self.taken.exists() else set()
+        least: list[str] = []
+        for f in rows:  # no more than the cap is held of a batch, whatever its size
+            new = {x for x in f["item"] if x is not None and x not in have}
+            least = heapq.nsmallest(max(0, self.cap - len(have)), {*least, *new})
+        if least:
+            self.taken.appendList([(x,) for x in least])
+        if self.idle is not None:
+            if self.alarm.exists():
+                self.handle.deleteTimer(self.alarm.get()[0])
+            at = timerValues.getCurrentProcessingTimeInMs() + self.idle
+            self.handle.registerTimer(at)
+            self.alarm.update((at,))
+        if least:
+            yield pd.DataFrame([(*key, x) for x in least], columns=[*self.keys, "item"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.taken.clear()
+        self.alarm.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def capped(items: DataFrame, cap: int, keys: list[str], key_schema: str, idle: str | None = None) -> DataFrame:
+    """At most ``cap`` different items of each key over the life of a stream.
+
+    ``items`` has the keys and ``item`` (string). Of a batch's items the least
+    are taken, as many as are still free; one that was taken before isn't taken
+    again. With ``idle`` (an interval such as ``7 days``) a key from which nothing
+    has come for so long is forgotten, and its state with it: if it comes back it
+    starts anew; such a stream has timers, so it runs on until it is stopped (also
+    under ``availableNow``). The state is a list of the items taken, so at most ``cap`` a key;
+    it is kept in RocksDB, which the session must name as its state store.
     """
+    spark = items.sparkSession
+    millis = None if idle is None else int(spark.sql(f"select unix_millis(timestamp_seconds(0) + interval {idle})").first()[0])
+    grouped = items.select(*keys, "item").groupBy(*keys)
+    return grouped.transformWithStateInPandas(_Cap(cap, keys, millis), f"{key_schema}, item string", "append", "none" if millis is None else "processingTime")
 
-    def take(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        used = state.get[0] if state.exists else 0
-        for f in frames:
-            f = f.sort_values("item").iloc[: max(0, cap - used)]
-            used += len(f)
-            if len(f):
-                yield f[[*keys, "item"]]
-        state.update((used,))
 
-    return items.select(*keys, "item").groupBy(*keys).applyInPandasWithState(take, f"{key_schema}, item string", "used long", "append", GroupStateTimeout.NoTimeout)
+#: The state store that :func:`capped` needs.
+ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 def windowed_counts(events: DataFrame, time: str = "ts", late: str = "10 minutes", width: str = "1 hour", by: str = "event_type") -> DataFrame:

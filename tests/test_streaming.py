@@ -1,3 +1,6 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources.state import StateTable
@@ -18,13 +21,63 @@ def test_arriving_files(spark, tmp_path):
     assert sorted((r.class_raw, r.source, r.ext) for r in rows) == [("rice", "cd", ".jpg"), ("rice", "web", ".png")]
 
 
-def test_caps_hold_across_batches(spark, tmp_path):
+@pytest.fixture
+def rocks(spark):
+    before = {k: spark.conf.get(k) for k in streams.ROCKS}
+    for k, v in streams.ROCKS.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_caps_hold_across_batches(spark, tmp_path, rocks):
     src = str(tmp_path / "in")
-    for part in range(3):
-        spark.range(part * 10, part * 10 + 10).select(F.concat(F.lit("k"), F.col("id") % 2).alias("keyword"), F.format_string("%03d", "id").alias("item")).coalesce(1).write.mode("append").parquet(src)
+    batches = [["05", "03", "05", None], ["01", "02", "03"], ["00", "09"], ["08", "07"]]
+    for items in batches:
+        spark.createDataFrame([(k, x) for k in ("a", "b") for x in items if k == "a" or x != "03"], "keyword string, item string").coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # files are taken in the order of their times
     stream = spark.readStream.schema("keyword string, item string").option("maxFilesPerTrigger", 1).parquet(src)
-    rows = drain(streams.capped(stream, 7, ["keyword"], "keyword string"), "capped")
-    assert len(rows) == 14 and {r.keyword for r in rows} == {"k0", "k1"}
+    rows = drain(streams.capped(stream, 4, ["keyword"], "keyword string"), "capped")
+    want = set()
+    for k in ("a", "b"):
+        taken = []
+        for items in batches:
+            new = sorted({x for x in items if x is not None and (k == "a" or x != "03")} - set(taken))
+            taken += new[: 4 - len(taken)]
+        want |= {(k, x) for x in taken}
+    assert len(rows) == 8 and {(r.keyword, r.item) for r in rows} == want
+
+
+def test_idle_keys_are_forgotten(spark, tmp_path, rocks):
+    """A stream that goes on, as timers need: a key comes back after its state went."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("keyword string, item string").parquet(src)
+    capped = streams.capped(stream, 1, ["keyword"], "keyword string", idle="5 seconds")
+    q = capped.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").outputMode("append").trigger(processingTime="500 milliseconds").start()
+
+    def give(*items):
+        spark.createDataFrame(items, "keyword string, item string").coalesce(1).write.mode("append").parquet(src)
+
+    def wait_for(items, most=60):
+        end = time.time() + most
+        while time.time() < end and q.isActive:
+            if (tmp_path / "out" / "_spark_metadata").exists() and sorted(r.item for r in spark.read.schema("keyword string, item string").parquet(out).collect()) == items:
+                return True
+            time.sleep(0.5)
+        return False
+
+    try:
+        give(("a", "x"), ("a", "y"))
+        assert wait_for(["x"])
+        deadline = time.time() + 60
+        while not wait_for(["w", "x"], 3) and time.time() < deadline:
+            time.sleep(8)  # longer than the key may be idle
+            give(("a", "w"))
+        assert wait_for(["w", "x"])
+    finally:
+        q.stop()
 
 
 def test_windows_and_upserts(spark, tmp_path):
