@@ -65,21 +65,25 @@ store stream string style sub support sync system tab table tag target task temp
 title token tool total track tree true type unit update upload url user util value vector version video view web
 widget window word worker write www your xml zip""".split()
 #: Words beside a credential, and beside what only looks like one.
-ASKS = re.compile(r"(?i)(token|secret|passw|pwd|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private[_ -]?key|client[_ -]?key|signing|aws|stripe|slack)")
+ASKS = re.compile(r"(?i)(token|secret|passw|pwd|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private[_ -]?key|client[_ -]?key|signing|aws|stripe|slack|[_-]pass\b|pass(?:phrase|code))")
 TELLS = re.compile(r"(?i)(sha-?\d|commit|md5|checksum|digest|revision|integrity|uuid|guid|etag|version|build|trace|request[_ -]?id|example|dummy|sample|placeholder|fixture|phone|card|isbn|order|invoice)")
 #: How issuers begin their keys.
 PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|rk_live_|pk_live_|xox[abpr]-|AIza|eyJ|npm_|pypi-|SG\.|hf_)")
 #: A secret's name up to the sign of an assignment, and the value after it (a scheme of HTTP isn't one).
 _NAMED = re.compile(ASKS.pattern.encode() + rb"[\w.\-]*[\"'`\])]*[ \t]*$")
 _VALUE = re.compile(rb"[=:>]*[ \t]*(?:(?i:bearer|basic)[ \t]+)?(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|[\"'`]?([^\s\"'`]+))")
-_URL_PASSWORD = re.compile(rb"://[^\s/@:\"'<>]{0,80}:([^\s/@\"'<>]{3,200})@")
+_URL_PASSWORD = re.compile(rb"://[^\s/@:\"'<>]*:([^\s/@\"'<>]+)@")
+#: What a sentence says a secret is.
+_SAID = re.compile(rb"(?i)(?<![\w.-])(?:passwor[dt]|passwd|pwd|passphrase|pass ?code|(?:api|access|secret|private|signing)?[ _-]?key|secret|token|credentials?)[ \t]+(?:is|was|are|were)(?:[ \t]+now)?[ \t]*:?[ \t]+[\"'`]?([^\s\"'`]{6,})")
+#: The lines of a private key whose last line isn't there.
+_KEY_LINES = re.compile(rb"(?:\r?\n[ \t]*[A-Za-z0-9+/]{40,}={0,2}(?=[ \t]*(?:\r?\n|$)))+")
 _KEY_BEGIN = re.compile(rb"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
 _KEY_END = re.compile(rb"-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
 _UUID = re.compile(r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
 _COVER = re.compile("|".join(sorted(WORDS, key=lambda w: (-len(w), w))))
 _VOWELS = frozenset("aeiouy")
 
-FEATURES = ["length", "digits", "upper", "lower", "other", "class_changes", "entropy", "distinct", "most_common", "hex", "all_digits", "uuid", "pair_surprise", "vowel_changes", "covered", "slashes", "dots", "in_path", "extension", "assigned", "quoted", "asks", "tells", "prefix", "words_left", "equals_end", "spaces", "key_block", "url_password"]
+FEATURES = ["length", "digits", "upper", "lower", "other", "class_changes", "entropy", "distinct", "most_common", "hex", "all_digits", "uuid", "pair_surprise", "vowel_changes", "covered", "slashes", "dots", "in_path", "extension", "assigned", "quoted", "asks", "tells", "prefix", "words_left", "equals_end", "spaces", "key_block", "dotted_name", "url_password"]
 
 SCHEMA = T.StructType(
     [
@@ -100,7 +104,8 @@ def candidates(off: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray
     equals signs at its beginning or dots at its end, that has a digit or
     changes between upper and lower case at least three times; equals signs
     within a run part it. Besides, each value assigned to a secret's name, the
-    password of each URL, and each private key from its first to its last line.
+    password of each URL, each private key from its first to its last line (or,
+    if that isn't there, as far as its lines go), and what follows "password is".
     In order of the first byte, then the longer one first; they may be nested.
     """
     n = len(raw)
@@ -158,7 +163,7 @@ def _assigned(off: np.ndarray, raw: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _keys_and_urls(off: np.ndarray, raw: np.ndarray) -> list[tuple[int, int]]:
-    """First and last byte (exclusive) of private keys, and of passwords in URLs."""
+    """First and last byte (exclusive) of private keys, of passwords in URLs and of what a sentence says a secret is."""
     data, out = raw.tobytes(), []
     stop_of = lambda p: int(off[np.searchsorted(off, p, "right")])
     ends = [m.end() for m in _KEY_END.finditer(data)]
@@ -166,9 +171,14 @@ def _keys_and_urls(off: np.ndarray, raw: np.ndarray) -> list[tuple[int, int]]:
         k = int(np.searchsorted(ends, m.end()))
         if k < len(ends) and ends[k] <= stop_of(m.start()):
             out.append((m.start(), ends[k]))
+        elif lines := _KEY_LINES.match(data, m.end(), stop_of(m.start())):
+            out.append((m.start(), lines.end()))
     for m in _URL_PASSWORD.finditer(data):
         if m.end() <= stop_of(m.start()):
             out.append(m.span(1))
+    for m in _SAID.finditer(data):
+        if m.end() <= stop_of(m.start()):
+            out.append((m.start(1), m.start(1) + len(m[1].rstrip(b".,;:)]}>"))))
     return out
 
 
@@ -198,10 +208,10 @@ def features(token: str, left: str, right: str) -> list[float]:
     return [
         math.log(n), *share.tolist(), float((np.diff(kind.astype(np.int8)) != 0).mean()) if len(kind) > 1 else 0.0, entropy, len(count) / min(n, 64), max(count.values()) / n,
         float(all(c in "0123456789abcdef" for c in low)), float(token.isdigit()), float(bool(_UUID.match(token))), -sum(pairs) / max(1, len(pairs)), swaps, covered,
-        float(token.count("/")), float(token.count(".")), float(left.endswith(("/", "\\", "://")) or right[:1] in ("/", "\\") or "://" in left[-12:]), float(bool(re.search(r"\.[a-z]{2,4}$", token))),
-        float(bool(re.search(r"[=:]\s*[\"'`]?$", before + left[len(before):]))), float(left[-1:] in ("\"", "'", "`") and right[:1] == left[-1:]),
+        float(token.count("/")), float(token.count(".")), float(left.endswith(("/", "\\", "://")) or right[:1] in ("/", "\\") or "://" in left[-12:] or token.startswith(("//", "./", "../")) or left.endswith("@")), float(bool(re.search(r"\.[a-z]{2,4}$", token))),
+        float(bool(re.search(r"(?:[=:]|\b(?:is|was|are))\s*[\"'`]?$", before + left[len(before):]))), float(left[-1:] in ("\"", "'", "`") and right[:1] == left[-1:]),
         float(bool(ASKS.search(left[-40:]))), float(bool(TELLS.search(left[-40:]))), float(bool(PREFIX.match(token))), float(len(re.findall(r"[A-Za-z]{2,}", left[-30:]))), float(token.endswith("=")),
-        sum(c.isspace() for c in token) / n, float(token.startswith("-----BEGIN ")), float(bool(re.search(r"://[^\s/@]*:$", left)) and right[:1] == "@"),
+        sum(c.isspace() for c in token) / n, float(token.startswith("-----BEGIN ")), float(bool(re.match(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)+$", token))), float(bool(re.search(r"://[^\s/@]*:$", left)) and right[:1] == "@"),
     ]
 
 
@@ -304,6 +314,10 @@ class _Maker:
         return " ".join(self.rnd.choice(PROSE) for _ in range(self.rnd.randint(a, b)))
 
     def name(self) -> str:
+        """A word of a name; one in four is made of syllables, as no list has all words."""
+        if self.rnd.random() < 0.25:
+            syllable = lambda: self.rnd.choice("b c d f g l m n p r s t v br ch cl dr gr pl pr sh st th tr".split()) + self.rnd.choice("a e i o u ai ea io ou ie".split()) + self.rnd.choice(["", "", "n", "r", "l", "s", "t", "nd", "ng", "ck"])
+            return "".join(syllable() for _ in range(self.rnd.randint(2, 4)))
         return self.rnd.choice(WORDS if self.rnd.random() < 0.5 else NAMES)
 
     def lead(self) -> str:
@@ -331,12 +345,27 @@ class _Maker:
             else t(_LOWER, 12, 28) if pick == 6 else self.name().capitalize().translate(swap) + self.rnd.choice(_MARKS) + self.name()[:5] + self.rnd.choice(["", "1", "!", str(self.rnd.randint(2, 2030))]) if pick == 7 else t(_ALNUM, 4, 10) + self.rnd.choice(_MARKS) + t(_ALNUM, 4, 10)
         )
 
+    def passphrase(self) -> str:
+        """What people choose: words with a number, a sign or changed letters."""
+        rnd, mark = self.rnd, self.rnd.choice(_MARKS)
+        a, b, c = (self.rnd.choice([self.name(), self.rnd.choice(PROSE)]) for _ in range(3))
+        swap = str.maketrans("aeio", "4310")
+        number = str(rnd.choice([rnd.randint(0, 99), rnd.randint(1950, 2030), rnd.randint(0, 99_999)]))
+        return rnd.choice([a + number + b + c, a + b + c + number, a.capitalize() + number + mark, a.capitalize() + mark + b.capitalize() + number, f"{a.capitalize()}-{b.capitalize()}-{number}", (a + b).translate(swap) + rnd.choice([mark, number]), a[:1] + a[1:].translate(swap) + b.capitalize() + c.capitalize() + rnd.choice(["", mark]), a.translate(swap) + mark + number])
+
+    def said(self) -> tuple[str, str]:
+        """A sentence up to what it says a secret is, and the quote after that."""
+        rnd, quote = self.rnd, self.rnd.choice(["", "", "", '"', "'"])
+        whose = rnd.choice(["my", "the", "our", "your", "the admin", f"the {self.name()}", "new", "his", "The", "My", "guest"])
+        what = rnd.choice(["password", "password", "passphrase", "api key", "access key", "key", "token", "secret", "passcode", "secret key"])
+        return f"{self.lead()}{whose} {what} {rnd.choice(['is', 'is', 'was', 'is now', 'is:'])} {quote}", quote
+
     def asked(self) -> tuple[str, str]:
         """What stands before a value that is assigned to a secret's name, and the quote after it."""
         rnd, quote = self.rnd, self.rnd.choice(['"', "'", "", "`", '"'])
         form, name = rnd.randrange(6), rnd.choice(ASKED)
         before = (
-            f"{name}{rnd.choice([' = ', '=', ': ', ' := ', ' => '])}" if form < 2 else f'{{"{self.name()}": {rnd.randint(0, 99)}, "{name}": ' if form == 2 else f"export {name.upper()}=" if form == 3
+            f"{name}{rnd.choice([' = ', '=', ': ', ' := ', ' => ', ' == '])}" if form < 2 else f'{{"{self.name()}": {rnd.randint(0, 99)}, "{name}": ' if form == 2 else f"export {name.upper()}=" if form == 3
             else f"{self.name()}:\n  {name}: " if form == 4 else f"os.environ['{name.upper()}'] = "
         )
         return self.lead() + before + quote, quote
@@ -347,7 +376,7 @@ class _Maker:
 
     def harmless(self) -> tuple[str, str, str]:
         """A run that looks like a credential and isn't, with what stands beside it."""
-        t, rnd, pick = self.text, self.rnd, self.rnd.randrange(16)
+        t, rnd, pick, name = self.text, self.rnd, self.rnd.randrange(24), self.rnd.choice(ASKED)
         lead, quote = self.lead(), self.rnd.choice(['"', "'", "", "", "`"])
         if pick == 0:
             said = rnd.choice(["commit ", "sha256: ", "md5 = ", "checksum: ", "digest=", "revision ", "ETag: ", "sha1sum ", "tree ", "merge ", "blob ", "hash "])
@@ -360,7 +389,13 @@ class _Maker:
         if pick == 3:
             return rnd.choice(["_", "-", "."]).join(self.name() for _ in range(rnd.randint(2, 6))) + str(rnd.randint(0, 9999)), lead + rnd.choice(["", "name = ", "key: ", "token = "]) + quote, quote
         if pick == 4:
-            return "".join(self.name().capitalize() for _ in range(rnd.randint(3, 6))) + rnd.choice(["", "2", "V3"]), lead + rnd.choice(["class ", "new ", "", "import "]), "("
+            parts = [self.name().capitalize()[: rnd.choice([2, 3, 4, 5, 9, 9])] for _ in range(rnd.randint(2, 6))]
+            if rnd.random() < 0.4:
+                parts.insert(rnd.randrange(len(parts) + 1), t("ABCDEFGHILMNOPRSTUX", 1, 4))
+            if rnd.random() < 0.3:  # a method
+                verb = rnd.choice(["get", "set", "is", "find", "load", "to", "on", "with"]) + self.name().capitalize() + rnd.choice(["", "By", "For", "From", "Of"]) + self.name().capitalize()
+                return verb + rnd.choice(["", "Id", "2", "Id2", "V1"]), lead + rnd.choice(["", f"{name}_count = {rnd.randint(1, 9999)}; ", "self.", "x = ", "return ", "def "]), "("
+            return "".join(parts) + rnd.choice(["", "", "2", "V3", "_1", "T_2", "_co"]), lead + rnd.choice(["class ", "new ", "", "import ", "except (", "`", "using `", ": ", "raise ", "[", " | ", "self: ", "-> "]), rnd.choice(["(", ")", "`", ",", ":", "]", "["])
         if pick == 5:
             return t("0123456789", 8, 22), lead + rnd.choice(["", "card ", "order ", "phone ", "isbn ", "+", "account "]), ""
         if pick == 6:
@@ -377,16 +412,48 @@ class _Maker:
         if pick == 11:
             return base64.b64encode(rnd.randbytes(64)).decode(), lead + '"integrity": "sha512-', '"'
         if pick == 12:
-            return rnd.choice([t("ABCDEFGHJKLMNPRSTUVWXYZ0123456789", 8, 17), f"{t('ABCDEFGH', 2, 4)}-{t('0123456789', 4, 8)}", f"{self.name().upper()}{rnd.randint(10, 99999)}"]), lead + rnd.choice(["part ", "serial no. ", "model ", "VIN ", "flight ", "case ", "item "]), ""
+            return rnd.choice([t("ABCDEFGHJKLMNPRSTUVWXYZ0123456789", 8, 17), f"{t('ABCDEFGH', 2, 4)}-{t('0123456789', 4, 8)}", f"{t('ABCDEFGHMRS', 2, 5)}-{t('ABCDEFGHMRS', 1, 3)}{rnd.randint(1, 512)}", f"_{t('ABCDEFGHMRS', 3, 5)}_{t('ABCDEFGHMRS', 1, 3)}{rnd.randint(1, 9)}_{self.name().upper()}", ".".join(str(rnd.randint(0, 20)) for _ in range(rnd.randint(4, 9))), f"{self.name().upper()}{rnd.randint(10, 99999)}"]), lead + rnd.choice(["part ", "serial no. ", "model ", "VIN ", "flight ", "case ", "item "]), ""
         if pick == 13:
             return self.name() + rnd.choice(["_", "-", ""]) + t(_HEX, 4, 8), lead + rnd.choice(["id=", "class=", "#", "host ", "pod/", "container "]) + quote, quote
         if pick == 14:
             return self.prose(2, 5).replace(" ", rnd.choice(["-", "_", "+"])) + rnd.choice(["-", "_"]) + str(rnd.randint(1, 2030)), lead + rnd.choice(["https://" + self.name() + ".com/", "#", "/", "page ", ""]), rnd.choice(["", "/", ".html"])
+        if pick == 16:  # a locale
+            code = t(_LOWER, 2, 3) + rnd.choice(["_" + t(_LOWER, 2).upper(), ""])
+            return code + rnd.choice([".UTF-8", ".utf8", f".ISO8859-{rnd.randint(1, 16)}", ".ISO-8859-1", f".CP{rnd.randint(125, 1299)}", ".KOI8-R", ".eucJP", f"_{t(_LOWER, 4).capitalize()}.UTF-8", "@latin.UTF-8"]), lead + rnd.choice(["", "LANG=", "locale = ", f"'{t(_LOWER, 5)}': ", "locale=", "         "]) + (quote or "'"), quote or "'"
+        if pick == 18 and rnd.random() < 0.4:  # a short name with numbers
+            return rnd.choice(["_", ""]) + self.name()[: rnd.randint(3, 5)] + "".join(f"{rnd.randint(1, 9)}{rnd.choice('nkxyd')}" for _ in range(rnd.randint(1, 3))) + rnd.choice(["", "_" + self.name()[:4]]), lead + rnd.choice(["r = ", "q, r = ", "return ", "def ", "", "b, "]), "("
+        if pick in (17, 18):  # a name within a module or class
+            last = rnd.choice([self.name().capitalize() + str(rnd.choice([8, 16, 32, 64])) + self.name().capitalize(), self.name().upper() + "_" + self.name().upper() + f"_V{rnd.randint(1, 3)}" + rnd.choice(["", "_2"]), self.name() + rnd.choice(["", "2", "_" + self.name()]), self.name().upper() + str(rnd.randint(1, 512)), self.name().capitalize() + self.name().capitalize()])
+            return ".".join([rnd.choice(["np", "pd", "tf", "os", "ssl", "_" + self.name(), self.name(), "self", self.name().capitalize() + self.name().upper()[:4]]), *([self.name()] if rnd.random() < 0.3 else []), last]), lead + rnd.choice(["dtype=", "type = ", f"{self.name()}=", "return ", "(", f"{self.name()}, ", ": ", f"{self.name()} = "]), rnd.choice(["(", ")", ",", ""])
+        if pick == 19:  # a licence or standard
+            return rnd.choice(["BSD-3-Clause", "BSD-2-Clause", "GPL-3.0-or-later", "LGPL-2.1-only", "Apache-2.0", "MPL-2.0", "CC-BY-SA-4.0", "ISO-8859-15", "AES-256-GCM", "SHA3-512", "UTF-16-LE", "ECDHE-RSA-AES128"]), lead + rnd.choice(["License: ", "License-Expression: ", "licence ", "encoding = ", "cipher: ", "(", ""]) + quote, quote
+        if pick == 20:  # the rest of a link
+            user = rnd.choice([self.name() + t("0123456789", 1, 4), t(_ALNUM, 5, 9), self.name().capitalize() + t("0123456789", 2)])
+            return rnd.choice(["//github.com/", "//git.io/", "//doi.org/10.", "//www.w3.org/TR/", "//img.shields.io/badge/", "//youtu.be/"]) + user + rnd.choice(["", "/" + self.name(), "/" + t(_ALNUM, 6, 11)]), lead + rnd.choice(["https:", "(https:", "<http:", '"http:', "_x: https:"]), rnd.choice([")", ">", "", '"'])
+        if pick == 21:  # an anchor or a name of a file's part
+            return rnd.choice(["sec", "fig", "eq", "table", "step", "ch", "item", self.name()]) + "-" + "-".join(str(rnd.randint(1, 40)) for _ in range(rnd.randint(2, 4))), lead + rnd.choice(['id="', 'name="', 'href="#', "(#", "see "]), rnd.choice(['"', ")", ""])
+        if pick == 22:  # a user before a host, a number in hexadecimals
+            return rnd.choice([(self.name() + rnd.choice(["", "_", "."]) + t("0123456789", 1, 4), lead + rnd.choice(["<", "<", "mail ", f"Author: {self.name()} <"]), "@"), (t("0123456789", 5, 8) + "+" + self.name() + t(_LOWER, 2, 5), lead + rnd.choice(["<", "", "Author: "]), "@"), ("0x" + t(_HEX.upper() if rnd.random() < 0.5 else _HEX, 6, 16), lead + rnd.choice(["", "= ", "&search=", "addr ", "mask=", "== "]), "")])
+        if pick == 23 and rnd.random() < 0.3:  # an alphabet, or a part of one
+            whole = "".join(rnd.sample([_ALNUM[:26], _LOWER, "0123456789"], rnd.randint(2, 3))) + rnd.choice(["", "_", "+/", "234567", "-_"])
+            return whole[rnd.randint(0, 8) :], lead + rnd.choice(["alphabet = ", "_chars = b", "string('", "characters = ", "in ", "_B32 = "]) + (quote or '"'), quote or '"'
+        if pick == 23:  # an identifier in quotes
+            return rnd.choice([self.name() + str(rnd.randint(1, 999)) + self.name()[0] + "_" + self.name(), "".join([self.name(), *(self.name().capitalize() for _ in range(rnd.randint(1, 3)))]) + rnd.choice(["", "2", "Id"]), f"{self.name()}_{self.name()}_{rnd.randint(1, 2000)}"]), lead + rnd.choice(['get("', "['", '"', "name: ", "if_exists: ", "key=", "x: "]), rnd.choice(['"', "'", "", ")"])
         return t("ACGT", 10, 40) + rnd.choice(["", "1"]), lead + rnd.choice(["sequence ", "primer 5'-", ">"]), ""
 
     def assigned_harmless(self) -> str:
         """A value behind a secret's name that gives nothing away."""
-        rnd, pick, name = self.rnd, self.rnd.randrange(7), self.rnd.choice(ASKED)
+        rnd, pick, name = self.rnd, self.rnd.randrange(11), self.rnd.choice(ASKED)
+        if pick == 7:  # a number of a program
+            return rnd.choice(["0x", "0X", "-", "0b", ""]) + self.text("0123456789ABCDEF" if rnd.random() < 0.5 else "01", 1, 8) + rnd.choice(["", ":", ",", ")", "L"])
+        if pick == 8:  # somebody's name
+            first, last = self.name().capitalize(), rnd.choice([self.name().capitalize(), self.name().capitalize() + "-" + self.name().capitalize(), "O'" + self.name().capitalize()])
+            return rnd.choice([f"{first} {last}", f"{first} {last} <{self.name()}@{self.name()}.org>", f"{first[0]}. {last}", f"{first} {last}, {self.name().capitalize()} {last}"])
+        if pick == 9:  # a method or format
+            return rnd.choice(["CRAM-MD5", "HMAC-SHA256", "RS256", "HS512", "oauth2", "Basic", "SCRAM-SHA-1", "AES256", "ed25519", "x-amz-security-token", "text/x-token", "1.3.6.1.5.5", "sha256_password", "mysql_native_password"])
+        if pick == 10:  # a piece of code
+            a, b = self.name(), self.name()
+            return rnd.choice([f"{a}[{rnd.randint(0, 99)}]", f"{a}+{rnd.randint(1, 40)}", f"{a}.{b}({rnd.randint(0, 9)})", f"{a}.{b.capitalize()}(", f"{a}.{b}", f"{a}_{b}", f"{a.capitalize()}{b.capitalize()}", f"{a}{b.capitalize()}{rnd.randint(1, 9)}", f"{a}[1:]", f"r'{a}+'", f"len({a})", f"{a}->{b}", f"&{a}", f"*{a}", f"{a}::{b}"])
         return (
             self.name() if pick == 0 else self.name().capitalize() + rnd.choice(["", "'s", "-" + self.name(), "_" + self.name()]) if pick == 1 else self.prose(2, 8) + rnd.choice(["", ".", "?", "!"]) if pick == 2
             else rnd.choice(["${%s}", "$%s", "<%s>", "{{ %s }}", "%s()", "self.%s", "os.environ['%s']", "process.env.%s", "your_%s", "your-%s-here", "get_%s()", "%s", "config.%s", "vault:%s"]) % rnd.choice([name, name.upper(), self.name()]) if pick == 3
@@ -395,7 +462,7 @@ class _Maker:
         )
 
 
-def generated_findings(n: int = 5000, seed: int = 5) -> list[tuple[str, str, str, int]]:
+def generated_findings(n: int = 7000, seed: int = 5) -> list[tuple[str, str, str, int]]:
     """Labelled findings (token, left, right, label) by seeded rules: credentials, and what resembles them."""
     m, out = _Maker(seed), []
     while len(out) < n:
@@ -409,25 +476,30 @@ def generated_findings(n: int = 5000, seed: int = 5) -> list[tuple[str, str, str
             left, quote = m.asked() if m.rnd.random() < 0.5 else (m.lead() + m.rnd.choice(["Authorization: Bearer ", "Bearer ", "", "", "curl -H 'X-Key: ", "key "]), "")
             out.append((m.issued(), left[-LEFT:], m.tail(quote)[:RIGHT], 1))
         elif kind == 4:
-            out.append((m.block(), m.lead()[-LEFT:], m.tail()[:RIGHT], 1))
+            block = m.block()
+            block = block if m.rnd.random() < 0.7 else block[: block.rindex("\n")]
+            out.append((block, m.lead()[-LEFT:], m.tail()[:RIGHT], 1))
         elif kind == 5:
             left = m.lead() + m.rnd.choice(["postgres", "mysql", "https", "amqp", "redis", "mongodb+srv", "ftp"]) + "://" + m.name() + ":"
-            out.append((m.random_value().replace("@", "").replace("/", "").replace(":", ""), left[-LEFT:], f"@{m.name()}.{m.rnd.choice(['com', 'local', 'net', 'internal'])}"[:RIGHT], 1))
+            out.append(((m.random_value() if m.rnd.random() < 0.7 else m.passphrase()).replace("@", "").replace("/", "").replace(":", ""), left[-LEFT:], f"@{m.name()}.{m.rnd.choice(['com', 'local', 'net', 'internal'])}"[:RIGHT], 1))
         else:
             left, quote = m.asked()
             out.append((m.random_value(), left[-LEFT:], m.tail(quote)[:RIGHT], 1))
     return out
 
 
-def generated_assignments(n: int = 3000, seed: int = 6) -> list[tuple[str, str, str, int]]:
+def generated_assignments(n: int = 4500, seed: int = 6) -> list[tuple[str, str, str, int]]:
     """Like :func:`generated_findings`, of values of any length that are assigned to a secret's name, or to one that only looks so."""
     m, out = _Maker(seed), []
     for _ in range(n):
         label = int(m.rnd.random() < 0.5)
-        left, quote = m.asked()
-        value = m.random_value() if label else m.assigned_harmless()
-        if not label and m.rnd.random() < 0.3:
-            left = m.lead() + m.rnd.choice(["Author", "authors", "authority", "tokens", "slack", "secretary", "passage"]) + m.rnd.choice([": ", " = "]) + quote
+        told = m.rnd.random() < 0.25
+        left, quote = m.said() if told else m.asked()
+        value = (m.random_value() if m.rnd.random() < 0.55 else m.passphrase()) if label else m.assigned_harmless()
+        if not label and told:  # what sentences go on with
+            value = m.rnd.choice([m.rnd.choice(PROSE), m.name(), m.name() + m.rnd.choice(["ed", "ing", "-" + m.name(), "s", "able"]), "required", "expired", "invalid", "correct", "case-sensitive", "generated", "stored", "optional", "incorrect"])
+        elif not label and m.rnd.random() < 0.3:
+            left = m.lead() + m.rnd.choice(["Author", "authors", "authority", "tokens", "slack", "secretary", "passage", "__author__", "author", "tokenL", "tokenize", "tokenizer", "auth_mechanism"]) + m.rnd.choice([": ", " = ", " == "]) + quote
         if " " in value and not quote:
             value = value.split()[0]
         out.append((value, left[-LEFT:], m.tail(quote)[:RIGHT], label))
