@@ -1,4 +1,4 @@
-"""Near-duplicate lines within one edit, by deletion neighbourhoods; native.
+"""Near-duplicate lines within some edits (one, where not said), by deletion neighbourhoods; native.
 
 Lines that are equal form a class (128-bit hash, earliest place). Two classes at
 edit distance one differ within one block of the line, so the rest of the line
@@ -72,12 +72,12 @@ def _lines_at(texts: DataFrame, places: DataFrame, carry: list[str]) -> DataFram
 
 
 def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1) -> DataFrame:
-    """``doc, fp, line_no`` of each line that equals an earlier line or is (with ``edits`` 1) one edit from one.
+    """``doc, fp, line_no`` of each line that equals an earlier line or is ``edits`` or fewer edits from one.
 
     ``texts`` has ``doc`` (sortable id), ``fp`` (the text's hash) and ``text``.
     """
-    if edits not in (0, 1):
-        raise ValueError("edits is 0 or 1: blocks and variants are those of one edit")
+    if edits < 0:
+        raise ValueError("edits is a number of edits")
     seen = kept(_occurrences(texts, min_chars))
     classes = seen.groupBy("h1", "h2").agg(F.min("place").alias("lead"), F.count(F.lit(1)).alias("many"), *[F.min(f"k{i}").alias(f"k{i}") for i in range(4)])
     classes = scratch(classes)
@@ -85,6 +85,10 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1)
         again = seen.join(classes.where("many > 1").select("h1", "h2", "lead"), ["h1", "h2"])
         return _settled(again.where("place > lead"), seen)
 
+    if edits > 1:
+        gone = _near_by_many(texts, seen, classes, edits).withColumn("near", F.lit(True))
+        return _marked(seen, classes, gone)
+
     # Halves: classes that share one with another class.
     halves = classes.select("h1", "lead", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
     near = _shared(halves, ["h1", "lead"]).select("h1", "lead").distinct()
@@ -117,11 +121,106 @@ def repeated_lines(texts: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1)
     true = pairs.join(named, ["h1", "lead"]).join(other, ["other", "other_lead"]).where(F.levenshtein("line", "other_line", 1) == 1)
     gone = true.select("h1", "lead").distinct().withColumn("near", F.lit(True))
 
+    return _marked(seen, classes, gone)
+
+
+def _marked(seen: DataFrame, classes: DataFrame, gone: DataFrame) -> DataFrame:
+    """Places of lines whose class has an earlier one, or is ``near`` an earlier class."""
     marks = classes.join(gone, ["h1", "lead"], "left").where("many > 1 or near").select("h1", "h2", "lead", "near")
     again = seen.select("doc", "fp", "line_no", "place", "h1", "h2").join(marks, ["h1", "h2"])
     return _settled(again.where("place > lead or near"), seen)
 
 
+#: Lines of one key that are compared with one another (two edits or more); the variants of more than that are joined.
+FEW = 16
+#: Stands for a blanked code point in a variant, whose place is part of the variant too.
+_ANY = "\uffff"
+
+
+def _shifts(edits: int, steps: int) -> list[tuple[int, ...]]:
+    """How far text may have moved after each of ``steps`` edited blocks, with ``edits`` edits in all; the last is the difference in length."""
+    ways: list[tuple[tuple[int, ...], int]] = [((), 0)]
+    for _ in range(steps):
+        ways = [((*w, x), used + abs(x - (w[-1] if w else 0))) for w, used in ways for x in range(-edits, edits + 1) if used + abs(x - (w[-1] if w else 0)) <= edits]
+    return [w for w, _ in ways if w[-1] >= 0]
+
+
+def _near_by_many(texts: DataFrame, seen: DataFrame, classes: DataFrame, edits: int) -> DataFrame:
+    """``h1, lead`` of classes that are two or more edits at most (``edits``) from an earlier class.
+
+    The scheme of one edit, for more. Of ``edits + 1`` parts of a line one has
+    no edit: lines that share none with another drop out. Of about sqrt(length)
+    blocks no more than ``edits`` have one: the others, where the edits before
+    would have moved them, are the key. The edited blocks' variants leave out or
+    blank ``edits`` code points at most; blanks must be at the same places and
+    count once, left out ones on either side count each. Variants are only made
+    where more than FEW lines have a key. Lines with equal
+    variants whose counts are within the bound are within it, and a variant's
+    bucket only yields its earliest line.
+    """
+    k = edits
+    lines = scratch(_lines_at(texts, seen.join(classes.select(F.col("h1").alias("c1"), "lead"), (F.col("h1") == F.col("c1")) & (F.col("place") == F.col("lead"))).select("doc", "fp", "line_no", "h1", "lead"), ["h1", "lead"]).distinct())
+    line, n = F.col("line"), F.col("n")
+    at = lambda start, length: F.substring(line, start.cast("int") + 1, length.cast("int"))
+    sized = lines.withColumn("n", F.char_length("line"))
+
+    # Parts: a line of n code points beside one of n - d, of which a part lies moved by ``by``.
+    moves = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(x).alias("by")) for d in range(k + 1) for x in range(-k, k + 1) if abs(x) + abs(d - x) <= k])
+    parts = sized.select("h1", "lead", "line", "n", F.explode(moves).alias("m")).withColumn("s", n - F.col("m.d")).where("s > 0")
+    wide = F.ceil(F.col("s") / (k + 1)).cast("int")
+    parts = parts.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k)))).withColumns({"from": F.col("j") * wide, "to": F.least((F.col("j") + 1) * wide, F.col("s"))})
+    parts = parts.where("from <= to and from + m.by >= 0")
+    part_keys = parts.select("h1", "lead", F.xxhash64("s", "j", at(F.col("from") + F.col("m.by"), F.col("to") - F.col("from"))).alias("key")).distinct()
+    near = scratch(_shared(part_keys, ["h1", "lead"]).select("h1", "lead").distinct(), few=4)
+    sized = sized.join(near, ["h1", "lead"])
+
+    # Blocks: all but ``edits`` of them as the key, with every way in which these may have moved what is behind.
+    rows = sized.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(k)))).withColumn("s", n - F.col("d")).where("s > 0")
+    short = rows.where(F.col("s") <= k).select("h1", "lead", F.xxhash64(F.lit(-1), "s").alias("key"), F.col("line").alias("mid"))
+    wide = F.ceil(F.col("s") / F.greatest(F.lit(2 * k + 2), F.ceil(F.sqrt("s")))).cast("int")
+    rows = rows.where(F.col("s") > k).withColumn("w", wide).withColumn("many", F.ceil(F.col("s") / F.col("w")).cast("int"))
+    ways = F.array(*[F.struct(*[F.lit(x).alias(f"m{i + 1}") for i, x in enumerate(w)]) for w in _shifts(k, k)])
+    rows = rows.withColumn("by", F.explode(ways)).where(F.col(f"by.m{k}") == F.col("d"))
+    for i in range(1, k + 1):
+        first = F.lit(0) if i == 1 else F.col(f"j{i - 1}") + 1
+        rows = rows.withColumn(f"j{i}", F.explode(F.sequence(first, F.col("many") - (k - i) - 1)))
+    moved = [F.lit(0), *[F.col(f"by.m{i}") for i in range(1, k + 1)]]
+    begin = [F.col(f"j{i}") * F.col("w") for i in range(1, k + 1)]
+    end = [F.least((F.col(f"j{i}") + 1) * F.col("w"), F.col("s")) for i in range(1, k + 1)]
+    good = F.lit(True)
+    for i in range(k):
+        good = good & (begin[i] + moved[i] >= 0) & (end[i] + moved[i + 1] >= begin[i] + moved[i])
+    same = [at(F.lit(0), begin[0]), *[at(end[i] + moved[i + 1], (begin[i + 1] if i + 1 < k else F.col("s")) - end[i]) for i in range(k)]]
+    mids = [at(begin[i] + moved[i], end[i] + moved[i + 1] - begin[i] - moved[i]) for i in range(k)]
+    blocks = rows.where(good).select("h1", "lead", F.xxhash64("s", *[f"j{i}" for i in range(1, k + 1)], *same).alias("key"), F.concat_ws("\n", *mids).alias("mid"))
+    keyed = scratch(_shared(blocks.unionByName(short).distinct(), ["h1", "lead", "mid"]))
+    sizes = keyed.groupBy("key").agg(F.count_distinct("h1", "lead").alias("c")).where("c > 1")
+
+    # A key of FEW lines: each with the ones before it, no more than FEW.
+    few = keyed.join(sizes.where(F.col("c") <= FEW).select("key"), "key", "left_semi").select("key", "h1", "lead").distinct()
+    pairs = few.join(few.selectExpr("key", "h1 as other", "lead as other_lead"), "key").where("other_lead < lead").select("h1", "lead", "other", "other_lead")
+
+    # Of more, variants of the edited blocks, an edit at a time.
+    close = keyed.join(sizes.where(F.col("c") > FEW).select("key"), "key", "left_semi")
+    now = close.withColumns({"next": F.lit(1), "blank": F.lit(0), "out": F.lit(0), "spots": F.lit("")})
+    variants = now
+    for _ in range(k):
+        now = now.where(F.col("next") <= F.char_length("mid")).withColumn("i", F.explode(F.sequence(F.col("next"), F.char_length("mid")))).where(F.substring("mid", F.col("i"), F.lit(1)) != "\n")
+        left, right = F.substring("mid", F.lit(1), F.col("i") - 1), F.substring("mid", F.col("i") + 1, F.char_length("mid"))
+        blank = now.select("h1", "lead", "key", F.concat(left, F.lit(_ANY), right).alias("mid"), (F.col("i") + 1).alias("next"), (F.col("blank") + 1).alias("blank"), "out", F.concat_ws(",", "spots", F.col("i").cast("string")).alias("spots"))
+        out = now.select("h1", "lead", "key", F.concat(left, right).alias("mid"), F.col("i").alias("next"), "blank", (F.col("out") + 1).alias("out"), "spots")
+        now = blank.unionByName(out)
+        variants = variants.unionByName(now)
+    variants = variants.select("h1", "lead", F.xxhash64("key", "mid", "spots").alias("v"), (k - F.col("blank") - F.col("out")).alias("left"), "out").distinct()
+    first = [F.min(F.when(F.col("out") <= t, F.struct("lead", "h1"))).alias(f"e{t}") for t in range(k + 1)]
+    often = variants.groupBy("v").agg(F.count_distinct("h1").alias("c"), *first).where("c > 1").drop("c")
+    found = variants.join(often, "v").select("h1", "lead", F.array(*[f"e{t}" for t in range(k + 1)])[F.col("left")].alias("e")).where("e is not null and e.lead < lead")
+    pairs = scratch(pairs.unionByName(found.selectExpr("h1", "lead", "e.h1 as other", "e.lead as other_lead")).distinct(), few=8)
+
+    true = pairs.join(lines, ["h1", "lead"]).join(lines.selectExpr("h1 as other", "lead as other_lead", "line as other_line"), ["other", "other_lead"])
+    return true.where(F.levenshtein("line", "other_line", k) >= 0).select("h1", "lead").distinct()
+
+
 def _settled(gone: DataFrame, seen: DataFrame) -> DataFrame:
     """The places of ``gone``, written; ``seen`` is given back."""
     out = scratch(gone.select("doc", "fp", "line_no"), few=4)
@@ -130,12 +229,14 @@ def _settled(gone: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = 1) -> DataFrame:
-    """Remove each line that equals, or is one edit away from, an earlier line.
+    """Remove each line that equals, or is ``edits`` edits (one) or fewer away from, an earlier line.
 
     Lines are split at ``\\n``; earlier is a smaller doc_id, or the same document
     and a smaller line number. Lines are judged on the input, not on what is
     left. Lines of fewer than ``min_chars`` code points always stay. An edit
-    inserts, deletes or replaces one code point; with ``edits`` 0 only equal lines go.
+    inserts, deletes or replaces one code point; with ``edits`` 0 only equal
+    lines go. Each edit more makes keys and variants many times as many (two: up
+    to some thousand for a line that shares a third with another).
 
     Returns the columns of ``docs`` with ``text`` made of the lines that stay,
     and ``n_lines`` and ``n_removed`` (columns of these names are replaced).
