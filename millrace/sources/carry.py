@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import errno
 import filecmp
 import json
@@ -41,6 +42,21 @@ def _appear(make: Callable[[str], None], dst: str) -> None:
             os.unlink(mine)
 
 
+def _move(src: str, dst: str) -> None:
+    os.makedirs(os.path.dirname(dst) or ".", exist_ok=True)
+    try:
+        os.link(src, dst)
+    except FileExistsError:
+        if not os.path.samefile(src, dst):  # else somebody was stopped between the two names
+            raise
+    except OSError as e:
+        if e.errno != errno.EXDEV:
+            raise
+        _appear(lambda mine: shutil.copyfile(src, mine), dst)
+    with contextlib.suppress(FileNotFoundError):  # another attempt has just done it
+        os.unlink(src)
+
+
 def file_operation(op: str, src: str, dst: str | None, value: str | None, begun: bool) -> None:
     """copy, move, rename, delete or sidecar (``value`` written to ``dst``) of files that executors share.
 
@@ -58,22 +74,11 @@ def file_operation(op: str, src: str, dst: str | None, value: str | None, begun:
             if not filecmp.cmp(src, dst, shallow=False):
                 raise
     elif op in ("move", "rename"):
-        if not os.path.exists(src) and begun and os.path.exists(dst):
-            return
         try:
-            os.makedirs(os.path.dirname(dst) or ".", exist_ok=True)
-            os.link(src, dst)
-        except FileExistsError:
-            if not os.path.samefile(src, dst):  # else somebody was stopped between the two names
-                raise
-        except OSError as e:
-            if e.errno != errno.EXDEV:
+            _move(src, dst)
+        except FileNotFoundError:
+            if not begun or os.path.exists(src) or not os.path.exists(dst):
                 raise
-            _appear(lambda mine: shutil.copyfile(src, mine), dst)
-        try:
-            os.unlink(src)
-        except FileNotFoundError:  # another attempt has just done it
-            pass
     elif op == "delete":
         try:
             os.unlink(src)
@@ -111,28 +116,42 @@ class _Writer(DataSourceWriter):
     def write(self, iterator: Iterator) -> Journal:
         fs, system, at = self._open()
         part = f"{self.job}-{TaskContext.get().partitionId()}-"
-        begun, done = set(), set()  # what earlier attempts of this task say
-        for e in system.get_file_info(fs.FileSelector(at)):
-            if e.base_name.startswith(part):
-                for line in system.open_input_stream(e.path).read().decode().split("\n"):
-                    try:
-                        row = json.loads(line)
-                    except ValueError:  # the end of a file whose writer was killed
-                        continue
-                    {"begin": begun, "done": done}.get(row["what"], set()).add((row["op"], row["src"], row["dst"]))
         name = f"{part}{uuid.uuid4().hex}.json"
+
+        def attempts() -> tuple[set, set]:
+            """What other attempts of this task have begun, and done."""
+            begun, done = set(), set()
+            for e in system.get_file_info(fs.FileSelector(at)):
+                if e.base_name.startswith(part) and e.base_name != name:
+                    for line in system.open_input_stream(e.path).read().decode().split("\n"):
+                        try:
+                            row = json.loads(line)
+                        except ValueError:  # the end of a file whose writer was killed, or writes just now
+                            continue
+                        {"begin": begun, "done": done}.get(row["what"], set()).add((row["op"], row["src"], row["dst"]))
+            return begun, done
+
+        begun, done = attempts()
         out = system.open_output_stream(f"{at}/{name}")
 
         def say(what: str, key: tuple, error: str | None = None) -> None:
             out.write((json.dumps(dict(zip(("what", "op", "src", "dst", "error"), (what, *key, error), strict=True))) + "\n").encode())
             out.flush()
 
+        def act(r, key: tuple) -> None:
+            try:
+                self.act(*key, r.value, r.begun or key in begun)
+            except FileNotFoundError:  # perhaps an attempt that runs beside this one was faster; what it begins it has said before
+                if key not in attempts()[0]:
+                    raise
+                self.act(*key, r.value, True)
+
         for r in iterator:
             key = (r.op, r.src, r.dst)
             if key not in done:
-                say("begin", key)
                 try:
-                    self.act(*key, r.value, r.begun or key in begun)
+                    say("begin", key)
+                    act(r, key)
                 except Exception as e:  # one file's failure is its row's error
                     say("error", key, f"{type(e).__name__}: {e}")
                     continue
