@@ -22,10 +22,10 @@ def test_bands_share_one(spark):
     pairs = [(0, 0b11), (-1, (1 << 63) - 1), (5, 5 | 1 << 40), (1 << 20, 7 + (1 << 20)), (-(1 << 63), 1)]
     for most in (1, 2, 7):
         df = spark.createDataFrame(pairs, "a long, b long")
-        for r in df.select("a", "b", dedupe._bands(df.a, most).alias("x"), dedupe._bands(df.b, most).alias("y")).collect():
+        for r in df.select("a", "b", dedupe.bands(df.a, most).alias("x"), dedupe.bands(df.b, most).alias("y")).collect():
             assert bool(set(r.x) & set(r.y)) or ((r.a ^ r.b) & (2**64 - 1)).bit_count() > most
     # Short hashes: no band is the same in all rows.
-    short = spark.range(1024).withColumn("x", dedupe._bands(dedupe.col("id"), 1))
+    short = spark.range(1024).withColumn("x", dedupe.bands(dedupe.col("id"), 1))
     assert short.selectExpr("count(distinct x[0].bits) as p", "count(distinct x[1].bits) as q").first()[:] == (32, 32)
 
 
