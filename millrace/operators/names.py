@@ -2,9 +2,11 @@
 
 A claim that finds its name taken (there already, or given to an earlier claim)
 gets ``<stem><mark><i><ext>`` with the least ``i`` that is free then. Names
-depend on one another only along ``x``, ``x_1``, ``x_1_1``: claims on a name are
-decided together, and names whose numbered forms are somebody's wish go before
-these, a round for each link of the longest chain of wishes.
+depend on one another only along ``x``, ``x_1``, ``x_1_1``: a family of names. One
+of a million or fewer is gone through in order. In larger ones claims on a name
+are decided together, by places in sorted orders, and names whose numbered forms
+are somebody's wish go before these, a round for each link of the longest chain
+of wishes.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shared import written
 from .order import places
 
 lit, col = F.lit, F.col
+#: Names of a family (one and its numbered forms, wished for or there) that one task goes through in order.
+WHOLE = 1_000_000
 
 
 def _extension(path: Column) -> Column:
@@ -78,6 +83,39 @@ def _numbered(wants: DataFrame, gone: DataFrame) -> DataFrame:
     return places(both, ["_j", "_claim"], ("_w",), "_k").where("_claim").drop("_claim")
 
 
+def _family(path: Column, mark: str) -> Column:
+    """What a name and all its numbered forms have in common."""
+    return F.concat(F.regexp_replace(_stem(path), rf"(?<=[^/])({re.escape(mark)}[1-9][0-9]{{0,17}})+$", ""), _extension(path))
+
+
+def _one_by_one(rows: DataFrame, there: DataFrame, mark: str) -> DataFrame:
+    """``_row, _dst``: claims (_family, _src, _w, _row) in order, a family after another; a task holds a family's names."""
+    names = there.select("_family", lit(0).alias("_kind"), "_w").unionByName(rows.select("_family", lit(1).alias("_kind"), "_w", "_src", "_row"), allowMissingColumns=True)
+    schema = T.StructType([rows.schema["_row"], T.StructField("_dst", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, taken, least = None, set(), {}
+        for b in batches:
+            dst = []
+            for family, kind, name in zip(*(b.column(c).to_pylist() for c in ("_family", "_kind", "_w")), strict=True):
+                if family != now:
+                    now, taken, least = family, set(), {}
+                if kind and name in taken:
+                    found = re.search(r"(?<=[^/])\.[^./]*$", name)
+                    stem, ext = (name[: found.start()], found[0]) if found else (name, "")
+                    i = least.get(name, 1)
+                    while f"{stem}{mark}{i}{ext}" in taken:
+                        i += 1
+                    least[name] = i + 1  # what is taken stays taken
+                    name = f"{stem}{mark}{i}{ext}"
+                taken.add(name)
+                dst.append(name)
+            claims = pa.array(b.column("_kind").to_numpy() == 1)
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(dst, pa.string())], names=["_row", "_dst"]).filter(claims)
+
+    return names.repartition("_family").sortWithinPartitions("_family", "_kind", "_src").mapInArrow(run, schema)
+
+
 def free_names(plan: DataFrame, present: DataFrame, mark: str = "_") -> DataFrame:
     """``plan`` with ``dst`` made free: as if its rows were carried out one after another by ``src``.
 
@@ -86,9 +124,24 @@ def free_names(plan: DataFrame, present: DataFrame, mark: str = "_") -> DataFram
     ``mark``. No two rows get one name, and none that is there. Equal rows each
     get a name; null destinations stay null.
     """
-    rows = plan.select(F.struct(*plan.columns).alias("_row"), col("src").alias("_src"), col("dst").alias("_w"))
-    there = present.select(col("path").alias("_w")).where("_w is not null").distinct()
-    wishes = rows.where("_w is not null").groupBy("_w").agg(F.count(lit(1)).alias("_n"), F.min("_src").alias("_t")).join(there.withColumn("_taken", lit(True)), "_w", "left")
+    rows = plan.select(F.struct(*plan.columns).alias("_row"), col("src").alias("_src"), col("dst").alias("_w"), _family(col("dst"), mark).alias("_family"))
+    there = present.select(col("path").alias("_w")).where("_w is not null").distinct().withColumn("_family", _family(col("_w"), mark))
+    null, rows = rows.where("_w is null").select("_row", col("_w").alias("_dst")), rows.where("_w is not null")
+    there = there.join(rows.select("_family").distinct(), "_family", "left_semi")
+    sizes = rows.select("_family").unionAll(there.select("_family")).groupBy("_family").count()
+    large = written(sizes.where(col("count") > WHOLE).select("_family"))
+    if large.isEmpty():
+        found = _one_by_one(rows, there, mark)
+    else:
+        part = lambda df, how: df.join(large, "_family", how)
+        found = _one_by_one(part(rows, "left_anti"), part(there, "left_anti"), mark).unionByName(_by_rounds(part(rows, "left_semi").drop("_family"), part(there, "left_semi").select("_w"), mark))
+    out = null.unionByName(found)
+    return out.select(*[col("_dst").alias("dst") if c == "dst" else col("_row")[c].alias(c) for c in plan.columns])
+
+
+def _by_rounds(rows: DataFrame, there: DataFrame, mark: str) -> DataFrame:
+    """The same without a task that holds a family's names; a round for each link of a chain of wishes."""
+    wishes = rows.groupBy("_w").agg(F.count(lit(1)).alias("_n"), F.min("_src").alias("_t")).join(there.withColumn("_taken", lit(True)), "_w", "left")
     wishes = written(_with_parent(wishes.withColumn("_taken", F.coalesce("_taken", lit(False))), mark, "_w"))
     # Whether a wish is free when its turn comes depends on claims on its parent, if these can be more than one.
     waiting = wishes.where("_i is not null and not _taken")
@@ -119,5 +172,4 @@ def free_names(plan: DataFrame, present: DataFrame, mark: str = "_") -> DataFram
         w = col("_w")
         numbered = _numbered(wants, written(gone)).select("_row", F.concat(_stem(w), lit(mark), col("_k").cast("string"), _extension(w)).alias("_dst"))
         given += [claims.where("_j = 0").select("_row", w.alias("_dst")), numbered]
-    out = reduce(DataFrame.unionByName, given)
-    return out.select(*[col("_dst").alias("dst") if c == "dst" else col("_row")[c].alias(c) for c in plan.columns])
+    return reduce(DataFrame.unionByName, given)

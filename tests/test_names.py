@@ -1,6 +1,9 @@
 import random
 import re
 
+import pytest
+
+from millrace.operators import names
 from millrace.operators.dedupe import rescue
 from millrace.operators.names import free_names
 
@@ -42,8 +45,10 @@ def test_taken_numbers_are_passed_over(spark):
 NAMES = ["a.x", "a_1.x", "a_2.x", "a_3.x", "a_1_1.x", "a_1_2.x", "a_2_1.x", "a_1_1_1.x", "a", "a_1", "a_01.x", "d/.x", "d/.x_1", "d/_1.x", "b.x", "_1.x"]
 
 
-def test_as_the_loop(spark):
-    """Some hundred small cases, each in a folder of its own."""
+@pytest.mark.parametrize("whole", [names.WHOLE, 0])
+def test_as_the_loop(spark, monkeypatch, whole):
+    """Some hundred small cases, each in a folder of its own; in order, and by rounds."""
+    monkeypatch.setattr(names, "WHOLE", whole)
     rnd, claims, there = random.Random(8), [], []
     for case in range(400):
         claims += [(f"s{rnd.randrange(10**9):09}", f"{case}/{rnd.choice(NAMES)}", case) for _ in range(rnd.randrange(24))]
@@ -51,7 +56,9 @@ def test_as_the_loop(spark):
     assert given_out(spark, claims, there) == sorted(loop(claims, there))
 
 
-def test_many_claims_on_one_name(spark):
+@pytest.mark.parametrize("whole", [names.WHOLE, 500])
+def test_many_claims_on_one_name(spark, monkeypatch, whole):
+    monkeypatch.setattr(names, "WHOLE", whole)
     claims = [(f"s{i:05}", "a.x" if i % 3 else f"a_{i}.x", i) for i in range(2000)]
     there = ["a.x", *[f"a_{i}.x" for i in range(1, 1500, 7)]]
     assert given_out(spark, claims, there) == sorted(loop(claims, there))
