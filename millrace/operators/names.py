@@ -125,9 +125,10 @@ def free_names(plan: DataFrame, present: DataFrame, mark: str = "_") -> DataFram
     get a name; null destinations stay null.
     """
     rows = plan.select(F.struct(*plan.columns).alias("_row"), col("src").alias("_src"), col("dst").alias("_w"), _family(col("dst"), mark).alias("_family"))
+    rows = written(rows)  # read three times, however it was made
     there = present.select(col("path").alias("_w")).where("_w is not null").distinct().withColumn("_family", _family(col("_w"), mark))
     null, rows = rows.where("_w is null").select("_row", col("_w").alias("_dst")), rows.where("_w is not null")
-    there = there.join(rows.select("_family").distinct(), "_family", "left_semi")
+    there = written(there.join(rows.select("_family").distinct(), "_family", "left_semi"))
     sizes = rows.select("_family").unionAll(there.select("_family")).groupBy("_family").count()
     large = written(sizes.where(col("count") > WHOLE).select("_family"))
     if large.isEmpty():
