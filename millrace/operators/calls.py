@@ -14,19 +14,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import written
+from ..shared import opened, written
 
 
 class TooManyHang(Exception):
     """So many calls of a task don't end that no more are made."""
 
 
-def _file_system(folder: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder)
-
-
 class Answers:
     """Answers of one task, in the folder ``log``: a line each, written before the next call begins.
 
@@ -37,7 +31,7 @@ class Answers:
     def __init__(self, log: str, job: str, part: int):
         from pyarrow import fs
 
-        self.system, folder = _file_system(log)
+        self.system, folder = opened(log)
         self.system.create_dir(folder, recursive=True)
         mine = f"{job}-{part}-"
         self.known: dict[tuple[str, str | None], str] = {}

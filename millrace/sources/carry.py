@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from ..shared import written
+from ..shared import opened, written
 from .state import Folder
 
 col, lit = F.col, F.lit
@@ -109,7 +109,7 @@ class _Writer(DataSourceWriter):
     def _open(self):
         from pyarrow import fs
 
-        system, at = fs.FileSystem.from_uri(self.folder)
+        system, at = opened(self.folder)
         system.create_dir(at, recursive=True)
         return fs, system, at
 

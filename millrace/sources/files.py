@@ -6,7 +6,6 @@ import itertools
 import os
 import re
 from collections.abc import Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import ontology as O
-from ..shared import written
+from ..shared import opened, written
 
 lit, col = F.lit, F.col
 
@@ -98,15 +97,13 @@ def walk(spark: SparkSession, root: str) -> DataFrame:
 
 
 def touch(paths: DataFrame) -> None:
-    """Make an empty file at each ``path`` (a URI that executors can open), with the folders it needs; one that is there stays empty or is emptied."""
+    """Make an empty file at each ``path`` (a path or URI that executors can open, nothing in it escaped), with the folders it needs; one that is there stays empty or is emptied."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         made: set[str] = set()
         for b in batches:
             for path in b.column(0).to_pylist():
-                system, at = fs.FileSystem.from_uri(quote(re.sub("^file:/*", "file:///", path), safe=":/"))
+                system, at = opened(path)
                 folder = os.path.dirname(at)
                 if folder not in made:
                     system.create_dir(folder, recursive=True)
