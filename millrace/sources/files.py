@@ -74,6 +74,12 @@ def _list_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch(rows)
 
 
+def root_uri(root: str) -> str:
+    """What the paths of :func:`walk` begin with."""
+    root = root if re.match("[a-z][a-z0-9+.-]*:", root) else f"file:{os.path.abspath(root)}"
+    return re.sub("^file:/+", "file:/", root).rstrip("/")
+
+
 def walk(spark: SparkSession, root: str) -> DataFrame:
     """``path, length, modificationTime`` of all files below ``root``, hidden ones too, listed on the executors.
 
@@ -83,8 +89,7 @@ def walk(spark: SparkSession, root: str) -> DataFrame:
     counted only. ``root`` is a URI that executors can open (a path is one of
     the shared file system); a folder that is missing is an error.
     """
-    root = root if re.match("[a-z][a-z0-9+.-]*:", root) else f"file:{os.path.abspath(root)}"
-    root = re.sub("^file:/+", "file:/", root).rstrip("/")
+    root = root_uri(root)
     level, files = spark.createDataFrame([(root,)], "path string"), None
     n = 1
     while n:

@@ -30,7 +30,7 @@ def rows_match(folder: str, *names: str) -> None:
 
 
 def test_files_below_a_plain_path(tmp_path):
-    rows_match(str(tmp_path / "shared"), "s01_walked_tree")
+    rows_match(str(tmp_path / "shared"), "s01_walked_tree", "k07_carried_out")
 
 
 @pytest.mark.parametrize("scheme", ["", "file:", "file://"])
