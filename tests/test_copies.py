@@ -12,6 +12,7 @@ PERIOD = 102 * 49 * 11  # documents of one text whose ids differ by this have on
 def tables(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("copies"))
     rows = [(i + k * PERIOD, f"text {i}") for i in range(60) for k in range(1 + i % 3)]
+    rows += [(i, None) for i in range(100, 120)]
     spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "cast(length(text) as long) as n_chars").coalesce(1).write.parquet(f"{d}/documents.parquet")
     return d
 
@@ -26,6 +27,6 @@ def same(spark, d, name):
     assert want and key(core.QUERIES[name](spark, d).select(*columns).collect()) == want
 
 
-@pytest.mark.parametrize("name", ["f04_import_guard", "j02_folded_ontology", "s01_walked_tree"])
+@pytest.mark.parametrize("name", ["f04_import_guard", "j02_folded_ontology", "s01_walked_tree", "s03_walked_tree"])
 def test_copies(spark, tables, name):
     same(spark, tables, name)
