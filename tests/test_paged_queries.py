@@ -27,7 +27,7 @@ def same(spark, d, name):
     assert want and key(core.QUERIES[name](spark, d).select(*columns).collect()) == want
 
 
-@pytest.mark.parametrize("name", ["p46_paged_source"])
+@pytest.mark.parametrize("name", ["p46_paged_source", "st5_paged_stream"])
 def test_any_keyword(spark, tables, name):
     same(spark, tables, name)
 
